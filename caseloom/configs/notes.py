@@ -32,7 +32,7 @@ ASD_NO = (r"classification: no|negative for asd|asd screen negative|negative \(s
 
 AQ_ENDORSED = r"(?s)(?:endorsed items:|patient endorsed the following:|patient endorsed)(.*?)(?:\.|all other|remaining items)"
 AQ_NONE = r"no items endorsed|did not endorse any"
-AQ_ITEM_LINE = r"item {item}:[^\n]*?—\s*(endorsed|not endorsed)"
+AQ_ITEM_LINE = r"item {item}:[^\n]*?—\s*endorsed"
 
 AUTISM = [
     Number("age", *AGE),

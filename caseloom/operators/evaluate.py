@@ -128,6 +128,24 @@ def fold_scores(predictions: DataFrame, group: Sequence[str], fold: str = "fold"
                                         F.count(F.lit(1)).alias("n_folds"))
 
 
+def thresholds_reached(probability: Column, thresholds: Sequence[float]) -> Column:
+    """How many ascending thresholds are <= the probability.
+
+    On an even grid the position is computed and then corrected against the exact neighbours; any other list is
+    searched.
+    """
+    cuts = F.array(*[F.lit(float(t)) for t in thresholds])
+    n = len(thresholds)
+    step = (thresholds[-1] - thresholds[0]) / (n - 1) if n > 1 else 0.0
+    if not step or max(abs(t - (thresholds[0] + i * step)) for i, t in enumerate(thresholds)) > step / 4:
+        return F.size(F.filter(cuts, lambda t: t <= probability))
+    guess = F.floor((probability - thresholds[0]) / step)
+    at = F.least(F.greatest(guess, F.lit(0)), F.lit(n - 1)).cast("int")
+    up = F.when(probability >= F.get(cuts, at + 1), 1).otherwise(0)
+    down = F.when(probability < F.get(cuts, at), 1).otherwise(0)
+    return at + 1 + up - down
+
+
 def threshold_sweep(predictions: DataFrame, group: Sequence[str] = (), thresholds: Sequence[float] = tuple(SWEEP),
                     digits: int = 4) -> DataFrame:
     """Precision, recall, F1 and specificity at every threshold.
@@ -136,7 +154,7 @@ def threshold_sweep(predictions: DataFrame, group: Sequence[str] = (), threshold
     taken over a table of at most ``len(thresholds) + 1`` rows per group.
     """
     cuts = F.array(*[F.lit(float(t)) for t in thresholds])
-    reached = F.size(F.filter(cuts, lambda t: t <= F.col("probability")))
+    reached = thresholds_reached(F.col("probability"), thresholds)
     bins = predictions.where(F.col("probability").isNotNull()).groupBy(*group, reached.alias("_r")).agg(
         F.count_if(F.col("label") == 1).alias("_p"), F.count_if(F.col("label") == 0).alias("_q"))
     by_group = bins.groupBy(*group).agg(F.collect_list(F.struct("_r", "_p", "_q")).alias("_b"),

@@ -1,7 +1,9 @@
 """Rule-based extraction from free text, device JSON and syslog lines.
 
-Rules are data. Each compiles to plain column expressions over the lower-cased text, so a whole extraction is one
-projection without a shuffle and without Python in the tasks.
+Rules are data. Each compiles to column expressions over the lower-cased text, so a whole extraction is a stack of
+projections without a shuffle and without Python in the tasks. What several output columns share (the phrases that
+occur in a section, the items marked yes) is a helper column that reads the record once, however many phrases or items
+there are.
 """
 
 from __future__ import annotations
@@ -27,8 +29,43 @@ def word(pattern: str) -> str:
 
 
 def any_of(phrases: Sequence[str]) -> str:
-    """A regex that matches any of the literal phrases."""
-    return "(?:" + "|".join(re.escape(p) for p in phrases) + ")"
+    """A regex that matches one of the literal phrases, the longest one at a position; common beginnings are shared."""
+    tree: dict = {}
+    for phrase in phrases:
+        node = tree
+        for letter in phrase:
+            node = node.setdefault(letter, {})
+        node[""] = {}
+
+    def pattern(node: dict) -> str:
+        branches = [re.escape(letter) + pattern(rest) for letter, rest in node.items() if letter]
+        if not branches:
+            return ""
+        body = branches[0] if len(branches) == 1 and "" not in node else "(?:" + "|".join(branches) + ")"
+        return body + ("?" if "" in node else "")
+    return pattern(tree)
+
+
+def mentioned(text: Column, phrases: Sequence[str], within: str = "") -> Column:
+    """The phrases that start anywhere in the text (overlaps included), as an array, found in one pass.
+
+    Of phrases that start at the same place only the longest is listed; ``among`` knows that it implies the others.
+    ``within`` is a regex for what is listed together with the phrase that it follows.
+    """
+    return F.regexp_extract_all(text, F.lit(f"(?=({any_of(phrases)}{within}))"), F.lit(1))
+
+
+def among(found: str, phrases: Sequence[str], known: Sequence[str]) -> Column:
+    """Whether one of the phrases is in a helper column made by ``mentioned`` from the ``known`` phrases."""
+    implying = [k for k in dict.fromkeys(known) if any(k.startswith(p) for p in phrases)]
+    return F.arrays_overlap(F.col(found), F.array(*[F.lit(p) for p in implying]))
+
+
+class Rule:
+    """A rule has helper columns over the text, and output columns over the text and the helpers."""
+
+    def helpers(self, text: Column) -> dict[str, Column]:
+        return {}
 
 
 def split_records(df: DataFrame, text: str, delimiter: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -42,7 +79,7 @@ def split_records(df: DataFrame, text: str, delimiter: str, keep: Sequence[str]
 
 
 @dataclass(frozen=True)
-class Number:
+class Number(Rule):
     """The first number that a pattern finds; the first group that took part in the match gives the digits."""
 
     name: str
@@ -51,12 +88,11 @@ class Number:
     dtype: str = "int"
 
     def columns(self, text: Column) -> dict[str, Column]:
-        found = [F.nullif(F.regexp_extract(text, self.pattern, g), F.lit("")) for g in self.groups]
-        return {self.name: F.coalesce(*found).try_cast(self.dtype)}
+        return {self.name: F.coalesce(*[F.regexp_extract(text, self.pattern, g).try_cast(self.dtype) for g in self.groups])}
 
 
 @dataclass(frozen=True)
-class Choice:
+class Choice(Rule):
     """The value of the first case whose pattern occurs, else the default."""
 
     name: str
@@ -72,7 +108,7 @@ class Choice:
 
 
 @dataclass(frozen=True)
-class Polarity:
+class Polarity(Rule):
     """0 if a negative phrase occurs, else 1 if a positive one does, else a keyword without negation words."""
 
     name: str
@@ -90,7 +126,7 @@ class Polarity:
 
 
 @dataclass(frozen=True)
-class Captured:
+class Captured(Rule):
     """A captured group, trimmed, mapped to its canonical spelling, with a default."""
 
     name: str
@@ -98,38 +134,43 @@ class Captured:
     spelling: dict[str, object] = field(default_factory=dict)
     default: object = None
 
+    def helpers(self, text: Column) -> dict[str, Column]:
+        return {f"_{self.name}_{i}": F.trim(F.regexp_extract(text, p, g)) for i, (p, g) in enumerate(self.patterns)}
+
     def columns(self, text: Column) -> dict[str, Column]:
-        found = F.coalesce(*[F.nullif(F.trim(F.regexp_extract(text, p, g)), F.lit("")) for p, g in self.patterns])
+        raw = [F.col(f"_{self.name}_{i}") for i in range(len(self.patterns))]
         if self.spelling:
-            branch = None
-            for spoken, value in self.spelling.items():
-                branch = F.when(found == spoken, F.lit(value)) if branch is None else branch.when(found == spoken, F.lit(value))
-            found = branch
-        return {self.name: found if self.default is None else F.coalesce(found, F.lit(self.default))}
+            names = F.create_map(*[F.lit(x) for pair in self.spelling.items() for x in pair])
+            found = [names[r] for r in raw]
+        else:
+            found = [F.nullif(r, F.lit("")) for r in raw]
+        return {self.name: F.coalesce(*found, *([] if self.default is None else [F.lit(self.default)]))}
 
 
 @dataclass(frozen=True)
-class Phrases:
-    """Phrase dictionary flags: 1 if a positive phrase occurs, else 0."""
+class Phrases(Rule):
+    """Phrase dictionary flags: 1 if a positive phrase occurs, 0 if a negative one or none does."""
 
     flags: dict[str, tuple[Sequence[str], Sequence[str]]]
 
+    @property
+    def known(self) -> list[str]:
+        return [p for yes, no in self.flags.values() for p in (*yes, *no)]
+
+    def helpers(self, text: Column) -> dict[str, Column]:
+        return {"_phrases": mentioned(text, self.known)}
+
     def columns(self, text: Column) -> dict[str, Column]:
-        out = {}
-        for name, (positive, negative) in self.flags.items():
-            branch = F.when(text.rlike(any_of(positive)), 1)
-            if negative:
-                branch = branch.when(text.rlike(any_of(negative)), 0)
-            out[name] = branch.otherwise(0)
-        return out
+        return {n: F.when(among("_phrases", yes, self.known), 1).when(among("_phrases", no, self.known), 0).otherwise(0)
+                for n, (yes, no) in self.flags.items()}
 
 
 @dataclass(frozen=True)
-class Questionnaire:
+class Questionnaire(Rule):
     """Numbered yes/no items in any of five layouts.
 
-    A list of endorsed items decides when there is one. Otherwise each item is looked up as ``a1(+)``, ``a1: yes``,
-    ``a1 = 1`` or as an item line that ends in the endorsement.
+    A list of endorsed items decides when there is one. Otherwise an item counts by its mark: ``a1(+)``, ``a1: yes``,
+    ``a1 = 1``, or an item line that ends in the endorsement. Each layout is read for all items at once.
     """
 
     prefix: str
@@ -139,26 +180,35 @@ class Questionnaire:
     item_line: str
     score: str | None = None
 
+    def helpers(self, text: Column) -> dict[str, Column]:
+        item = rf"{LEFT}{self.prefix}(\d+)"
+
+        def items(source: Column, pattern: str) -> Column:
+            return F.regexp_extract_all(source, F.lit(pattern), F.lit(1))
+        return {
+            "_listed": text.rlike(self.endorsed),
+            "_chosen": items(F.regexp_extract(text, self.endorsed, 1), item + RIGHT),
+            "_none": text.rlike(self.none_endorsed),
+            "_yes": items(text, rf"{item}(?:\s*\(\+\)|:\s*(?:yes|\+)|\s*=\s*1{RIGHT})"),
+            "_no": items(text, rf"{item}(?:\s*\(-\)|:\s*(?:no{RIGHT}|-)|\s*=\s*0{RIGHT})"),
+            "_lines": items(text, self.item_line.format(item=item)),
+        }
+
     def columns(self, text: Column) -> dict[str, Column]:
-        span = F.regexp_extract(text, self.endorsed, 1)
-        listed = text.rlike(self.endorsed)
         out = {}
         for i in range(1, self.count + 1):
-            item = f"{LEFT}{self.prefix}{i}"
-            yes = rf"{item}\s*\(\+\)|{item}:\s*(?:yes|\+)|{item}\s*=\s*1{RIGHT}"
-            no = rf"{item}\s*\(-\)|{item}:\s*(?:no{RIGHT}|-)|{item}\s*=\s*0{RIGHT}"
-            line = self.item_line.format(item=item)
+            def has(c: str) -> Column:
+                return F.array_contains(c, str(i))
             out[f"{self.prefix}{i}"] = (
-                F.when(listed, F.when(span.rlike(item + RIGHT), 1).otherwise(0))
-                .when(text.rlike(self.none_endorsed), 0).when(text.rlike(yes), 1).when(text.rlike(no), 0)
-                .when(F.regexp_extract(text, line, 1) == "endorsed", 1).otherwise(0))
+                F.when(F.col("_listed"), has("_chosen").cast("int")).when(F.col("_none"), 0).when(has("_yes"), 1)
+                .when(has("_no"), 0).otherwise(has("_lines").cast("int")))
         if self.score:
             out[self.score] = total([out[f"{self.prefix}{i}"] for i in range(1, self.count + 1)])
         return out
 
 
 @dataclass(frozen=True)
-class Symptoms:
+class Symptoms(Rule):
     """Flags from synonyms. A marked synonym ``syn(+)`` / ``syn(-)`` decides; then the section of reported symptoms,
     then the denied ones; without any denial a mention anywhere counts."""
 
@@ -167,16 +217,27 @@ class Symptoms:
     denies: str
     blanket_denial: str
 
+    @property
+    def known(self) -> list[str]:
+        return [w for words in self.synonyms.values() for w in words]
+
+    def helpers(self, text: Column) -> dict[str, Column]:
+        return {
+            # "syn", "syn(+)" and "syn(-)" come out of one pass over the record
+            "_said": mentioned(text, self.known, within=r"(?:\([+-]\))?"),
+            "_reported": mentioned(F.regexp_extract(text, self.reports, 1), self.known),
+            "_denied": text.rlike(self.denies) | text.rlike(self.blanket_denial),
+        }
+
     def columns(self, text: Column) -> dict[str, Column]:
-        reported, denied = F.regexp_extract(text, self.reports, 1), F.regexp_extract(text, self.denies, 1)
-        has_denial = text.rlike(self.denies)
-        all_denied = text.rlike(self.blanket_denial)
         out = {}
         for name, words in self.synonyms.items():
-            said = any_of(words)
-            out[name] = (F.when(text.rlike(said + r"\(\+\)"), 1).when(text.rlike(said + r"\(-\)"), 0)
-                         .when(reported.rlike(said), 1).when(all_denied | denied.rlike(said) | has_denial, 0)
-                         .when(text.rlike(said), 1).otherwise(0))
+            def marked(mark: str) -> Column:
+                return F.arrays_overlap("_said", F.array(*[F.lit(w + mark) for w in words]))
+            implying = [k for k in self.known if any(k.startswith(w) for w in words)]
+            anywhere = F.arrays_overlap("_said", F.array(*[F.lit(k + m) for k in implying for m in ("", "(+)", "(-)")]))
+            out[name] = (F.when(marked("(+)"), 1).when(marked("(-)"), 0).when(among("_reported", words, self.known), 1)
+                         .when(F.col("_denied"), 0).when(anywhere, 1).otherwise(0))
         return out
 
 
@@ -215,19 +276,25 @@ class Telemetry:
         return out | {n: F.when(F.array_contains(flags, code), 1).otherwise(0) for n, code in self.codes.items()}
 
 
-def rule_columns(rules: Sequence, text: Column) -> dict[str, Column]:
+def rule_columns(rules: Sequence[Rule], text: Column) -> dict[str, Column]:
     out: dict[str, Column] = {}
     for rule in rules:
         out.update(rule.columns(text))
     return out
 
 
-def extract(df: DataFrame, rules: Sequence, text: str = "text", keep: Sequence[str] = (), types: dict[str, str] | None = None,
+def with_helpers(df: DataFrame, rules: Sequence[Rule], text: Column) -> DataFrame:
+    made: dict[str, Column] = {}
+    for rule in rules:
+        made.update(rule.helpers(text))
+    return df.withColumns(made) if made else df
+
+
+def extract(df: DataFrame, rules: Sequence[Rule], text: str = "text", keep: Sequence[str] = (), types: dict[str, str] | None = None,
             normalise=F.lower) -> DataFrame:
-    """Applies rules to the normalised text and casts the results. Three stacked projections, no shuffle."""
-    ready = df.select(*keep, normalise(F.col(text)).alias("_t"))
-    found = ready.select(*keep, *[c.alias(n) for n, c in rule_columns(rules, F.col("_t")).items()])
-    return cast_result(found, types)
+    """Applies rules to the normalised text and casts the results."""
+    ready = with_helpers(df.select(*keep, normalise(F.col(text)).alias("_t")), rules, F.col("_t"))
+    return cast_result(ready.select(*keep, *[c.alias(n) for n, c in rule_columns(rules, F.col("_t")).items()]), types)
 
 
 def cast_result(df: DataFrame, types: dict[str, str] | None) -> DataFrame:
@@ -235,15 +302,21 @@ def cast_result(df: DataFrame, types: dict[str, str] | None) -> DataFrame:
     return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
 
 
-def extract_routed(df: DataFrame, prose: Sequence, device: Telemetry, columns: Sequence[str], text: str = "text",
+def extract_routed(df: DataFrame, prose: Sequence[Rule], device: Telemetry, columns: Sequence[str], text: str = "text",
                    keep: Sequence[str] = (), types: dict[str, str] | None = None) -> DataFrame:
-    """Routes each record by its format (JSON, syslog, prose) and extracts the same columns from all of them."""
-    raw = df.select(*keep, F.col(text).alias("_raw"), F.lower(text).alias("_t"))
-    is_device, is_json = Telemetry.is_device(F.col("_raw")), Telemetry.is_json(F.col("_raw"))
-    from_json, from_syslog = device.from_json(F.col("_raw")), device.from_syslog(F.col("_raw"))
+    """Routes each record by its format (JSON, syslog, prose) and extracts the same columns from all of them.
+
+    A record of one format costs nothing in the branches of the others: their text is NULL there.
+    """
+    is_device, is_json = Telemetry.is_device(F.col(text)), Telemetry.is_json(F.col(text))
+    raw = df.select(*keep, F.when(is_device & is_json, F.col(text)).alias("_json"), F.when(is_device & ~is_json, F.col(text)).alias("_log"),
+                    F.when(~is_device, F.lower(text)).alias("_t"))
+    parsed = with_helpers(raw, prose, F.col("_t")).withColumns(
+        {"_j": F.struct(*[c.alias(n) for n, c in device.from_json(F.col("_json")).items()]),
+         "_l": F.struct(*[c.alias(n) for n, c in device.from_syslog(F.col("_log")).items()])})
     from_prose = rule_columns(prose, F.col("_t"))
-    return cast_result(raw.select(*keep, *[
-        F.when(is_device & is_json, from_json[c]).when(is_device, from_syslog[c]).otherwise(from_prose[c]).alias(c)
+    return cast_result(parsed.select(*keep, *[
+        F.when(F.col("_json").isNotNull(), F.col(f"_j.{c}")).when(F.col("_log").isNotNull(), F.col(f"_l.{c}")).otherwise(from_prose[c]).alias(c)
         for c in columns]), types)
 
 
