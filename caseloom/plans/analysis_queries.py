@@ -22,7 +22,7 @@ def sql_hash(key: str, seed: int = 42) -> str:
     return f"CAST('0x' || SUBSTR(md5({key} || '|{seed}'), 1, 15) AS BIGINT)"
 
 
-LINE_KEY = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)"
+LINE_KEY = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
 
 
 # --- cleaning ---
@@ -188,9 +188,9 @@ def ag6b(spark, sf):
 
 
 @query("ag7_class_sample", with_ctes("obs") + f"""SELECT l_orderkey, l_linenumber, label FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY label
- ORDER BY {sql_hash(LINE_KEY)}, l_orderkey, l_linenumber) AS r FROM obs) WHERE label = 1 OR r <= 600""")
+ ORDER BY {sql_hash(LINE_KEY)}) AS r FROM obs) WHERE label = 1 OR r <= 600""")
 def ag7(spark, sf):
-    return aggregate.sample_per_class(fx.obs(spark, sf), ["l_orderkey", "l_linenumber"], "label", 600, classes=[0]).select("l_orderkey", "l_linenumber", "label")
+    return aggregate.sample_per_class(fx.obs(spark, sf), fx.OBS_KEY, "label", 600, classes=[0]).select("l_orderkey", "l_linenumber", "label")
 
 
 @query("ag8_histogram", with_ctes("obs", b="""SELECT label, LEAST(CAST(FLOOR((m2 - 0.0) / (110000.0/35)) AS INT), 34) AS bin, COUNT(*) AS n
