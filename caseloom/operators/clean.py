@@ -96,23 +96,17 @@ class MedianImputer:
 
     def fit(self, df: DataFrame) -> MedianImputer:
         counts = df.groupBy(F.col(self.group).alias("_g"), F.col(self.value).cast("double").alias("_v")).agg(
-            F.count(F.lit(1)).alias("_n"))
-        present = counts.where(F.col("_v").isNotNull())
-        medians = weighted_quantiles(present, "_v", "_n", {"median": 0.5}, ["_g"])
-        missing = counts.where(F.col("_v").isNull()).select(F.col("_g").alias("_mg"), F.col("_n").alias("missing"))
-        rows = medians.join(missing, F.col("_g").eqNullSafe(F.col("_mg")), "full").select(
-            F.coalesce("_g", "_mg").alias("g"), "median", F.coalesce("missing", F.lit(0)).alias("missing")
-        ).limit(MAX_CLASSES + 1).collect()
+            F.count(F.lit(1)).alias("_rows")).withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0))
+        absent = F.sum(F.col("_rows") - F.col("_n")).alias("missing")
+        rows = weighted_quantiles(counts, "_v", "_n", {"median": 0.5}, ["_g"], extra=[absent]).limit(MAX_CLASSES + 1).collect()
         if len(rows) > MAX_CLASSES:
             raise ValueError(f"{self.group} has more than {MAX_CLASSES} groups")
-        self.missing = {r["g"]: r["missing"] for r in rows}
-        self.medians = {r["g"]: r["median"] for r in rows if r["g"] is not None and r["median"] is not None}
+        self.missing = {r["_g"]: r["missing"] for r in rows}
+        self.medians = {r["_g"]: r["median"] for r in rows if r["_g"] is not None and r["median"] is not None}
         if any(m and g not in self.medians for g, m in self.missing.items()):
             filled = [(v, self.missing[g]) for g, v in self.medians.items() if self.missing[g]]
-            weighted = present.select("_v", "_n")
-            if filled:
-                weighted = weighted.union(literal_rows(df.sparkSession, filled, "_v double, _n bigint"))
-            weighted = weighted.groupBy("_v").agg(F.sum("_n").alias("_n"))
+            present = counts.where(F.col("_v").isNotNull()).select("_v", "_n")
+            weighted = present.union(literal_rows(df.sparkSession, filled, "_v double, _n bigint")).groupBy("_v").agg(F.sum("_n").alias("_n"))
             row = weighted_quantiles(weighted, "_v", "_n", {"median": 0.5}).first()
             self.fallback = row["median"] if row else None
         return self

@@ -62,7 +62,7 @@ def base_recipes(seed: int = 42) -> dict[str, Recipe]:
     """The members of the ensembles: logistic regression, a linear support vector machine, Gaussian naive Bayes."""
     entries = [
         Recipe("lr", logistic(1.0)),
-        Recipe("svm", lambda n: LinearSVC(regParam=1.0 / max(n, 1), maxIter=100)),
+        Recipe("svm", lambda n: LinearSVC(regParam=1.0 / max(n, 1), maxIter=50, tol=1e-4)),
         Recipe("nb", lambda n: NaiveBayes(modelType="gaussian"), weighted=False),
     ]
     return {r.name: r for r in entries}

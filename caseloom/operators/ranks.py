@@ -107,11 +107,13 @@ def prefix_sums(counts: DataFrame, value: str, measures: Sequence[str], group: S
 
 
 def weighted_quantiles(counts: DataFrame, value: str, weight: str, probs: dict[str, float],
-                       group: Sequence[str] = (), method: str = "linear", cells: int | None = None) -> DataFrame:
+                       group: Sequence[str] = (), method: str = "linear", cells: int | None = None,
+                       extra: Sequence[Column] = ()) -> DataFrame:
     """Exact quantiles of a (group, value, weight) table, where ``weight`` says how often the value occurs.
 
     ``linear`` interpolates between neighbours; ``lower`` takes the value at rank floor(p * (n - 1)). One row per
-    group with one column per entry of ``probs`` (name to probability).
+    group with one column per entry of ``probs`` (name to probability), and the ``extra`` aggregates of the table.
+    Rows of weight 0 take no part in the quantiles.
     """
     group = list(group)
     placed = prefix_sums(counts, value, [weight], group, cells)
@@ -131,7 +133,9 @@ def weighted_quantiles(counts: DataFrame, value: str, weight: str, probs: dict[s
         aggregates += [at(F.ceil(position)).alias(f"_hi_{name}"), F.max(position - low).alias(f"_w_{name}")]
         lo, hi = F.col(f"_lo_{name}").cast("double"), F.col(f"_hi_{name}").cast("double")
         results.append((lo + (hi - lo) * F.col(f"_w_{name}")).alias(name))
-    return placed.groupBy(*group).agg(*aggregates).select(*group, *results)
+    out = placed.groupBy(*group).agg(*aggregates, *extra)
+    named = [c for c in out.columns if c not in group and not c.startswith("_")]
+    return out.select(*group, *results, *named)
 
 
 def quantiles(df: DataFrame, value: str, probs: dict[str, float], group: Sequence[str] = (),
