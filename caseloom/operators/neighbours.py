@@ -36,6 +36,10 @@ def _matrix(column: pd.Series, width: int) -> np.ndarray:
     return np.array(column.tolist(), dtype=float).reshape(-1, width)
 
 
+def _rows(a: np.ndarray) -> pd.Series:
+    return pd.Series(list(a), dtype=object)
+
+
 def _top(queries: pd.DataFrame, points: pd.DataFrame, width: int, k: int) -> pd.DataFrame:
     """The k nearest points of each query, the query itself excluded; equal distances go by id."""
     order = points["id"].to_numpy().argsort(kind="stable")
@@ -50,8 +54,9 @@ def _top(queries: pd.DataFrame, points: pd.DataFrame, width: int, k: int) -> pd.
         dist = np.take_along_axis(d, best, axis=1)
         row, col = np.nonzero(np.isfinite(dist))
         at = best[row, col]
-        parts.append(pd.DataFrame({"id": own[block][row], "nid": ids[at], "d": dist[row, col], "m": m[at], "x": list(b[at])}))
-    return pd.concat(parts, ignore_index=True) if parts else pd.DataFrame({"id": [], "nid": [], "d": [], "m": [], "x": []})
+        parts.append((own[block][row], ids[at], dist[row, col], m[at], b[at]))
+    columns = [np.concatenate(c) for c in zip(*parts)] if parts else [np.empty(0), np.empty(0), np.empty(0), np.empty(0), np.empty((0, width))]
+    return pd.DataFrame({"id": columns[0], "nid": columns[1], "d": columns[2], "m": columns[3], "x": _rows(columns[4])})
 
 
 _FOUND = "id bigint, nid bigint, d double, m bigint, x array<double>"
@@ -107,7 +112,7 @@ def _by_cells(slim: DataFrame, width: int, k: int, seed: int, cells: int) -> Dat
             ask = (lower <= p["ub"].to_numpy()[:, None] * (1 + _SLACK) + _SLACK) & np.isfinite(radius)[None, :]
             ask[np.arange(len(own)), own] = False
             row, cell = np.nonzero(ask)
-            yield pd.DataFrame({"id": p["id"].to_numpy()[row], "x": p["x"].to_numpy()[row], "cell": cell.astype("int32")})
+            yield pd.DataFrame({"id": p["id"].to_numpy()[row], "x": pd.Series(p["x"].to_numpy()[row], dtype=object), "cell": cell.astype("int32")})
     queries = open_.mapInPandas(visit, "id bigint, x array<double>, cell int")
     # a cell that many points ask is copied, so that one task answers a bounded number of questions
     asked = {r["cell"]: -(-r["count"] // QUERIES_PER_GROUP) for r in queries.groupBy("cell").count().collect()}
