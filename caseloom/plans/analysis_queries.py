@@ -22,7 +22,7 @@ def sql_hash(key: str, seed: int = 42) -> str:
     return f"CAST('0x' || SUBSTR(md5({key} || '|{seed}'), 1, 15) AS BIGINT)"
 
 
-LINE_KEY = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey)"
+LINE_KEY = "concat_ws('|', l_orderkey, l_linenumber, l_partkey, cents)"
 
 
 # --- cleaning ---

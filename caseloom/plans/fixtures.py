@@ -16,7 +16,7 @@ SYMPTOMS = ["polyuria", "polydipsia", "sudden_weight_loss", "weakness", "polypha
             "itching", "irritability", "delayed_healing", "partial_paresis", "muscle_stiffness", "alopecia", "obesity"]
 WORK_TYPES = ["Private", "Self-employed", "Govt_job", "children", "Never_worked"]
 SMOKING = ["formerly smoked", "never smoked", "smokes", "Unknown"]
-OBS_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+OBS_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "cents"]
 OBS_FLAGS = ["f1", "f2", "f3", "f4"]
 OBS_MEASURES = ["m1", "m2"]
 
@@ -75,7 +75,8 @@ _FACTS = {
 }
 
 _OBS = {
-    "l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", "l_partkey": "l_partkey", "l_suppkey": "l_suppkey",
+    "l_orderkey": "l_orderkey", "l_linenumber": "l_linenumber", "l_partkey": "l_partkey",
+    "cents": "CAST(ROUND(l_extendedprice*100) AS BIGINT)",
     "label": _flag("l_returnflag='R'"), "f1": _flag("l_discount>=0.05"), "f2": _flag("l_tax>=0.04"),
     "f3": _flag("l_quantity>25"), "f4": _flag("l_linestatus='F'"), "m1": "l_quantity", "m2": "l_extendedprice",
 }

@@ -29,24 +29,20 @@ STROKE_FEATURES = ["age", "gender", "hypertension", "heart_disease", "ever_marri
 
 # --- feature preparation ---
 
-_CATS = ["Brand#12", "Brand#13"]
+_DUMMIES = [("o_orderpriority", v) for v in ("2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")] + [("o_orderstatus", v) for v in ("O", "P")]
 
 
-@query("fe1_onehot", with_ctes("fact_stroke") + """
-SELECT patient_id, label, CASE WHEN work_type='Never_worked' THEN 1 ELSE 0 END AS "work_type_Never_worked", CASE WHEN work_type='Private' THEN 1 ELSE 0 END AS "work_type_Private",
- CASE WHEN work_type='Retired' THEN 1 ELSE 0 END AS "work_type_Retired", CASE WHEN work_type='Self-employed' THEN 1 ELSE 0 END AS "work_type_Self-employed",
- CASE WHEN work_type='children' THEN 1 ELSE 0 END AS "work_type_children", CASE WHEN smoking_status='Unknown' THEN 1 ELSE 0 END AS "smoking_status_Unknown",
- CASE WHEN smoking_status='formerly smoked' THEN 1 ELSE 0 END AS "smoking_status_formerly smoked", CASE WHEN smoking_status='never smoked' THEN 1 ELSE 0 END AS "smoking_status_never smoked",
- CASE WHEN smoking_status='smokes' THEN 1 ELSE 0 END AS "smoking_status_smokes" FROM fact_stroke""")
+@query("fe1_onehot", "SELECT o_orderkey, o_totalprice, " + ", ".join(
+    f"CASE WHEN {c}='{v}' THEN 1 ELSE 0 END AS \"{c}_{v}\"" for c, v in _DUMMIES) + " FROM orders")
 def fe1(spark, sf):
-    fact = fx.fact(spark, sf, "stroke").select("patient_id", "label", "work_type", "smoking_status")
-    return OneHot(["work_type", "smoking_status"]).fit(fact).transform(fact)
+    rows = fx.table(spark, sf, "orders").select("o_orderkey", "o_totalprice", "o_orderpriority", "o_orderstatus")
+    return OneHot(["o_orderpriority", "o_orderstatus"]).fit(rows).transform(rows)
 
 
 _RANKED = f"SELECT *, ROW_NUMBER() OVER (PARTITION BY label ORDER BY {sql_hash(LINE_KEY)}) - 1 AS r, COUNT(*) OVER (PARTITION BY label) AS n FROM obs"
 
 
-@query("fe2_split", with_ctes("obs", r=_RANKED) + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, CASE WHEN r < ROUND(n*0.2) THEN 'test' ELSE 'train' END AS split FROM r")
+@query("fe2_split", with_ctes("obs", r=_RANKED) + "SELECT l_orderkey, l_linenumber, l_partkey, cents, label, CASE WHEN r < ROUND(n*0.2) THEN 'test' ELSE 'train' END AS split FROM r")
 def fe2(spark, sf):
     return features.stratified_split(fx.obs(spark, sf), KEYS).select(*KEYS, "label", "split")
 
@@ -55,7 +51,7 @@ _TRAIN = f"train AS (SELECT * FROM (SELECT *, CASE WHEN r < ROUND(n*0.2) THEN 't
 
 
 @query("fe3_scale", with_ctes("obs").rstrip() + f", {_TRAIN}, p AS (SELECT AVG(m1) AS a1, STDDEV_POP(m1) AS s1, AVG(m2) AS a2, STDDEV_POP(m2) AS s2 FROM train) "
-       "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ROUND((m1-a1)/s1, 6) AS m1, ROUND((m2-a2)/s2, 6) AS m2 FROM obs, p")
+       "SELECT l_orderkey, l_linenumber, l_partkey, cents, ROUND((m1-a1)/s1, 6) AS m1, ROUND((m2-a2)/s2, 6) AS m2 FROM obs, p")
 def fe3(spark, sf):
     split = features.stratified_split(fx.obs(spark, sf), KEYS)
     scaled = Scaler(OBS_MEASURES).fit(split.where("split = 'train'")).transform(split)
@@ -68,7 +64,7 @@ def fe4(spark, sf):
     return features.class_weights(fx.obs(spark, sf)).withColumns({c: F.round(c, 8) for c in ("weight", "scale_pos_weight")})
 
 
-@query("fe5_folds", with_ctes("obs", r=_RANKED) + "SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, CAST(FLOOR(r*5/n) AS INT) AS fold FROM r")
+@query("fe5_folds", with_ctes("obs", r=_RANKED) + "SELECT l_orderkey, l_linenumber, l_partkey, cents, label, CAST(FLOOR(r*5/n) AS INT) AS fold FROM r")
 def fe5(spark, sf):
     return features.stratified_folds(fx.obs(spark, sf), KEYS).select(*KEYS, "label", "fold")
 
