@@ -107,7 +107,7 @@ def box_stats(df: DataFrame, measures: Sequence[str], by: str, reach: float = 1.
     box = quarts.select(F.col(by).alias("_g"), F.col("feature").alias("_f"), "q1", "median", "q3")
     span = F.lit(reach) * (F.col("q3") - F.col("q1"))
     near = F.col("value").between(F.col("q1") - span, F.col("q3") + span)
-    return (counts.join(box, counts[by].eqNullSafe(box["_g"]) & (counts["feature"] == box["_f"]))
+    return (counts.join(box, counts[by].eqNullSafe(box["_g"]) & counts["feature"].eqNullSafe(box["_f"]))
             .groupBy(by, "feature", "q1", "median", "q3")
             .agg(F.min(F.when(near, F.col("value"))).alias("whisker_low"), F.max(F.when(near, F.col("value"))).alias("whisker_high"),
                  F.sum(F.when(~near, F.col("n")).otherwise(0)).alias("outliers")))

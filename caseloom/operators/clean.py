@@ -80,6 +80,9 @@ def age_bracket(age: str | Column) -> Column:
     return right_closed_bin(F.col(age) if isinstance(age, str) else age, BRACKET_EDGES, BRACKET_LABELS)
 
 
+FEW_GROUPS = 50
+
+
 @dataclass
 class MedianImputer:
     """Fills missing values with the median of the row's group, else with the overall median.
@@ -112,10 +115,17 @@ class MedianImputer:
         return self
 
     def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
-        choice = F.lit(self.fallback).cast("double")
-        for g, median in self.medians.items():
-            choice = F.when(F.col(self.group) == F.lit(g), F.lit(median)).otherwise(choice)
-        return df.withColumn(out or self.value, F.coalesce(F.col(self.value).cast("double"), choice))
+        name = out or self.value
+        value, fallback = F.col(self.value).cast("double"), F.lit(self.fallback).cast("double")
+        if len(self.medians) <= FEW_GROUPS:
+            choice = fallback
+            for g, median in self.medians.items():
+                choice = F.when(F.col(self.group) == F.lit(g), F.lit(median)).otherwise(choice)
+            return df.withColumn(name, F.coalesce(value, choice))
+        kind = df.schema[self.group].dataType.simpleString()
+        table = literal_rows(df.sparkSession, list(self.medians.items()), f"_g {kind}, _median double")  # at most MAX_CLASSES rows
+        joined = df.join(F.broadcast(table), F.col(self.group) == F.col("_g"), "left")
+        return joined.withColumn(name, F.coalesce(value, "_median", fallback)).drop("_g", "_median")
 
     def bracket_table(self, df: DataFrame) -> DataFrame:
         """Group, median and how many values were missing."""

@@ -19,6 +19,7 @@ from caseloom.session import shared_dir
 
 ROWS_PER_BLOCK = 50_000
 MAX_NODES = 5_000_000
+MAX_TABLE_BYTES = 64 * 1024 * 1024
 TOP_SHARE = 0.75
 
 
@@ -67,32 +68,45 @@ def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Se
 
 @dataclass
 class LeafTable:
-    """The leaves of one forest with the same number of distinct path features.
+    """The leaves of one forest with the same number m of distinct path features.
 
-    ``features`` (leaf, m), the interval (``low``, ``high``] of each, and ``phi`` (leaf, 2^m, m): the Shapley values of
-    the leaf for every pattern of satisfied intervals.
+    ``features`` (leaf, m), the interval (``low``, ``high``] of each, the share of training rows that met it, the leaf's
+    value, and ``phi`` (leaf, 2^m, m): the Shapley values of the leaf for every pattern of satisfied intervals. Without
+    ``phi`` (a deep forest, whose tables would be too large to send) a task works out the patterns that occur.
     """
 
     features: np.ndarray
     low: np.ndarray
     high: np.ndarray
-    phi: np.ndarray
-
-
-def _leaf_values(value: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Shapley values of the games v(S) = value * prod_{S} met * prod_{not S} share, for every pattern of ``met``."""
+    share: np.ndarray
+    value: np.ndarray
+    phi: np.ndarray | None
+
+    def values_of(self, leaf: int, met: np.ndarray) -> np.ndarray:
+        """(row, m) Shapley values of one leaf for rows of satisfied intervals."""
+        code = met @ (1 << np.arange(met.shape[1]))
+        if self.phi is not None:
+            return self.phi[leaf][code]
+        seen, at = np.unique(code, return_inverse=True)
+        return _leaf_values(self.value[leaf:leaf + 1], self.share[leaf:leaf + 1], seen)[0][at]
+
+
+def _leaf_values(value: np.ndarray, share: np.ndarray, codes: np.ndarray | None = None) -> np.ndarray:
+    """Shapley values of the games v(S) = value * prod_{S} met * prod_{not S} share, for patterns of ``met`` as bit codes
+    (all of them unless given)."""
     leaves, m = share.shape
-    patterns = (np.arange(2 ** m)[:, None] >> np.arange(m)) & 1
+    codes = np.arange(2 ** m) if codes is None else codes
+    patterns = (codes[:, None] >> np.arange(m)) & 1
     met = patterns[None].repeat(leaves, 0).astype(float)
-    z = share[:, None, :].repeat(2 ** m, 1)
-    phi = np.zeros((leaves, 2 ** m, m))
+    z = share[:, None, :].repeat(len(codes), 1)
+    phi = np.zeros((leaves, len(codes), m))
     for i in range(m):
         # coefficients by coalition size of prod_{j != i} (z_j + met_j t)
-        poly = [np.ones((leaves, 2 ** m))]
+        poly = [np.ones((leaves, len(codes)))]
         for j in range(m):
             if j != i:
-                shifted = [np.zeros((leaves, 2 ** m)), *[c * met[..., j] for c in poly]]
-                poly = [a * z[..., j] + b for a, b in zip([*poly, np.zeros((leaves, 2 ** m))], shifted)]
+                shifted = [np.zeros((leaves, len(codes))), *[c * met[..., j] for c in poly]]
+                poly = [a * z[..., j] + b for a, b in zip([*poly, np.zeros((leaves, len(codes)))], shifted)]
         weight = sum(c * (factorial(s) * factorial(m - 1 - s) / factorial(m)) for s, c in enumerate(poly))
         phi[..., i] = value[:, None] * (met[..., i] - z[..., i]) * weight
     return phi
@@ -131,10 +145,13 @@ def forest_leaves(model: RandomForestClassificationModel, df: DataFrame) -> tupl
                 bound = (low, min(high, cut), share * part) if below else (max(low, cut), high, share * part)
                 stack.append((child, {**path_, feature: bound}))
     tables = []
+    tabulate = sum(8 * len(p) * 2 ** len(p) for _, p in found) <= MAX_TABLE_BYTES
     for _, same in groupby(sorted(found, key=lambda f: len(f[1])), key=lambda f: len(f[1])):
         leaves = list(same)
         column = [np.array([[b[i] for b in p.values()] for _, p in leaves]) for i in range(3)]
-        tables.append(LeafTable(np.array([list(p) for _, p in leaves]), column[0], column[1], _leaf_values(np.array([v for v, _ in leaves]), column[2])))
+        values = np.array([v for v, _ in leaves])
+        phi = _leaf_values(values, column[2]) if tabulate else None
+        tables.append(LeafTable(np.array([list(p) for _, p in leaves]), *column, values, phi))
     return tables, base
 
 
@@ -153,11 +170,9 @@ def shap_values(model: RandomForestClassificationModel, df: DataFrame, features:
             x = p[names].to_numpy(dtype=float)
             out = np.zeros_like(x)
             for t in shared.value:
-                bits = 1 << np.arange(t.features.shape[1])
                 for leaf in range(len(t.features)):
                     f = t.features[leaf]
-                    met = (x[:, f] > t.low[leaf]) & (x[:, f] <= t.high[leaf])
-                    out[:, f] += t.phi[leaf][met @ bits]
+                    out[:, f] += t.values_of(leaf, (x[:, f] > t.low[leaf]) & (x[:, f] <= t.high[leaf]))
             yield pd.concat([p[kept].reset_index(drop=True), pd.DataFrame(out, columns=names).assign(base=base)], axis=1)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema.fields] + [f"`{n}` double" for n in names] + ["base double"])
     return df.select(*kept, *[F.col(f"`{n}`").cast("double").alias(n) for n in names]).mapInPandas(explain, schema)

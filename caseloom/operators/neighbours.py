@@ -20,7 +20,10 @@ from caseloom.functions.scalar import seeded_hash
 POINTS_PER_CELL = 2048
 MAX_CELLS = 8192
 QUERIES_PER_GROUP = 20_000
+MAX_POINTS_PER_CELL = 16 * POINTS_PER_CELL
+MAX_ROUNDS = 4
 _BLOCK = 512
+_BLOCK_CELLS = 8_000_000
 _SLACK = 1e-9
 
 
@@ -46,8 +49,9 @@ def _top(queries: pd.DataFrame, points: pd.DataFrame, width: int, k: int) -> pd.
     ids, m = points["id"].to_numpy()[order], points["m"].to_numpy()[order]
     b, a, own = _matrix(points["x"], width)[order], _matrix(queries["x"], width), queries["id"].to_numpy()
     parts = []
-    for start in range(0, len(a), _BLOCK):
-        block = slice(start, start + _BLOCK)
+    step = max(1, min(_BLOCK, _BLOCK_CELLS // max(1, len(b))))
+    for start in range(0, len(a), step):
+        block = slice(start, start + step)
         d = _distances(a[block], b)
         d[own[block, None] == ids[None, :]] = np.inf
         best = d.argsort(axis=1, kind="stable")[:, :k]
@@ -81,17 +85,32 @@ def nearest_points(points: DataFrame, width: int, k: int, seed: int = 42, cells:
 
 
 def _by_cells(slim: DataFrame, width: int, k: int, seed: int, cells: int) -> DataFrame:
-    # at most MAX_CELLS vectors come to the driver, and go out again with the task closures
-    pivots = np.array([r["x"] for r in slim.orderBy(seeded_hash("id", seed), "id").limit(cells).select("x").collect()], dtype=float)
+    hashed = seeded_hash("id", seed)
 
-    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            d = _distances(_matrix(p["x"], width), pivots)
-            yield p.assign(cell=d.argmin(axis=1).astype("int32"), own=d.min(axis=1))
-    assigned = slim.mapInPandas(assign, "id bigint, x array<double>, m bigint, cell int, own double")
+    def assign_to(pivots: np.ndarray) -> DataFrame:
+        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for p in batches:
+                d = _distances(_matrix(p["x"], width), pivots)
+                yield p.assign(cell=d.argmin(axis=1).astype("int32"), own=d.min(axis=1))
+        return slim.mapInPandas(assign, "id bigint, x array<double>, m bigint, cell int, own double")
+
+    # at most MAX_CELLS vectors come to the driver, and go out again with the task closures
+    pivots = np.array([r["x"] for r in slim.orderBy(hashed, "id").limit(cells).select("x").collect()], dtype=float)
+    for _ in range(MAX_ROUNDS):
+        assigned = assign_to(pivots)
+        sizes = {r["cell"]: (r["n"], r["r"]) for r in assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("r")).collect()}
+        crowded = [c for c, (n, _) in sizes.items() if n > MAX_POINTS_PER_CELL]
+        room = (MAX_CELLS - len(pivots)) // max(1, len(crowded))
+        if not crowded or room < 1:
+            break
+        # dense regions get pivots of their own
+        wanted = min(room, max(n for n, _ in sizes.values()) // POINTS_PER_CELL)
+        more = (assigned.where(F.col("cell").isin(crowded)).withColumn("_r", F.row_number().over(W.partitionBy("cell").orderBy(hashed, "id")))
+                .where(F.col("_r") <= wanted).select("x").collect())
+        pivots = np.unique(np.vstack([pivots, np.array([r["x"] for r in more], dtype=float)]), axis=0)
     radius = np.full(len(pivots), -np.inf)
-    for r in assigned.groupBy("cell").agg(F.max("own").alias("r")).collect():
-        radius[r["cell"]] = r["r"]
+    for c, (_, r) in sizes.items():
+        radius[c] = r
 
     points = assigned.drop("own")
     inside = points.groupBy("cell").applyInPandas(lambda p: _top(p, p, width, k), _FOUND)

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 from caseloom.functions.scalar import percent
 from caseloom.operators.ranks import weighted_quantiles
-from caseloom.operators.reshape import literal_rows, long_counts, to_long, union_all
+from caseloom.operators.reshape import literal_rows, long_counts, union_all
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -100,16 +100,16 @@ def cleaning_summary(tables: dict[str, DataFrame], label: str) -> DataFrame:
 
 
 def describe_by(df: DataFrame, group: str, measures: Sequence[str], digits: int | None = None) -> DataFrame:
-    """count, mean, std, min, quartiles and max of each measure per class."""
-    long = to_long(df, measures, [group])
-    moments = long.groupBy(group, "feature").agg(
-        F.count("value").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
-    counts = long_counts(df, measures, [group])
-    quarts = weighted_quantiles(counts, "value", "n", QUARTILES, [group, "feature"])
-    right = quarts.select(F.col(group).alias("_g"), F.col("feature").alias("_f"), *QUARTILES)
-    joined = moments.join(right, moments[group].eqNullSafe(right["_g"]) & (moments["feature"] == right["_f"]))
-
-    def shown(c: str):
-        return F.round(c, digits).alias(c) if digits is not None else F.col(c)
-    return joined.select(group, "feature", "n", *[shown(c) for c in ("mean", "std", "min", *QUARTILES, "max")])
+    """count, mean, std, min, quartiles and max of each measure per class, all from one scan.
+
+    The deviations are taken from the group's mean, which the running totals carry along.
+    """
+    counts = long_counts(df, measures, [group]).withColumn("s", F.col("value") * F.col("n"))
+    mean = F.col("total_s") / F.col("total_n")
+    gap = F.col("value") - mean
+    extra = [F.max("total_n").alias("count"), F.max(mean).alias("mean"), F.sum(F.col("n") * gap * gap).alias("squares"),
+             F.min("value").alias("min"), F.max("value").alias("max")]
+    out = weighted_quantiles(counts, "value", "n", QUARTILES, [group, "feature"], extra=extra, carry=["s"])
+    std = F.sqrt(F.try_divide(F.col("squares"), (F.col("count") - 1).cast("double")))
+    shown = out.select(group, "feature", F.col("count").alias("n"), "mean", std.alias("std"), "min", *QUARTILES, "max")
+    return shown if digits is None else shown.withColumns({c: F.round(c, digits) for c in ("mean", "std", "min", *QUARTILES, "max")})

@@ -98,7 +98,8 @@ def prefix_sums(counts: DataFrame, value: str, measures: Sequence[str], group: S
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_off_{m}") for m in measures],
         *[F.sum(m).over(everything).alias(f"total_{m}") for m in measures])
     local = celled.select("*", *[below(m).alias(f"_in_{m}") for m in measures])
-    match = local["_cell"] == offsets["_at"]
+    # null-safe on purpose: a plain equality would push a filter into one branch only and the input would be read twice
+    match = local["_cell"].eqNullSafe(offsets["_at"])
     for g in group:
         match = match & local[g].eqNullSafe(offsets[f"_g_{g}"])
     return local.join(offsets, match).select(
@@ -108,15 +109,16 @@ def prefix_sums(counts: DataFrame, value: str, measures: Sequence[str], group: S
 
 def weighted_quantiles(counts: DataFrame, value: str, weight: str, probs: dict[str, float],
                        group: Sequence[str] = (), method: str = "linear", cells: int | None = None,
-                       extra: Sequence[Column] = ()) -> DataFrame:
+                       extra: Sequence[Column] = (), carry: Sequence[str] = ()) -> DataFrame:
     """Exact quantiles of a (group, value, weight) table, where ``weight`` says how often the value occurs.
 
     ``linear`` interpolates between neighbours; ``lower`` takes the value at rank floor(p * (n - 1)). One row per
-    group with one column per entry of ``probs`` (name to probability), and the ``extra`` aggregates of the table.
-    Rows of weight 0 take no part in the quantiles.
+    group with one column per entry of ``probs`` (name to probability), and the ``extra`` aggregates of the table,
+    which may use ``total_<c>``, the group's sum of each column in ``carry``. Rows of weight 0 take no part in the
+    quantiles.
     """
     group = list(group)
-    placed = prefix_sums(counts, value, [weight], group, cells)
+    placed = prefix_sums(counts, value, [weight, *carry], group, cells)
     below, size, width = F.col(f"below_{weight}"), F.col(f"total_{weight}"), F.col(weight)
 
     def at(index: Column) -> Column:

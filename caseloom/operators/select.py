@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import ratio
 from caseloom.operators.ranks import prefix_sums
-from caseloom.operators.reshape import literal_rows, union_all
-from caseloom.operators.stats import class_value_counts, target_correlation
+from caseloom.operators.reshape import literal_rows
+from caseloom.operators.stats import class_value_counts
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], label: str = "label", discrete: Sequence[str] = (), bins: int = 20) -> DataFrame:
@@ -34,27 +34,37 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str = "lab
     return cells.groupBy("feature").agg(F.sum(term("n0", "t0") + term("n1", "t1")).alias("score"))
 
 
-def chi2_score(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
-    """Chi-square of class sums against expected sums after scaling each feature to [0, 1]; one aggregate."""
-    def stats(c: str):
-        x = F.col(f"`{c}`").cast("double")
-        return F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.sum(F.when(F.col(label) == 0, x)).alias("s0"), F.sum(F.when(F.col(label) == 1, x)).alias("s1"),
-                        F.count(F.when(F.col(label) == 0, x)).alias("n0"), F.count(F.when(F.col(label) == 1, x)).alias("n1")).alias(c)
-    wide = df.agg(*[stats(c) for c in features])
-    long = wide.unpivot([], [F.col(f"`{c}`") for c in features], "feature", "s").select("feature", "s.*")
+def _linear_sums(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
+    """Per feature: range, class sums, class counts and correlation with the label, one row each, from one aggregate."""
+    def sums(c: str):
+        x, y = F.col(f"`{c}`").cast("double"), F.col(label)
+        zero, one = F.when(y == 0, x), F.when(y == 1, x)
+        return F.struct(F.min(x).alias("lo"), F.max(x).alias("hi"), F.sum(zero).alias("s0"), F.sum(one).alias("s1"), F.count(zero).alias("n0"),
+                        F.count(one).alias("n1"), F.corr(x, y.cast("double")).alias("r")).alias(c)
+    wide = df.agg(*[sums(c) for c in features])
+    return wide.unpivot([], [F.col(f"`{c}`") for c in features], "feature", "s").select("feature", "s.*")
+
+
+def _chi2_of_sums():
     span = F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
     o0, o1 = (F.col("s0") - F.col("n0") * F.col("lo")) / span, (F.col("s1") - F.col("n1") * F.col("lo")) / span
     e0, e1 = (o0 + o1) * ratio(F.col("n0"), F.col("n0") + F.col("n1")), (o0 + o1) * ratio(F.col("n1"), F.col("n0") + F.col("n1"))
-    return long.select("feature", F.coalesce(F.try_divide((o0 - e0) * (o0 - e0), e0) + F.try_divide((o1 - e1) * (o1 - e1), e1), F.lit(0.0)).alias("score"))
+    return F.coalesce(F.try_divide((o0 - e0) * (o0 - e0), e0) + F.try_divide((o1 - e1) * (o1 - e1), e1), F.lit(0.0))
+
+
+def chi2_score(df: DataFrame, features: Sequence[str], label: str = "label") -> DataFrame:
+    """Chi-square of class sums against expected sums after scaling each feature to [0, 1]."""
+    return _linear_sums(df, features, label).select("feature", _chi2_of_sums().alias("score"))
 
 
 def feature_scores(df: DataFrame, features: Sequence[str], label: str = "label", discrete: Sequence[str] = ()) -> DataFrame:
     """(method, feature, position, score) for mutual information, chi-square and absolute correlation."""
     position = literal_rows(df.sparkSession, [(f, i) for i, f in enumerate(features)], "feature string, position int")
-    scores = {"mutual_info": mutual_information(df, features, label, discrete), "chi2": chi2_score(df, features, label),
-              "correlation": target_correlation(df, features, label).withColumnRenamed("abs_r", "score")}
-    stacked = union_all([s.select(F.lit(m).alias("method"), "feature", F.coalesce("score", F.lit(0.0)).alias("score")) for m, s in scores.items()])
-    return stacked.join(position, "feature").select("method", "feature", "position", "score")
+    pair = F.inline(F.array(F.struct(F.lit("chi2").alias("method"), _chi2_of_sums().alias("score")),
+                            F.struct(F.lit("correlation").alias("method"), F.abs("r").alias("score"))))
+    linear = _linear_sums(df, features, label).select("feature", pair)
+    information = mutual_information(df, features, label, discrete).withColumn("method", F.lit("mutual_info"))
+    return linear.unionByName(information).join(position, "feature").select("method", "feature", "position", F.coalesce("score", F.lit(0.0)).alias("score"))
 
 
 def aggregate_ranks(scores: DataFrame, top: int | None = None) -> DataFrame:

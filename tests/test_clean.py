@@ -39,6 +39,13 @@ def test_grouped_median_with_fallback(spark):
     assert table["a"] == (15.0, 1) and table["c"] == (None, 1)
 
 
+def test_many_groups_are_joined_instead(spark, monkeypatch):
+    monkeypatch.setattr(clean, "FEW_GROUPS", 1)
+    df = spark.createDataFrame([("a", 1.0), ("a", None), ("b", 3.0), ("b", None), (None, 5.0)], "g string, v double")
+    got = MedianImputer("v", "g").fit(df).transform(df)
+    assert got.columns == ["g", "v"] and sorted(r["v"] for r in got.collect()) == [1.0, 1.0, 3.0, 3.0, 5.0]
+
+
 def test_sentinels_keep_nulls(spark):
     df = spark.createDataFrame([("Male",), ("OTHER",), (None,)], "s string")
     assert [r["s"] for r in clean.drop_sentinels(df, "s", ["Other"]).collect()] == ["Male", None]

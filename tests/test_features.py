@@ -32,6 +32,17 @@ def test_neighbours_equal_brute_force(spark, cells):
         assert [j for _, j in got[i]] == [j for _, j in want[i]]
 
 
+def test_dense_regions_get_pivots_of_their_own(spark, monkeypatch):
+    from caseloom.operators import neighbours
+    monkeypatch.setattr(neighbours, "MAX_POINTS_PER_CELL", 30)
+    monkeypatch.setattr(neighbours, "POINTS_PER_CELL", 10)
+    points = {i: [i / 1000 if i % 10 else float(i)] for i in range(1, 300)}
+    df = spark.createDataFrame([(i, x, 1) for i, x in points.items()], "id bigint, x array<double>, m bigint")
+    got = {r["id"]: [n["nid"] for n in r["near"]] for r in nearest_points(df, 1, 3, cells=2).collect()}
+    want = brute(points, 3)
+    assert all(got[i] == [j for _, j in want[i]] for i in points)
+
+
 def imbalanced(spark, twins: int = 0):
     rng = random.Random(9)
     rows = [(i, 0, rng.uniform(0, 10), float(rng.randint(0, 1))) for i in range(300)]

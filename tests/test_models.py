@@ -73,7 +73,9 @@ def forest(data):
     return RandomForestClassifier(numTrees=7, maxDepth=4, labelCol="label", featuresCol=models.FEATURES, weightCol=models.WEIGHT, seed=1).fit(prepared)
 
 
-def test_shapley_values_add_up_to_the_prediction(data, forest):
+@pytest.mark.parametrize("limit", [explain.MAX_TABLE_BYTES, 0])
+def test_shapley_values_add_up_to_the_prediction(data, forest, monkeypatch, limit):
+    monkeypatch.setattr(explain, "MAX_TABLE_BYTES", limit)
     _, test = data
     values = explain.shap_values(forest, test, NAMES, ["id"]).collect()
     fitted = models.Fitted("forest", forest)
