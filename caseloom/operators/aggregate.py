@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import percent, ratio, seeded_hash
-from caseloom.operators.ranks import weighted_quantiles
+from caseloom.operators.ranks import settle, weighted_quantiles
 from caseloom.operators.reshape import long_counts, to_long, union_all
 
 
@@ -102,8 +102,8 @@ def histogram(df: DataFrame, value: str, by: str, low: float, high: float, bins:
 
 def box_stats(df: DataFrame, measures: Sequence[str], by: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (the extreme values within ``reach`` IQR of the box) and the number of outliers."""
-    counts = long_counts(df, measures, [by])
-    quarts = weighted_quantiles(counts, "value", "n", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by, "feature"])
+    counts, cells = settle(long_counts(df, measures, [by]))
+    quarts = weighted_quantiles(counts, "value", "n", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by, "feature"], cells=cells, settled=True)
     box = quarts.select(F.col(by).alias("_g"), F.col("feature").alias("_f"), "q1", "median", "q3")
     span = F.lit(reach) * (F.col("q3") - F.col("q1"))
     near = F.col("value").between(F.col("q1") - span, F.col("q3") + span)
@@ -134,11 +134,10 @@ def density(df: DataFrame, value: str, by: str, low: float, high: float, points:
 def violin(df: DataFrame, value: str, by: str, low: float, high: float, points: int = 50) -> DataFrame:
     """Density per class with the class median and extremes on every grid point."""
     counts = df.where(F.col(value).isNotNull()).groupBy(by, F.col(value).cast("double").alias("_v")).agg(_count().alias("_n"))
-    extremes = counts.groupBy(F.col(by).alias("_g")).agg(F.min("_v").alias("minimum"), F.max("_v").alias("maximum"))
-    medians = weighted_quantiles(counts, "_v", "_n", {"median": 0.5}, [by]).select(F.col(by).alias("_m"), "median")
+    marks = weighted_quantiles(counts, "_v", "_n", {"median": 0.5}, [by], extra=[F.min("_v").alias("minimum"), F.max("_v").alias("maximum")])
+    marks = marks.withColumnRenamed(by, "_g")
     shape = density(df, value, by, low, high, points)
-    return (shape.join(extremes, shape[by].eqNullSafe(extremes["_g"])).join(medians, F.col("_g").eqNullSafe(F.col("_m")))
-            .select(by, "x", "density", "minimum", "median", "maximum"))
+    return shape.join(marks, shape[by].eqNullSafe(marks["_g"])).select(by, "x", "density", "minimum", "median", "maximum")
 
 
 def metric_pivot(results: DataFrame, metric: str, datasets: Sequence[str], only: str | None = None,

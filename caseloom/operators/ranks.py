@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import HASH_BITS, seeded_hash
 from caseloom.operators.reshape import literal_rows
+from caseloom.session import cut_lineage
 
 CELL_BYTES = 32 * 1024 * 1024
 MAX_CELLS = 4096
@@ -70,14 +71,24 @@ def cell_of(value: Column, bounds: Sequence[float]) -> Column:
         lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
 
 
+def settle(counts: DataFrame, cells: int | None = None) -> tuple[DataFrame, int]:
+    """The table and its number of cells. A table of many cells is read several times, so it is checkpointed first:
+    what it was aggregated from is then scanned once, and a lost executor does not scan it again."""
+    cells = cells or cells_for(counts)
+    return (cut_lineage(counts), cells) if cells > 1 else (counts, cells)
+
+
 def prefix_sums(counts: DataFrame, value: str, measures: Sequence[str], group: Sequence[str] = (),
-                cells: int | None = None) -> DataFrame:
+                cells: int | None = None, settled: bool = False) -> DataFrame:
     """Adds ``below_<m>`` (sum over rows of the same group with a smaller value) and ``total_<m>`` per measure.
 
-    ``counts`` should hold one row per (group, value). Rows with equal values are ordered arbitrarily.
+    ``counts`` should hold one row per (group, value). Rows with equal values are ordered arbitrarily. ``settled`` says
+    that the caller has settled the table already.
     """
     group = list(group)
-    bounds = cell_bounds(counts, value, cells or cells_for(counts))
+    if not settled:
+        counts, cells = settle(counts, cells)
+    bounds = cell_bounds(counts, value, cells)
     celled = counts.withColumn("_cell", cell_of(F.col(value), bounds))
     inside = W.partitionBy(*group, "_cell").orderBy(value)
     before = inside.rowsBetween(W.unboundedPreceding, -1)
@@ -109,7 +120,7 @@ def prefix_sums(counts: DataFrame, value: str, measures: Sequence[str], group: S
 
 def weighted_quantiles(counts: DataFrame, value: str, weight: str, probs: dict[str, float],
                        group: Sequence[str] = (), method: str = "linear", cells: int | None = None,
-                       extra: Sequence[Column] = (), carry: Sequence[str] = ()) -> DataFrame:
+                       extra: Sequence[Column] = (), carry: Sequence[str] = (), settled: bool = False) -> DataFrame:
     """Exact quantiles of a (group, value, weight) table, where ``weight`` says how often the value occurs.
 
     ``linear`` interpolates between neighbours; ``lower`` takes the value at rank floor(p * (n - 1)). One row per
@@ -118,7 +129,7 @@ def weighted_quantiles(counts: DataFrame, value: str, weight: str, probs: dict[s
     quantiles.
     """
     group = list(group)
-    placed = prefix_sums(counts, value, [weight, *carry], group, cells)
+    placed = prefix_sums(counts, value, [weight, *carry], group, cells, settled)
     below, size, width = F.col(f"below_{weight}"), F.col(f"total_{weight}"), F.col(weight)
 
     def at(index: Column) -> Column:
