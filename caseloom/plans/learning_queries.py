@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.configs import rules as rule_sets
@@ -11,7 +12,7 @@ from caseloom.operators import evaluate, explain, features, intake, models, rule
 from caseloom.operators.features import OneHot, Scaler
 from caseloom.operators.reshape import literal_rows, union_all
 from caseloom.operators.select import GeneticSearch
-from caseloom.operators.star import Cohort, build_star
+from caseloom.operators.star import create_views
 from caseloom.plans import fixtures as fx
 from caseloom.plans import rendered
 from caseloom.plans.analysis_queries import LINE_KEY, sql_hash
@@ -415,7 +416,6 @@ def sv2b(spark, sf):
 
 
 def _registry(spark, sf):
-    from pyspark.sql import Window as W
     orders = fx.table(spark, sf, "orders")
     seq = F.row_number().over(W.partitionBy("o_custkey").orderBy("o_orderkey")).cast("bigint")
     return orders.select(F.col("o_custkey").cast("string").alias("name"), seq.alias("seq"), F.concat(F.lit("v"), F.col("o_orderkey").cast("string")).alias("version"),
@@ -467,3 +467,32 @@ def snk1(spark, sf):
     path = shared_dir(spark, "silver")
     files.write_table(fx.table(spark, sf, "customer"), path)
     return files.read_table(spark, path).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("c_acctbal"), 2).alias("balance"))
+
+
+@query("snk4_split_tables", with_ctes("obs", r=_RANKED) + "SELECT split, label, COUNT(*) AS n FROM (SELECT label, CASE WHEN r < ROUND(n*0.2) THEN 'test' ELSE 'train' END AS split FROM r) GROUP BY split, label")
+def snk4(spark, sf):
+    path = shared_dir(spark, "split")
+    files.write_split(features.stratified_split(fx.obs(spark, sf), KEYS), path)
+    parts = [files.read_split(spark, path, p).select(F.lit(p).alias("split"), "label") for p in ("train", "test")]
+    return union_all(parts).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("src4_sql", """SELECT d.source_dataset AS cohort, COUNT(*) AS n, CAST(SUM(o_totalprice) AS DOUBLE) > 0 AS paid FROM (SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE','BUILDING') THEN 'autism'
+ WHEN c_mktsegment='FURNITURE' THEN 'diabetes' ELSE 'stroke' END AS source_dataset FROM customer) d JOIN orders ON o_custkey = d.c_custkey GROUP BY 1""")
+def src4(spark, sf):
+    create_views({"v_patient": fx.dim_patient(spark, sf), "v_orders": fx.table(spark, sf, "orders")})
+    return spark.sql("SELECT source_dataset AS cohort, COUNT(*) AS n, SUM(o_totalprice) > 0 AS paid FROM v_patient JOIN v_orders ON o_custkey = patient_id GROUP BY source_dataset")
+
+
+@query("set1_union_all", "SELECT 'customer' AS kind, c_custkey AS id, c_acctbal AS amount FROM customer UNION ALL SELECT 'order', o_orderkey, o_totalprice FROM orders")
+def set1(spark, sf):
+    customers = fx.table(spark, sf, "customer").select(F.lit("customer").alias("kind"), F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("amount"))
+    orders = fx.table(spark, sf, "orders").select(F.lit("order").alias("kind"), F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"))
+    return union_all([customers, orders])
+
+
+@query("prd1_predicates", """SELECT o_orderkey FROM orders WHERE o_totalprice BETWEEN 1000 AND 200000 AND o_orderstatus IN ('F', 'O') AND o_orderpriority NOT IN ('1-URGENT') AND o_custkey IS NOT NULL AND o_custkey >= 10""")
+def prd1(spark, sf):
+    orders = fx.table(spark, sf, "orders")
+    return orders.where(F.col("o_totalprice").between(1000, 200000) & F.col("o_orderstatus").isin("F", "O") & ~F.col("o_orderpriority").isin("1-URGENT")
+                        & F.col("o_custkey").isNotNull() & (F.col("o_custkey") >= 10)).select("o_orderkey")

@@ -79,3 +79,12 @@ def read_star(spark: SparkSession, path: str, facts: Sequence[str], key: str = "
 def write_metrics_csv(results: DataFrame, path: str) -> None:
     """A results table (one row per model) as a single CSV file."""
     results.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
+def write_split(df: DataFrame, path: str, split: str = "split") -> None:
+    """Training and test rows in one folder each; a reader of one part does not touch the other."""
+    df.write.mode("overwrite").partitionBy(split).parquet(path)
+
+
+def read_split(spark: SparkSession, path: str, part: str, split: str = "split") -> DataFrame:
+    return spark.read.parquet(path).where(F.col(split) == part).drop(split)
