@@ -16,6 +16,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import seeded_hash
+from caseloom.session import cut_lineage
 
 POINTS_PER_CELL = 2048
 MAX_CELLS = 8192
@@ -71,9 +72,11 @@ def nearest_points(points: DataFrame, width: int, k: int, seed: int = 42, cells:
 
     ``points`` has a unique ``id``, distinct vectors ``x`` and weights ``m``.
     """
-    slim = points.select("id", "x", "m")
     if cells is None:
-        cells = min(MAX_CELLS, -(-slim.count() // POINTS_PER_CELL))
+        cells = min(MAX_CELLS, -(-points.count() // POINTS_PER_CELL))
+    if cells > 1:
+        points = cut_lineage(points)  # what follows reads the points several times
+    slim = points.select("id", "x", "m")
     if cells <= 1:
         found = slim.withColumn("cell", F.lit(0)).groupBy("cell").applyInPandas(lambda p: _top(p, p, width, k), _FOUND)
     else:
@@ -112,8 +115,8 @@ def _by_cells(slim: DataFrame, width: int, k: int, seed: int, cells: int) -> Dat
     for c, (_, r) in sizes.items():
         radius[c] = r
 
-    points = assigned.drop("own")
-    inside = points.groupBy("cell").applyInPandas(lambda p: _top(p, p, width, k), _FOUND)
+    points = cut_lineage(assigned.drop("own"))
+    inside = cut_lineage(points.groupBy("cell").applyInPandas(lambda p: _top(p, p, width, k), _FOUND))
     # no bound yet for a point with fewer than k others in its cell
     reach = inside.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.max("d").alias("d"))
     open_ = points.join(reach, "id", "left").select("id", "x", "cell", F.when(F.col("c") >= k, F.col("d")).otherwise(float("inf")).alias("ub"))
@@ -132,7 +135,7 @@ def _by_cells(slim: DataFrame, width: int, k: int, seed: int, cells: int) -> Dat
             ask[np.arange(len(own)), own] = False
             row, cell = np.nonzero(ask)
             yield pd.DataFrame({"id": p["id"].to_numpy()[row], "x": pd.Series(p["x"].to_numpy()[row], dtype=object), "cell": cell.astype("int32")})
-    queries = open_.mapInPandas(visit, "id bigint, x array<double>, cell int")
+    queries = cut_lineage(open_.mapInPandas(visit, "id bigint, x array<double>, cell int"))
     # a cell that many points ask is copied, so that one task answers a bounded number of questions
     asked = {r["cell"]: -(-r["count"] // QUERIES_PER_GROUP) for r in queries.groupBy("cell").count().collect()}
     if not asked:

@@ -183,15 +183,15 @@ def response_rates(fact: DataFrame, items: Sequence[str], label: str = "label")
         F.round(F.col("_pos") - F.col("_neg"), 1).alias("gap_pp")).orderBy(F.desc("gap_pp"), "item")
 
 
-def prevalence_gap(fact: DataFrame, flags: Sequence[str], label: str = "label", high: float = 30.0,
-                   moderate: float = 15.0) -> DataFrame:
+def prevalence_gap(fact: DataFrame, flags: Sequence[str], label: str = "label", high: float = 30.0, moderate: float = 15.0,
+                   names: tuple[str, str] = ("pct_in_positive", "pct_in_negative")) -> DataFrame:
     """Prevalence per flag and outcome, the gap, and how well the flag separates the outcomes."""
     rates = _class_rates(fact, flags, label, "symptom")
     gap = F.col("_pos") - F.col("_neg")
     power = (F.when(gap > high, "HIGH discriminative power").when(gap > moderate, "MODERATE discriminative power")
              .otherwise("LOW discriminative power"))
     return rates.select(
-        "symptom", F.round("_pos", 1).alias("pct_in_diabetic_patients"), F.round("_neg", 1).alias("pct_in_healthy_patients"),
+        "symptom", F.round("_pos", 1).alias(names[0]), F.round("_neg", 1).alias(names[1]),
         F.round(gap, 1).alias("gap_percentage_points"), power.alias("discriminative_power"),
     ).orderBy(F.desc("gap_percentage_points"), "symptom")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -12,7 +11,7 @@ from pyspark.sql import types as T
 
 from caseloom.functions.scalar import percent
 from caseloom.operators.ranks import weighted_quantiles
-from caseloom.operators.reshape import literal_rows, long_counts, union_all
+from caseloom.operators.reshape import long_counts, union_all
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
 
@@ -49,9 +48,13 @@ def missing_totals(df: DataFrame, dataset: str) -> DataFrame:
 
 
 def type_overview(df: DataFrame) -> DataFrame:
-    """Columns per data type. Needs the schema only."""
-    found = Counter(f.dataType.simpleString() for f in df.schema.fields)
-    return literal_rows(df.sparkSession, sorted(found.items()), "data_type string, n_columns int")
+    """Columns and non-missing values per data type."""
+    by_type: dict[str, list[str]] = {}
+    for f in df.schema.fields:
+        by_type.setdefault(f.dataType.simpleString(), []).append(f.name)
+    wide = df.agg(*[F.struct(F.lit(len(names)).alias("n_columns"), sum((F.count(F.col(f"`{c}`")) for c in names), F.lit(0)).alias("n_values")).alias(t)
+                    for t, names in by_type.items()])
+    return wide.unpivot([], [F.col(f"`{t}`") for t in by_type], "data_type", "_s").select("data_type", "_s.n_columns", "_s.n_values").orderBy("data_type")
 
 
 def category_preview(df: DataFrame, columns: Sequence[str] | None = None, size: int = 6) -> DataFrame:

@@ -57,6 +57,7 @@ def with_agreement(df: DataFrame, rules: Sequence[Rule], prediction: str = "pred
 
 def explanation(df: DataFrame, title: str, prediction: str = "prediction", probability: str = "probability") -> Column:
     """A text report per row, over the columns of ``with_agreement``."""
+    # fixed values: the layout and wording of the report
     bar = "=" * 60
 
     def entry(r: Column) -> Column:

@@ -11,6 +11,7 @@ from caseloom.configs import notes
 from caseloom.functions.scalar import total
 from caseloom.operators.clean import MedianImputer, age_bracket, align_union, drop_sentinels, map_value, months_to_years
 from caseloom.operators.text import cast_result, extract, extract_routed
+from caseloom.session import cut_lineage
 
 ITEMS = [f"a{i}" for i in range(1, 11)]
 
@@ -31,11 +32,15 @@ def diabetes_records(records: DataFrame, text: str = "text", keep: Sequence[str]
 
 
 def stroke_notes(records: DataFrame, text: str = "text", keep: Sequence[str] = (), impute: bool = True) -> DataFrame:
-    """Extracted rows without unreadable gender; missing BMI is imputed by age bracket."""
+    """Extracted rows without unreadable gender; missing BMI is imputed by age bracket.
+
+    The imputation reads its input more than once, so the extracted rows, which are small beside their text, are
+    checkpointed first and the text is read once.
+    """
     found = drop_sentinels(extract(records, notes.STROKE, text, keep, notes.STROKE_TYPES), "gender", [-1])
     if not impute:
         return found
-    aged = found.withColumn("_bracket", age_bracket("age"))
+    aged = cut_lineage(found).withColumn("_bracket", age_bracket("age"))
     return MedianImputer("bmi", "_bracket").fit(aged).transform(aged).drop("_bracket")
 
 

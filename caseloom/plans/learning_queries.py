@@ -8,13 +8,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.configs import rules as rule_sets
-from caseloom.operators import evaluate, explain, features, intake, models, rules, select, serve, validate
+from caseloom.operators import evaluate, explain, features, models, rules, select, serve, validate
 from caseloom.operators.features import OneHot, Scaler
 from caseloom.operators.reshape import literal_rows, union_all
 from caseloom.operators.select import GeneticSearch
 from caseloom.operators.star import create_views
 from caseloom.plans import fixtures as fx
-from caseloom.plans import rendered
+from caseloom.plans import intake, rendered
 from caseloom.plans.analysis_queries import LINE_KEY, sql_hash
 from caseloom.plans.catalog import Catalog
 from caseloom.plans.fixtures import AQ_ITEMS, OBS_FLAGS, OBS_MEASURES, SYMPTOMS, with_ctes

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from caseloom.configs import notes
-from caseloom.operators import clean, intake, text
+from caseloom.operators import clean, text
+from caseloom.plans import intake
 from caseloom.plans import fixtures as fx
 from caseloom.plans import rendered
 from caseloom.plans.catalog import Catalog

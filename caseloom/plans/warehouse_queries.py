@@ -176,7 +176,7 @@ def ol12(spark, sf):
     f"WHEN {_rate(c, 1)}-{_rate(c, 0)} > 15 THEN 'MODERATE discriminative power' ELSE 'LOW discriminative power' END AS discriminative_power "
     f"FROM fact_diabetes" for c in SYMPTOMS))
 def ol13(spark, sf):
-    return olap.prevalence_gap(fx.fact(spark, sf, "diabetes"), SYMPTOMS)
+    return olap.prevalence_gap(fx.fact(spark, sf, "diabetes"), SYMPTOMS, names=("pct_in_diabetic_patients", "pct_in_healthy_patients"))
 
 
 @query("ol14_risk_profile", with_ctes("fact_stroke") + f"""
@@ -433,7 +433,9 @@ def prf2(spark, sf):
     return profile.missing_profile(fx.fact(spark, sf, "stroke"))
 
 
-@query("prf3_types", "SELECT * FROM (VALUES ('bigint', 3), ('double', 4), ('int', 1), ('string', 2), ('timestamp_ntz', 1)) t(data_type, n_columns)")
+@query("prf3_types", """SELECT * FROM (SELECT 'bigint' AS data_type, 3 AS n_columns, COUNT(l_orderkey) + COUNT(l_partkey) + COUNT(l_suppkey) AS n_values FROM lineitem
+ UNION ALL SELECT 'double', 4, COUNT(l_quantity) + COUNT(l_extendedprice) + COUNT(l_discount) + COUNT(l_tax) FROM lineitem UNION ALL SELECT 'int', 1, COUNT(l_linenumber) FROM lineitem
+ UNION ALL SELECT 'string', 2, COUNT(l_returnflag) + COUNT(l_linestatus) FROM lineitem UNION ALL SELECT 'timestamp_ntz', 1, COUNT(l_shipdate) FROM lineitem)""")
 def prf3(spark, sf):
     return profile.type_overview(fx.table(spark, sf, "lineitem"))
 

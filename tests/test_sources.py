@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from caseloom.operators import intake
+from caseloom.plans import intake
 from caseloom.operators.star import Cohort, Star, build_star, create_views, full_view
 from caseloom.sources import files
 from caseloom.streaming.records import stream_extract, stream_records

@@ -3,7 +3,8 @@ from __future__ import annotations
 import pytest
 
 from caseloom.configs import notes
-from caseloom.operators import intake, text
+from caseloom.operators import text
+from caseloom.plans import intake
 
 
 def one(spark, plan, note, **kw):
