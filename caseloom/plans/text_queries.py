@@ -11,6 +11,7 @@ from caseloom.plans import fixtures as fx
 from caseloom.plans import rendered
 from caseloom.plans.catalog import Catalog
 from caseloom.plans.rendered import ITEMS, SYMPTOMS, attributes_sql
+from caseloom.sources.files import spread
 
 catalog = Catalog()
 query = catalog.query
@@ -27,7 +28,7 @@ def _score(items: list[str]) -> str:
 @query("txt2_split", r"""SELECT doc_id, CAST(i AS INT) AS record_no, md5(t) AS fingerprint FROM (SELECT doc_id, UNNEST(range(1, LEN(p) + 1)) AS i,
  regexp_replace(UNNEST(p), '^[ \t\n\r\f\x0B]+|[ \t\n\r\f\x0B]+$', '', 'g') AS t FROM (SELECT doc_id, string_split_regex(text, '\.[ \t\r]*\n') AS p FROM documents)) WHERE t <> ''""")
 def txt2(spark, sf):
-    cut = text.split_records(fx.table(spark, sf, "documents"), "text", r"\.[ \t\r]*\n", ["doc_id"])
+    cut = text.split_records(spread(fx.table(spark, sf, "documents")), "text", r"\.[ \t\r]*\n", ["doc_id"])
     return cut.select("doc_id", "record_no", F.md5("text").alias("fingerprint"))
 
 
@@ -43,7 +44,7 @@ def txt2b(spark, sf):
  NULLIF(regexp_extract(LOWER(text), '(\d+)[ -]+(\d{3})|([1-9]\d{2,6})', 3), '')) AS BIGINT) AS number FROM documents""")
 def txt1(spark, sf):
     rule = text.Number("number", r"(\d+)[ -]+(\d{3})|([1-9]\d{2,6})", (1, 3), "bigint")
-    return text.extract(fx.table(spark, sf, "documents"), [rule], keep=["doc_id"])
+    return text.extract(spread(fx.table(spark, sf, "documents")), [rule], keep=["doc_id"])
 
 
 @query("txt3_polarity", """SELECT conv_id, turn, CASE WHEN regexp_matches(LOWER(text), 'nicht|kein|pas de') THEN 0 WHEN regexp_matches(LOWER(text), ' the | und |avec') THEN 1
@@ -56,7 +57,7 @@ def txt3(spark, sf):
 @query("txt4_class", """SELECT doc_id, CASE WHEN regexp_matches(LOWER(text), 'license|licence') THEN 'licensed' WHEN regexp_matches(LOWER(text), 'http|www') THEN 'linked' ELSE 'plain' END AS kind FROM documents""")
 def txt4(spark, sf):
     rule = text.Choice("kind", (("license|licence", "licensed"), ("http|www", "linked")), "plain")
-    return text.extract(fx.table(spark, sf, "documents"), [rule], keep=["doc_id"])
+    return text.extract(spread(fx.table(spark, sf, "documents")), [rule], keep=["doc_id"])
 
 
 _DICTIONARY = {"english": (["the ", " and "], [" nicht "]), "german": ([" und ", "sch"], [" the "]), "french": (["eau", "ç"], [" the "])}
@@ -64,7 +65,7 @@ _DICTIONARY = {"english": (["the ", " and "], [" nicht "]), "german": ([" und ",
 
 @query("txt6_phrases", "SELECT doc_id, " + ", ".join("CASE WHEN " + " OR ".join(f"contains(LOWER(text), '{p}')" for p in yes) + f" THEN 1 ELSE 0 END AS {n}" for n, (yes, _) in _DICTIONARY.items()) + " FROM documents")
 def txt6(spark, sf):
-    return text.extract(fx.table(spark, sf, "documents"), [text.Phrases(_DICTIONARY)], keep=["doc_id"])
+    return text.extract(spread(fx.table(spark, sf, "documents")), [text.Phrases(_DICTIONARY)], keep=["doc_id"])
 
 
 @query("txt9_json", """SELECT event_id, CAST(json_extract(props, '$.k') AS INT) AS k, CASE WHEN CAST(json_extract(props, '$.k') AS INT) IN (7, 29, 69) THEN 1 ELSE 0 END AS listed FROM events""")

@@ -43,6 +43,15 @@ def read_records(spark: SparkSession, path: str, core: str = RECORD_CORE) -> Dat
             .where("text <> ''"))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deals out the rows of a table that was read in fewer pieces than there are cores, before costly work per row.
+
+    A table of many files or blocks is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_records(df: DataFrame, text: str, order: str, path: str, by: str) -> None:
     """Writes records with their end markers, one file per value of ``by``, numbered from 1 in the given order."""
     numbered = df.withColumn("_n", F.row_number().over(W.partitionBy(by).orderBy(order)))
