@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +12,7 @@ _M64 = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15  # odd, so that its powers can be divided out again
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
+_ZSTD = pa.Codec("zstd", compression_level=6)
 NO_ID = np.iinfo(np.int64).max
 
 
@@ -68,15 +68,17 @@ class Words:
         return np.repeat(np.arange(len(self.count)), self.count)
 
 
-@functools.lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    full = lambda b: np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, b, np.uint64))])
-    return full(_BASE), full(_BASE_INVERSE)
+_cached: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(1 << 16, 1 << (max(1, n) - 1).bit_length())
-    return _powers(size)
+    """Powers 0 .. n of the base and of its inverse; the longest tables made so far are kept."""
+    if len(_cached[0]) <= n:
+        for i, base in enumerate((_BASE, _BASE_INVERSE)):
+            out = np.full((n | 0xFFFF) + 1, base, np.uint64)
+            out[0] = 1
+            _cached[i] = np.cumprod(out, out=out)
+    return _cached[0], _cached[1]
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -92,7 +94,10 @@ class RangeHash:
     def __init__(self, data: np.ndarray, values: np.ndarray = _BYTE):
         power, self.inverse = powers(len(data))
         self.total = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(values[data] * power[:len(data)], out=self.total[1:])
+        inner = self.total[1:]
+        np.take(values, data, out=inner)
+        inner *= power[:len(data)]
+        np.cumsum(inner, out=inner)
 
     def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         raw = (self.total[end] - self.total[start]) * self.inverse[start]
@@ -161,11 +166,11 @@ def pack(*arrays: np.ndarray) -> bytes:
     """Arrays of one row each as one compressed string."""
     head = np.array([len(arrays), *[a.nbytes for a in arrays]], np.int64).tobytes()
     body = head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    return len(body).to_bytes(8, "little") + pa.compress(body, codec="zstd", asbytes=True)
+    return len(body).to_bytes(8, "little") + _ZSTD.compress(body, asbytes=True)
 
 
 def unpack(blob: bytes, *kinds) -> list[np.ndarray]:
-    body = pa.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    body = _ZSTD.decompress(blob[8:], decompressed_size=int.from_bytes(blob[:8], "little"), asbytes=True)
     n = int.from_bytes(body[:8], "little")
     sizes = np.frombuffer(body, np.int64, n, 8)
     out, at = [], 8 * (n + 1)

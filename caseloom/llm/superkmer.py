@@ -20,7 +20,7 @@ from caseloom.llm.arrays import RangeHash, Words, byte_class, covered, equal_ran
 from caseloom.llm.blocks import BLOCK_BYTES, Block, dealt, representatives, text_bytes
 
 WORD = byte_class([(0x20, 0x20), (0x09, 0x0D)], inside=False)
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 4 << 20
 GRAM = 3
 _OUT = "doc_id bigint, n_words bigint, n_removed bigint, kept_sha256 string"
 
@@ -95,6 +95,7 @@ def _count(window: int):
         parts = [unpack(b, np.int32, np.int64, np.int32, np.uint8) for b in table["strings"].to_pylist()]
         blocks = np.repeat(table["block"].to_numpy(), [len(p[0]) for p in parts])
         local, ids, windows, data = (np.concatenate([p[i] for p in parts]) for i in range(4))
+        del parts
         end = np.flatnonzero(data == 32)
         start = np.concatenate([[0], end[:-1] + 1])
         words = windows + window - 1
@@ -102,6 +103,7 @@ def _count(window: int):
         at = spans_index(first, windows)  # first word of each window
         entry = np.repeat(np.arange(len(local)), windows)
         begin, stop = start[at], end[at + window - 1]
+        del at, start, end
         h = RangeHash(data).of(begin, stop)
         order = np.lexsort((ids[entry], h))
         head = np.concatenate([[True], h[order][1:] != h[order][:-1]])
