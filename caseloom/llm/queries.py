@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from caseloom.llm.quotient import exact_duplicates
+from caseloom.llm.ring import ring_shards
 from caseloom.llm.suffix import remove_repeated_bytes
 from caseloom.llm.superkmer import remove_repeated_windows
 from caseloom.plans.catalog import Catalog
@@ -23,3 +26,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query("op6_suffix_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@catalog.query("op4_exact_dedup", """
+    WITH n AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents),
+    g AS (SELECT text_sha256, max(doc_id) AS keep_id, count(*) AS group_size FROM n GROUP BY text_sha256)
+    SELECT n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id AS kept, n.text_sha256 FROM n JOIN g USING (text_sha256)""")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+@catalog.query("op7_sharding")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = ring_shards(table(spark, sf_dir, "documents"))
+    return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
