@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.llm.bpe import round_trip_digests
 from caseloom.llm.quotient import exact_duplicates
 from caseloom.llm.ring import ring_shards
 from caseloom.llm.suffix import remove_repeated_bytes
@@ -18,6 +19,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer of the encoding queries, where it is installed."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 @catalog.query("op3_substring_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeated_windows(table(spark, sf_dir, "documents"))
@@ -40,3 +48,8 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = ring_shards(table(spark, sf_dir, "documents"))
     return placed.withColumns({"law": F.lit("rows"), "grown_shard": F.lit(None).cast("int")})
+
+
+@catalog.query("op9_bpe")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path())
