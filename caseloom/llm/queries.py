@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm.bpe import round_trip_digests
+from caseloom.llm.decontaminate import contamination
 from caseloom.llm.quotient import exact_duplicates
 from caseloom.llm.ring import ring_shards
 from caseloom.llm.suffix import remove_repeated_bytes
@@ -53,3 +54,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query("op9_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip_digests(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@catalog.query("op8_decontamination")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
