@@ -26,7 +26,10 @@ from caseloom.llm.arrays import pieces
 END = "</w>"
 #: fixed value: the white space of the file's patterns
 SPACE = "\\t\\n\\x0B\\x0C\\r \\x85\\xA0\\u1680\\u2000-\\u200A\\u2028\\u2029\\u202F\\u205F\\u3000"
-BLANKS = re.compile(f"[{SPACE}]+")
+#: fixed values: ranges without capitals that lower() misses, of letters (Latin) and of other signs (ASCII and punctuation)
+LATIN, SIGNS = "A-Za-z\xC0-\xD6\xD8-\xF6\xF8-\u0239", "\x00-\x7F\u2010-\u2027\u2030-\u205E"
+OTHER = re.compile(f"[^{LATIN}{SIGNS}]")
+PLAIN = re.compile(f"'(?:[stmd]|re|ve|ll)|[{LATIN}]+|[0-9]|[^{SPACE}{LATIN}0-9]+")
 
 
 #: fixed values: capitals of Unicode 16 and 17, which Python's own tables do not know, with the small letter of the first
@@ -103,10 +106,12 @@ class Codec:
 
     @staticmethod
     def _split(text: str) -> list[str]:
-        if not text.isascii():
-            # lower-casing goes by single characters: a capital sigma at a word end is no final sigma
-            text = BLANKS.sub(" ", unicodedata.normalize("NFC", text)).translate(LOWER)
-        return splitter().findall(text.lower())
+        # white space only separates words, so it need not become one blank first
+        text = unicodedata.normalize("NFC", text)
+        if not OTHER.search(text):
+            return PLAIN.findall(text.lower())
+        # lower-casing goes by single characters: a capital sigma at a word end is no final sigma
+        return splitter().findall(text.translate(LOWER).lower())
 
     def learn(self, words: set[str]) -> None:
         """Encodes all words at once and keeps their ids."""

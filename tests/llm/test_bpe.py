@@ -17,7 +17,7 @@ from caseloom.llm import bpe  # noqa: E402
 PATH = public_tokenizers.path("word_bpe_49k.json")
 LIBRARY = tokenizers.Tokenizer.from_file(PATH)
 CODER = bpe.codec(open(PATH, "rb").read())
-TEXTS = [*[t or "" for t in ODD], "It's we'll HE'D!'s don't", "ΣΑΣ ΟΔΟΣ Σ.", "İstanbul ǅ ﬁ ½ ²³ 12٣", "é Å", "a\x1cb\x1fc\x85d​e　f",
+TEXTS = [*[t or "" for t in ODD], "It's we'll HE'D!'s don't", "ΣΑΣ ΟΔΟΣ Σ.", "ȺȾ İstanbul ǅ ﬁ ½ ²³ 12٣", "é Å", "a\x1cb\x1fc\x85d​e　f",
          "<|endoftext|>x<|startoftext|> <|ENDOFTEXT|> <|endoftext|", "aaaaaaaaaaaaaaaaaaaaaa", "lolololol" * 50, "日本語 текст 👩‍👩‍👧 🇩🇪", "\n\t a \r\n", "'", "''s''t", "x" * 3000]
 
 
