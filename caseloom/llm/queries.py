@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom.llm.bpe import round_trip_digests
 from caseloom.llm.decontaminate import contamination
+from caseloom.llm.forest import near_duplicates
 from caseloom.llm.quotient import exact_duplicates
 from caseloom.llm.ring import ring_shards
 from caseloom.llm.suffix import remove_repeated_bytes
@@ -60,3 +61,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
+
+
+@catalog.query("op10_ngram_join")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "group_key")
