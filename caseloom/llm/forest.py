@@ -4,8 +4,8 @@ Rows with the same words are one class; from here on classes are compared. The f
 ``LONGEST`` of the signature's values. Matching starts with whole labels and shortens the prefix until a pair at the
 threshold is found in some trie with probability ``recall``: the classes below one node of that depth are a bucket.
 Within a bucket a class is compared with leaders only: the signatures' estimate links it to every leader it may share a
-near duplicate with, and makes it a leader unless it is very close to one. By the triangle inequality of the Jaccard
-distance two near duplicates of a bucket end up in one component of these links, although no pairs are made. The components
+near duplicate with, and makes it a leader unless it is close to one. By the triangle inequality of the Jaccard distance
+two near duplicates of a bucket end up in one component of these links; only a spanning forest of them is written. The components
 are then compared exactly, all members with all members, as products of incidence matrices, in pairs of blocks of bounded
 size. So a link is lost only if all tries miss it.
 """
@@ -31,8 +31,9 @@ VALUES = 128
 LONGEST = 16
 BUCKET_ROWS = 5_000
 BLOCK_ROWS = 512
-#: estimates of 128 values: so close that a member needs no turn as leader, so far that no common near duplicate is left
-_CLOSE, _LINK, _LINK_LEADERS = 0.9, 0.4, 0.2
+#: estimates of 128 values: so close (a distance of 0.33 at most) that a member needs no turn as leader; so far that no near
+#: duplicate of a member this close can be there (a distance of 0.53, with 4 standard errors)
+_CLOSE, _LINK = 0.8, 0.27
 _SEED = np.random.default_rng(20240610)
 _FACTORS = _SEED.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -116,68 +117,76 @@ def _features(size: int, trees: int, length: int):
     return features
 
 
-def _lead(link: float):
-    """Rows (bucket, salt, class_key, signature) sorted by bucket and salt -> links to leaders, and the leaders (linked to themselves)."""
-    def lead(batches):
-        schema = pa.schema([("bucket", pa.int64()), ("class_key", pa.int64()), ("leader", pa.int64())])
-        current, keys, sigs = None, [], []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            bucket, salt, key = (batch.column(i).to_numpy() for i in range(3))
-            sig = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, VALUES)
-            head = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])])
-            if current == (bucket[0], salt[0]):
-                head[0] = False
-            run = np.cumsum(head) - 1
-            begin = np.flatnonzero(head)
-            out_b, out_k, out_l = [bucket[begin]], [key[begin]], [key[begin]]
-            # most members are close to the first leader of their bucket
-            first_key = np.where(run < 0, keys[0] if keys else 0, key[begin[np.maximum(run, 0)]] if len(begin) else 0)
-            first_sig = sig[begin[np.maximum(run, 0)]] if len(begin) else np.empty_like(sig)
-            if (run < 0).any():
-                first_sig = first_sig.copy()
-                first_sig[run < 0] = sigs[0]
-            rest = np.flatnonzero(~head)
-            near = (sig[rest] == first_sig[rest]).mean(axis=1)
-            linked = rest[near >= link]
-            out_b.append(bucket[linked])
-            out_k.append(key[linked])
-            out_l.append(first_key[linked])
-            far = rest[near < _CLOSE]
-            at = -2
-            more_b, more_k, more_l = [], [], []
-            for i in far:
-                if run[i] != at:
-                    if run[i] >= 0:
-                        keys, sigs = [key[begin[run[i]]]], [sig[begin[run[i]]]]
-                    at = run[i]
-                later = np.array([1.0])
-                if len(keys) > 1:
-                    later = (np.stack(sigs[1:]) == sig[i]).mean(axis=1)
-                    for j in np.flatnonzero(later >= link):
-                        more_b.append(bucket[i])
-                        more_k.append(key[i])
-                        more_l.append(keys[j + 1])
-                if len(keys) == 1 or later.max() < _CLOSE:
-                    keys.append(key[i])
-                    sigs.append(sig[i])
-                    more_b.append(bucket[i])
-                    more_k.append(key[i])
-                    more_l.append(key[i])
-            if len(begin) and at != run[-1]:
-                keys, sigs = [key[begin[-1]]], [sig[begin[-1]]]
-            current = (bucket[-1], salt[-1])
-            columns = [np.concatenate([*a, np.array(b, np.int64)]) for a, b in ((out_b, more_b), (out_k, more_k), (out_l, more_l))]
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
-    return lead
-
-
-def _leaders(rows: DataFrame, link: float) -> DataFrame:
+class _Bucket:
+    """Leaders of one bucket, their signatures and which of them are joined already."""
+
+    def __init__(self, key: int, signature: np.ndarray):
+        self.keys, self.root, self.signatures = [key], [0], signature[None, :].copy()
+
+    def add(self, key: int, signature: np.ndarray, root: int | None) -> None:
+        n = len(self.keys)
+        if n == len(self.signatures):
+            self.signatures = np.concatenate([self.signatures, np.empty_like(self.signatures)])
+        self.signatures[n] = signature
+        self.keys.append(key)
+        self.root.append(n if root is None else root)
+
+    def find(self, i: int) -> int:
+        while self.root[i] != i:
+            i = self.root[i]
+        return i
+
+
+def _lead(batches):
+    """Rows (bucket, salt, class_key, signature) sorted by bucket and salt -> a spanning forest of the links to leaders, and
+    the leaders (linked to themselves)."""
+    schema = pa.schema([("bucket", pa.int64()), ("class_key", pa.int64()), ("leader", pa.int64())])
+    current, held = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        bucket, salt, key = (batch.column(i).to_numpy() for i in range(3))
+        sig = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, VALUES)
+        head = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])])
+        head[0] = current != (bucket[0], salt[0])
+        run = np.cumsum(head) - 1  # -1: the bucket of the batch before
+        begin = np.flatnonzero(head)
+        # most members are close to the first leader of their bucket
+        first = np.concatenate([[0], begin])[run + 1]
+        first_key, first_sig = key[first], sig[first]
+        if not head[0]:
+            first_key[run < 0], first_sig[run < 0] = held.keys[0], held.signatures[0]
+        estimate = (sig == first_sig).mean(axis=1)
+        linked = np.flatnonzero((estimate >= _LINK) & ~head)
+        out = [(bucket[begin], key[begin], key[begin]), (bucket[linked], key[linked], first_key[linked])]
+        more, at = [], -2
+        for i in np.flatnonzero((estimate < _CLOSE) & ~head):
+            if run[i] != at:
+                at = run[i]
+                held = _Bucket(key[begin[at]], sig[begin[at]]) if at >= 0 else held
+            n = len(held.keys)
+            every = (held.signatures[:n] == sig[i]).mean(axis=1)
+            joined = list(dict.fromkeys(held.find(j) for j in np.flatnonzero(every >= _LINK)))
+            if joined and estimate[i] < _LINK:
+                more.append((bucket[i], key[i], held.keys[joined[0]]))
+            for j in joined[1:]:
+                more.append((bucket[i], held.keys[j], held.keys[joined[0]]))
+                held.root[j] = joined[0]
+            if every.max() < _CLOSE:
+                held.add(key[i], sig[i], joined[0] if joined else None)
+                more.append((bucket[i], key[i], key[i]))
+        if len(begin) and at != run[-1]:
+            held = _Bucket(key[begin[-1]], sig[begin[-1]])
+        current = (bucket[-1], salt[-1])
+        columns = [np.concatenate([*(o[c] for o in out), np.array([m[c] for m in more], np.int64)]) for c in range(3)]
+        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+
+
+def _leaders(rows: DataFrame) -> DataFrame:
     """``rows``: bucket, salt, class_key, signature."""
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select("bucket", "salt", "class_key", "signature").repartition(width, "bucket", "salt").sortWithinPartitions("bucket", "salt", "class_key")
-    return dealt.mapInArrow(_lead(link), "bucket bigint, class_key bigint, leader bigint")
+    return dealt.mapInArrow(_lead, "bucket bigint, class_key bigint, leader bigint")
 
 
 def _compare(size: int, threshold: float):
@@ -258,12 +267,12 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = leaves.join(shared, "bucket").join(classes.select("class_key", "signature"), "class_key")
     salts = F.ceil(F.col("n") / BUCKET_ROWS).cast("bigint")
     members = members.withColumn("salt", F.when(salts > 1, F.pmod(F.xxhash64("class_key"), salts) + 1).otherwise(F.lit(0)).cast("bigint"))
-    links = _leaders(members, _LINK)
-    # a large bucket was cut by salts: its leaders are compared with each other
+    found = cut_lineage(_leaders(members))
+    # a large bucket was cut by salts: whatever its parts have, its leaders are joined to one of them
     many = shared.where(F.col("n") > BUCKET_ROWS).select("bucket")
-    leaders = links.where("class_key = leader").join(many, "bucket").join(classes.select("class_key", "signature"), "class_key")
-    links = links.where("class_key <> leader").select("class_key", "leader").unionAll(
-        _leaders(leaders.withColumn("salt", F.lit(0).cast("bigint")), _LINK_LEADERS).where("class_key <> leader").select("class_key", "leader"))
+    leaders = found.where("class_key = leader").join(many, "bucket")
+    least = leaders.groupBy("bucket").agg(F.min("leader").alias("least"))
+    links = found.where("class_key <> leader").select("class_key", "leader").unionAll(leaders.join(least, "bucket").select("class_key", F.col("least").alias("leader")))
     near = cut_lineage(components(links, "class_key", "leader"))
     # exact comparison inside each component, block pair by block pair
     sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("n"))
