@@ -252,3 +252,12 @@ def round_trip_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text:
                          "ids_sha256": pa.array([sha([number[w] for w in s]) for s in split], pa.string()),
                          "decoded_sha256": pa.array([sha([shown[w] for w in s]) for s in split], pa.string())})
     return _mapped(docs, doc_id, text, path, make, _OUT)
+
+
+def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per row: doc_id, ids, n_tokens, decoded_sha256 (of the decoded text). Edge cases as in ``encode``."""
+    def make(coder, ids, texts):
+        tokens = coder.encode(texts)
+        return pa.table({"doc_id": ids, "ids": pa.array(tokens, pa.list_(pa.int32())), "n_tokens": pa.array([len(t) for t in tokens], pa.int64()),
+                         "decoded_sha256": pa.array([hashlib.sha256(coder.decode(t).encode()).hexdigest() for t in tokens], pa.string())})
+    return _mapped(docs, doc_id, text, path, make, "doc_id bigint, ids array<int>, n_tokens bigint, decoded_sha256 string")

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.llm import ordinal, toxicity
 from caseloom.llm.bpe import round_trip_digests
 from caseloom.llm.decontaminate import contamination
 from caseloom.llm.forest import near_duplicates
+from caseloom.llm.pages import main_text
 from caseloom.llm.quotient import exact_duplicates
 from caseloom.llm.ring import ring_shards
 from caseloom.llm.suffix import remove_repeated_bytes
@@ -66,3 +68,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query("op10_ngram_join")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("text_key", "group_key")
+
+
+@catalog.query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.scored(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+@catalog.query("op5_quality")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return ordinal.graded(docs, ordinal.train(docs, ordinal.quality_grades(table(spark, sf_dir, "labels")), 3))
+
+
+@catalog.query("op1_main_text")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(table(spark, sf_dir, "pages"))

@@ -1,0 +1,72 @@
+"""The two classifiers: held-out accuracy, gradients, odd rows."""
+
+from __future__ import annotations
+
+import numpy as np
+import pytest
+from llm_cases import ODD
+from pyspark.sql import functions as F
+
+from caseloom.llm import ordinal, queries, toxicity
+
+SF = "/root/testdata/sf0.1"
+
+
+@pytest.fixture(scope="module")
+def tables(spark):
+    return queries.table(spark, SF, "documents"), queries.table(spark, SF, "labels")
+
+
+def test_quality_on_held_out_rows(tables):
+    docs, labels = tables
+    grades = ordinal.quality_grades(labels)
+    model = ordinal.train(docs, grades.where("label_id % 3 > 0"), 3)
+    assert (np.diff(model.thresholds) > 0).all()
+    got = ordinal.graded(docs, model).join(grades.where("label_id % 3 = 0"), F.col("doc_id") == F.col("label_id"))
+    by = {r.grade: r for r in got.groupBy("grade").agg(F.avg(F.col("selected").cast("int")).alias("kept"), F.avg("expected_grade").alias("e")).collect()}
+    assert by[0].kept < 0.03 and by[1].kept > 0.97 and by[2].kept > 0.99 and by[0].e < by[1].e
+
+
+def test_toxicity_on_held_out_rows(tables):
+    docs, labels = tables
+    chain = toxicity.train(docs, labels.where("doc_id % 3 > 0"))
+    got = toxicity.scored(docs, chain).join(labels.where("doc_id % 3 = 0").select("doc_id", F.col("toxic").alias("y")), "doc_id")
+    by = {r.y: r.found for r in got.groupBy("y").agg(F.avg(F.col("toxic").cast("int")).alias("found")).collect()}
+    assert by[1] > 0.7 and by[0] < 0.005  # at this size a quarter of the toxic texts has no cue that other toxic texts share
+
+
+def test_later_links_use_earlier_probabilities():
+    r = np.random.default_rng(1)
+    n = 600
+    x = r.random(n) < 0.5
+    second = x & (r.random(n) < 0.9)
+    chain = toxicity.fit_chain(np.array([1], np.uint64), np.flatnonzero(x), np.zeros(x.sum(), int), np.stack([x, second], axis=1).astype(float), np.arange(n) % toxicity.FOLDS)
+    assert chain.earlier[1, 0] > 0.5 and chain.earlier[0].sum() == 0
+
+
+def test_ordinal_fit_recovers_an_order():
+    r = np.random.default_rng(2)
+    n = 3000
+    value = r.normal(size=n)
+    grade = np.digitize(2 * value + r.logistic(size=n), [-1, 2])
+    model = ordinal.fit(np.arange(n), np.zeros(n, int), value, grade, 3, penalty=0, steps=2000, rate=0.2)
+    assert abs(model.weights[0] - 2) < 0.3 and np.abs(model.thresholds - [-1, 2]).max() < 0.3
+
+
+def test_odd_rows(spark, documents):
+    rows = list(enumerate(ODD)) + [(None, "some text"), (3, "idiot"), (3, "idiot")]
+    docs = documents(rows)
+    labels = spark.createDataFrame([(0, 1, 1), (1, 0, 0), (2, 1, 0), (None, 1, 1), (5, None, None)], "doc_id bigint, quality int, toxic int")
+    for label in (labels, labels.where("doc_id < 0")):
+        model = ordinal.train(docs, ordinal.quality_grades(label), 3)
+        got = ordinal.graded(docs, model)
+        assert sorted(str(r.doc_id) for r in got.collect()) == sorted(str(i) for i, _ in rows)
+        assert ordinal.graded(docs.where("doc_id < 0"), model).collect() == []
+        kept = ordinal.selected(docs, model)
+        assert kept.columns == docs.columns and kept.count() == got.where("selected").count()
+        chain = toxicity.train(docs, label)
+        marks = toxicity.scored(docs, chain)
+        assert sorted(str(r.doc_id) for r in marks.collect()) == sorted(str(i) for i, _ in rows)
+        assert toxicity.scored(docs.where("doc_id < 0"), chain).collect() == []
+    assert got.where("selected").count() == len(rows)  # no labels: all stay
+    assert marks.where("toxic").count() == 0
