@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import random
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
@@ -156,41 +155,37 @@ class GeneticSearch:
         for i, genome in enumerate(new):
             self.cache[genome] = float(np.mean(f1[i])) * max(1.0 - 0.005 * sum(genome), 0.5)
 
-    def _viable(self, rng: random.Random, genome: list[int]) -> tuple:
-        while sum(genome) < min(2, len(genome)):
-            genome[rng.randrange(len(genome))] = 1
-        return tuple(genome)
+    def _repaired(self, rng: np.random.Generator, population: np.ndarray) -> np.ndarray:
+        """Fills rows that select fewer than two features with their most preferred ones, by a random preference."""
+        least = min(2, population.shape[1])
+        preference = rng.random(population.shape) + population  # selected features come first
+        forced = preference >= np.sort(preference, axis=1)[:, -least:][:, :1]
+        return population | (forced & (population.sum(axis=1) < least)[:, None])
+
+    def _offspring(self, rng: np.random.Generator, population: np.ndarray, fitness: np.ndarray, rows: int) -> np.ndarray:
+        """``rows`` children of a whole generation at once: tournament, crossover by a mask, mutation by a mask."""
+        size, width = population.shape
+        entrants = rng.integers(size, size=(2, rows, 2))  # (parent, child, entrant)
+        mother, father = population[np.take_along_axis(entrants, fitness[entrants].argmax(axis=2)[..., None], axis=2)[..., 0]]
+        cut = np.where(rng.random(rows) < self.crossover, rng.integers(0, width + 1, rows), width)
+        children = np.where(np.arange(width)[None, :] < cut[:, None], mother, father)
+        return self._repaired(rng, children ^ (rng.random(children.shape) < self.mutation))
 
     def run(self, df: DataFrame) -> tuple[list[str], float]:
         """The best subset and its fitness; ``history`` holds one entry per generation."""
-        rng, n = random.Random(self.seed), len(self.features)
+        rng = np.random.default_rng(self.seed)
         grams = self._grams(df)
-        pool = [self._viable(rng, [rng.randint(0, 1) for _ in range(n)]) for _ in range(self.population)]
-        best, best_fit = None, -1.0
+        population = self._repaired(rng, rng.random((self.population, len(self.features))) < 0.5)
         for generation in range(1, self.generations + 1):
-            self._evaluate(df, grams, pool)
-            fit = [self.cache[g] for g in pool]
-            ranked = sorted(range(len(pool)), key=lambda i: -fit[i])
-            top = ranked[0]
-            if fit[top] > best_fit:
-                best, best_fit = pool[top], fit[top]
-            self.history.append({"generation": generation, "best_fitness": fit[top], "avg_fitness": float(np.mean(fit)), "n_features": sum(pool[top])})
-
-            def parent() -> tuple:
-                i, j = rng.sample(range(len(pool)), 2)
-                return pool[i] if fit[i] > fit[j] else pool[j]
-            children = [pool[i] for i in ranked[:self.elite]]
-            while len(children) < self.population:
-                a, b = parent(), parent()
-                if n > 1 and rng.random() < self.crossover:
-                    cut = rng.randint(1, n - 1)
-                    a, b = a[:cut] + b[cut:], b[:cut] + a[cut:]
-                for child in (a, b):
-                    if len(children) < self.population:
-                        flipped = [1 - bit if rng.random() < self.mutation else bit for bit in child]
-                        children.append(self._viable(rng, flipped))
-            pool = children
-        return [f for f, bit in zip(self.features, best) if bit], best_fit
+            genomes = [tuple(row) for row in population.astype(int).tolist()]
+            self._evaluate(df, grams, genomes)
+            fitness = np.array([self.cache[g] for g in genomes])
+            leaders = np.argsort(-fitness, kind="stable")
+            self.history.append({"generation": generation, "best_fitness": float(fitness[leaders[0]]), "avg_fitness": float(fitness.mean()),
+                                 "n_features": int(population[leaders[0]].sum())})
+            population = np.concatenate([population[leaders[:self.elite]], self._offspring(rng, population, fitness, self.population - self.elite)])
+        best = max(self.cache, key=self.cache.__getitem__)
+        return [f for f, bit in zip(self.features, best) if bit], self.cache[best]
 
     def history_table(self, df: DataFrame) -> DataFrame:
         rows = [(h["generation"], h["best_fitness"], h["avg_fitness"], h["n_features"]) for h in self.history]
