@@ -91,11 +91,10 @@ def sample_per_class(df: DataFrame, key: str | Sequence[str], label: str, size:
 
 
 def histogram(df: DataFrame, value: str, by: str, low: float, high: float, bins: int) -> DataFrame:
-    """Equal-width counts and density per class; the last bin is closed on the right."""
+    """Equal-width counts and density per class; values outside the range count in the first and last bin."""
     width = (high - low) / bins
-    inside = df.where(F.col(value).between(low, high))
-    bin_ = F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1)).cast("int")
-    n = inside.groupBy(by, bin_.alias("bin")).agg(_count().alias("n"))
+    bin_ = F.greatest(F.lit(0), F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1))).cast("int")
+    n = df.where(F.col(value).isNotNull()).groupBy(by, bin_.alias("bin")).agg(_count().alias("n"))
     share = F.col("n") / (F.sum("n").over(W.partitionBy(by)) * width)
     return n.select(by, "bin", (F.lit(low) + F.col("bin") * width).alias("bin_start"), "n", F.round(share, 8).alias("density"))
 
@@ -116,12 +115,14 @@ def box_stats(df: DataFrame, measures: Sequence[str], by: str, reach: float = 1.
 def density(df: DataFrame, value: str, by: str, low: float, high: float, points: int = 50, bins: int = 512) -> DataFrame:
     """Gaussian kernel density per class on a grid, bandwidth by Scott's rule.
 
-    The values are first counted into ``bins`` fine bins, so the kernel sum is over bins and not over rows.
+    The values are first counted into ``bins`` fine bins, so the kernel sum is over bins and not over rows; values outside
+    the range count in the first and last one.
     """
     width = (high - low) / bins
     moments = df.where(F.col(value).isNotNull()).groupBy(by).agg(
         F.count(value).alias("_size"), (F.stddev_samp(value) * F.pow(F.count(value).cast("double"), F.lit(-0.2))).alias("_h"))
-    centre = F.lit(low) + (F.floor((F.col(value) - low) / width) + 0.5) * width
+    bin_ = F.greatest(F.lit(0), F.least(F.floor((F.col(value) - low) / width), F.lit(bins - 1)))
+    centre = F.lit(low) + (bin_ + 0.5) * width
     fine = df.where(F.col(value).isNotNull()).groupBy(F.col(by).alias("_by"), centre.alias("_c")).agg(_count().alias("_n"))
     step = (high - low) / (points - 1)
     grid = F.explode(F.transform(F.sequence(F.lit(0), F.lit(points - 1)), lambda i: F.lit(low) + i * F.lit(step)))

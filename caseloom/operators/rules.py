@@ -66,8 +66,9 @@ def explanation(df: DataFrame, title: str, prediction: str = "prediction", proba
     listed = F.array_join(F.transform("fired", entry), "\n")
     risk = F.when(F.col(prediction) == 1, "HIGH RISK").otherwise("LOW RISK")
     verdict = F.when(F.col("agrees"), "  AGREEMENT: ML model and clinical rules AGREE.\n  -> High confidence in the prediction.").otherwise(
-        "  DISAGREEMENT: ML model and clinical rules DISAGREE.\n  -> Manual clinical review recommended.")
-    rules_text = F.when(F.col("n_fired") == 0, "  No clinical rules triggered.\n").otherwise(
-        F.concat(F.format_string("  CLINICAL RULES TRIGGERED (%d):\n", "n_fired"), listed, F.lit("\n"), verdict, F.lit("\n")))
+        "  DISAGREEMENT: ML model and clinical rules DISAGREE.\n  -> Manual clinical review recommended.\n"
+        "  -> The rule-based system provides interpretable\n     guardrails against pure statistical predictions.")
+    rules_text = F.when(F.col("n_fired") == 0, "  No clinical rules triggered.\n\n\n").otherwise(
+        F.concat(F.format_string("  CLINICAL RULES TRIGGERED (%d):\n", "n_fired"), listed, F.lit("\n"), verdict, F.lit("\n\n")))
     return F.concat(F.lit(f"{bar}\n  CLINICAL DECISION SUPPORT — {title.upper()}\n{bar}\n\n  ML Model Prediction: "), risk,
                     F.lit("\n  ML Confidence: "), F.format_string("%.1f%%", F.col(probability) * 100), F.lit("\n\n"), rules_text, F.lit(bar))

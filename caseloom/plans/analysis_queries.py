@@ -103,9 +103,9 @@ def cln10(spark, sf):
 
 
 @query("cln11_slang", """SELECT doc_id, md5(REPLACE(REPLACE(REPLACE(LOWER(text), 'bc', 'because'), 'w/', 'with'), ' u ', ' you ')) AS fingerprint
- FROM documents WHERE lang IN ('en', 'de')""")
+ FROM documents""")
 def cln11(spark, sf):
-    docs = fx.table(spark, sf, "documents").where(F.col("lang").isin("en", "de"))
+    docs = fx.table(spark, sf, "documents")
     return docs.select("doc_id", F.md5(clean.expand_slang(F.lower("text"))).alias("fingerprint"))
 
 

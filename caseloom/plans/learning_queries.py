@@ -187,7 +187,7 @@ def fs5(spark, sf):
 @query("fs5b_history")
 def fs5b(spark, sf):
     data = _folded(spark, sf, "autism", 3).persist()
-    search = GeneticSearch([*AQ_ITEMS, "jaundice", "family_asd"], generations=8)
+    search = GeneticSearch([*AQ_ITEMS, "jaundice", "family_asd"])
     search.run(data)
     data.unpersist()
     return search.history_table(data)
@@ -378,7 +378,7 @@ def xa6(spark, sf):
 
 @query("xa6b_report", with_ctes("fact_stroke") + f"""
 SELECT patient_id, md5('{'=' * 60}' || chr(10) || '  CLINICAL DECISION SUPPORT — STROKE' || chr(10) || '{'=' * 60}' || chr(10) || chr(10) || '  ML Model Prediction: HIGH RISK' || chr(10)
- || '  ML Confidence: 75.0%' || chr(10) || chr(10) || '  No clinical rules triggered.' || chr(10) || '{'=' * 60}') AS report
+ || '  ML Confidence: 75.0%' || chr(10) || chr(10) || '  No clinical rules triggered.' || chr(10) || chr(10) || chr(10) || '{'=' * 60}') AS report
 FROM (SELECT f.patient_id, {_FIRED['stroke']} AS n FROM fact_stroke f JOIN dim_patient d ON d.patient_id=f.patient_id) WHERE n = 0""")
 def xa6b(spark, sf):
     scored = _joined_fact(spark, sf, "stroke").withColumns({"prediction": F.lit(1), "probability": F.lit(0.75)})

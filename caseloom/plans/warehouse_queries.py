@@ -132,12 +132,12 @@ def ol9(spark, sf):
 
 
 @query("ol9b_imbalance_rounded", with_ctes("obs_cat", summary="""SELECT cat AS disease, COUNT(*) AS total_patients,
- CAST(SUM(label) AS BIGINT) AS positive_cases FROM obs_cat WHERE f1 = 1 GROUP BY cat""") + f"""
+ CAST(SUM(label) AS BIGINT) AS positive_cases FROM obs_cat GROUP BY cat""") + f"""
 SELECT disease, positive_cases, total_patients-positive_cases AS negative_cases, ROUND({_RATIO}, 1) AS neg_to_pos_ratio,
  CASE WHEN ROUND({_RATIO},1) < 3 THEN '{olap.MILD}' WHEN ROUND({_RATIO},1) BETWEEN 3 AND 10 THEN '{olap.MODERATE}' ELSE '{olap.SEVERE}' END
  AS recommended_strategy FROM summary""")
 def ol9b(spark, sf):
-    summary = fx.obs(spark, sf, True).where("f1 = 1").groupBy(F.col("cat").alias("disease")).agg(
+    summary = fx.obs(spark, sf, True).groupBy(F.col("cat").alias("disease")).agg(
         F.count(F.lit(1)).alias("total_patients"), F.sum("label").alias("positive_cases"))
     return olap.imbalance_classes(summary, classify_rounded=True)
 
