@@ -237,7 +237,7 @@ def ml3(spark, sf):
 
 def _boosted(spark, sf, name: str):
     train, test = _split_folds(spark, sf)
-    fitted = models.fit(models.recipes()[name], models.prepare(train, STROKE_FEATURES).coalesce(1))
+    fitted = models.fit(models.recipes()[name], models.prepare(train, STROKE_FEATURES))
     return evaluate.full_evaluation(models.predictions_of(fitted, models.prepare(test, STROKE_FEATURES, train=train)), ["model"])
 
 
