@@ -101,8 +101,8 @@ def histogram(df: DataFrame, value: str, by: str, low: float, high: float, bins:
 
 def box_stats(df: DataFrame, measures: Sequence[str], by: str, reach: float = 1.5) -> DataFrame:
     """Quartiles, whisker ends (the extreme values within ``reach`` IQR of the box) and the number of outliers."""
-    counts, cells = settle(long_counts(df, measures, [by]))
-    quarts = weighted_quantiles(counts, "value", "n", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by, "feature"], cells=cells, settled=True)
+    counts = settle(long_counts(df, measures, [by]), "value", [by, "feature"])
+    quarts = weighted_quantiles(counts, "value", "n", {"q1": 0.25, "median": 0.5, "q3": 0.75}, [by, "feature"], settled=True)
     box = quarts.select(F.col(by).alias("_g"), F.col("feature").alias("_f"), "q1", "median", "q3")
     span = F.lit(reach) * (F.col("q3") - F.col("q1"))
     near = F.col("value").between(F.col("q1") - span, F.col("q3") + span)

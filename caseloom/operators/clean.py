@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from caseloom.functions.scalar import right_closed_bin, total
-from caseloom.operators.ranks import MAX_CLASSES, weighted_quantiles
-from caseloom.operators.reshape import literal_rows, union_all
+from caseloom.operators.ranks import settle, small_side, weighted_quantiles
+from caseloom.operators.reshape import union_all
+from caseloom.session import cut_lineage
 
 # Tokens read as missing, the age brackets of the imputation and the slang of forum posts.
 NA_TOKENS = ["?", "", " ", "N/A", "n/a", "NA", "na", "null", "NULL", "None"]
@@ -80,58 +81,51 @@ def age_bracket(age: str | Column) -> Column:
     return right_closed_bin(F.col(age) if isinstance(age, str) else age, BRACKET_EDGES, BRACKET_LABELS)
 
 
-FEW_GROUPS = 50
+FEW_GROUPS = 10_000
 
 
 @dataclass
 class MedianImputer:
     """Fills missing values with the median of the row's group, else with the overall median.
 
-    ``fit`` makes one pass that counts values per group; the medians are a handful of numbers, so ``transform``
-    is a projection without a join. The overall median is taken after the groups are filled.
+    ``fit`` makes one pass that counts values per group and writes one row per group; ``transform`` joins it, by
+    broadcast where it was counted to have at most ``FEW_GROUPS`` rows. The overall median is taken after the groups
+    are filled.
     """
 
     value: str
     group: str
-    medians: dict = field(default_factory=dict)
-    missing: dict = field(default_factory=dict)
+    table: DataFrame | None = None
     fallback: float | None = None
 
     def fit(self, df: DataFrame) -> MedianImputer:
-        counts = df.groupBy(F.col(self.group).alias("_g"), F.col(self.value).cast("double").alias("_v")).agg(
-            F.count(F.lit(1)).alias("_rows")).withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0))
+        counts = settle(
+            df.groupBy(F.col(self.group).alias("_g"), F.col(self.value).cast("double").alias("_v")).agg(F.count(F.lit(1)).alias("_rows"))
+            .withColumn("_n", F.when(F.col("_v").isNotNull(), F.col("_rows")).otherwise(0)), "_v", ["_g"])
         absent = F.sum(F.col("_rows") - F.col("_n")).alias("missing")
-        rows = weighted_quantiles(counts, "_v", "_n", {"median": 0.5}, ["_g"], extra=[absent]).limit(MAX_CLASSES + 1).collect()
-        if len(rows) > MAX_CLASSES:
-            raise ValueError(f"{self.group} has more than {MAX_CLASSES} groups")
-        self.missing = {r["_g"]: r["missing"] for r in rows}
-        self.medians = {r["_g"]: r["median"] for r in rows if r["_g"] is not None and r["median"] is not None}
-        if any(m and g not in self.medians for g, m in self.missing.items()):
-            filled = [(v, self.missing[g]) for g, v in self.medians.items() if self.missing[g]]
-            present = counts.where(F.col("_v").isNotNull()).select("_v", "_n")
-            weighted = present.union(literal_rows(df.sparkSession, filled, "_v double, _n bigint")).groupBy("_v").agg(F.sum("_n").alias("_n"))
-            row = weighted_quantiles(weighted, "_v", "_n", {"median": 0.5}).first()
+        found = weighted_quantiles(counts, "_v", "_n", {"median": 0.5}, ["_g"], extra=[absent], settled=True)
+        self.table = cut_lineage(found.withColumn("median", F.when(F.col("_g").isNotNull(), F.col("median"))))
+        if self.table.where("missing > 0 AND median IS NULL").limit(1).count():
+            present = counts.where("_v IS NOT NULL").select("_v", "_n")
+            filled = self.table.where("missing > 0 AND median IS NOT NULL").select("median", "missing")
+            row = weighted_quantiles(present.union(filled).groupBy("_v").agg(F.sum("_n").alias("_n")), "_v", "_n", {"median": 0.5}).first()
             self.fallback = row["median"] if row else None
         return self
 
+    @property
+    def medians(self) -> dict:
+        """The medians on the driver, to look at where groups are few."""
+        return {r["_g"]: r["median"] for r in self.table.where("median IS NOT NULL").collect()}
+
     def transform(self, df: DataFrame, out: str | None = None) -> DataFrame:
         name = out or self.value
-        value, fallback = F.col(self.value).cast("double"), F.lit(self.fallback).cast("double")
-        if len(self.medians) <= FEW_GROUPS:
-            choice = fallback
-            for g, median in self.medians.items():
-                choice = F.when(F.col(self.group) == F.lit(g), F.lit(median)).otherwise(choice)
-            return df.withColumn(name, F.coalesce(value, choice))
-        kind = df.schema[self.group].dataType.simpleString()
-        table = literal_rows(df.sparkSession, list(self.medians.items()), f"_g {kind}, _median double")  # at most MAX_CLASSES rows
-        joined = df.join(F.broadcast(table), F.col(self.group) == F.col("_g"), "left")
-        return joined.withColumn(name, F.coalesce(value, "_median", fallback)).drop("_g", "_median")
+        known = small_side(self.table.where("median IS NOT NULL").select("_g", F.col("median").alias("_median")), FEW_GROUPS)
+        filled = F.coalesce(F.col(self.value).cast("double"), "_median", F.lit(self.fallback).cast("double"))
+        return df.join(known, F.col(self.group) == F.col("_g"), "left").withColumn(name, filled).drop("_g", "_median")
 
     def bracket_table(self, df: DataFrame) -> DataFrame:
         """Group, median and how many values were missing."""
-        rows = [(g, self.medians.get(g), m) for g, m in self.missing.items()]
-        kind = df.schema[self.group].dataType.simpleString()
-        return literal_rows(df.sparkSession, rows, f"{self.group} {kind}, median double, missing bigint")
+        return self.table.select(F.col("_g").alias(self.group), "median", "missing")
 
 
 def align_union(main: DataFrame, other: DataFrame, derive: dict[str, Column]) -> DataFrame:

@@ -1,81 +1,43 @@
 """Ordered running totals, exact quantiles, row numbers and hash-ordered parts without a one-task window.
 
-The order of a whole table is never handed to a single task. Rows are first collapsed to distinct values, the
-value axis is cut into cells of equal weight, each cell is summed on its own and the few cell totals are turned
-into offsets. A value that holds a third of all rows is one row after the first step, and a group that holds a
-third of all rows is spread over a third of the cells.
+The order of a whole table is never handed to a single task. Rows are first collapsed to distinct values, Spark's
+range partitioning cuts the (group, value) order into cells of about equal size, each cell is summed on its own and
+the few cell totals are turned into offsets. A value that holds a third of all rows is one row after the first step,
+and a group that holds a third of all values is spread over a third of the cells. The same path runs at every size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import HASH_BITS, seeded_hash
-from caseloom.operators.reshape import literal_rows
 from caseloom.session import cut_lineage
 
-CELL_BYTES = 32 * 1024 * 1024
-MAX_CELLS = 4096
-HASH_CELL_BITS = 14
-MAX_CLASSES = 10_000
+CELL = "_cell"
+HASH_CELL_BITS = 20
+BROADCAST_ROWS = 10_000
 
 
-def plan_bytes(df: DataFrame) -> int | None:
-    """The optimizer's size estimate, or None when there is none to be had."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM plan at hand (Spark Connect): take the path that needs no estimate
-        return None
+def small_side(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marks a written table for broadcast if it was counted to have at most ``rows`` rows, else leaves the join to Spark."""
+    return F.broadcast(table) if table.limit(rows + 1).count() <= rows else table
 
 
-def cells_for(df: DataFrame) -> int:
-    """Number of value cells so that one cell is a comfortable task; 1 only for a provably small table."""
-    size = plan_bytes(df)
-    if size is not None and size <= CELL_BYTES:
-        return 1
-    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-    wanted = MAX_CELLS if size is None else size // CELL_BYTES + 1
-    return int(min(MAX_CELLS, max(width, wanted)))
+def settle(counts: DataFrame, value: str, group: Sequence[str] = (), cells: int | None = None) -> DataFrame:
+    """The table with the number of its cell in ``_cell``: runs of neighbours in the order of group and value.
 
-
-def cell_bounds(df: DataFrame, value: str, cells: int) -> list[float]:
-    """At most ``cells - 1`` ascending cut points of about equal weight.
-
-    The cuts come back to the driver (a bounded list) and enter the plan as literals, so that a recomputed task
-    can never see other cuts than the first attempt did.
+    Equal (group, value) pairs share a cell. There are ``spark.sql.shuffle.partitions`` cells, of which AQE joins small
+    ones, unless ``cells`` says how many. The cut is sampled, so the table is checkpointed with it: every later
+    reader, and a recomputed task, sees the same cells, and what the table was aggregated from is scanned once.
     """
-    if cells <= 1:
-        return []
-    steps = [i / cells for i in range(1, cells)]
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), steps, max(10_000, 10 * cells)).alias("b")).first()
-    return sorted(set(row["b"] or []))
-
-
-def cell_of(value: Column, bounds: Sequence[float]) -> Column:
-    """How many bounds lie strictly below the value (binary search over a literal array)."""
-    if not bounds:
-        return F.lit(0)
-    cuts = F.array(*[F.lit(float(b)) for b in bounds])
-    steps, width = [], 1
-    while width <= len(bounds):
-        steps.insert(0, width)
-        width *= 2
-    value = value.cast("double")
-    return F.aggregate(
-        F.array(*[F.lit(s) for s in steps]), F.lit(0),
-        lambda at, step: F.when(F.get(cuts, at + step - 1) < value, at + step).otherwise(at))
-
-
-def settle(counts: DataFrame, cells: int | None = None) -> tuple[DataFrame, int]:
-    """The table and its number of cells. A table of many cells is read several times, so it is checkpointed first:
-    what it was aggregated from is then scanned once, and a lost executor does not scan it again."""
-    cells = cells or cells_for(counts)
-    return (cut_lineage(counts), cells) if cells > 1 else (counts, cells)
+    order = [F.col(c) for c in (*group, value)]
+    cut = counts.repartitionByRange(cells, *order) if cells else counts.repartitionByRange(*order)
+    return cut_lineage(cut.withColumn(CELL, F.spark_partition_id()))
 
 
 def prefix_sums(counts: DataFrame, value: str, measures: Sequence[str], group: Sequence[str] = (),
@@ -83,38 +45,26 @@ def prefix_sums(counts: DataFrame, value: str, measures: Sequence[str], group: S
     """Adds ``below_<m>`` (sum over rows of the same group with a smaller value) and ``total_<m>`` per measure.
 
     ``counts`` should hold one row per (group, value). Rows with equal values are ordered arbitrarily. ``settled`` says
-    that the caller has settled the table already.
+    that the caller has settled the table already, by the same group and value.
     """
     group = list(group)
-    if not settled:
-        counts, cells = settle(counts, cells)
-    bounds = cell_bounds(counts, value, cells)
-    celled = counts.withColumn("_cell", cell_of(F.col(value), bounds))
-    inside = W.partitionBy(*group, "_cell").orderBy(value)
-    before = inside.rowsBetween(W.unboundedPreceding, -1)
-
-    def below(m: str) -> Column:
-        return F.coalesce(F.sum(m).over(before), F.lit(0))
-
-    if not bounds:
-        whole = W.partitionBy(*group, "_cell")
-        return celled.select("*", *[below(m).alias(f"below_{m}") for m in measures],
-                             *[F.sum(m).over(whole).alias(f"total_{m}") for m in measures]).drop("_cell")
-
-    per_cell = celled.groupBy(*group, "_cell").agg(*[F.sum(m).alias(m) for m in measures])
-    earlier = W.partitionBy(*group).orderBy("_cell").rowsBetween(W.unboundedPreceding, -1)
+    celled = counts if settled else settle(counts, value, group, cells)
+    before = W.partitionBy(*group, CELL).orderBy(value).rowsBetween(W.unboundedPreceding, -1)
+    local = celled.select("*", *[F.coalesce(F.sum(m).over(before), F.lit(0)).alias(f"_in_{m}") for m in measures])
+    # a cell holds a run of the order: there are at most as many totals as cells and groups together
+    per_cell = celled.groupBy(*group, CELL).agg(*[F.sum(m).alias(m) for m in measures])
+    earlier = W.partitionBy(*group).orderBy(CELL).rowsBetween(W.unboundedPreceding, -1)
     everything = W.partitionBy(*group)
     offsets = per_cell.select(
-        *[F.col(g).alias(f"_g_{g}") for g in group], F.col("_cell").alias("_at"),
+        *[F.col(g).alias(f"_g_{g}") for g in group], F.col(CELL).alias("_at"),
         *[F.coalesce(F.sum(m).over(earlier), F.lit(0)).alias(f"_off_{m}") for m in measures],
         *[F.sum(m).over(everything).alias(f"total_{m}") for m in measures])
-    local = celled.select("*", *[below(m).alias(f"_in_{m}") for m in measures])
-    # null-safe on purpose: a plain equality would push a filter into one branch only and the input would be read twice
-    match = local["_cell"].eqNullSafe(offsets["_at"])
+    match = local[CELL] == offsets["_at"]
     for g in group:
         match = match & local[g].eqNullSafe(offsets[f"_g_{g}"])
     return local.join(offsets, match).select(
-        *counts.columns, *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"below_{m}") for m in measures],
+        *[c for c in celled.columns if c != CELL],
+        *[(F.col(f"_in_{m}") + F.col(f"_off_{m}")).alias(f"below_{m}") for m in measures],
         *[f"total_{m}" for m in measures])
 
 
@@ -166,10 +116,11 @@ def number_rows(df: DataFrame, key: str, out: str = "row_number", block: str | N
     With ``block`` the numbers run through the listed blocks one after the other, each ordered by the key.
     """
     group = [block] if block else []
-    placed = prefix_sums(df.withColumn("_one", F.lit(1).cast("bigint")), key, ["_one"], group, cells)
+    celled = settle(df.withColumn("_one", F.lit(1).cast("bigint")), key, group, cells)
+    placed = prefix_sums(celled, key, ["_one"], group, settled=True)
     start = F.lit(0)
     if block:
-        sizes = {r[0]: r[1] for r in df.where(F.col(block).isin(list(blocks))).groupBy(block).count().collect()}
+        sizes = {r[0]: r[1] for r in celled.where(F.col(block).isin(list(blocks))).groupBy(block).count().collect()}
         begin, branch = 0, None
         for name in blocks:
             hit = F.col(block) == name
@@ -182,59 +133,50 @@ def number_rows(df: DataFrame, key: str, out: str = "row_number", block: str | N
 
 @dataclass
 class HashParts:
-    """Cut points of the seeded hash order per class: row-local once fitted, so applying it needs no shuffle."""
+    """Cut points of the seeded hash order per class, as a table (_cut_label, _cuts)."""
 
     key: list[str]
     label: str
     seed: int
-    cuts: dict = field(default_factory=dict)
+    cuts: DataFrame
 
     def transform(self, df: DataFrame, out: str) -> DataFrame:
         """Adds the part number, 0 .. number of cuts; rows of a class not seen by ``fit`` get NULL."""
-        hashed = seeded_hash(self.key, self.seed)
-        branch = F.lit(None).cast("int")
-        for label, cuts in self.cuts.items():
-            part = F.lit(0)
-            for cut in cuts:
-                part = part + F.when(F.col("_hash") >= F.lit(cut), 1).otherwise(0)
-            branch = F.when(F.col(self.label).eqNullSafe(F.lit(label)), part).otherwise(branch)
-        return df.withColumn("_hash", hashed).withColumn(out, branch).drop("_hash")
+        hashed = df.withColumn("_hash", seeded_hash(self.key, self.seed))
+        known = hashed.join(small_side(self.cuts), F.col(self.label).eqNullSafe(F.col("_cut_label")), "left")
+        part = F.size(F.filter("_cuts", lambda cut: F.col("_hash") >= cut))
+        return known.withColumn(out, F.when(F.col("_cuts").isNotNull(), part)).drop("_hash", "_cut_label", "_cuts")
 
 
 def hash_parts(df: DataFrame, key: str | Sequence[str], label: str, starts: Sequence[Column], seed: int = 42) -> HashParts:
     """Finds, per class, the hash value at each rank in ``starts`` (expressions over the class size ``n``).
 
-    The first pass counts rows per hash prefix; only the rows of the prefixes that hold a wanted rank are ever
-    sorted. Copies of a key always land in the same part.
+    The first pass counts rows per hash prefix; only the rows of the prefixes that hold a wanted rank, about one in a
+    million of the class each, are ever sorted. Copies of a key always land in the same part. The classes and their
+    cuts stay in tables, whatever their number.
     """
     keys = [key] if isinstance(key, str) else list(key)
     hashed = df.select(F.col(label).alias("_label"), seeded_hash(keys, seed).alias("_hash")).withColumn(
-        "_cell", F.shiftright("_hash", HASH_BITS - HASH_CELL_BITS))
-    per_cell = hashed.groupBy("_label", "_cell").agg(F.count(F.lit(1)).alias("_n"))
-    run = W.partitionBy("_label").orderBy("_cell")
+        CELL, F.shiftright("_hash", HASH_BITS - HASH_CELL_BITS))
+    per_cell = hashed.groupBy("_label", CELL).agg(F.count(F.lit(1)).alias("_n"))
+    run = W.partitionBy("_label").orderBy(CELL)
     placed = per_cell.select(
         "*", F.coalesce(F.sum("_n").over(run.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)).alias("_below"),
         F.sum("_n").over(W.partitionBy("_label")).alias("n"))
     wanted = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), s.cast("bigint").alias("rank"))
                                  for i, s in enumerate(starts)]))
-    cells = (placed.select("_label", "_cell", "_below", "_n", "n", wanted.alias("_w"))
-             .where((F.col("_w.rank") >= F.col("_below")) & (F.col("_w.rank") < F.col("_below") + F.col("_n"))
-                    | ((F.col("_w.rank") >= F.col("n")) & (F.col("_below") == 0)))
-             .select(F.col("_label").alias("_l"), F.col("_cell").alias("_c"), "_w.i", "n", "_w.rank", "_below"))
-    found = cells.limit(MAX_CLASSES * len(starts) + 1).collect()
-    if len(found) > MAX_CLASSES * len(starts):
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes; it is not a label")
-    top = 1 << HASH_BITS
-    cuts: dict = {r["_l"]: [top] * len(starts) for r in found}
-    inner = [r for r in found if r["rank"] < r["n"]]
-    if inner:
-        schema = "_l {}, _c bigint, i int, r bigint".format(hashed.schema["_label"].dataType.simpleString())
-        small = literal_rows(df.sparkSession, [(r["_l"], r["_c"], r["i"], r["rank"] - r["_below"] + 1) for r in inner], schema)
-        boundary = hashed.join(F.broadcast(small.select("_l", "_c").distinct()),
-                               F.col("_label").eqNullSafe(F.col("_l")) & (F.col("_cell") == F.col("_c")), "left_semi")
-        ranked = boundary.withColumn("_r", F.row_number().over(W.partitionBy("_label", "_cell").orderBy("_hash")))
-        exact = ranked.join(F.broadcast(small), F.col("_label").eqNullSafe(F.col("_l")) & (F.col("_cell") == F.col("_c"))
-                            & (F.col("_r") == F.col("r"))).select("_label", "i", "_hash")
-        for r in exact.collect():
-            cuts[r["_label"]][r["i"]] = r["_hash"]
-    return HashParts(keys, label, seed, cuts)
+    rank, below = F.col("_w.rank"), F.col("_below")
+    found = cut_lineage(
+        placed.select("_label", CELL, "_below", "_n", "n", wanted.alias("_w"))
+        .where((rank >= below) & (rank < below + F.col("_n")) | ((rank >= F.col("n")) & (below == 0)))
+        .select(F.col("_label").alias("_l"), F.col(CELL).alias("_c"), "_w.i",
+                F.when(rank < F.col("n"), rank - below + 1).alias("_at")))
+    inner = found.where(F.col("_at").isNotNull())
+    same = F.col("_label").eqNullSafe(F.col("_l")) & (F.col(CELL) == F.col("_c"))
+    boundary = hashed.join(small_side(inner.select("_l", "_c").distinct()), same, "left_semi")
+    ranked = boundary.withColumn("_r", F.row_number().over(W.partitionBy("_label", CELL).orderBy("_hash")))
+    exact = ranked.join(small_side(inner), same & (F.col("_r") == F.col("_at"))).select("_l", "i", "_hash")
+    beyond = found.where(F.col("_at").isNull()).select("_l", "i", F.lit(1 << HASH_BITS).cast("bigint").alias("_hash"))
+    cuts = exact.union(beyond).groupBy(F.col("_l").alias("_cut_label")).agg(
+        F.sort_array(F.collect_list(F.struct("i", "_hash"))).alias("_by_start"))  # one entry per start, not per row
+    return HashParts(keys, label, seed, cut_lineage(cuts.select("_cut_label", F.col("_by_start._hash").alias("_cuts"))))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from caseloom.functions.scalar import decode
 from caseloom.operators.ranks import number_rows
 from caseloom.operators.reshape import union_all
+from caseloom.session import cut_lineage
 
 
 @dataclass
@@ -45,22 +46,30 @@ class Star:
 
 
 def assign_keys(cohorts: Sequence[Cohort], key: str = "patient_id", cells: int | None = None) -> DataFrame:
-    """(source, order value, key): ids count up from 1 through the cohorts in the given order, without gaps."""
+    """(source, order value, key): ids count up from 1 through the cohorts in the given order, without gaps.
+
+    An order value that occurs twice in a cohort is an error: its rows could not be told apart. The keys are written
+    once, so that dimension and facts see the same ones.
+    """
     slim = union_all([c.frame.select(F.lit(c.source).alias("_source"), F.col(c.order).cast("bigint").alias("_order"))
                       for c in cohorts])
-    return number_rows(slim, "_order", key, "_source", [c.source for c in cohorts], cells)
+    once = slim.groupBy("_source", "_order").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = F.raise_error(F.concat(F.lit("order value occurs more than once in "), F.col("_source"), F.lit(": "), F.col("_order")))
+    unique = once.select("_source", F.when(F.col("_n") == 1, F.col("_order")).otherwise(repeated.cast("bigint")).alias("_order"))
+    return cut_lineage(number_rows(unique, "_order", key, "_source", [c.source for c in cohorts], cells))
 
 
 def build_star(cohorts: Sequence[Cohort], key: str = "patient_id", source: str = "source_dataset",
                cells: int | None = None) -> Star:
-    """Keys every cohort once and splits each keyed row into its dimension row and its fact row."""
+    """Keys every cohort once, writes the keyed rows and splits each into its dimension row and its fact row."""
     keys = assign_keys(cohorts, key, cells)
     dims, facts = [], {}
     for c in cohorts:
         own = keys.where(F.col("_source") == c.source).select(F.col("_order").alias("_k"), key)
-        keyed = c.frame.join(own, c.frame[c.order].cast("bigint") == own["_k"])
-        dims.append(keyed.select(key, *[e.alias(n) for n, e in c.dim.items()], F.lit(c.source).alias(source)))
-        facts[f"fact_{c.source}"] = keyed.select(key, *[e.alias(n) for n, e in c.fact.items()])
+        keyed = cut_lineage(c.frame.join(own, c.frame[c.order].cast("bigint") == own["_k"]).select(
+            key, *[e.alias(f"_dim_{n}") for n, e in c.dim.items()], *[e.alias(f"_fact_{n}") for n, e in c.fact.items()]))
+        dims.append(keyed.select(key, *[F.col(f"_dim_{n}").alias(n) for n in c.dim], F.lit(c.source).alias(source)))
+        facts[f"fact_{c.source}"] = keyed.select(key, *[F.col(f"_fact_{n}").alias(n) for n in c.fact])
     return Star(union_all(dims), facts, key, source)
 
 

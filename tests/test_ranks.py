@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.operators import features
-from caseloom.operators.ranks import cell_bounds, cell_of, hash_parts, number_rows, prefix_sums, quantiles
+from caseloom.operators.ranks import hash_parts, number_rows, prefix_sums, quantiles, settle
 
 
 @pytest.fixture(scope="module")
@@ -48,11 +48,23 @@ def test_lower_median(spark):
 
 
 def test_cells_respect_order(spark):
-    df = spark.range(1000).select((F.col("id") % 97).cast("double").alias("v"))
-    bounds = cell_bounds(df, "v", 8)
-    assert 0 < len(bounds) <= 7 and bounds == sorted(bounds)
-    got = [(r["v"], r["c"]) for r in df.select("v", cell_of(F.col("v"), bounds).alias("c")).distinct().collect()]
-    assert all(c == sum(1 for b in bounds if b < v) for v, c in got)
+    df = spark.range(1000).select((F.col("id") % 97).cast("double").alias("v"), (F.col("id") % 3).alias("g"))
+    rows = settle(df, "v", ["g"], 8).collect()
+    assert len({r["_cell"] for r in rows}) > 4
+    assert [r["_cell"] for r in sorted(rows, key=lambda r: (r["g"], r["v"], r["_cell"]))] == sorted(r["_cell"] for r in rows)
+    assert len({(r["g"], r["v"], r["_cell"]) for r in rows}) == 3 * 97
+
+
+def test_many_classes_are_split_too(spark):
+    df = spark.range(22_002).select("id", (F.col("id") % 11_001).alias("y"))
+    sizes = features.stratified_split(df, "id", "y", 0.5).groupBy("split").count().collect()
+    assert {r["split"]: r["count"] for r in sizes} == {"test": 11_001, "train": 11_001}
+
+
+def test_no_estimate_decides_the_path(spark):
+    many = spark.range(300).select(F.explode(F.sequence(F.lit(0), F.lit(999))).alias("i"), "id").select((F.col("id") * 1000 + F.col("i")).alias("k"))
+    got = number_rows(many, "k", "n", cells=16).where(F.col("n") != F.col("k") + 1).count()
+    assert got == 0
 
 
 @pytest.mark.parametrize("cells", [1, 8])
