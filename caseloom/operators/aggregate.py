@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import percent, ratio, seeded_hash
-from caseloom.operators.ranks import settle, weighted_quantiles
+from caseloom.operators.ranks import hash_parts, settle, weighted_quantiles
 from caseloom.operators.reshape import long_counts, to_long, union_all
 
 
@@ -78,12 +78,13 @@ def sample_per_class(df: DataFrame, key: str | Sequence[str], label: str, size:
                      classes: Sequence | None = None) -> DataFrame:
     """The first ``size`` rows of each class in seeded hash order; classes not listed are kept whole.
 
-    The rank limit is pushed below the shuffle, so a huge class sends only ``size`` rows per task.
+    The hash at rank ``size`` is found first; only the rows up to it, ``size`` and ties of their hash, are ranked.
     """
     keys = [key] if isinstance(key, str) else list(key)
     ordered = df.withColumn("_h", seeded_hash(keys, seed))
     limited = ordered if classes is None else ordered.where(F.col(label).isin(list(classes)))
-    picked = (limited.withColumn("_r", F.row_number().over(W.partitionBy(label).orderBy("_h", *keys)))
+    within = hash_parts(limited, keys, label, [F.lit(size - 1)], seed).transform(limited, "_part", closed=True).where("_part = 0").drop("_part")
+    picked = (within.withColumn("_r", F.row_number().over(W.partitionBy(label).orderBy("_h", *keys)))
               .where(F.col("_r") <= size).drop("_r"))
     if classes is not None:
         picked = picked.unionByName(ordered.where(~F.col(label).isin(list(classes))))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import ratio, safe_ratio
-from caseloom.operators.ranks import prefix_sums
+from caseloom.operators.ranks import CELL, prefix_sums, settle
 from caseloom.operators.reshape import union_all
 
 # The threshold grid 0.05 .. 0.95, the precision floor of the clinical threshold, the overfit gap.
@@ -53,12 +53,16 @@ def metric_columns() -> dict[str, Column]:
     }
 
 
-def metrics(predictions: DataFrame, group: Sequence[str] = (), digits: int | None = None) -> DataFrame:
-    """Binary and class-weighted metrics per group."""
+def _metrics_of(counts: DataFrame, group: Sequence[str], digits: int | None) -> DataFrame:
     columns = metric_columns()
     if digits is not None:
         columns = {k: F.round(v, digits) for k, v in columns.items()}
-    return confusion(predictions, group).select(*group, "tn", "fp", "fn", "tp", *[v.alias(k) for k, v in columns.items()])
+    return counts.select(*group, "tn", "fp", "fn", "tp", *[v.alias(k) for k, v in columns.items()])
+
+
+def metrics(predictions: DataFrame, group: Sequence[str] = (), digits: int | None = None) -> DataFrame:
+    """Binary and class-weighted metrics per group."""
+    return _metrics_of(confusion(predictions, group), group, digits)
 
 
 def class_report(predictions: DataFrame, group: Sequence[str] = ()) -> DataFrame:
@@ -84,7 +88,11 @@ def class_report(predictions: DataFrame, group: Sequence[str] = ()) -> DataFrame
 def _score_counts(predictions: DataFrame, group: Sequence[str], cells: int | None) -> DataFrame:
     counts = predictions.where(F.col("probability").isNotNull()).groupBy(*group, "probability").agg(
         F.count_if(F.col("label") == 0).alias("n0"), F.count_if(F.col("label") == 1).alias("n1"))
-    placed = prefix_sums(counts, "probability", ["n0", "n1"], group, cells)
+    return _above(counts, group, cells)
+
+
+def _above(counts: DataFrame, group: Sequence[str], cells: int | None = None, settled: bool = False) -> DataFrame:
+    placed = prefix_sums(counts, "probability", ["n0", "n1"], group, cells, settled)
     return placed.withColumns({"tp": F.col("total_n1") - F.col("below_n1"), "fp": F.col("total_n0") - F.col("below_n0")})
 
 
@@ -104,7 +112,10 @@ def pr_points(predictions: DataFrame, group: Sequence[str] = (), cells: int | No
 
 def ranking_scores(predictions: DataFrame, group: Sequence[str] = (), cells: int | None = None) -> DataFrame:
     """ROC AUC (ties count half) and average precision, sum of (R_i - R_i-1) * P_i, per group."""
-    at = _score_counts(predictions, group, cells)
+    return _areas(_score_counts(predictions, group, cells), group)
+
+
+def _areas(at: DataFrame, group: Sequence[str]) -> DataFrame:
     wins = F.sum(F.col("n1") * (F.col("below_n0") + F.col("n0") / 2.0))
     steps = F.sum(F.col("n1") * F.col("tp") / (F.col("tp") + F.col("fp")))
     return at.groupBy(*group).agg(wins.alias("w"), steps.alias("s"), F.max("total_n0").alias("m"), F.max("total_n1").alias("k")).select(
@@ -112,9 +123,17 @@ def ranking_scores(predictions: DataFrame, group: Sequence[str] = (), cells: int
 
 
 def full_evaluation(predictions: DataFrame, group: Sequence[str], digits: int = 4) -> DataFrame:
-    """Metrics and ranking scores per group. Groups without probabilities get 0 for both areas."""
-    left = metrics(predictions, group, digits)
-    right = ranking_scores(predictions, group).select(
+    """Metrics and ranking scores per group. Groups without probabilities get 0 for both areas.
+
+    The predictions are read once: both sides come from the counts per group and probability, which are written.
+    """
+    cells = ("tn", "fp", "fn", "tp")
+    counted = confusion(predictions, [*group, "probability"])
+    written = settle(counted, "probability", group)
+    left = _metrics_of(written.groupBy(*group).agg(*[F.sum(c).alias(c) for c in cells]), group, digits)
+    classes = written.where(F.col("probability").isNotNull()).select(
+        *group, "probability", CELL, (F.col("tn") + F.col("fp")).alias("n0"), (F.col("fn") + F.col("tp")).alias("n1"))
+    right = _areas(_above(classes, group, settled=True), group).select(
         *[F.col(g).alias(f"_{g}") for g in group], F.round("roc_auc", digits).alias("roc_auc"), F.round("pr_auc", digits).alias("pr_auc"))
     on = [left[g].eqNullSafe(right[f"_{g}"]) for g in group]
     joined = left.join(right, on, "left")

@@ -18,6 +18,7 @@ from caseloom.operators.reshape import literal_rows
 from caseloom.session import shared_dir
 
 ROWS_PER_BLOCK = 50_000
+ROWS_PER_SOLVE = 512
 MAX_NODES = 5_000_000
 MAX_TABLE_BYTES = 64 * 1024 * 1024
 TOP_SHARE = 0.75
@@ -52,10 +53,11 @@ def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Se
         rolled = np.stack([np.roll(x, -r, axis=0) for r in range(1, repeats + 1)], axis=1).reshape(len(p), repeats * width)
         return pd.DataFrame({"_y": p["_y"].to_numpy(), "_x": list(x), "_donors": list(rolled)})
     with_donors = dealt.groupBy("_block").applyInPandas(borrow, "_y int, _x array<double>, _donors array<double>")
-    variants = F.explode(F.sequence(F.lit(-1), F.lit(repeats * width - 1)))
-    spread = with_donors.select("_y", "_x", "_donors", variants.alias("_v"))
+    # a copy of a row carries the one value it borrows, not those of all variants; the first copy borrows none
+    variants = F.posexplode(F.concat(F.array(F.lit(None).cast("double")), "_donors")).alias("_n", "_borrowed")
+    spread = with_donors.select("_y", "_x", variants).withColumn("_v", F.col("_n") - 1)
     at = F.pmod("_v", F.lit(width))
-    columns = [F.when((F.col("_v") >= 0) & (at == i), F.get("_donors", F.col("_v"))).otherwise(F.get("_x", F.lit(i))).alias(f) for i, f in enumerate(names)]
+    columns = [F.when((F.col("_v") >= 0) & (at == i), F.col("_borrowed")).otherwise(F.get("_x", F.lit(i))).alias(f) for i, f in enumerate(names)]
     scored = predict(spread.select("_y", "_v", *columns))
     accuracy = scored.groupBy("_v").agg(F.avg((F.col("prediction") == F.col("_y")).cast("double")).alias("a"))
     # one row per (feature, repeat), compared with the untouched variant
@@ -200,17 +202,22 @@ def local_surrogates(df: DataFrame, features: Sequence[str], mean: dict[str, flo
     shared = spark.sparkContext.broadcast((z, target))
     width2 = 0.75 * 0.75 * d
 
+    def weights_of(x: np.ndarray, p: np.ndarray, z: np.ndarray, target: np.ndarray, products: np.ndarray) -> np.ndarray:
+        """Ridge weights of a block of rows. The perturbations are shared, so all Gram matrices are one matrix product."""
+        w = np.sqrt(np.exp(-np.maximum((x * x).sum(1)[:, None] - 2 * x @ z.T + (z * z).sum(1), 0) / width2))
+        size = w.sum(1) + 1  # the row itself has weight 1
+        mean_x, mean_y = (w @ z + x) / size[:, None], (w @ target + p) / size
+        gram = (w @ products).reshape(-1, d, d) + x[:, :, None] * x[:, None, :] - size[:, None, None] * mean_x[:, :, None] * mean_x[:, None, :]
+        right = (w * target) @ z + x * p[:, None] - (size * mean_y)[:, None] * mean_x
+        return np.linalg.solve(gram + np.eye(d), right[:, :, None])[:, :, 0]
+
     def solve(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         z, target = shared.value
+        products = (z[:, :, None] * z[:, None, :]).reshape(len(z), d * d)
         for p in batches:
-            x = (p[names].to_numpy(dtype=float) - centre) / spread
-            weights = np.zeros((len(p), d))
-            for i in range(len(p)):
-                a, y = np.vstack([x[i], z]), np.append(p["probability"].iloc[i], target)
-                w = np.sqrt(np.exp(-((a - x[i]) ** 2).sum(axis=1) / width2))
-                a, y = a - np.average(a, axis=0, weights=w), y - np.average(y, weights=w)
-                weights[i] = np.linalg.solve((a * w[:, None]).T @ a + np.eye(d), (a * w[:, None]).T @ y)
-            yield pd.concat([p[kept].reset_index(drop=True), pd.DataFrame(weights, columns=names)], axis=1)
+            x, y = (p[names].to_numpy(dtype=float) - centre) / spread, p["probability"].to_numpy(dtype=float)
+            blocks = [weights_of(x[i:i + ROWS_PER_SOLVE], y[i:i + ROWS_PER_SOLVE], z, target, products) for i in range(0, len(p), ROWS_PER_SOLVE)]
+            yield pd.concat([p[kept].reset_index(drop=True), pd.DataFrame(np.concatenate([np.zeros((0, d)), *blocks]), columns=names)], axis=1)
     scored = predict(df).select(*kept, *[F.col(f"`{n}`").cast("double").alias(n) for n in names], "probability")
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema.fields] + [f"`{n}` double" for n in names])
     wide = scored.mapInPandas(solve, schema)

@@ -26,10 +26,15 @@ def shape(df: DataFrame) -> DataFrame:
         "n_rows", F.lit(len(df.columns)).alias("n_cols"), F.lit(",".join(df.columns)).alias("columns"))
 
 
+def missing_counts(df: DataFrame) -> DataFrame:
+    """Missing values per column beside the number of rows, all columns in one pass."""
+    wide = df.agg(*_null_counts(df), F.count(F.lit(1)).alias("_rows"))
+    return wide.unpivot(["_rows"], df.columns, "column_name", "missing")
+
+
 def missing_profile(df: DataFrame) -> DataFrame:
     """Missing values per column, all columns in one pass; most missing first."""
-    wide = df.agg(*_null_counts(df), F.count(F.lit(1)).alias("_rows"))
-    return (wide.unpivot(["_rows"], df.columns, "column_name", "missing")
+    return (missing_counts(df)
             .select("column_name", "missing", percent(F.col("missing"), F.col("_rows"), 4).alias("pct_of_rows"))
             .orderBy(F.desc("missing"), "column_name"))
 

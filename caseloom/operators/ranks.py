@@ -140,11 +140,14 @@ class HashParts:
     seed: int
     cuts: DataFrame
 
-    def transform(self, df: DataFrame, out: str) -> DataFrame:
-        """Adds the part number, 0 .. number of cuts; rows of a class not seen by ``fit`` get NULL."""
+    def transform(self, df: DataFrame, out: str, closed: bool = False) -> DataFrame:
+        """Adds the part number, 0 .. number of cuts; rows of a class not seen by ``fit`` get NULL.
+
+        A row at a cut starts the next part, or, if ``closed``, ends the one before.
+        """
         hashed = df.withColumn("_hash", seeded_hash(self.key, self.seed))
         known = hashed.join(small_side(self.cuts), F.col(self.label).eqNullSafe(F.col("_cut_label")), "left")
-        part = F.size(F.filter("_cuts", lambda cut: F.col("_hash") >= cut))
+        part = F.size(F.filter("_cuts", lambda cut: F.col("_hash") > cut if closed else F.col("_hash") >= cut))
         return known.withColumn(out, F.when(F.col("_cuts").isNotNull(), part)).drop("_hash", "_cut_label", "_cuts")
 
 

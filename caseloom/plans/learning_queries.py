@@ -18,7 +18,7 @@ from caseloom.plans import intake, rendered
 from caseloom.plans.analysis_queries import LINE_KEY, sql_hash
 from caseloom.plans.catalog import Catalog
 from caseloom.plans.fixtures import AQ_ITEMS, OBS_FLAGS, OBS_MEASURES, SYMPTOMS, with_ctes
-from caseloom.session import shared_dir
+from caseloom.session import cut_lineage, shared_dir
 from caseloom.sources import files
 
 catalog = Catalog()
@@ -109,10 +109,19 @@ def fe6b(spark, sf):
     return out.withColumns({c: F.round(c, 6) for c in _SMOTE_X})
 
 
-@query("fe7_smote_folds")
+# sizes in closed form: a fold holds the ranks from ceil(n*f/5) on; what is left of the minority is raised to the majority
+_SMOTE_FOLDS_SQL = with_ctes(
+    "fact_stroke", c="SELECT label, COUNT(*) AS n FROM fact_stroke f JOIN dim_patient d ON d.patient_id=f.patient_id GROUP BY label",
+    h="SELECT label, n, CAST(f AS INT) AS cv_fold, CAST(CEIL(n*(f+1)/5.0) - CEIL(n*f/5.0) AS BIGINT) AS held FROM c, (SELECT UNNEST(range(0, 5)) AS f)",
+    t="SELECT *, n - held AS own, MAX(n - held) OVER (PARTITION BY cv_fold) AS most FROM h") + """
+SELECT cv_fold, 'train' AS part, label, most AS n, most - own AS synthetic FROM t
+UNION ALL SELECT cv_fold, 'valid', label, held, CAST(0 AS BIGINT) FROM t WHERE held > 0"""
+
+
+@query("fe7_smote_folds", _SMOTE_FOLDS_SQL)
 def fe7(spark, sf):
-    folded = features.stratified_folds(_stroke_rows(spark, sf), "patient_id", k=3)
-    made = features.smote_folds(folded, "patient_id", _SMOTE_X, folds=range(3))
+    folded = features.stratified_folds(_stroke_rows(spark, sf), "patient_id", k=5)
+    made = features.smote_folds(folded, "patient_id", _SMOTE_X, folds=range(5))
     return made.groupBy("cv_fold", "part", "label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("copy") > 0).alias("synthetic"))
 
 
@@ -195,9 +204,11 @@ def fs5b(spark, sf):
 
 @query("fs6_compare")
 def fs6(spark, sf):
-    data = _folded(spark, sf, "diabetes", 3).persist()
-    forest = models.Recipe("forest", lambda n: RandomForestClassifier(numTrees=20, maxDepth=5, featureSubsetStrategy="sqrt", seed=42))
-    out = models.compare_subsets(data, {"Baseline (All)": SYMPTOMS, "Half": SYMPTOMS[:7]}, folds=3, recipe=forest)
+    data = _folded(spark, sf, "diabetes", 5).persist()
+    ranked = select.aggregate_ranks(select.feature_scores(data, SYMPTOMS, discrete=SYMPTOMS), select.default_top(len(SYMPTOMS)))
+    chosen, _ = GeneticSearch(SYMPTOMS).run(data)
+    subsets = {"Baseline (All)": SYMPTOMS, "Heuristic": [r["feature"] for r in ranked.collect()], "Genetic": list(chosen)}
+    out = models.compare_subsets(data, subsets)
     rows = out.collect()
     data.unpersist()
     return spark.createDataFrame(rows, out.schema)
@@ -205,7 +216,7 @@ def fs6(spark, sf):
 
 # --- models ---
 
-def _split_folds(spark, sf, k: int = 3):
+def _split_folds(spark, sf, k: int = 5):
     rows = features.stratified_split(_stroke_rows(spark, sf).withColumn("bmi", F.coalesce("bmi", F.lit(50.0))), "patient_id")
     train = features.stratified_folds(rows.where("split = 'train'"), "patient_id", k=k, seed=7)
     return train, rows.where("split = 'test'")
@@ -214,7 +225,7 @@ def _split_folds(spark, sf, k: int = 3):
 def _evaluated(spark, sf, names: list[str], rounds: int = 100):
     train, test = _split_folds(spark, sf)
     recipes = {n: r for n, r in models.recipes(rounds=rounds).items() if n in names}
-    return models.train_and_evaluate(train, test, STROKE_FEATURES, recipes, folds=3).results
+    return models.train_and_evaluate(train, test, STROKE_FEATURES, recipes, folds=5).results
 
 
 @query("ml1_logistic")
@@ -253,7 +264,7 @@ def ml5(spark, sf):
 
 def _members(spark, sf):
     train, test = _split_folds(spark, sf)
-    prepared = models.prepare(train, STROKE_FEATURES, keep=["fold"]).persist()
+    prepared = cut_lineage(models.prepare(train, STROKE_FEATURES, keep=["fold"]))
     return prepared, models.prepare(test, STROKE_FEATURES, train=train)
 
 
@@ -282,7 +293,7 @@ def ml8(spark, sf):
 @query("ml9_stacking")
 def ml9(spark, sf):
     prepared, held = _members(spark, sf)
-    stacked = models.fit_stacking(prepared, models.base_recipes(), folds=3)
+    stacked = models.fit_stacking(prepared, models.base_recipes(), folds=5)
     return evaluate.full_evaluation(models.predictions_of(stacked, held), ["model"])
 
 
@@ -295,7 +306,7 @@ def ml10(spark, sf):
 
 def _forest(spark, sf, source: str, names: list[str]):
     data = models.prepare(fx.fact(spark, sf, source), names)
-    return RandomForestClassifier(numTrees=10, maxDepth=4, labelCol="label", featuresCol=models.FEATURES, weightCol=models.WEIGHT, seed=42).fit(data)
+    return RandomForestClassifier(numTrees=100, maxDepth=4, labelCol="label", featuresCol=models.FEATURES, weightCol=models.WEIGHT, seed=42).fit(data)
 
 
 @query("xa1_tree_importance")
@@ -307,7 +318,7 @@ _FLAGS = ["f1", "f2", "f3"]
 _HASHED = f"SELECT label, f1, f2, f3, {sql_hash(LINE_KEY)} % 4 AS block, ROW_NUMBER() OVER (PARTITION BY {sql_hash(LINE_KEY)} % 4 ORDER BY {sql_hash(LINE_KEY)}) - 1 AS pos, COUNT(*) OVER (PARTITION BY {sql_hash(LINE_KEY)} % 4) AS n FROM obs"
 
 
-@query("xa2_permutation", with_ctes("obs", h=_HASHED, v="SELECT a.label, a.f1, a.f2, a.f3, b.f1 AS d1, b.f2 AS d2, b.f3 AS d3, r FROM h a, (SELECT UNNEST([1, 2, 3]) AS r) JOIN h b ON b.block = a.block AND b.pos = (a.pos + r) % a.n") + """
+@query("xa2_permutation", with_ctes("obs", h=_HASHED, v="SELECT a.label, a.f1, a.f2, a.f3, b.f1 AS d1, b.f2 AS d2, b.f3 AS d3, r FROM h a, (SELECT UNNEST(range(1, 11)) AS r) JOIN h b ON b.block = a.block AND b.pos = (a.pos + r) % a.n") + """
 SELECT feature, ROUND(AVG(d), 8) AS importance_mean, ROUND(STDDEV_POP(d), 8) AS importance_std FROM (
  SELECT feature, (SELECT AVG(CASE WHEN (CASE WHEN f1+f2+f3 >= 2 THEN 1 ELSE 0 END) = label THEN 1.0::DOUBLE ELSE 0 END) FROM obs) - AVG(CASE WHEN p = label THEN 1.0::DOUBLE ELSE 0 END) AS d FROM (
  SELECT 'f1' AS feature, r, label, CASE WHEN d1+f2+f3 >= 2 THEN 1 ELSE 0 END AS p FROM v UNION ALL SELECT 'f2', r, label, CASE WHEN f1+d2+f3 >= 2 THEN 1 ELSE 0 END FROM v
@@ -315,7 +326,7 @@ SELECT feature, ROUND(AVG(d), 8) AS importance_mean, ROUND(STDDEV_POP(d), 8) AS
 def xa2(spark, sf):
     def predict(df):
         return df.withColumn("prediction", F.when(F.col("f1") + F.col("f2") + F.col("f3") >= 2, 1).otherwise(0))
-    out = explain.permutation_importance(fx.obs(spark, sf), KEYS, _FLAGS, predict, repeats=3, blocks=4)
+    out = explain.permutation_importance(fx.obs(spark, sf), KEYS, _FLAGS, predict, repeats=10, blocks=4)
     return out.withColumns({c: F.round(c, 8) for c in ("importance_mean", "importance_std")})
 
 
@@ -335,7 +346,7 @@ def xa4(spark, sf):
 
     def predict(df):
         return fitted.transform(models.assembler(names).transform(df)).drop(models.FEATURES)
-    return explain.local_surrogates(rows, names, scaler.mean, scaler.std, predict, ["patient_id"], samples=1000)
+    return explain.local_surrogates(rows, names, scaler.mean, scaler.std, predict, ["patient_id"], samples=5000)
 
 
 # --- rules ---
