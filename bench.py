@@ -15,7 +15,8 @@ HEADLINE = [
     "ol18_rollup_topk", "val4_orphans", "prf2_missing", "prf4_categories", "prf8_describe", "cln9_median_impute", "cln13_surrogate",
     "ag3_crosstab_pct", "ag9_box", "st1_chi2", "st2_mannwhitney", "st4_ks", "ev2_metrics", "ev3b_auc", "ev6_sweep",
     "fe2_split", "fe3_scale", "fe6_smote", "fs4_rank_agg", "txt2_split", "txt5_autism_notes", "txt13_diabetes_records",
-    "txt15_stroke_notes", "xa5_rules",
+    "txt15_stroke_notes", "xa5_rules", "cln14_split_star", "txt18_coverage", "ml1_logistic", "ml7_naive_bayes", "xa2_permutation",
+    "xa3_shap", "xa4_local_surrogates",
 ]
 
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.operators.star import Star
+from caseloom.session import cut_lineage
 
 AQ_ITEMS = [f"a{i}" for i in range(1, 11)]
 SYMPTOMS = ["polyuria", "polydipsia", "sudden_weight_loss", "weakness", "polyphagia", "genital_thrush", "visual_blurring",
@@ -115,7 +116,11 @@ def fact(spark: SparkSession, sf_dir: str, source: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    return Star(dim_patient(spark, sf_dir), {f"fact_{s}": fact(spark, sf_dir, s) for s in _FACTS})
+    """All cohorts at once: orders are aggregated and joined once, the result is written and split by cohort."""
+    dim = dim_patient(spark, sf_dir)
+    members = dim.select("patient_id", "source_dataset")
+    keyed = cut_lineage(per_customer(spark, sf_dir).join(members, F.col("o_custkey") == F.col("patient_id")))
+    return Star(dim, {f"fact_{s}": keyed.where(F.col("source_dataset") == s).select("patient_id", *_exprs(_FACTS[s])) for s in _FACTS})
 
 
 def obs(spark: SparkSession, sf_dir: str, category: bool = False) -> DataFrame:

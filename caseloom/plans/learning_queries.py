@@ -8,14 +8,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.configs import rules as rule_sets
-from caseloom.operators import evaluate, explain, features, models, rules, select, serve, validate
+from caseloom.operators import evaluate, explain, features, models, rules, select, serve
 from caseloom.operators.features import OneHot, Scaler
-from caseloom.operators.reshape import literal_rows, union_all
+from caseloom.operators.reshape import literal_rows, to_long, union_all
 from caseloom.operators.select import GeneticSearch
 from caseloom.operators.star import create_views
 from caseloom.plans import fixtures as fx
 from caseloom.plans import intake, rendered
-from caseloom.plans.analysis_queries import LINE_KEY, sql_hash
+from caseloom.plans.analysis_queries import LINE_KEY, METRICS, _CM, sql_hash
 from caseloom.plans.catalog import Catalog
 from caseloom.plans.fixtures import AQ_ITEMS, OBS_FLAGS, OBS_MEASURES, SYMPTOMS, with_ctes
 from caseloom.session import cut_lineage, shared_dir
@@ -454,23 +454,30 @@ def src2(spark, sf):
     return intake.stroke_notes(files.read_records(spark, path), keep=["record_no", "whole"], impute=False).select("record_no", "whole", "age", "label")
 
 
-@query("snk2_load_star", with_ctes(*fx.FACTS) + "SELECT 'dim_patient' AS table_name, COUNT(*) AS row_count FROM dim_patient UNION ALL "
-       + " UNION ALL ".join(f"SELECT '{f}', COUNT(*) FROM {f}" for f in fx.FACTS))
+_LOADED = {"dim_patient": ["age", "gender"], "fact_autism": [*AQ_ITEMS, "jaundice", "family_asd", "label"], "fact_diabetes": [*SYMPTOMS, "label"],
+           "fact_stroke": ["hypertension", "heart_disease", "avg_glucose_level", "bmi", "label"]}
+
+
+@query("snk2_load_star", with_ctes(*fx.FACTS) + " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, patient_id, '{c}' AS column_name, ROUND(CAST({c} AS DOUBLE), 8) AS value FROM {t}" for t, cs in _LOADED.items() for c in cs))
 def snk2(spark, sf):
     path = shared_dir(spark, "star")
     built = fx.star(spark, sf)
     files.load_star(built, path)
     files.load_star(built, path)
     back = files.read_star(spark, path, list(built.facts))
-    return validate.row_counts({"dim_patient": back.dim, **back.facts})
+    tables = {"dim_patient": back.dim, **back.facts}
+    return union_all([to_long(tables[t], cs, ["patient_id"], "column_name").select(
+        F.lit(t).alias("table_name"), "patient_id", "column_name", F.round("value", 8).alias("value")) for t, cs in _LOADED.items()])
 
 
-@query("snk3_metrics_csv", "SELECT model, COUNT(*) AS n FROM (SELECT CASE WHEN l_linenumber % 3 = 0 THEN 'forest' WHEN l_linenumber % 3 = 1 THEN 'logistic' ELSE 'tree' END AS model FROM lineitem) GROUP BY model")
+@query("snk3_metrics_csv", with_ctes("pred", cm=_CM.format(g="model")) + "SELECT model, tn, fp, fn, tp, " + ", ".join(f"ROUND({e}, 4) AS {n}" for n, e in METRICS.items()) + " FROM cm")
 def snk3(spark, sf):
     path = shared_dir(spark, "metrics")
     files.write_metrics_csv(evaluate.metrics(fx.predictions(spark, sf), ["model"], 4), path)
-    back = files.read_raw_csv(spark, path, ["model", "tn", "fp", "fn", "tp", *evaluate.metric_columns()], {c: "bigint" for c in ("tn", "fp", "fn", "tp")})
-    return back.select("model", (F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).alias("n"))
+    back = files.read_raw_csv(spark, path, ["model", "tn", "fp", "fn", "tp", *evaluate.metric_columns()],
+                              {**{c: "bigint" for c in ("tn", "fp", "fn", "tp")}, **{c: "double" for c in evaluate.metric_columns()}})
+    return back
 
 
 @query("snk1_silver_table", "SELECT COUNT(*) AS n, ROUND(SUM(c_acctbal), 2) AS balance FROM customer")
@@ -488,11 +495,11 @@ def snk4(spark, sf):
     return union_all(parts).groupBy("split", "label").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("src4_sql", """SELECT d.source_dataset AS cohort, COUNT(*) AS n, CAST(SUM(o_totalprice) AS DOUBLE) > 0 AS paid FROM (SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE','BUILDING') THEN 'autism'
+@query("src4_sql", """SELECT d.source_dataset AS cohort, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS paid FROM (SELECT c_custkey, CASE WHEN c_mktsegment IN ('AUTOMOBILE','BUILDING') THEN 'autism'
  WHEN c_mktsegment='FURNITURE' THEN 'diabetes' ELSE 'stroke' END AS source_dataset FROM customer) d JOIN orders ON o_custkey = d.c_custkey GROUP BY 1""")
 def src4(spark, sf):
     create_views({"v_patient": fx.dim_patient(spark, sf), "v_orders": fx.table(spark, sf, "orders")})
-    return spark.sql("SELECT source_dataset AS cohort, COUNT(*) AS n, SUM(o_totalprice) > 0 AS paid FROM v_patient JOIN v_orders ON o_custkey = patient_id GROUP BY source_dataset")
+    return spark.sql("SELECT source_dataset AS cohort, COUNT(*) AS n, CAST(SUM(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS paid FROM v_patient JOIN v_orders ON o_custkey = patient_id GROUP BY source_dataset")
 
 
 @query("set1_union_all", "SELECT 'customer' AS kind, c_custkey AS id, c_acctbal AS amount FROM customer UNION ALL SELECT 'order', o_orderkey, o_totalprice FROM orders")

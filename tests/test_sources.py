@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from caseloom.plans import intake
@@ -53,6 +54,13 @@ def test_star_is_keyed_by_cohort_and_reloads(spark, tmp_path):
     assert spark.sql("SELECT gender, COUNT(*) AS n FROM vw_stroke_full GROUP BY gender ORDER BY gender").collect()[0]["n"] == 2
 
 
+def test_repeated_order_values_are_an_error(spark):
+    twice = cohort(spark, "autism", 5)
+    twice.frame = twice.frame.union(twice.frame.where("id = 3"))
+    with pytest.raises(Exception, match="more than once"):
+        build_star([twice])
+
+
 def test_bucketed_star_joins_without_a_shuffle(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS gold")
     star = build_star([cohort(spark, "autism", 200)])
