@@ -1,8 +1,10 @@
-"""Near duplicates by a MinHash LSH forest, verified exactly.
+"""Near duplicates by prefixes of MinHash labels, verified exactly.
 
-Rows with the same words are one class; from here on classes are compared. The forest has ``trees`` prefix tries, each over
-``LONGEST`` of the signature's values. Matching starts with whole labels and shortens the prefix until a pair at the
-threshold is found in some trie with probability ``recall``: the classes below one node of that depth are a bucket.
+Rows with the same words are one class; from here on classes are compared. There are ``trees`` labels of up to ``LONGEST``
+values, each value with a hash function of its own. The matched prefix is shortened until a pair at the threshold agrees in
+some label's prefix with probability ``recall``. Every pair at the threshold must be found, so that depth is the same for
+all classes, and only the classes below one node of that depth meet: they are a bucket, its key a hash of label and prefix.
+So the tries of an LSH forest are never built, nor the label values behind that depth.
 Within a bucket a class is compared with leaders only: the signatures' estimate links it to every leader it may share a
 near duplicate with, and makes it a leader unless it is close to one. By the triangle inequality of the Jaccard distance
 two near duplicates of a bucket end up in one component of these links; only a spanning forest of them is written. The components
@@ -46,9 +48,9 @@ def prefix_length(threshold: float, trees: int, recall: float, longest: int = LO
     return 1
 
 
-def tree_labels(trees: int) -> np.ndarray:
-    """Which signature values make the label of each tree."""
-    return np.stack([np.random.default_rng(t).permutation(VALUES)[:LONGEST] for t in range(trees)])
+def hash_factors(n: int) -> np.ndarray:
+    """Odd factors of the first n hash functions; the first ``VALUES`` make the signature that estimates use."""
+    return np.concatenate([_FACTORS, np.random.default_rng(7).integers(1, 2**63, max(0, n - VALUES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)])[:n]
 
 
 def word_shingles(column, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -76,13 +78,13 @@ def word_shingles(column, size: int) -> tuple[np.ndarray, np.ndarray]:
     return rolled[kept], np.concatenate([[0], np.cumsum(count)])
 
 
-def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """(documents, VALUES) minima; all ones for a document without shingles."""
+def signatures(hashes: np.ndarray, first: np.ndarray, n: int = VALUES) -> np.ndarray:
+    """(documents, n) minima; all ones for a document without shingles."""
     some = np.flatnonzero(np.diff(first) > 0)
-    out = np.full((len(first) - 1, VALUES), 0xFFFFFFFF, np.uint32)
+    out = np.full((len(first) - 1, n), 0xFFFFFFFF, np.uint32)
     if len(some):
         at = first[some]
-        for k, f in enumerate(_FACTORS):
+        for k, f in enumerate(hash_factors(n)):
             out[some, k] = np.minimum.reduceat((hashes * f >> np.uint64(32)).astype(np.uint32), at)
     return out
 
@@ -90,8 +92,16 @@ def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
 _FEATURES = "doc_id bigint, text_key bigint, class_key bigint, n_shingles bigint, signature binary, nodes array<bigint>"
 
 
+def prefix_nodes(sig: np.ndarray, trees: int, length: int) -> np.ndarray:
+    """(documents, trees): the node of each label's prefix. No value is used twice, so the labels agree independently."""
+    node = np.repeat(np.arange(trees, dtype=np.uint64)[None, :] * _FACTORS[1], len(sig), 0)
+    for i in range(length):
+        node = mix(node ^ sig[:, i * trees:(i + 1) * trees].astype(np.uint64) * _FACTORS[2 + i])
+    return node
+
+
 def _features(size: int, trees: int, length: int):
-    labels = tree_labels(trees)[:, :length]
+    n_values = max(VALUES, trees * length)
 
     def features(batches):
         schema = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("class_key", pa.int64()), ("n_shingles", pa.int64()),
@@ -99,17 +109,15 @@ def _features(size: int, trees: int, length: int):
         for batch in batches:
             for piece in pieces(batch, "text", 1 << 20):
                 hashes, first = word_shingles(piece["text"], size)
-                sig = signatures(hashes, first)
+                sig = signatures(hashes, first, n_values)
                 total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(hashes))])
                 count = np.diff(first)
                 key = mix(total[first[1:]] - total[first[:-1]] + count.astype(np.uint64) * _FACTORS[0]).view(np.int64)
-                node = np.repeat(np.arange(trees, dtype=np.uint64)[None, :] * _FACTORS[1], len(sig), 0)
-                for i in range(length):
-                    node = mix(node ^ sig[:, labels[:, i]].astype(np.uint64) * _FACTORS[2 + i])
+                node = prefix_nodes(sig, trees, length)
                 flat = pa.array(node.view(np.int64).ravel())
                 ends = np.where(count > 0, trees, 0)  # a text without words is in no trie
                 flat = flat.filter(pa.array(np.repeat(count > 0, trees)))
-                small = sig.astype(np.uint8)
+                small = sig[:, :VALUES].astype(np.uint8)
                 yield pa.RecordBatch.from_arrays([
                     one_array(piece["doc_id"]), one_array(piece["text_key"]), pa.array(key), pa.array(count, pa.int64()),
                     pa.array([s.tobytes() for s in small], pa.binary()),

@@ -108,3 +108,29 @@ def test_components(spark):
     got = dict(tuple(r) for r in components(spark.createDataFrame(edges, "a bigint, b bigint"), "a", "b").collect())
     want = {**{i: 1 for i in range(1, 41)}, 100: 100, 200: 100, 300: 100, -5: -5, 400: -5}
     assert got == want
+
+
+def missed(similarity, pairs, trees=48, recall=0.9999):
+    """Share of pairs at a similarity whose prefixes agree nowhere: sets of one element stand for independent minima."""
+    depth = forest.prefix_length(0.8, trees, recall)
+    r = np.random.default_rng(3)
+    lost = 0
+    for _ in range(pairs // 20_000):
+        a = r.integers(0, 2**32, (20_000, trees * depth), dtype=np.uint32)
+        b = np.where(r.random(a.shape) < similarity, a, a ^ np.uint32(1))
+        lost += (forest.prefix_nodes(a, trees, depth) != forest.prefix_nodes(b, trees, depth)).all(axis=1).sum()
+    return lost / pairs
+
+
+def test_labels_agree_independently():
+    """The recall that is promised at the threshold is the one of the labels that are used."""
+    assert missed(0.8, 200_000) < 1e-4
+
+
+def test_label_values_have_own_hash_functions():
+    n = 48 * forest.prefix_length(0.8, 48, 0.9999)
+    assert len(set(forest.hash_factors(n).tolist())) == n
+    r = np.random.default_rng(5)
+    common, a, b = (r.integers(0, 2**63, n, dtype=np.uint64) for n in (160, 20, 20))  # similarity 0.8
+    sig = forest.signatures(np.concatenate([common, a, common, b]), np.array([0, 180, 360]), n)
+    assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.1
