@@ -33,9 +33,8 @@ VALUES = 128
 LONGEST = 16
 BUCKET_ROWS = 5_000
 BLOCK_ROWS = 512
-#: estimates of 128 values: so close (a distance of 0.33 at most) that a member needs no turn as leader; so far that no near
-#: duplicate of a member this close can be there (a distance of 0.53, with 4 standard errors)
-_CLOSE, _LINK = 0.8, 0.27
+#: estimates of 128 values: so close (a distance of 0.33 at most) that a member needs no turn as leader
+_CLOSE = 0.8
 _SEED = np.random.default_rng(20240610)
 _FACTORS = _SEED.integers(1, 2**63, VALUES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -48,6 +47,12 @@ def prefix_length(threshold: float, trees: int, recall: float, longest: int = LO
     return 1
 
 
+def link_limit(threshold: float) -> float:
+    """The estimate below which no near duplicate of a member close to a leader can be: a distance of 0.33 to the leader and one
+    of the threshold add up, and an estimate is off by 0.2 at most (4 standard errors of ``VALUES`` values). 0: all are linked."""
+    return max(0.0, threshold - 0.33 - 0.2)
+
+
 def hash_factors(n: int) -> np.ndarray:
     """Odd factors of the first n hash functions; the first ``VALUES`` make the signature that estimates use."""
     return np.concatenate([_FACTORS, np.random.default_rng(7).integers(1, 2**63, max(0, n - VALUES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)])[:n]
@@ -145,56 +150,60 @@ class _Bucket:
         return i
 
 
-def _lead(batches):
-    """Rows (bucket, salt, class_key, signature) sorted by bucket and salt -> a spanning forest of the links to leaders, and
-    the leaders (linked to themselves)."""
-    schema = pa.schema([("bucket", pa.int64()), ("class_key", pa.int64()), ("leader", pa.int64())])
-    current, held = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        bucket, salt, key = (batch.column(i).to_numpy() for i in range(3))
-        sig = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, VALUES)
-        head = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])])
-        head[0] = current != (bucket[0], salt[0])
-        run = np.cumsum(head) - 1  # -1: the bucket of the batch before
-        begin = np.flatnonzero(head)
-        # most members are close to the first leader of their bucket
-        first = np.concatenate([[0], begin])[run + 1]
-        first_key, first_sig = key[first], sig[first]
-        if not head[0]:
-            first_key[run < 0], first_sig[run < 0] = held.keys[0], held.signatures[0]
-        estimate = (sig == first_sig).mean(axis=1)
-        linked = np.flatnonzero((estimate >= _LINK) & ~head)
-        out = [(bucket[begin], key[begin], key[begin]), (bucket[linked], key[linked], first_key[linked])]
-        more, at = [], -2
-        for i in np.flatnonzero((estimate < _CLOSE) & ~head):
-            if run[i] != at:
-                at = run[i]
-                held = _Bucket(key[begin[at]], sig[begin[at]]) if at >= 0 else held
-            n = len(held.keys)
-            every = (held.signatures[:n] == sig[i]).mean(axis=1)
-            joined = list(dict.fromkeys(held.find(j) for j in np.flatnonzero(every >= _LINK)))
-            if joined and estimate[i] < _LINK:
-                more.append((bucket[i], key[i], held.keys[joined[0]]))
-            for j in joined[1:]:
-                more.append((bucket[i], held.keys[j], held.keys[joined[0]]))
-                held.root[j] = joined[0]
-            if every.max() < _CLOSE:
-                held.add(key[i], sig[i], joined[0] if joined else None)
-                more.append((bucket[i], key[i], key[i]))
-        if len(begin) and at != run[-1]:
-            held = _Bucket(key[begin[-1]], sig[begin[-1]])
-        current = (bucket[-1], salt[-1])
-        columns = [np.concatenate([*(o[c] for o in out), np.array([m[c] for m in more], np.int64)]) for c in range(3)]
-        yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
-
-
-def _leaders(rows: DataFrame) -> DataFrame:
+def _lead(threshold: float):
+    link = link_limit(threshold)
+
+    def lead(batches):
+        """Rows (bucket, salt, class_key, signature) sorted by bucket and salt -> a spanning forest of the links to leaders, and
+        the leaders (linked to themselves)."""
+        schema = pa.schema([("bucket", pa.int64()), ("class_key", pa.int64()), ("leader", pa.int64())])
+        current, held = None, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            bucket, salt, key = (batch.column(i).to_numpy() for i in range(3))
+            sig = np.frombuffer(b"".join(batch.column(3).to_pylist()), np.uint8).reshape(-1, VALUES)
+            head = np.concatenate([[True], (bucket[1:] != bucket[:-1]) | (salt[1:] != salt[:-1])])
+            head[0] = current != (bucket[0], salt[0])
+            run = np.cumsum(head) - 1  # -1: the bucket of the batch before
+            begin = np.flatnonzero(head)
+            # most members are close to the first leader of their bucket
+            first = np.concatenate([[0], begin])[run + 1]
+            first_key, first_sig = key[first], sig[first]
+            if not head[0]:
+                first_key[run < 0], first_sig[run < 0] = held.keys[0], held.signatures[0]
+            estimate = (sig == first_sig).mean(axis=1)
+            linked = np.flatnonzero((estimate >= link) & ~head)
+            out = [(bucket[begin], key[begin], key[begin]), (bucket[linked], key[linked], first_key[linked])]
+            more, at = [], -2
+            for i in np.flatnonzero((estimate < _CLOSE) & ~head):
+                if run[i] != at:
+                    at = run[i]
+                    held = _Bucket(key[begin[at]], sig[begin[at]]) if at >= 0 else held
+                n = len(held.keys)
+                every = (held.signatures[:n] == sig[i]).mean(axis=1)
+                joined = list(dict.fromkeys(held.find(j) for j in np.flatnonzero(every >= link)))
+                if joined and estimate[i] < link:
+                    more.append((bucket[i], key[i], held.keys[joined[0]]))
+                for j in joined[1:]:
+                    more.append((bucket[i], held.keys[j], held.keys[joined[0]]))
+                    held.root[j] = joined[0]
+                if every.max() < _CLOSE:
+                    held.add(key[i], sig[i], joined[0] if joined else None)
+                    more.append((bucket[i], key[i], key[i]))
+            if len(begin) and at != run[-1]:
+                held = _Bucket(key[begin[-1]], sig[begin[-1]])
+            current = (bucket[-1], salt[-1])
+            columns = [np.concatenate([*(o[c] for o in out), np.array([m[c] for m in more], np.int64)]) for c in range(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
+    return lead
+
+
+def _leaders(rows: DataFrame, threshold: float) -> DataFrame:
     """``rows``: bucket, salt, class_key, signature."""
     width = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.select("bucket", "salt", "class_key", "signature").repartition(width, "bucket", "salt").sortWithinPartitions("bucket", "salt", "class_key")
-    return dealt.mapInArrow(_lead, "bucket bigint, class_key bigint, leader bigint")
+    return dealt.mapInArrow(_lead(threshold), "bucket bigint, class_key bigint, leader bigint")
 
 
 def _compare(size: int, threshold: float):
@@ -275,7 +284,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     members = leaves.join(shared, "bucket").join(classes.select("class_key", "signature"), "class_key")
     salts = F.ceil(F.col("n") / BUCKET_ROWS).cast("bigint")
     members = members.withColumn("salt", F.when(salts > 1, F.pmod(F.xxhash64("class_key"), salts) + 1).otherwise(F.lit(0)).cast("bigint"))
-    found = cut_lineage(_leaders(members))
+    found = cut_lineage(_leaders(members, threshold))
     # a large bucket was cut by salts: whatever its parts have, its leaders are joined to one of them
     many = shared.where(F.col("n") > BUCKET_ROWS).select("bucket")
     leaders = found.where("class_key = leader").join(many, "bucket")

@@ -134,3 +134,21 @@ def test_label_values_have_own_hash_functions():
     common, a, b = (r.integers(0, 2**63, n, dtype=np.uint64) for n in (160, 20, 20))  # similarity 0.8
     sig = forest.signatures(np.concatenate([common, a, common, b]), np.array([0, 180, 360]), n)
     assert abs((sig[0] == sig[1]).mean() - 0.8) < 0.1
+
+
+def test_low_thresholds_keep_links_through_a_leader():
+    """Two members of one bucket that are as near as the threshold, the first close to the leader, the second far from it."""
+    import pyarrow as pa
+
+    leader = np.zeros(forest.VALUES, np.uint8)
+    close, far = leader.copy(), leader.copy()
+    close[:22] = 1  # 0.83 of the leader's values
+    far[:22], far[22:86] = 1, 2  # half of the values of the close member, a third of the leader's
+    far[86:106] = 3  # below the limit that holds for 0.8
+    far[:22] = 1
+    assert (far == leader).mean() < 0.27 < 0.3 < (far == close).mean()
+    batch = pa.RecordBatch.from_arrays([pa.array([5] * 3, pa.int64()), pa.array([0] * 3, pa.int64()), pa.array([1, 2, 3], pa.int64()),
+                                        pa.array([x.tobytes() for x in (leader, close, far)], pa.binary())], names=["bucket", "salt", "class_key", "signature"])
+    links = lambda t: {(k, l) for b in forest._lead(t)([batch]) for k, l in zip(b["class_key"].to_pylist(), b["leader"].to_pylist())}  # noqa: E731, E741
+    assert {(2, 1), (3, 1)} <= links(0.5) and (3, 1) not in links(0.8)
+    assert abs(forest.link_limit(0.8) - 0.27) < 1e-9 and forest.link_limit(0.5) == 0
