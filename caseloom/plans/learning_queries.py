@@ -397,6 +397,17 @@ def xa6b(spark, sf):
     return judged.select("patient_id", F.md5(rules.explanation(judged, "stroke")).alias("report"))
 
 
+@query("xa6c_report_all")
+def xa6c(spark, sf):
+    """Reports of all rows, with fired rules and both verdicts; the prediction is each row's own. ``xa6b_report`` and its SQL
+    hold the rows without a fired rule only."""
+    # stands for a model's score; not made of the rules, so that both verdicts occur
+    risk = F.lit(0.05) + F.col("age") / 200.0 + F.lit(0.3) * F.col("ever_married")
+    scored = _joined_fact(spark, sf, "stroke").withColumn("probability", risk).withColumn("prediction", F.when(F.col("probability") > 0.5, 1).otherwise(0))
+    judged = rules.with_agreement(scored, rule_sets.stroke())
+    return judged.select("patient_id", "prediction", "probability", "n_fired", "agrees", rules.explanation(judged, "stroke").alias("report"))
+
+
 # --- serving and files ---
 
 @query("sv1_score")
