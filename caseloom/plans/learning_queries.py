@@ -330,6 +330,23 @@ def xa2(spark, sf):
     return out.withColumns({c: F.round(c, 8) for c in ("importance_mean", "importance_std")})
 
 
+@query("xa2b_permutation_all")
+def xa2b(spark, sf):
+    """All six features of the observations, by a predictor that reads each of them; ``xa2_permutation`` and its SQL hold three."""
+    names = [*OBS_FLAGS, *OBS_MEASURES]
+
+    def predict(df):
+        return df.withColumn("prediction", F.when(_votes(names) >= 3, 1).otherwise(0))
+    out = explain.permutation_importance(fx.obs(spark, sf), KEYS, names, predict, repeats=10, blocks=4)
+    return out.withColumns({c: F.round(c, 8) for c in ("importance_mean", "importance_std")})
+
+
+def _votes(names):
+    """One vote for each flag that is set and each measure above its centre."""
+    centres = {"m1": 25.0, "m2": 38000.0}
+    return sum((F.when(F.col(c) > centres.get(c, 0.0), 1).otherwise(0) for c in names), F.lit(0))
+
+
 @query("xa3_shap")
 def xa3(spark, sf):
     fact = fx.fact(spark, sf, "diabetes")
