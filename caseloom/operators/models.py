@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.operators import evaluate
-from caseloom.operators.features import Scaler, class_weights
+from caseloom.operators.features import Scaler, class_weights, smote, smote_folds
 from caseloom.operators.reshape import union_all
+from caseloom.session import cut_lineage
 
 FEATURES = "features"
 WEIGHT = "weight"
@@ -206,18 +207,26 @@ class Report:
 
 
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str], chosen: dict[str, Recipe], label: str = "label",
-                       fold: str = "fold", folds: int = 5, cv_metric: str = "f1") -> Report:
+                       fold: str = "fold", folds: int = 5, cv_metric: str = "f1", oversample: str | None = None) -> Report:
     """Cross-validates each recipe, fits it on all training rows and evaluates it on the test rows.
 
+    ``oversample`` names the key of the rows: the training rows of each fold, and those of the last fit, are then raised to
+    equal classes; rows that are scored never are.
+
     All predictions end in one table, so the metrics of all models come from one aggregate. The prepared training
     rows are read by many jobs and are kept in memory as long as these run.
     """
     prepared = prepare(train, features, label, keep=[fold]).persist()
+    whole, training = prepared, None
+    if oversample is not None:
+        whole = prepare(cut_lineage(smote(train, oversample, features, label)), features, label).persist()
+        raised = smote_folds(train, oversample, features, label, fold, range(folds)).where("part = 'train'")
+        training = prepare(cut_lineage(raised.withColumnRenamed("cv_fold", fold)), features, label, keep=[fold]).persist()
     try:
         held = prepare(test, features, label, train)
-        n = prepared.count()
-        fitted = dict(zip(chosen, _parallel([lambda r=r: fit(r, prepared, label, n) for r in chosen.values()])))
-        cv = union_all([cross_predictions(prepared, r, label, fold, folds) for r in chosen.values()])
+        n = whole.count()
+        fitted = dict(zip(chosen, _parallel([lambda r=r: fit(r, whole, label, n) for r in chosen.values()])))
+        cv = union_all([cross_predictions(prepared, r, label, fold, folds, training) for r in chosen.values()])
         scores = evaluate.fold_scores(cv, ["model"], fold, cv_metric).select(
             F.col("model").alias("_m"), F.round("cv_mean", 4).alias("cv_f1"), F.round("cv_std", 4).alias("cv_f1_std"))
         predictions = union_all([predictions_of(m, held, label) for m in fitted.values()])
@@ -225,7 +234,9 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str
         rows = table.join(scores, table["model"] == scores["_m"]).drop("_m").withColumn("n_features", F.lit(len(features)))
         results = train.sparkSession.createDataFrame(rows.collect(), rows.schema)  # one row per model
     finally:
-        prepared.unpersist()
+        for kept in (prepared, whole, training):
+            if kept is not None:
+                kept.unpersist()
     return Report(results, predictions, fitted)
 
 
