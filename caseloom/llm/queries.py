@@ -10,6 +10,7 @@ from caseloom.llm.bpe import round_trip_digests
 from caseloom.llm.decontaminate import contamination
 from caseloom.llm.forest import near_duplicates
 from caseloom.llm.pages import main_text
+from caseloom.llm.phrases import collocations
 from caseloom.llm.quotient import exact_duplicates
 from caseloom.llm.ring import ring_shards
 from caseloom.llm.suffix import remove_repeated_bytes
@@ -85,3 +86,27 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query("op1_main_text")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(table(spark, sf_dir, "pages"))
+
+
+@catalog.query("op11_collocations", r"""
+    WITH pieces AS (
+        SELECT lang, list_filter(string_split_regex(piece, '[ \t]+'), lambda x: x <> '') AS w
+        FROM (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+    total AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM pieces GROUP BY lang),
+    f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+        FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM pieces, (VALUES (1), (2), (3), (4)) t(k))
+        GROUP BY ALL HAVING count(*) >= 30),
+    long AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k > 1),
+    cut AS (SELECT lang, phrase, f AS a, w, k, unnest(range(1, k)) AS c FROM long),
+    scored AS (SELECT cut.lang, cut.phrase, cut.a, x.f AS l, y.f AS r, c, CAST((2000000::HUGEINT * cut.a) // (x.f + y.f) AS BIGINT) AS score
+        FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:c], ' ')
+        JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[c + 1:], ' ')),
+    lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+    inner_part AS (SELECT lang, array_to_string(w[i:i + s - 1], ' ') AS phrase, max(f) AS longer
+        FROM (SELECT lang, w, f, s, unnest(range(1, k - s + 2)) AS i FROM long, (VALUES (2), (3)) t(s) WHERE s < k) GROUP BY ALL),
+    kept AS (SELECT lowest.* FROM lowest LEFT JOIN inner_part USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
