@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from caseloom.llm.arrays import RangeHash, Words, byte_class, flat_text, mix, one_array, pack, pieces, unpack
 from caseloom.session import shared_dir
 
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 _BREAKS = byte_class([(0x0A, 0x0D), *[(ord(c), ord(c)) for c in ".,;:!?"]])
 _IS_WORD = ~(_BREAKS | byte_class([(0x09, 0x09), (0x20, 0x20)]))
 _LOWER = np.arange(256, dtype=np.uint8)
