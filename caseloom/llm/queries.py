@@ -9,6 +9,7 @@ from caseloom.llm import ordinal, toxicity
 from caseloom.llm.bpe import round_trip_digests
 from caseloom.llm.decontaminate import contamination
 from caseloom.llm.forest import near_duplicates
+from caseloom.llm.packing import packed_sequences
 from caseloom.llm.pages import main_text
 from caseloom.llm.phrases import collocations
 from caseloom.llm.quotient import exact_duplicates
@@ -110,3 +111,8 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total USING (lang) WHERE rank <= 2000""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations(table(spark, sf_dir, "documents"))
+
+
+@catalog.query("op12_best_fit_packing")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed_sequences(table(spark, sf_dir, "documents"), tokenizer_path())
