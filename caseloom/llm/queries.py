@@ -13,6 +13,7 @@ from caseloom.llm.packing import packed_sequences
 from caseloom.llm.pages import main_text
 from caseloom.llm.phrases import collocations
 from caseloom.llm.quotient import exact_duplicates
+from caseloom.llm.repair import damaged, repaired
 from caseloom.llm.ring import ring_shards
 from caseloom.llm.suffix import remove_repeated_bytes
 from caseloom.llm.superkmer import remove_repeated_windows
@@ -116,3 +117,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @catalog.query("op12_best_fit_packing")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_sequences(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@catalog.query("op13_conversation_repair")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repaired(damaged(table(spark, sf_dir, "conversations")))
