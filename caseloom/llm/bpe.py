@@ -16,8 +16,8 @@ import json
 import re
 import sys
 import unicodedata
-from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -58,7 +58,10 @@ def splitter() -> re.Pattern[str]:
     return re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{letter}]+|[{number}]|[^{SPACE}{letter}{number}]+")
 
 
-WORDS_KEPT = 200_000
+#: words that a worker keeps at most in each of two generations: those used since the last turn, and those of the turn before
+WORDS_KEPT = 300_000
+#: text of a partition that is indexed at a time
+PIECE_BYTES = 8 << 20
 _OUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -71,31 +74,34 @@ def byte_symbols() -> list[str]:
     return [shown[b] for b in range(256)]
 
 
-@dataclass
 class Codec:
-    """Tables of one tokenizer file, and the words encoded so far."""
+    """Tables of one tokenizer file, and the words encoded so far: id string and token string of each."""
 
-    symbols: list[str]
-    inner: list[int]
-    last: list[int]
-    ranks: dict[int, tuple[int, int]]
-    special: dict[str, int]
-    words: dict[str, tuple[int, ...]] = field(default_factory=dict)
-
-    @classmethod
-    def of(cls, content: bytes) -> Codec:
+    def __init__(self, content: bytes):
         file = json.loads(content)
         vocabulary = file["model"]["vocab"]
-        special = {t["content"]: t["id"] for t in file["added_tokens"]}
-        symbols = [""] * (1 + max([*vocabulary.values(), *special.values()]))
-        for s, i in [*vocabulary.items(), *special.items()]:
-            symbols[i] = s
+        self.special = {t["content"]: t["id"] for t in file["added_tokens"]}
+        self.symbols = [""] * (1 + max([*vocabulary.values(), *self.special.values()]))
+        for s, i in [*vocabulary.items(), *self.special.items()]:
+            self.symbols[i] = s
+        self.digits = [str(i) for i in range(len(self.symbols))]
         shown = byte_symbols()
-        ranks = {}
+        #: symbol of a byte, and behind these 256 the symbol of a byte that ends a word
+        self.start = np.array([vocabulary[c] for c in shown] + [vocabulary[c + END] for c in shown], np.int64)
+        self.pairs: list[tuple[int, int, int]] = []  # by rank: left, right, merged
+        self.as_left: dict[int, dict[int, int]] = {}  # symbol -> right neighbour -> rank
+        self.as_right: dict[int, dict[int, int]] = {}
         for rank, pair in enumerate(file["model"]["merges"]):
             a, b = pair if isinstance(pair, list) else pair.split(" ")
-            ranks[vocabulary[a] << 32 | vocabulary[b]] = (rank, vocabulary[a + b])
-        return cls(symbols, [vocabulary[c] for c in shown], [vocabulary[c + END] for c in shown], ranks, special)
+            x, y = vocabulary[a], vocabulary[b]
+            self.pairs.append((x, y, vocabulary[a + b]))
+            self.as_left.setdefault(x, {})[y] = rank
+            self.as_right.setdefault(y, {})[x] = rank
+        #: rank of two neighbouring bytes of a word, -1 where there is none
+        self.first_rank = np.array([[self.as_left.get(x, {}).get(y, -1) for y in self.start.tolist()] for x in self.start.tolist()], np.int32)
+        self.ids: dict[str, str] = {}
+        self.tokens: dict[str, str] = {}
+        self.before: tuple[dict[str, str], dict[str, str]] = ({}, {})
 
     def split(self, text: str) -> list[str]:
         """Words of a text; the file's special tokens are words of their own, found before anything is normalised."""
@@ -113,41 +119,34 @@ class Codec:
         # lower-casing goes by single characters: a capital sigma at a word end is no final sigma
         return splitter().findall(text.translate(LOWER).lower())
 
-    def learn(self, words: set[str]) -> None:
-        """Encodes all words at once and keeps their ids."""
-        words = [w for w in words if w not in self.special]
+    def learn(self, words: list[str]) -> list[list[int]]:
+        """Ids of all words, encoded at once by their pair index."""
         flat = [w.encode() for w in words]
-        inner, last, ranks = self.inner, self.last, self.ranks
-        symbol: list[int] = []
-        for b in flat:
-            symbol.extend([inner[x] for x in b[:-1]])
-            symbol.append(last[b[-1]])
-        n = len(symbol)
-        right = list(range(1, n + 1))
-        left = list(range(-1, n - 1))
-        at = 0
-        for b in flat:  # words end at -1 on both sides
-            left[at] = -1
-            at += len(b)
-            right[at - 1] = -1
-        where: dict[int, list[int]] = {}
-        pair_of: dict[int, tuple[int, int, int]] = {}
-        for i in range(n):
-            j = right[i]
-            if j > 0:
-                found = ranks.get(symbol[i] << 32 | symbol[j])
-                if found:
-                    rank = found[0]
-                    if rank in where:
-                        where[rank].append(i)
-                    else:
-                        where[rank] = [i]
-                        pair_of[rank] = (symbol[i], symbol[j], found[1])
-        active = list(where)
-        heapq.heapify(active)
+        if not flat:
+            return []
+        code = np.frombuffer(b"".join(flat), np.uint8).astype(np.int64)
+        ends = np.cumsum(np.fromiter(map(len, flat), np.int64, len(flat)))
+        code[ends - 1] += 256
+        n = len(code)
+        right = np.arange(1, n + 1)
+        right[ends - 1] = -1
+        left = np.arange(-1, n - 1)
+        left[ends[:-1]] = -1
+        rank = np.full(n, -1, np.int32)
+        rank[:-1] = self.first_rank[code[:-1], code[1:]]
+        rank[ends - 1] = -1
+        at = np.flatnonzero(rank >= 0)
+        at = at[np.argsort(rank[at], kind="stable")]
+        kinds, first = np.unique(rank[at], return_index=True)
+        listed, cuts = at.tolist(), [*first.tolist(), len(at)]
+        where = {r: listed[i:j] for r, i, j in zip(kinds.tolist(), cuts, cuts[1:])}
+        active = kinds.tolist()  # ascending, so a heap
+        symbol, left, right = self.start[code].tolist(), left.tolist(), right.tolist()
+        nothing: dict[int, int] = {}
         while active:
             rank = heapq.heappop(active)
-            a, b, new = pair_of[rank]
+            a, b, new = self.pairs[rank]
+            ranks_before, ranks_behind = self.as_right.get(new, nothing), self.as_left.get(new, nothing)
             for i in sorted(where.pop(rank)):
                 j = right[i]
                 if j < 0 or symbol[i] != a or symbol[j] != b:
@@ -156,34 +155,58 @@ class Codec:
                 k = right[i] = right[j]
                 if k >= 0:
                     left[k] = i
+                    found = ranks_behind.get(symbol[k])
+                    if found is not None:
+                        if found in where:
+                            where[found].append(i)
+                        else:
+                            where[found] = [i]
+                            heapq.heappush(active, found)
                 h = left[i]
-                for at, pair in ((h, symbol[h] << 32 | new if h >= 0 else -1), (i, new << 32 | symbol[k] if k >= 0 else -1)):
-                    found = ranks.get(pair)
-                    if found:
-                        if found[0] in where:
-                            where[found[0]].append(at)
+                if h >= 0:
+                    found = ranks_before.get(symbol[h])
+                    if found is not None:
+                        if found in where:
+                            where[found].append(h)
                         else:
-                            where[found[0]] = [at]
-                            pair_of[found[0]] = (pair >> 32, pair & 0xFFFFFFFF, found[1])
-                            heapq.heappush(active, found[0])
-        at = 0
-        for w, b in zip(words, flat):
-            to = at + len(b)
-            self.words[w] = tuple([s for s in symbol[at:to] if s >= 0])
+                            where[found] = [h]
+                            heapq.heappush(active, found)
+        out, at = [], 0
+        for to in ends.tolist():
+            out.append([s for s in symbol[at:to] if s >= 0])
             at = to
+        return out
+
+    def prepare(self, split: list[list[str]]) -> None:
+        """Afterwards ``ids`` and ``tokens`` have every word of the split texts."""
+        present = set().union(*split)
+        fresh = present.difference(self.ids)
+        if len(self.ids) + len(fresh) > WORDS_KEPT:
+            self.before = self.ids, self.tokens
+            self.ids, self.tokens, fresh = {}, {}, present
+        old_ids, old_tokens = self.before
+        ids, tokens, unknown = self.ids, self.tokens, []
+        for w in fresh:
+            if w in old_ids:
+                ids[w], tokens[w] = old_ids[w], old_tokens[w]
+            elif w in self.special:
+                ids[w], tokens[w] = str(self.special[w]), w
+            else:
+                unknown.append(w)
+        digits, symbols = self.digits, self.symbols
+        for w, found in zip(unknown, self.learn(unknown)):
+            ids[w] = " ".join([digits[i] for i in found])
+            tokens[w] = " ".join([symbols[i] for i in found])
 
     def encode(self, texts: list[str]) -> list[list[int]]:
-        split = [self.split(t) for t in texts]
-        self._prepare(split)
-        words = self.words
-        return [[i for w in s for i in words[w]] for s in split]
+        return [[int(i) for i in ids.split()] for ids, _ in self.strings(texts)]
 
-    def _prepare(self, split: list[list[str]]) -> None:
-        fresh = set().union(*split) if split else set()
-        if len(self.words) + len(fresh) > WORDS_KEPT:
-            self.words.clear()
-        self.words.update((s, (i,)) for s, i in self.special.items())
-        self.learn(fresh.difference(self.words))
+    def strings(self, texts: list[str]) -> list[tuple[str, str]]:
+        """Per text its decimal ids, and its tokens, each joined by blanks: the file has no decoder, so that is the decoded text."""
+        split = [self.split(t) for t in texts]
+        self.prepare(split)
+        ids, tokens = self.ids.__getitem__, self.tokens.__getitem__
+        return [(" ".join(map(ids, s)), " ".join(map(tokens, s))) for s in split]
 
     def decode(self, ids: list[int]) -> str:
         """The file has no decoder: tokens are joined by blanks."""
@@ -198,7 +221,7 @@ def codec(content: bytes) -> Codec:
     key = hashlib.sha256(content).hexdigest()
     if key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec.of(content)
+        _codecs[key] = Codec(content)
     return _codecs[key]
 
 
@@ -209,7 +232,7 @@ def _mapped(docs: DataFrame, doc_id: str, text: str, path: str, make, schema: st
     def run(batches):
         coder = codec(shared.value)
         for batch in batches:
-            for piece in pieces(batch, "text", 2 << 20):
+            for piece in pieces(batch, "text", PIECE_BYTES):
                 texts = [t or "" for t in piece["text"].to_pylist()]
                 yield from make(coder, piece["doc_id"], texts).to_batches()
     return docs.selectExpr(f"cast(`{doc_id}` as bigint) AS doc_id", f"`{text}` AS text").mapInArrow(run, schema)
@@ -236,28 +259,27 @@ def decode(tokens: DataFrame, path: str, doc_id: str = "doc_id", ids: str = "ids
     return tokens.selectExpr(f"cast(`{doc_id}` as bigint) AS doc_id", f"`{ids}` AS ids").mapInArrow(run, "doc_id bigint, text string")
 
 
+def _sha(text: str) -> str:
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
 def round_trip_digests(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, number of tokens, SHA-256 of the decimal ids joined by blanks and of the decoded text, in one pass.
     Edge cases as in ``encode``; a text without tokens has the digests of the empty string."""
     def make(coder, ids, texts):
-        split = [coder.split(t) for t in texts]
-        coder._prepare(split)
-        words, symbols = coder.words, coder.symbols
-        present = set().union(*split)
-        number = {w: " ".join(map(str, words[w])) for w in present}
-        shown = {w: " ".join([symbols[i] for i in words[w]]) for w in present}
-        size = {w: len(words[w]) for w in present}
-        sha = lambda parts: hashlib.sha256(" ".join(parts).encode()).hexdigest()
-        return pa.table({"doc_id": ids, "n_tokens": pa.array([sum([size[w] for w in s]) for s in split], pa.int64()),
-                         "ids_sha256": pa.array([sha([number[w] for w in s]) for s in split], pa.string()),
-                         "decoded_sha256": pa.array([sha([shown[w] for w in s]) for s in split], pa.string())})
+        done = coder.strings(texts)
+        return pa.table({"doc_id": ids, "n_tokens": pa.array([a.count(" ") + 1 if a else 0 for a, _ in done], pa.int64()),
+                         "ids_sha256": pa.array([_sha(a) for a, _ in done], pa.string()), "decoded_sha256": pa.array([_sha(b) for _, b in done], pa.string())})
     return _mapped(docs, doc_id, text, path, make, _OUT)
 
 
 def tokenised(docs: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: doc_id, ids, n_tokens, decoded_sha256 (of the decoded text). Edge cases as in ``encode``."""
     def make(coder, ids, texts):
-        tokens = coder.encode(texts)
-        return pa.table({"doc_id": ids, "ids": pa.array(tokens, pa.list_(pa.int32())), "n_tokens": pa.array([len(t) for t in tokens], pa.int64()),
-                         "decoded_sha256": pa.array([hashlib.sha256(coder.decode(t).encode()).hexdigest() for t in tokens], pa.string())})
+        done = coder.strings(texts)
+        sizes = np.array([a.count(" ") + 1 if a else 0 for a, _ in done], np.int64)
+        tokens = np.array(" ".join([a for a, _ in done if a]).split(), np.int32)
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+        return pa.table({"doc_id": ids, "ids": pa.ListArray.from_arrays(ends, pa.array(tokens)), "n_tokens": pa.array(sizes),
+                         "decoded_sha256": pa.array([_sha(b) for _, b in done], pa.string())})
     return _mapped(docs, doc_id, text, path, make, "doc_id bigint, ids array<int>, n_tokens bigint, decoded_sha256 string")

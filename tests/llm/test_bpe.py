@@ -41,7 +41,7 @@ def test_any_text(text):
 def test_words_of_a_piece_are_independent(sf):
     import pyarrow.parquet as pq
     texts = pq.read_table(f"{sf}/documents.parquet")["text"].to_pylist()
-    fresh = bpe.Codec.of(open(PATH, "rb").read())
+    fresh = bpe.Codec(open(PATH, "rb").read())
     assert fresh.encode(texts) == [e.ids for e in LIBRARY.encode_batch(texts, add_special_tokens=False)]
 
 
@@ -62,7 +62,16 @@ def test_tables(spark, documents, monkeypatch):
 
 def test_kept_words_are_bounded(monkeypatch):
     monkeypatch.setattr(bpe, "WORDS_KEPT", 10)
-    coder = bpe.Codec.of(open(PATH, "rb").read())
-    for i in range(0, 40, 8):
-        coder.encode([" ".join("w" + chr(97 + j % 26) * (j + 1) for j in range(i, i + 8))])
-        assert len(coder.words) <= 10 + 2
+    coder = bpe.Codec(open(PATH, "rb").read())
+    for i in [*range(0, 40, 8), 8, 8, 0]:
+        text = " ".join("w" + chr(97 + j % 26) * (j + 1) for j in range(i, i + 8))
+        assert coder.encode([text])[0] == library(text)[0]
+        assert len(coder.ids) <= 10 and len(coder.before[0]) <= 10
+
+
+def test_a_text_longer_than_a_piece(documents):
+    r = random.Random(6)
+    text = " ".join(r.choices(["Lower", "case", "123", "naïve", "don't", "x" * 50], k=300_000)) + " tail"
+    ids, back = library(text)
+    got = bpe.round_trip_digests(documents([(1, text), (2, "a")]), PATH).where("doc_id = 1").first()
+    assert (got.n_tokens, got.decoded_sha256) == (len(ids), hashlib.sha256(back.encode()).hexdigest())
