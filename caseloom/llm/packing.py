@@ -8,7 +8,9 @@ emptiest bin to a fuller one, so the sum of squared fills rises and the search e
 from __future__ import annotations
 
 import json
+import os
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +25,7 @@ from caseloom.session import shared_dir
 SEQUENCE = 4096
 END_ID = 1
 GROUP_PIECES = 16_384
-WORDS_KEPT, BYTES_KEPT = 400_000, 64 << 20
+WORDS_KEPT, BYTES_KEPT, WORDS_AT_ONCE = 150_000, 32 << 20, 8192
 #: so many emptiest bins in a row without a possible step end the search
 PATIENCE = 32
 _PIECES = "number bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
@@ -33,6 +35,8 @@ class WordIds:
     """Ids of words as bytes (little-endian, 32 bits each). Words used since the last turn of the cache stay in it."""
 
     def __init__(self, content: bytes):
+        assert array("I").itemsize == 4
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         file = json.loads(content)
@@ -61,8 +65,10 @@ class WordIds:
                 fresh.append(w)
             else:
                 self.now[w] = known
-        for w, e in zip(fresh, self.library.encode_batch(fresh, add_special_tokens=False)):
-            self.now[w] = np.array(e.ids, "<u4").tobytes()
+        for i in range(0, len(fresh), WORDS_AT_ONCE):
+            some = fresh[i:i + WORDS_AT_ONCE]
+            for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
+                self.now[w] = array("I", e.ids).tobytes()
         get = self.now.__getitem__
         return [b"".join(map(get, s)) for s in split]
 
@@ -81,7 +87,7 @@ def _cut(shared, sequence: int, end_id: int):
             _words[key] = WordIds(content)
         number = TaskContext.get().partitionId() << 36
         for batch in batches:
-            for part in pieces(batch, "text", 4 << 20):
+            for part in pieces(batch, "text", 2 << 20):
                 rows = {"doc": [], "piece": [], "start": [], "length": [], "crc": []}
                 for doc, ids in zip(part["doc_id"].to_pylist(), _words[key].encode([t or "" for t in part["text"].to_pylist()])):
                     ids = memoryview(ids + end)
@@ -162,22 +168,18 @@ class Bins:
             if step is None:
                 return
             out, target, back = step
-            for i in out:
-                self.held[source].remove(i)
-                self.held[target].append(i)
-            if back is not None:
-                self.held[target].remove(back)
-                self.held[source].append(back)
-                self.where[back] = source
-            self.where[out] = target
-            moved = int(self.sizes[out].sum()) - (int(self.sizes[back]) if back is not None else 0)
+            self.held[source] = [i for i in self.held[source] if i not in out] + back
+            self.held[target] = [i for i in self.held[target] if i not in back] + out
+            self.where[out], self.where[back] = target, source
+            moved = int(self.sizes[out].sum()) - int(self.sizes[back].sum())
             self.free[source] += moved
             self.free[target] -= moved
             if not self.free[target]:
                 partners = partners[partners != target]
 
     def _step(self, source: int, partners: np.ndarray):
-        """(documents that go, their bin, document that comes back): whole moves first, then the exchange that leaves least free."""
+        """(documents that go, their bin, documents that come back): whole moves first, then the exchange that leaves least free,
+        for one document and, where none helps, for two of neighbouring sizes."""
         if not len(partners):
             return None
         same: dict[int, list[int]] = {}
@@ -199,18 +201,21 @@ class Bins:
         fits = most <= free
         if fits.any():  # a move: the largest offer that finds room, where least remains
             j = int(np.argmin(np.where(fits, (self.capacity - most) * (self.capacity + 1) + free - most, np.iinfo(np.int64).max)))
-            return list(sums[int(most[j])]), int(partners[j]), None
+            return list(sums[int(most[j])]), int(partners[j]), []
         open_bin = np.zeros(len(self.free), bool)
         open_bin[partners] = True
         docs = np.flatnonzero(open_bin[self.where])
-        own, room = self.sizes[docs], self.free[self.where[docs]]
-        most = offer[np.maximum(0, np.searchsorted(offer, own + room, "right") - 1)]
-        gain = most - own
-        good = (gain > 0) & (gain <= room)
-        if not good.any():
-            return None
-        j = int(np.argmin(np.where(good, room - gain, np.iinfo(np.int64).max)))
-        return list(sums[int(most[j])]), int(self.where[docs[j]]), int(docs[j])
+        docs = docs[np.lexsort((self.sizes[docs], self.where[docs]))]
+        beside = np.flatnonzero(self.where[docs[1:]] == self.where[docs[:-1]])
+        for back in (docs[:, None], np.stack([docs[beside], docs[beside + 1]], 1)):
+            own, target = self.sizes[back].sum(1), self.where[back[:, 0]]
+            most = offer[np.maximum(0, np.searchsorted(offer, own + self.free[target], "right") - 1)]
+            gain = most - own
+            left = np.where((gain > 0) & (gain <= self.free[target]), self.free[target] - gain, self.capacity)
+            if len(left) and left.min() < self.capacity:
+                j = int(np.argmin(left))
+                return list(sums[int(most[j])]), int(target[j]), back[j].tolist()
+        return None
 
 
 def _packed(sequence: int, patience: int):
