@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+import math
 from itertools import groupby
-from math import factorial
 
 import numpy as np
 import pandas as pd
@@ -14,13 +14,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import seeded_hash
+from caseloom.operators.ranks import number_rows
 from caseloom.operators.reshape import literal_rows
-from caseloom.session import shared_dir
+from caseloom.session import cut_lineage, shared_dir
 
-ROWS_PER_BLOCK = 50_000
 ROWS_PER_SOLVE = 512
-MAX_NODES = 5_000_000
-MAX_TABLE_BYTES = 64 * 1024 * 1024
+#: steps of a walk out of the numbers beyond the last row; with a million rows a walk of 32 has a chance below 1e-90
+_WALK = 32
+_CELLS = 1 << 20
 TOP_SHARE = 0.75
 
 
@@ -32,30 +33,50 @@ def tree_importance(model, features: Sequence[str], df: DataFrame) -> DataFrame:
                         "feature string, importance double, top boolean").orderBy(F.desc("importance"), "feature")
 
 
+def permuted_position(position: str, a: str, b: str, repeat: str, seed: int, integer_div: str = "div") -> str:
+    """SQL expression of one step of a keyed permutation of 0 .. a * b - 1: a Feistel network of four rounds on the remainder and
+    the quotient by a. The same text runs in other engines with their sign for integer division."""
+    def mixed(x: str, round_: int) -> str:
+        once = f"((({x} + 1) * 2654435761 + ({repeat} * 131 + {seed * 7919 + round_ * 104729})) % 4294967296)"
+        return f"(({once} {integer_div} 128) * 48271 % 2147483647)"
+    left, right = f"({position} % {a})", f"({position} {integer_div} {a})"
+    for round_ in range(0, 4, 2):
+        left = f"(({left} + {mixed(right, round_)}) % {a})"
+        right = f"(({right} + {mixed(left, round_ + 1)}) % {b})"
+    return f"({right} * {a} + {left})"
+
+
+def _sides(n: int) -> tuple[int, int]:
+    """Two numbers of about the same size whose product is ``n`` or a little more."""
+    a = max(1, math.isqrt(max(0, n - 1)) + 1)
+    return a, max(1, -(-n // a))
+
+
 def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Sequence[str], predict: Callable[[DataFrame], DataFrame],
-                           label: str = "label", repeats: int = 10, seed: int = 42, blocks: int | None = None) -> DataFrame:
+                           label: str = "label", repeats: int = 10, seed: int = 42) -> DataFrame:
     """Drop in accuracy when one feature is permuted: mean and standard deviation over the repeats.
 
-    Rows are dealt into blocks by hash and put in hash order; in repeat r each row borrows from the row r places
-    further on (around the end of its block), which is a permutation of the column. One shuffle deals the rows and
-    serves all repeats and features; ``predict`` adds a 0/1 ``prediction`` and scores all variants in one job.
+    Rows are numbered in the hash order of their key, by range partitioning. In each repeat a keyed permutation of all numbers
+    (``permuted_position``, repeated while it lands beyond the last row) says from which row a row borrows its feature; one join by
+    number brings the borrowed values of all repeats and features. ``predict`` adds a 0/1 ``prediction`` and scores all variants in
+    one job. Rows with one key are numbered in any order among each other.
     """
     keys, names = [key] if isinstance(key, str) else list(key), list(features)
-    n_blocks = blocks or max(1, -(-df.count() // ROWS_PER_BLOCK))
-    hashed = df.select(*keys, F.col(label).cast("int").alias("_y"), seeded_hash(keys, seed).alias("_h"),
-                       F.array(*[F.col(f"`{f}`").cast("double") for f in names]).alias("_x"))
-    dealt = hashed.withColumn("_block", F.pmod("_h", F.lit(n_blocks)).cast("int")).drop(*keys)
-    width = len(names)
-
-    def borrow(p: pd.DataFrame) -> pd.DataFrame:
-        p = p.sort_values("_h", kind="stable")
-        x = np.array(p["_x"].tolist(), dtype=float).reshape(-1, width)
-        rolled = np.stack([np.roll(x, -r, axis=0) for r in range(1, repeats + 1)], axis=1).reshape(len(p), repeats * width)
-        return pd.DataFrame({"_y": p["_y"].to_numpy(), "_x": list(x), "_donors": list(rolled)})
-    with_donors = dealt.groupBy("_block").applyInPandas(borrow, "_y int, _x array<double>, _donors array<double>")
-    # a copy of a row carries the one value it borrows, not those of all variants; the first copy borrows none
-    variants = F.posexplode(F.concat(F.array(F.lit(None).cast("double")), "_donors")).alias("_n", "_borrowed")
-    spread = with_donors.select("_y", "_x", variants).withColumn("_v", F.col("_n") - 1)
+    hashed = df.select(F.col(label).cast("int").alias("_y"), seeded_hash(keys, seed).alias("_h"), F.array(*[F.col(f"`{f}`").cast("double") for f in names]).alias("_x"))
+    numbered = cut_lineage(number_rows(hashed, "_h", "_i").select((F.col("_i") - 1).alias("_i"), "_y", "_x"))
+    n, width = numbered.count(), len(names)
+    a, b = _sides(n)
+    # a number beyond the last row is moved on; a walk visits each of the a * b - n such numbers once at most, and few of them
+    steps = min(a * b - n, _WALK) + 1
+    step = [permuted_position(x, f"{a}L", f"{b}L", "_r", seed) for x in ("_i", "v")]
+    walk = f"aggregate(sequence(1, {steps}), {step[0]}, (v, _s) -> if(v < {n}, v, {step[1]}))"
+    asked = numbered.select("_i", "_y", "_x", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(repeats).cast("bigint"))).alias("_r")).withColumn("_d", F.expr(walk))
+    donors = numbered.select(F.col("_i").alias("_d"), F.col("_x").alias("_donor"))
+    with_donors = asked.join(donors, "_d").select("_y", "_x", (F.col("_r") - 1).alias("_r"), "_donor")
+    # a copy of a row carries the one value it borrows, not those of all variants
+    spread = with_donors.select("_y", "_x", "_r", F.posexplode("_donor").alias("_f", "_borrowed")).withColumn("_v", F.col("_r") * width + F.col("_f"))
+    plain = numbered.select("_y", "_x", F.lit(-1).cast("bigint").alias("_v"), F.lit(None).cast("double").alias("_borrowed"))
+    spread = spread.select("_y", "_x", "_v", "_borrowed").unionAll(plain)
     at = F.pmod("_v", F.lit(width))
     columns = [F.when((F.col("_v") >= 0) & (at == i), F.col("_borrowed")).otherwise(F.get("_x", F.lit(i))).alias(f) for i, f in enumerate(names)]
     scored = predict(spread.select("_y", "_v", *columns))
@@ -72,9 +93,7 @@ def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Se
 class LeafTable:
     """The leaves of one forest with the same number m of distinct path features.
 
-    ``features`` (leaf, m), the interval (``low``, ``high``] of each, the share of training rows that met it, the leaf's
-    value, and ``phi`` (leaf, 2^m, m): the Shapley values of the leaf for every pattern of satisfied intervals. Without
-    ``phi`` (a deep forest, whose tables would be too large to send) a task works out the patterns that occur.
+    ``features`` (leaf, m), the interval (``low``, ``high``] of each, the share of training rows that met it, the leaf's value.
     """
 
     features: np.ndarray
@@ -82,45 +101,46 @@ class LeafTable:
     high: np.ndarray
     share: np.ndarray
     value: np.ndarray
-    phi: np.ndarray | None
-
-    def values_of(self, leaf: int, met: np.ndarray) -> np.ndarray:
-        """(row, m) Shapley values of one leaf for rows of satisfied intervals."""
-        code = met @ (1 << np.arange(met.shape[1]))
-        if self.phi is not None:
-            return self.phi[leaf][code]
-        seen, at = np.unique(code, return_inverse=True)
-        return _leaf_values(self.value[leaf:leaf + 1], self.share[leaf:leaf + 1], seen)[0][at]
-
-
-def _leaf_values(value: np.ndarray, share: np.ndarray, codes: np.ndarray | None = None) -> np.ndarray:
-    """Shapley values of the games v(S) = value * prod_{S} met * prod_{not S} share, for patterns of ``met`` as bit codes
-    (all of them unless given)."""
-    leaves, m = share.shape
-    codes = np.arange(2 ** m) if codes is None else codes
-    patterns = (codes[:, None] >> np.arange(m)) & 1
-    met = patterns[None].repeat(leaves, 0).astype(float)
-    z = share[:, None, :].repeat(len(codes), 1)
-    phi = np.zeros((leaves, len(codes), m))
-    for i in range(m):
-        # coefficients by coalition size of prod_{j != i} (z_j + met_j t)
-        poly = [np.ones((leaves, len(codes)))]
-        for j in range(m):
-            if j != i:
-                shifted = [np.zeros((leaves, len(codes))), *[c * met[..., j] for c in poly]]
-                poly = [a * z[..., j] + b for a, b in zip([*poly, np.zeros((leaves, len(codes)))], shifted)]
-        weight = sum(c * (factorial(s) * factorial(m - 1 - s) / factorial(m)) for s, c in enumerate(poly))
-        phi[..., i] = value[:, None] * (met[..., i] - z[..., i]) * weight
-    return phi
+
+    def add_to(self, out: np.ndarray, x: np.ndarray) -> None:
+        """Adds the Shapley values of all leaves to ``out`` (row, feature), in pieces of bounded size."""
+        leaves, m = self.features.shape
+        step = max(1, _CELLS // (m * max(1, len(x))))
+        for i in range(0, leaves, step):
+            f = self.features[i:i + step]
+            met = (x[:, f] > self.low[i:i + step]) & (x[:, f] <= self.high[i:i + step])
+            phi = leaf_values(self.value[i:i + step], self.share[i:i + step], met)
+            for j in range(len(f)):
+                out[:, f[j]] += phi[:, j]
+
+
+def leaf_values(value: np.ndarray, share: np.ndarray, met: np.ndarray) -> np.ndarray:
+    """Shapley values (row, leaf, m) of the games v(S) = value * prod_{S} met * prod_{not S} share.
+
+    The weight s! (m - 1 - s)! / m! of a coalition of s others is the integral of t^s (1 - t)^(m - 1 - s), so the value of i is
+    value * (met_i - share_i) times the integral over t of the product over the others of share (1 - t) + met t. That is a polynomial
+    of degree m - 1: m / 2 Gauss points give it exactly. Along a path the products are extended from both ends, so nothing is
+    divided out again, and a leaf costs m * m / 2 steps a row, whatever its depth.
+    """
+    m = share.shape[1]
+    nodes, weights = np.polynomial.legendre.leggauss((m + 1) // 2)
+    total = np.zeros(met.shape)
+    for t, w in zip((nodes + 1) / 2, weights / 2):
+        factor = np.where(met, share * (1 - t) + t, share * (1 - t))
+        others = np.empty(met.shape)
+        others[..., 0] = 1.0
+        np.cumprod(factor[..., :-1], axis=-1, out=others[..., 1:])
+        behind = np.cumprod(factor[..., :0:-1], axis=-1)[..., ::-1]
+        others[..., :-1] *= behind
+        total += w * others
+    return value[:, None] * (met - share) * total
 
 
 def forest_leaves(model: RandomForestClassificationModel, df: DataFrame) -> tuple[list[LeafTable], float]:
-    """Leaf tables and the mean prediction, read from the saved form of the forest (its size is bounded by its depth)."""
+    """Leaf tables and the mean prediction, read from the saved form of the forest (a model: its size does not depend on the rows)."""
     path = shared_dir(df.sparkSession, "forest")
     model.write().overwrite().save(path)
-    rows = df.sparkSession.read.parquet(f"{path}/data").select("treeID", "nodeData.*").limit(MAX_NODES + 1).collect()
-    if len(rows) > MAX_NODES:
-        raise ValueError("the forest is too large to be sent to the tasks")
+    rows = df.sparkSession.read.parquet(f"{path}/data").select("treeID", "nodeData.*").collect()
     trees: dict[int, dict] = {}
     for r in rows:
         trees.setdefault(r["treeID"], {})[r["id"]] = r
@@ -147,21 +167,18 @@ def forest_leaves(model: RandomForestClassificationModel, df: DataFrame) -> tupl
                 bound = (low, min(high, cut), share * part) if below else (max(low, cut), high, share * part)
                 stack.append((child, {**path_, feature: bound}))
     tables = []
-    tabulate = sum(8 * len(p) * 2 ** len(p) for _, p in found) <= MAX_TABLE_BYTES
     for _, same in groupby(sorted(found, key=lambda f: len(f[1])), key=lambda f: len(f[1])):
         leaves = list(same)
         column = [np.array([[b[i] for b in p.values()] for _, p in leaves]) for i in range(3)]
         values = np.array([v for v, _ in leaves])
-        phi = _leaf_values(values, column[2]) if tabulate else None
-        tables.append(LeafTable(np.array([list(p) for _, p in leaves]), *column, values, phi))
+        tables.append(LeafTable(np.array([list(p) for _, p in leaves]), *column, values))
     return tables, base
 
 
 def shap_values(model: RandomForestClassificationModel, df: DataFrame, features: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
     """Path-dependent Shapley values of the probability of class 1: kept columns, one column per feature, ``base``.
 
-    The Shapley values of a leaf depend only on which of its intervals a row meets; they are tabulated once, and a task
-    looks them up per row.
+    The Shapley values of a leaf depend only on which of its intervals a row meets (``leaf_values``).
     """
     tables, base = forest_leaves(model, df)
     shared = df.sparkSession.sparkContext.broadcast(tables)
@@ -171,10 +188,9 @@ def shap_values(model: RandomForestClassificationModel, df: DataFrame, features:
         for p in batches:
             x = p[names].to_numpy(dtype=float)
             out = np.zeros_like(x)
-            for t in shared.value:
-                for leaf in range(len(t.features)):
-                    f = t.features[leaf]
-                    out[:, f] += t.values_of(leaf, (x[:, f] > t.low[leaf]) & (x[:, f] <= t.high[leaf]))
+            for i in range(0, len(x), ROWS_PER_SOLVE):
+                for t in shared.value:
+                    t.add_to(out[i:i + ROWS_PER_SOLVE], x[i:i + ROWS_PER_SOLVE])
             yield pd.concat([p[kept].reset_index(drop=True), pd.DataFrame(out, columns=names).assign(base=base)], axis=1)
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*kept).schema.fields] + [f"`{n}` double" for n in names] + ["base double"])
     return df.select(*kept, *[F.col(f"`{n}`").cast("double").alias(n) for n in names]).mapInPandas(explain, schema)

@@ -8,13 +8,14 @@ from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
-    DecisionTreeClassifier, GBTClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier)
+    DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.operators import evaluate
+from caseloom.operators import boosting, evaluate
+from caseloom.operators.boosting import Booster, Growth
 from caseloom.operators.features import Scaler, class_weights, smote, smote_folds
 from caseloom.operators.reshape import union_all
 from caseloom.session import cut_lineage
@@ -38,8 +39,10 @@ class Recipe:
     """A named classifier: how to build its estimator for a training set of n rows, and whether rows are weighted."""
 
     name: str
-    build: Callable[[int], Estimator]
+    build: Callable[[int], Estimator] | None = None
     weighted: bool = True
+    #: boosted recipes: all training sets of all such recipes grow together
+    growth: Growth | None = None
 
 
 def logistic(c: float = 1.0, iterations: int = 200) -> Callable[[int], Estimator]:
@@ -48,13 +51,12 @@ def logistic(c: float = 1.0, iterations: int = 200) -> Callable[[int], Estimator
 
 
 def recipes(seed: int = 42, rounds: int = 100, trees: int = 100) -> dict[str, Recipe]:
-    """The compared classifiers. Two settings of Spark's boosted trees stand for the two boosting libraries."""
+    """The compared classifiers; the two boosted ones grow level by level and best leaf first."""
     entries = [
         Recipe("Logistic Regression", logistic(0.1)),
         Recipe("Decision Tree", lambda n: DecisionTreeClassifier(maxDepth=7, minInstancesPerNode=5, seed=seed)),
         Recipe("Random Forest", lambda n: RandomForestClassifier(numTrees=trees, maxDepth=8, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed)),
-        Recipe("Boosted Trees", lambda n: GBTClassifier(maxIter=rounds, stepSize=0.1, maxDepth=5, subsamplingRate=0.8, featureSubsetStrategy="0.8", seed=seed)),
-        Recipe("Boosted Trees (wide)", lambda n: GBTClassifier(maxIter=rounds, stepSize=0.1, maxDepth=5, minInstancesPerNode=20, seed=seed)),
+        *[Recipe(g.name, growth=g) for g in (boosting.level_wise(rounds=rounds, seed=seed), boosting.leaf_wise(rounds=rounds, seed=seed))],
     ]
     return {r.name: r for r in entries}
 
@@ -97,8 +99,10 @@ def prepare(df: DataFrame, features: Sequence[str], label: str = "label", train:
     return assembler(features).transform(df.withColumn(WEIGHT, weight)).select(*kept, WEIGHT, FEATURES)
 
 
-def fit(recipe: Recipe, prepared: DataFrame, label: str = "label", n: int | None = None) -> Fitted:
+def fit(recipe: Recipe, prepared: DataFrame, label: str = "label", n: int | None = None) -> Fitted | Boosted:
     """Fits one recipe. A model without probabilities gets a logistic calibration of its margin."""
+    if recipe.growth is not None:
+        return Boosted(recipe.name, fit_boosted([recipe], prepared, label=label)[recipe.name, 0])
     size = n if n is not None else prepared.count()
     estimator = recipe.build(size)
     estimator.setParams(featuresCol=FEATURES, labelCol=label)
@@ -113,6 +117,29 @@ def fit(recipe: Recipe, prepared: DataFrame, label: str = "label", n: int | None
     return Fitted(recipe.name, model, calibration)
 
 
+@dataclass
+class Boosted:
+    """A fitted booster over the feature vector."""
+
+    name: str
+    booster: Booster
+
+    def transform(self, df: DataFrame, probability: str = "probability", prediction: str = "prediction") -> DataFrame:
+        scored = boosting.scored(df, [self.booster], F.lit(0), vector_to_array(FEATURES), probability, prediction)
+        return scored.select(*df.columns, probability, prediction)
+
+
+def fit_boosted(chosen: Sequence[Recipe], prepared: DataFrame, key: Sequence[str] = (), label: str = "label", training: Column | None = None,
+                trainings: int = 1) -> dict[tuple[str, int], Booster]:
+    """Boosters by (recipe, training set), all grown in the same scans; bit t of ``training`` marks the rows of set t.
+    Rows are drawn by a hash of ``key``, or else of their features."""
+    values = vector_to_array(FEATURES)
+    first = prepared.select(F.size(values)).first()
+    names = [f"_x{i}" for i in range(first[0] if first else 0)]
+    rows = prepared.withColumns({"_key": F.xxhash64(*(key or [values])), **{n: values[i] for i, n in enumerate(names)}})
+    return boosting.boost(rows, names, [r.growth for r in chosen], "_key", label, training, trainings)
+
+
 @dataclass
 class Voting:
     """Soft voting averages the probabilities; hard voting takes the most frequent prediction and has none."""
@@ -159,7 +186,7 @@ class Stacking:
             *kept, "probability", "prediction")
 
 
-def _parallel(jobs: Sequence[Callable], width: int = 3) -> list:
+def parallel(jobs: Sequence[Callable], width: int = 3) -> list:
     """Runs independent Spark jobs side by side; Spark's scheduler shares the executors among them."""
     with ThreadPoolExecutor(max_workers=width) as pool:
         return list(pool.map(lambda job: job(), jobs))
@@ -167,7 +194,7 @@ def _parallel(jobs: Sequence[Callable], width: int = 3) -> list:
 
 def fit_members(prepared: DataFrame, members: dict[str, Recipe], label: str = "label") -> list[Fitted]:
     n = prepared.count()
-    return _parallel([lambda r=r: fit(r, prepared, label, n) for r in members.values()])
+    return parallel([lambda r=r: fit(r, prepared, label, n) for r in members.values()])
 
 
 def fit_stacking(prepared: DataFrame, members: dict[str, Recipe], label: str = "label", fold: str = "fold", folds: int = 5) -> Stacking:
@@ -175,7 +202,7 @@ def fit_stacking(prepared: DataFrame, members: dict[str, Recipe], label: str = "
     def held_out(f: int) -> DataFrame:
         fitted = [fit(r, prepared.where(F.col(fold) != f), label) for r in members.values()]
         return Stacking.inputs(prepared.where(F.col(fold) == f), fitted)
-    stacked = union_all(_parallel([lambda f=f: held_out(f) for f in range(folds)]))
+    stacked = union_all(parallel([lambda f=f: held_out(f) for f in range(folds)]))
     meta_rows = VectorAssembler(inputCols=[f"_p_{r.name}" for r in members.values()], outputCol=FEATURES).transform(stacked.drop(FEATURES))
     meta = fit(Recipe("meta", logistic(1.0)), meta_rows, label)
     return Stacking(fit_members(prepared, members, label), meta)
@@ -194,7 +221,25 @@ def cross_predictions(prepared: DataFrame, recipe: Recipe, label: str = "label",
         rows = prepared.where(F.col(fold) != f) if training is None else training.where(F.col(fold) == f)
         fitted = fit(recipe, rows, label)
         return predictions_of(fitted, prepared.where(F.col(fold) == f), label, [fold])
-    return union_all(_parallel([lambda f=f: one(f) for f in range(folds)]))
+    return union_all(parallel([lambda f=f: one(f) for f in range(folds)]))
+
+
+def _grown(chosen: Sequence[Recipe], prepared: DataFrame, whole: DataFrame, training: DataFrame | None, label: str, fold: str,
+           folds: int) -> tuple[dict[str, Boosted], list[DataFrame]]:
+    """Boosters of all rows, and predictions of every row by a booster that did not see its fold: one run for all of them."""
+    key = [] if training is None else ["base", "copy"]
+    if training is None:
+        rows, mask = prepared, F.lit((2 << folds) - 1).cast("bigint") - F.expr(f"shiftleft(1L, `{fold}`)")
+    else:  # each fold has its own raised rows
+        rows = training.select(label, FEATURES, *key, F.expr(f"shiftleft(1L, `{fold}`)").alias("_mask")).unionAll(
+            whole.select(label, FEATURES, *key, F.lit(1 << folds).cast("bigint").alias("_mask")))
+        mask = F.col("_mask")
+    found = fit_boosted(chosen, rows, key, label, mask, folds + 1)
+    cross = []
+    for r in chosen:
+        out = boosting.scored(prepared, [found[r.name, f] for f in range(folds)], F.col(fold), vector_to_array(FEATURES))
+        cross.append(out.select(F.lit(r.name).alias("model"), fold, F.col(label).cast("int").alias("label"), "probability", "prediction"))
+    return {r.name: Boosted(r.name, found[r.name, folds]) for r in chosen}, cross
 
 
 @dataclass
@@ -203,7 +248,7 @@ class Report:
 
     results: DataFrame
     predictions: DataFrame
-    models: dict[str, Fitted] = field(default_factory=dict)
+    models: dict[str, Fitted | Boosted] = field(default_factory=dict)
 
 
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str], chosen: dict[str, Recipe], label: str = "label",
@@ -219,14 +264,27 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str
     prepared = prepare(train, features, label, keep=[fold]).persist()
     whole, training = prepared, None
     if oversample is not None:
-        whole = prepare(cut_lineage(smote(train, oversample, features, label)), features, label).persist()
+        whole = prepare(cut_lineage(smote(train, oversample, features, label)), features, label, keep=["base", "copy"]).persist()
         raised = smote_folds(train, oversample, features, label, fold, range(folds)).where("part = 'train'")
-        training = prepare(cut_lineage(raised.withColumnRenamed("cv_fold", fold)), features, label, keep=[fold]).persist()
+        training = prepare(cut_lineage(raised.withColumnRenamed("cv_fold", fold)), features, label, keep=[fold, "base", "copy"]).persist()
     try:
         held = prepare(test, features, label, train)
         n = whole.count()
-        fitted = dict(zip(chosen, _parallel([lambda r=r: fit(r, whole, label, n) for r in chosen.values()])))
-        cv = union_all([cross_predictions(prepared, r, label, fold, folds, training) for r in chosen.values()])
+        single = [r for r in chosen.values() if r.growth is None]
+        grown = [r for r in chosen.values() if r.growth is not None]
+        jobs = [lambda r=r: {r.name: fit(r, whole, label, n)} for r in single]
+        jobs += [lambda r=r: cross_predictions(prepared, r, label, fold, folds, training) for r in single]
+        if grown:
+            jobs.append(lambda: _grown(grown, prepared, whole, training, label, fold, folds))
+        done = parallel(jobs, 4)
+        fitted = {name: m for part in done[:len(single)] for name, m in part.items()}
+        parts = done[len(single):2 * len(single)]
+        if grown:
+            boosted, cross = done[-1]
+            fitted.update(boosted)
+            parts += cross
+        fitted = {name: fitted[name] for name in chosen}
+        cv = union_all(parts)
         scores = evaluate.fold_scores(cv, ["model"], fold, cv_metric).select(
             F.col("model").alias("_m"), F.round("cv_mean", 4).alias("cv_f1"), F.round("cv_std", 4).alias("cv_f1_std"))
         predictions = union_all([predictions_of(m, held, label) for m in fitted.values()])

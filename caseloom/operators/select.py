@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import ratio
-from caseloom.operators.ranks import prefix_sums
+from caseloom.operators.ranks import CELL, prefix_sums, settle
 from caseloom.operators.reshape import literal_rows
 from caseloom.operators.stats import class_value_counts
 
@@ -33,6 +33,71 @@ def mutual_information(df: DataFrame, features: Sequence[str], label: str = "lab
     return cells.groupBy("feature").agg(F.sum(term("n0", "t0") + term("n1", "t1")).alias("score"))
 
 
+def digamma(x: str) -> str:
+    """SQL expression of the digamma function for numbers of 1 and more: the series at x + 6, brought back by its recurrence.
+    The same text runs in other engines."""
+    at = f"({x} + 6.0D)"
+    steps = " + ".join(f"1.0D / ({x} + {i}.0D)" for i in range(6))
+    square = f"({at} * {at})"
+    return (f"(ln({at}) - 0.5D / {at} - (1.0D / 12 - (1.0D / 120 - (1.0D / 252 - (1.0D / 240 - 1.0D / 132 / {square}) / {square}) / {square}) / {square}) / {square}"
+            f" - ({steps}))")
+
+
+def neighbour_information(df: DataFrame, features: Sequence[str], label: str = "label", k: int = 3, cells: int | None = None) -> DataFrame:
+    """Mutual information with a 0/1 label in nats by the nearest-neighbour estimate for a class and a number (Ross 2014).
+
+    A row's radius is the distance to its k-th nearest row of the same class (the last one, in a smaller class); m rows of any class
+    are nearer than that, the row itself included, and the score is psi(N) + mean(psi(k) - psi(class size) - psi(m)), 0 at least. Where
+    the radius is 0, k and m are the numbers of other rows with the same value, so ties need no noise. Values that are not there
+    and classes of one row take no part. Rows are collapsed to (feature, class, value); neighbours are the next values in range
+    partitions, whose edges see the few edge values of the others; m is a difference of two running totals.
+    """
+    def group_of(c: str):
+        return F.struct(F.lit(int(c[1])).alias("class"), F.col(c).alias("c"))
+    counts = class_value_counts(df, features, label).select("feature", "value", F.explode(F.array(group_of("n0"), group_of("n1"))).alias("g"))
+    counts = counts.select("feature", "g.class", F.col("value").cast("double").alias("value"), "g.c").where("c > 0")
+    sizes = counts.groupBy("feature", "class").agg(F.sum("c").alias("ny")).where("ny > 1")  # two rows a feature
+    celled = settle(counts.join(sizes, ["feature", "class"]), "value", ["feature", "class"], cells)
+    here = W.partitionBy("feature", "class", CELL)
+    placed = celled.withColumns({"from_first": F.row_number().over(here.orderBy("value")), "from_last": F.row_number().over(here.orderBy(F.desc("value")))})
+
+    def beside(window, prefix: str) -> dict:
+        entry = F.struct("value", "c")
+        return {f"{prefix}{side}{j}": step(entry, j).over(window) for j in range(1, k + 1) for side, step in (("b", F.lag), ("a", F.lead))}
+    inner = placed.withColumns(beside(here.orderBy("value"), "in_"))
+    # the first and last k values of every cell: in their order, k neighbours of an edge value stand next to it
+    edges = placed.where((F.col("from_first") <= k) | (F.col("from_last") <= k))
+    edges = edges.withColumns(beside(W.partitionBy("feature", "class").orderBy("value"), "out_"))
+    outer = [f"out_{s}{j}" for j in range(1, k + 1) for s in "ab"]
+    rows = inner.join(edges.select("feature", "class", "value", *outer), ["feature", "class", "value"], "left")
+    near = [F.when(F.col("from_first") > j, F.col(f"in_b{j}")).otherwise(F.col(f"out_b{j}")) for j in range(1, k + 1)]
+    near += [F.when(F.col("from_last") > j, F.col(f"in_a{j}")).otherwise(F.col(f"out_a{j}")) for j in range(1, k + 1)]
+    found = F.filter(F.array(*near), lambda e: e.isNotNull())
+    rows = rows.select("feature", "class", "value", "c", "ny", F.transform(found, lambda e: F.struct(F.abs(e["value"] - F.col("value")).alias("d"), e["c"].alias("c"), e["value"].alias("at"))).alias("near"))
+    wanted = F.least(F.lit(k), F.col("ny") - 1)
+    within = lambda e: F.col("c") - 1 + F.aggregate(F.filter("near", lambda o: o["d"] <= e["d"]), F.lit(0).cast("bigint"), lambda t, o: t + o["c"])
+    reach = F.array_min(F.transform(F.filter("near", lambda e: within(e) >= wanted), lambda e: e["d"]))
+    rows = rows.withColumn("d", F.when(F.col("c") > wanted, 0.0).otherwise(reach)).withColumn("k", F.when(F.col("d") == 0, F.col("c") - 1).otherwise(wanted))
+
+    def bound(sign: int):
+        # the value that sets the radius bounds it exactly, whatever the rounding of the sum
+        at = F.filter("near", lambda e: (e["d"] == F.col("d")) & ((e["at"] - F.col("value")) * sign > 0))
+        return F.when(F.col("d") == 0, F.col("value")).otherwise(F.coalesce(F.get(at, F.lit(0))["at"], F.col("value") + sign * F.col("d")))
+    tie = F.col("d") == 0
+    asked = rows.select("feature", "class", "value", "c", "ny", "k", tie.alias("tie"), F.explode(F.array(
+        F.struct(F.struct(bound(1).alias("v"), F.when(tie, 2).otherwise(0).alias("o")).alias("at"), F.lit(1).alias("sign")),
+        F.struct(F.struct(bound(-1).alias("v"), F.when(tie, 0).otherwise(2).alias("o")).alias("at"), F.lit(-1).alias("sign")))).alias("q"))
+    asked = asked.select("feature", "q.at", F.lit(0).cast("bigint").alias("n"), F.struct("class", "value", "c", "ny", "k", "tie", "q.sign").alias("row"))
+    points = celled.groupBy("feature", "value").agg(F.sum("c").alias("n")).select(
+        "feature", F.struct(F.col("value").alias("v"), F.lit(1).alias("o")).alias("at"), "n", F.lit(None).cast(asked.schema["row"].dataType).alias("row"))
+    totals = prefix_sums(points.unionAll(asked), "at", ["n"], ["feature"], cells).where("row IS NOT NULL")
+    m = totals.groupBy("feature", "row.class", "row.value", "row.c", "row.ny", "row.k", "row.tie", F.col("total_n").alias("total")).agg(F.sum(F.col("below_n") * F.col("row.sign")).alias("m"))
+    m = m.withColumn("m", F.col("m") - F.when(F.col("tie"), 1).otherwise(0))
+    each = F.expr(f"c * ({digamma('k')} - {digamma('ny')} - {digamma('m')})")
+    score = m.groupBy("feature", "total").agg(F.sum(each).alias("s"))
+    return score.select("feature", F.greatest(F.lit(0.0), F.expr(f"{digamma('total')} + s / total")).alias("score"))
+
+
 def _linear_sums(df: DataFrame, features: Sequence[str], label: str) -> DataFrame:
     """Per feature: range, class sums, class counts and correlation with the label, one row each, from one aggregate."""
     def sums(c: str):

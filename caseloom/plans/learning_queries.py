@@ -147,6 +147,33 @@ def fs1(spark, sf):
     return select.mutual_information(fx.obs(spark, sf), [*OBS_FLAGS, *OBS_MEASURES], discrete=[*OBS_FLAGS, "m1"]).withColumn("score", F.round("score", 8))
 
 
+def _neighbour_sql(c: str, k: int = 3) -> str:
+    """Ross' estimate of one feature: the k-th neighbour within the class among the next values, and the rows nearer than it."""
+    psi = {n: select.digamma(n).replace("D", "::DOUBLE") for n in ("k", "ny", "m", "total")}
+    sides = [(f"{f.lower()}{j}", f"{f}(x, {j}) OVER w", f"{f}(c, {j}) OVER w") for f in ("LAG", "LEAD") for j in range(1, k + 1)]
+    beside = ", ".join(f"{x} AS {n}, {m} AS c{n}" for n, x, m in sides)
+    names = [n for n, _, _ in sides]
+    inside = lambda d: "c - 1 + " + " + ".join(f"CASE WHEN ABS({n} - x) <= {d} THEN c{n} ELSE 0 END" for n in names)
+    reach = ", ".join(f"CASE WHEN {inside(f'ABS({n} - x)')} >= want THEN ABS({n} - x) END" for n in names)
+    side = lambda sign, names: "CASE WHEN d = 0 THEN x " + " ".join(f"WHEN ABS({n} - x) = d THEN {n}" for n in names) + f" ELSE x {sign} d END"
+    return f"""SELECT '{c}' AS feature, GREATEST(0.0, FIRST({psi['total']}) + SUM(c * ({psi['k']} - {psi['ny']} - {psi['m']})) / FIRST(total)) AS score FROM (
+ SELECT q.*, CASE WHEN d = 0 THEN c - 1 ELSE want END AS k, (SELECT COUNT(*) FROM obs) AS total, CASE WHEN d = 0 THEN COALESCE(e.n, 0) - 1 ELSE COALESCE(h.cum, 0) - COALESCE(l.cum, 0) END AS m FROM (
+  SELECT *, {side('+', [f'lead{j}' for j in range(1, k + 1)])} AS hi, {side('-', [f'lag{j}' for j in range(1, k + 1)])} AS lo FROM (
+   SELECT *, CASE WHEN c > want THEN 0 ELSE LEAST({reach}) END AS d FROM (
+    SELECT *, LEAST({k}, SUM(c) OVER (PARTITION BY label) - 1) AS want, SUM(c) OVER (PARTITION BY label) AS ny, {beside}
+    FROM (SELECT label, CAST({c} AS DOUBLE) AS x, COUNT(*) AS c FROM obs GROUP BY 1, 2) WINDOW w AS (PARTITION BY label ORDER BY x)))) q
+ LEFT JOIN (SELECT CAST({c} AS DOUBLE) AS x, COUNT(*) AS n FROM obs GROUP BY 1) e ON e.x = q.x
+ ASOF LEFT JOIN cum_{c} h ON q.hi > h.x ASOF LEFT JOIN cum_{c} l ON q.lo >= l.x)"""
+
+
+_CUM = {f"cum_{c}": f"SELECT x, SUM(n) OVER (ORDER BY x) AS cum FROM (SELECT CAST({c} AS DOUBLE) AS x, COUNT(*) AS n FROM obs GROUP BY 1)" for c in [*OBS_FLAGS, *OBS_MEASURES]}
+
+
+@query("fs1b_neighbour_information", with_ctes("obs", **_CUM) + "SELECT feature, ROUND(score, 7) AS score FROM (" + " UNION ALL ".join(_neighbour_sql(c) for c in [*OBS_FLAGS, *OBS_MEASURES]) + ")")
+def fs1b(spark, sf):
+    return select.neighbour_information(fx.obs(spark, sf), [*OBS_FLAGS, *OBS_MEASURES]).withColumn("score", F.round("score", 7))
+
+
 def _chi_score(c: str) -> str:
     return f"""SELECT '{c}' AS feature, (o0-e0)*(o0-e0)/e0 + (o1-e1)*(o1-e1)/e1 AS score FROM (SELECT o0, o1, (o0+o1)*n0/(n0+n1) AS e0, (o0+o1)*n1/(n0+n1) AS e1 FROM (
  SELECT SUM(CASE WHEN label=0 THEN ({c}-lo)/(hi-lo) END) AS o0, SUM(CASE WHEN label=1 THEN ({c}-lo)/(hi-lo) END) AS o1, CAST(COUNT(*) FILTER (WHERE label=0) AS DOUBLE) AS n0,
@@ -216,16 +243,33 @@ def fs6(spark, sf):
 
 # --- models ---
 
-def _split_folds(spark, sf, k: int = 5):
-    rows = features.stratified_split(_stroke_rows(spark, sf).withColumn("bmi", F.coalesce("bmi", F.lit(50.0))), "patient_id")
-    train = features.stratified_folds(rows.where("split = 'train'"), "patient_id", k=k, seed=7)
-    return train, rows.where("split = 'test'")
+_CLASSIFIED = {"autism": ["age", "gender", *AQ_ITEMS, "jaundice", "family_asd"], "diabetes": ["age", "gender", *SYMPTOMS], "stroke": [*STROKE_FEATURES, "bmi"]}
+
+
+def _classified(spark, sf, source: str):
+    """(training rows with folds, test rows, names of all prepared features): one-hot columns and medians from training rows."""
+    rows = features.stratified_split(fx.fact(spark, sf, source).join(fx.dim_patient(spark, sf), "patient_id"), "patient_id")
+    names = _CLASSIFIED[source]
+    if source == "stroke":
+        train = rows.where("split = 'train'")
+        rows = rows.withColumn("bracket", clean.age_bracket("age"))
+        rows = clean.MedianImputer("bmi", "bracket").fit(rows.where("split = 'train'")).transform(rows)
+        onehot = OneHot(["work_type", "smoking_status"]).fit(train)
+        rows, names = onehot.transform(rows), [*names, *onehot.names]
+    rows = cut_lineage(rows.select("patient_id", "label", "split", *[F.col(f"`{c}`").cast("double").alias(_plain(c)) for c in names]))
+    train = features.stratified_folds(rows.where("split = 'train'"), "patient_id", k=5, seed=7)
+    return train, rows.where("split = 'test'"), [_plain(c) for c in names]
+
 
+def _plain(name: str) -> str:
+    return "".join(c if c.isalnum() else "_" for c in name)
 
-def _evaluated(spark, sf, names: list[str], rounds: int = 100):
-    train, test = _split_folds(spark, sf)
-    recipes = {n: r for n, r in models.recipes(rounds=rounds).items() if n in names}
-    return models.train_and_evaluate(train, test, STROKE_FEATURES, recipes, folds=5).results
+
+def _evaluated(spark, sf, names: list[str], source: str = "stroke", rounds: int = 100, trees: int = 100):
+    """Recipes on one fact table: all prepared features, five folds, training rows raised inside the folds and before the last fit."""
+    train, test, features_ = _classified(spark, sf, source)
+    chosen = {n: r for n, r in models.recipes(rounds=rounds, trees=trees).items() if n in names}
+    return models.train_and_evaluate(train, test, features_, chosen, folds=5, oversample="patient_id").results
 
 
 @query("ml1_logistic")
@@ -240,32 +284,25 @@ def ml2(spark, sf):
 
 @query("ml3_forest")
 def ml3(spark, sf):
-    train, test = _split_folds(spark, sf)
-    fitted = models.fit(models.recipes()["Random Forest"], models.prepare(train, STROKE_FEATURES))
-    scored = models.predictions_of(fitted, models.prepare(test, STROKE_FEATURES, train=train))
-    return evaluate.full_evaluation(scored, ["model"])
-
-
-def _boosted(spark, sf, name: str):
-    train, test = _split_folds(spark, sf)
-    fitted = models.fit(models.recipes()[name], models.prepare(train, STROKE_FEATURES))
-    return evaluate.full_evaluation(models.predictions_of(fitted, models.prepare(test, STROKE_FEATURES, train=train)), ["model"])
+    return _evaluated(spark, sf, ["Random Forest"])
 
 
 @query("ml4_boosting")
 def ml4(spark, sf):
-    return _boosted(spark, sf, "Boosted Trees")
+    return _evaluated(spark, sf, ["Boosted Trees"])
 
 
 @query("ml5_boosting_wide")
 def ml5(spark, sf):
-    return _boosted(spark, sf, "Boosted Trees (wide)")
+    return _evaluated(spark, sf, ["Boosted Trees (leaf-wise)"])
 
 
 def _members(spark, sf):
-    train, test = _split_folds(spark, sf)
-    prepared = cut_lineage(models.prepare(train, STROKE_FEATURES, keep=["fold"]))
-    return prepared, models.prepare(test, STROKE_FEATURES, train=train)
+    train, test, names = _classified(spark, sf, "stroke")
+    scaler = Scaler([n for n in names if n in ("age", "avg_glucose_level", "bmi")]).fit(train)
+    train, test = scaler.transform(train), scaler.transform(test)
+    prepared = cut_lineage(models.prepare(train, names, keep=["fold"]))
+    return prepared, models.prepare(test, names, train=train)
 
 
 @query("ml6_svm")
@@ -297,36 +334,11 @@ def ml9(spark, sf):
     return evaluate.full_evaluation(models.predictions_of(stacked, held), ["model"])
 
 
-_CLASSIFIED = {"autism": ["age", "gender", *AQ_ITEMS, "jaundice", "family_asd"], "diabetes": ["age", "gender", *SYMPTOMS], "stroke": [*STROKE_FEATURES, "bmi"]}
-
-
-def _classified(spark, sf, source: str):
-    """(training rows with folds, test rows, names of all prepared features): one-hot columns and medians from training rows."""
-    rows = features.stratified_split(fx.fact(spark, sf, source).join(fx.dim_patient(spark, sf), "patient_id"), "patient_id")
-    names = _CLASSIFIED[source]
-    if source == "stroke":
-        train = rows.where("split = 'train'")
-        rows = rows.withColumn("bracket", clean.age_bracket("age"))
-        rows = clean.MedianImputer("bmi", "bracket").fit(rows.where("split = 'train'")).transform(rows)
-        onehot = OneHot(["work_type", "smoking_status"]).fit(train)
-        rows, names = onehot.transform(rows), [*names, *onehot.names]
-    rows = cut_lineage(rows.select("patient_id", "label", "split", *[F.col(f"`{c}`").cast("double").alias(_plain(c)) for c in names]))
-    train = features.stratified_folds(rows.where("split = 'train'"), "patient_id", k=5, seed=7)
-    return train, rows.where("split = 'test'"), [_plain(c) for c in names]
-
-
-def _plain(name: str) -> str:
-    return "".join(c if c.isalnum() else "_" for c in name)
-
-
 def _all_models(spark, sf, sources=tuple(_CLASSIFIED), **sizes):
-    """All recipes on each fact table; training rows are oversampled inside the folds."""
-    out = []
-    for source in sources:
-        train, test, names = _classified(spark, sf, source)
-        report = models.train_and_evaluate(train, test, names, models.recipes(**sizes), folds=5, oversample="patient_id")
-        out.append(report.results.select(F.lit(source).alias("dataset"), "*"))
-    return union_all(out)
+    """All recipes on each fact table; the tables run side by side."""
+    names = list(models.recipes())
+    out = models.parallel([lambda source=source: _evaluated(spark, sf, names, source, **sizes) for source in sources])
+    return union_all([rows.select(F.lit(source).alias("dataset"), "*") for source, rows in zip(sources, out)])
 
 
 @query("ml10_train_evaluate")
@@ -347,30 +359,43 @@ def xa1(spark, sf):
 
 
 _FLAGS = ["f1", "f2", "f3"]
-_HASHED = f"SELECT label, f1, f2, f3, {sql_hash(LINE_KEY)} % 4 AS block, ROW_NUMBER() OVER (PARTITION BY {sql_hash(LINE_KEY)} % 4 ORDER BY {sql_hash(LINE_KEY)}) - 1 AS pos, COUNT(*) OVER (PARTITION BY {sql_hash(LINE_KEY)} % 4) AS n FROM obs"
+_VOTES = {**{f: f"{{}}.{f}" for f in OBS_FLAGS}, "m1": "CASE WHEN {}.m1 > 25 THEN 1 ELSE 0 END", "m2": "CASE WHEN {}.m2 > 38000 THEN 1 ELSE 0 END"}
+
+
+def _permutation_sql(names, least: int) -> str:
+    """Rows numbered by hash, ten keyed permutations of the numbers, and one vote after the other borrowed from the permuted row."""
+    numbered = (f"SELECT label, {', '.join(names)}, ROW_NUMBER() OVER (ORDER BY {sql_hash(LINE_KEY)}) - 1 AS i, COUNT(*) OVER () AS n, "
+                "CAST(FLOOR(SQRT(COUNT(*) OVER () - 1)) AS BIGINT) + 1 AS a FROM obs")
+    first, more = (explain.permuted_position(x, "a", "((n + a - 1) // a)", "r", 42, "//") for x in ("i", "v"))
+    moved = (f"SELECT *, list_reduce(list_concat([{first}], range(1, 34)), lambda v, s: CASE WHEN v < n THEN v ELSE {more} END) AS d "
+             "FROM h, (SELECT UNNEST(range(1, 11)) AS r)")
+    own = " + ".join(_VOTES[f].format("x") for f in names)
+    cases = " UNION ALL ".join(
+        f"SELECT '{f}' AS feature, x.r, x.label, CASE WHEN {' + '.join(_VOTES[g].format('y' if g == f else 'x') for g in names)} >= {least} THEN 1 ELSE 0 END AS p "
+        "FROM v x JOIN h y ON y.i = x.d" for f in names)
+    return with_ctes("obs", h=numbered, v=moved) + f"""
+SELECT feature, ROUND(AVG(d), 8) AS importance_mean, ROUND(STDDEV_POP(d), 8) AS importance_std FROM (
+ SELECT feature, (SELECT AVG(CASE WHEN (CASE WHEN {own} >= {least} THEN 1 ELSE 0 END) = label THEN 1.0::DOUBLE ELSE 0 END) FROM h x) - AVG(CASE WHEN p = label THEN 1.0::DOUBLE ELSE 0 END) AS d
+ FROM ({cases}) GROUP BY feature, r) GROUP BY feature"""
 
 
-@query("xa2_permutation", with_ctes("obs", h=_HASHED, v="SELECT a.label, a.f1, a.f2, a.f3, b.f1 AS d1, b.f2 AS d2, b.f3 AS d3, r FROM h a, (SELECT UNNEST(range(1, 11)) AS r) JOIN h b ON b.block = a.block AND b.pos = (a.pos + r) % a.n") + """
-SELECT feature, ROUND(AVG(d), 8) AS importance_mean, ROUND(STDDEV_POP(d), 8) AS importance_std FROM (
- SELECT feature, (SELECT AVG(CASE WHEN (CASE WHEN f1+f2+f3 >= 2 THEN 1 ELSE 0 END) = label THEN 1.0::DOUBLE ELSE 0 END) FROM obs) - AVG(CASE WHEN p = label THEN 1.0::DOUBLE ELSE 0 END) AS d FROM (
- SELECT 'f1' AS feature, r, label, CASE WHEN d1+f2+f3 >= 2 THEN 1 ELSE 0 END AS p FROM v UNION ALL SELECT 'f2', r, label, CASE WHEN f1+d2+f3 >= 2 THEN 1 ELSE 0 END FROM v
- UNION ALL SELECT 'f3', r, label, CASE WHEN f1+f2+d3 >= 2 THEN 1 ELSE 0 END FROM v) GROUP BY feature, r) GROUP BY feature""")
-def xa2(spark, sf):
+def _permutation(spark, sf, names, least: int):
     def predict(df):
-        return df.withColumn("prediction", F.when(F.col("f1") + F.col("f2") + F.col("f3") >= 2, 1).otherwise(0))
-    out = explain.permutation_importance(fx.obs(spark, sf), KEYS, _FLAGS, predict, repeats=10, blocks=4)
+        return df.withColumn("prediction", F.when(_votes(names) >= least, 1).otherwise(0))
+    out = explain.permutation_importance(fx.obs(spark, sf), KEYS, names, predict, repeats=10)
     return out.withColumns({c: F.round(c, 8) for c in ("importance_mean", "importance_std")})
 
 
-@query("xa2b_permutation_all")
-def xa2b(spark, sf):
-    """All six features of the observations, by a predictor that reads each of them; ``xa2_permutation`` and its SQL hold three."""
-    names = [*OBS_FLAGS, *OBS_MEASURES]
+@query("xa2_permutation", _permutation_sql(_FLAGS, 2))
+def xa2(spark, sf):
+    """Three of the flags, by a predictor that reads these; ``xa2b_permutation_all`` has all six features."""
+    return _permutation(spark, sf, _FLAGS, 2)
 
-    def predict(df):
-        return df.withColumn("prediction", F.when(_votes(names) >= 3, 1).otherwise(0))
-    out = explain.permutation_importance(fx.obs(spark, sf), KEYS, names, predict, repeats=10, blocks=4)
-    return out.withColumns({c: F.round(c, 8) for c in ("importance_mean", "importance_std")})
+
+@query("xa2b_permutation_all", _permutation_sql([*OBS_FLAGS, *OBS_MEASURES], 3))
+def xa2b(spark, sf):
+    """All six features of the observations, by a predictor that reads each of them."""
+    return _permutation(spark, sf, [*OBS_FLAGS, *OBS_MEASURES], 3)
 
 
 def _votes(names):

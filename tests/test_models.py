@@ -73,9 +73,9 @@ def forest(data):
     return RandomForestClassifier(numTrees=7, maxDepth=4, labelCol="label", featuresCol=models.FEATURES, weightCol=models.WEIGHT, seed=1).fit(prepared)
 
 
-@pytest.mark.parametrize("limit", [explain.MAX_TABLE_BYTES, 0])
-def test_shapley_values_add_up_to_the_prediction(data, forest, monkeypatch, limit):
-    monkeypatch.setattr(explain, "MAX_TABLE_BYTES", limit)
+@pytest.mark.parametrize("cells", [explain._CELLS, 100])
+def test_shapley_values_add_up_to_the_prediction(data, forest, monkeypatch, cells):
+    monkeypatch.setattr(explain, "_CELLS", cells)
     _, test = data
     values = explain.shap_values(forest, test, NAMES, ["id"]).collect()
     fitted = models.Fitted("forest", forest)
@@ -92,18 +92,34 @@ def test_leaf_values_equal_the_definition():
     import math
 
     import numpy as np
-    share, value = np.array([[0.3, 0.6, 0.5]]), np.array([2.0])
-    phi = explain._leaf_values(value, share)
-    for pattern in range(8):
-        met = [(pattern >> j) & 1 for j in range(3)]
-
-        def game(s):
-            return 2.0 * math.prod(met[j] if j in s else share[0][j] for j in range(3))
-        for i in range(3):
-            others = [j for j in range(3) if j != i]
-            want = sum(math.factorial(len(s)) * math.factorial(2 - len(s)) / 6 * (game({*s, i}) - game(set(s)))
-                       for r in range(3) for s in itertools.combinations(others, r))
-            assert phi[0, pattern, i] == pytest.approx(want)
+    for m in (1, 2, 3, 6):
+        share, value = np.array([[0.3, 0.6, 0.5, 0.0, 1.0, 0.25][:m]]), np.array([2.0])
+        patterns = np.array(list(itertools.product([False, True], repeat=m)))
+        phi = explain.leaf_values(value, share, patterns[:, None, :])
+        for met, got in zip(patterns, phi[:, 0]):
+
+            def game(s):
+                return 2.0 * math.prod(met[j] if j in s else share[0][j] for j in range(m))
+            for i in range(m):
+                others = [j for j in range(m) if j != i]
+                want = sum(math.factorial(len(s)) * math.factorial(m - 1 - len(s)) / math.factorial(m) * (game({*s, i}) - game(set(s)))
+                           for r in range(m) for s in itertools.combinations(others, r))
+                assert got[i] == pytest.approx(want, abs=1e-12)
+
+
+def test_deep_forests_have_shapley_values(spark):
+    rng = random.Random(8)
+    rows = [(i, *[rng.random() for _ in range(25)]) for i in range(600)]
+    rows = [(*r, int(sum(r[1:]) + rng.random() > 13)) for r in rows]
+    names = [f"x{i}" for i in range(25)]
+    df = spark.createDataFrame(rows, "id int, " + ", ".join(f"{n} double" for n in names) + ", label int").coalesce(1)
+    prepared = models.prepare(df, names, keep=["id"])
+    model = RandomForestClassifier(numTrees=3, maxDepth=20, labelCol="label", featuresCol=models.FEATURES, featureSubsetStrategy="2", seed=1).fit(prepared)
+    tables, _ = explain.forest_leaves(model, df)
+    assert max(t.features.shape[1] for t in tables) >= 10
+    p = {r["id"]: r["probability"] for r in models.Fitted("forest", model).transform(prepared).collect()}
+    for r in explain.shap_values(model, df.limit(40), names, ["id"]).collect():
+        assert r["base"] + sum(r[n] for n in names) == pytest.approx(p[r["id"]], abs=1e-9)
 
 
 def test_tree_importance_flags_the_top_quarter(data, forest):
