@@ -22,7 +22,7 @@ from caseloom.session import cut_lineage
 
 BINS = 64
 ROWS_IN_PART = 1 << 17
-TREES_BETWEEN = 8
+TREES_BETWEEN = 16
 _BLOCK = "keys binary, labels binary, members binary, bins binary, margins binary"
 
 
@@ -309,7 +309,9 @@ def boost(df: DataFrame, features: Sequence[str], growths: Sequence[Growth], key
     parts = max(1, -(-sum(x[-1] for x in found.values()) // ROWS_IN_PART))
     blocks = cut_lineage(rows.repartition(parts).mapInArrow(_packed(edges, [m.start for m in members]), _BLOCK)).persist()
     while growing := [m for m in members if not m.done]:
-        sums = blocks.mapInArrow(_scan(growing, bins, len(features), width), "member int, sums binary").groupBy("member").applyInArrow(_added, "member int, sums binary")
+        sums = blocks.mapInArrow(_scan(growing, bins, len(features), width), "member int, sums binary")
+        if parts > 1:  # with one part there is nothing to add up
+            sums = sums.groupBy("member").applyInArrow(_added, "member int, sums binary")
         for row in sums.collect():  # one row a member: its open nodes, no rows of the data
             m = members[row["member"]]
             m.take(np.frombuffer(row["sums"], np.float64).reshape(len(m.open), len(features), bins, 3))

@@ -6,11 +6,13 @@ from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
+import numpy as np
+import pandas as pd
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from caseloom.operators.features import Scaler, class_weights, smote, smote_fold
 from caseloom.operators.reshape import union_all
 from caseloom.session import cut_lineage
 
+KERNEL_FEATURES = 256
 FEATURES = "features"
 WEIGHT = "weight"
 
@@ -41,6 +44,8 @@ class Recipe:
     name: str
     build: Callable[[int], Estimator] | None = None
     weighted: bool = True
+    #: number of random features of a Gaussian kernel under the classifier
+    kernel: int | None = None
     #: boosted recipes: all training sets of all such recipes grow together
     growth: Growth | None = None
 
@@ -62,10 +67,10 @@ def recipes(seed: int = 42, rounds: int = 100, trees: int = 100) -> dict[str, Re
 
 
 def base_recipes(seed: int = 42) -> dict[str, Recipe]:
-    """The members of the ensembles: logistic regression, a linear support vector machine, Gaussian naive Bayes."""
+    """The members of the ensembles: logistic regression, a support vector machine with a Gaussian kernel, Gaussian naive Bayes."""
     entries = [
         Recipe("lr", logistic(1.0)),
-        Recipe("svm", lambda n: LinearSVC(regParam=1.0 / max(n, 1), maxIter=50, tol=1e-4)),
+        Recipe("svm", lambda n: LinearSVC(regParam=1.0 / max(n, 1), maxIter=100, tol=1e-5, standardization=False), kernel=KERNEL_FEATURES),
         Recipe("nb", lambda n: NaiveBayes(modelType="gaussian"), weighted=False),
     ]
     return {r.name: r for r in entries}
@@ -91,6 +96,85 @@ class Fitted:
         return scored.select(*kept, vector_to_array(raw["probability"])[1].alias(probability), F.col(raw["prediction"]).cast("int").alias(prediction))
 
 
+@dataclass
+class GaussianFeatures:
+    """Random Fourier features: their inner products approach exp(-gamma |x - y|^2), so a linear margin over them is one of that kernel."""
+
+    weights: np.ndarray
+    offsets: np.ndarray
+
+    @classmethod
+    def of(cls, prepared: DataFrame, size: int, seed: int = 42, gamma: float | None = None) -> GaussianFeatures:
+        """``gamma`` is 1 / (number of features * variance of all entries), taken in one scan, unless given."""
+        values = vector_to_array(FEATURES)
+        row = prepared.agg(F.max(F.size(values)).alias("d"), F.avg(F.aggregate(values, F.lit(0.0), lambda t, v: t + v) / F.size(values)).alias("m"),
+                           F.avg(F.aggregate(values, F.lit(0.0), lambda t, v: t + v * v) / F.size(values)).alias("q")).first()
+        width = row["d"] or 1
+        if gamma is None:
+            variance = (row["q"] or 0.0) - (row["m"] or 0.0) ** 2
+            gamma = 1.0 / (width * variance) if variance > 0 else 1.0
+        draw = np.random.default_rng(seed)
+        return cls(draw.normal(0.0, np.sqrt(2 * gamma), (width, size)), draw.uniform(0, 2 * np.pi, size))
+
+    def map(self, x: np.ndarray) -> np.ndarray:
+        return np.sqrt(2.0 / len(self.offsets)) * np.cos(x @ self.weights + self.offsets)
+
+    def transform(self, df: DataFrame, out: str) -> DataFrame:
+        @F.pandas_udf("array<double>")
+        def mapped(values: pd.Series) -> pd.Series:
+            return pd.Series(list(self.map(np.stack(values.to_numpy())))) if len(values) else pd.Series([], dtype=object)
+        return df.withColumn(out, array_to_vector(mapped(vector_to_array(FEATURES))))
+
+
+@dataclass
+class KernelMargin:
+    """A margin over random features, with probabilities from margins that rows were given by models which had not seen them."""
+
+    name: str
+    kernel: GaussianFeatures
+    inner: Fitted
+
+    def transform(self, df: DataFrame, probability: str = "probability", prediction: str = "prediction") -> DataFrame:
+        scored = self.inner.transform(self.kernel.transform(df.withColumn("_own", F.col(FEATURES)), FEATURES), probability, prediction)
+        return scored.drop(FEATURES).withColumnRenamed("_own", FEATURES).select(*df.columns, probability, prediction)
+
+
+def _platt(margins: DataFrame, label: str) -> Model:
+    """The sigmoid over margins: targets pulled in by one row of each class, each row by its weight."""
+    n = {r[0]: r[1] for r in margins.groupBy(F.col(label).cast("int")).count().collect()}
+    high, low = (n.get(1, 0) + 1.0) / (n.get(1, 0) + 2.0), 1.0 / (n.get(0, 0) + 2.0)
+    target = F.when(F.col(label) == 1, high).otherwise(low)
+    both = F.explode(F.array(F.struct(F.lit(1.0).alias("y"), target.alias("share")), F.struct(F.lit(0.0).alias("y"), (1 - target).alias("share"))))
+    rows = margins.select("_m", WEIGHT, both.alias("_t")).select("_m", F.col("_t.y").alias("_y"), (F.col("_t.share") * F.col(WEIGHT)).alias("_w"))
+    vector = VectorAssembler(inputCols=["_m"], outputCol="_f").transform(rows)
+    return LogisticRegression(featuresCol="_f", labelCol="_y", weightCol="_w", standardization=False, maxIter=200, tol=1e-9).fit(vector)
+
+
+def fit_kernel(recipe: Recipe, prepared: DataFrame, label: str = "label", n: int | None = None, folds: int = 5, gamma: float | None = None) -> KernelMargin:
+    """A margin over random features of a Gaussian kernel. Its probabilities come from out-of-fold margins: rows fall in folds by a
+    hash of their features, so equal rows share one."""
+    size = n if n is not None else prepared.count()
+    kernel = GaussianFeatures.of(prepared, recipe.kernel, gamma=gamma)
+    own = prepared.withColumn("_fold", F.pmod(F.xxhash64(vector_to_array(FEATURES)), F.lit(folds)).cast("int"))
+    mapped = cut_lineage(kernel.transform(own, "_mapped").drop(FEATURES).withColumnRenamed("_mapped", FEATURES)).persist()
+
+    def margin(rows: DataFrame) -> Model:
+        return recipe.build(size).setParams(featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT).fit(rows)
+
+    def held_out(f: int) -> DataFrame:
+        rows = mapped.where(F.col("_fold") == f)
+        classes = [r[0] for r in mapped.where(F.col("_fold") != f).select(label).distinct().limit(2).collect()]
+        if len(classes) < 2:  # nothing to learn from the other folds
+            return rows.select(label, WEIGHT, F.lit(0.0).alias("_m"))
+        model = margin(mapped.where(F.col("_fold") != f))
+        out = model.transform(rows, {model.getParam("rawPredictionCol"): "_raw", model.getParam("predictionCol"): "_pred"})
+        return out.select(label, WEIGHT, vector_to_array("_raw")[1].alias("_m"))
+    *parts, model = parallel([*[lambda f=f: held_out(f) for f in range(folds)], lambda: margin(mapped)])
+    calibration = _platt(union_all(parts), label)
+    mapped.unpersist()
+    return KernelMargin(recipe.name, kernel, Fitted(recipe.name, model, calibration))
+
+
 def prepare(df: DataFrame, features: Sequence[str], label: str = "label", train: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
     """Feature vector, 0/1 label as double and the balanced class weight (from the training rows)."""
     w = {r["class"]: r["weight"] or 0.0 for r in class_weights(df if train is None else train, label).collect()}
@@ -99,8 +183,10 @@ def prepare(df: DataFrame, features: Sequence[str], label: str = "label", train:
     return assembler(features).transform(df.withColumn(WEIGHT, weight)).select(*kept, WEIGHT, FEATURES)
 
 
-def fit(recipe: Recipe, prepared: DataFrame, label: str = "label", n: int | None = None) -> Fitted | Boosted:
+def fit(recipe: Recipe, prepared: DataFrame, label: str = "label", n: int | None = None) -> Fitted | Boosted | KernelMargin:
     """Fits one recipe. A model without probabilities gets a logistic calibration of its margin."""
+    if recipe.kernel is not None:
+        return fit_kernel(recipe, prepared, label, n)
     if recipe.growth is not None:
         return Boosted(recipe.name, fit_boosted([recipe], prepared, label=label)[recipe.name, 0])
     size = n if n is not None else prepared.count()

@@ -93,6 +93,7 @@ def test_every_member_equals_the_plain_version(spark, table, monkeypatch):
     from pyspark.sql import functions as F
 
     monkeypatch.setattr(boosting, "TREES_BETWEEN", 2)
+    monkeypatch.setattr(boosting, "ROWS_IN_PART", 80)
     rows = [(i, float(a), b, float(c), d, y, f) for i, a, b, c, d, y, f in made(300)]
     df = table(rows, 3)
     keys = {r[0]: r[1] for r in df.select("id", F.xxhash64("id")).collect()}
