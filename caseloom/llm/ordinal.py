@@ -12,6 +12,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.llm.arrays import RangeHash, Words, byte_class, flat_text, pieces
@@ -102,11 +103,20 @@ def sampled(labels: DataFrame, rows: int, *order) -> DataFrame:
     return labels.orderBy(*order, F.xxhash64("label_id"), "label_id").limit(rows)
 
 
+def sample_texts(docs: DataFrame, chosen: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """The sampled labels (label_id is unique) with one text each: of several rows with an id that of the least hash, so there are
+    never more texts than labels. A task sends one row of an id at most."""
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("label_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "label_id")
+    first = F.row_number().over(W.partitionBy("label_id").orderBy(F.xxhash64("text"), "text"))
+    return rows.withColumn("turn", first).where("turn = 1").drop("turn")
+
+
 def train(docs: DataFrame, graded: DataFrame, grades: int, doc_id: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Ordinal:
-    """``graded`` has label_id and grade (0 .. grades - 1); rows without either are left out. At most ``sample_rows`` of them,
-    chosen by a hash of the id, meet their texts; only hashed features come to the driver, at most 2**16 a text."""
-    chosen = sampled(graded.where("label_id IS NOT NULL AND grade IS NOT NULL").select("label_id", "grade"), sample_rows)
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("label_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "label_id").select("grade", "text")
+    """``graded`` has label_id and grade (0 .. grades - 1); rows without either are left out, and an id with several grades has the
+    least. At most ``sample_rows`` of them, chosen by a hash of the id, meet one text each, however often an id stands in ``docs``;
+    only hashed features come to the driver, at most 2**16 a text."""
+    known = graded.where("label_id IS NOT NULL AND grade IS NOT NULL").groupBy("label_id").agg(F.min("grade").alias("grade"))
+    rows = sample_texts(docs, sampled(known, sample_rows), doc_id, text).select("grade", "text")
 
     def featurise(batches):
         for batch in batches:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.arrays import RangeHash, Words, byte_class, flat_text, pieces
-from caseloom.llm.ordinal import LOWER, sampled, sigmoid
+from caseloom.llm.ordinal import LOWER, sample_texts, sampled, sigmoid
 
 WORD = byte_class([(0x41, 0x5A), (0x61, 0x7A), (0x80, 0xFF)])
 CUES = 2_000
@@ -110,15 +110,17 @@ def fit_chain(cues: np.ndarray, doc: np.ndarray, cue: np.ndarray, labels: np.nda
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", doc_id: str = "doc_id", text: str = "text", cues: int = CUES,
           positive_rows: int = POSITIVE_ROWS, other_rows: int = OTHER_ROWS) -> Chain:
-    """Fits the chain on at most ``positive_rows`` toxic and ``other_rows`` other labelled rows, chosen by a hash of the id.
+    """Fits the chain on at most ``positive_rows`` toxic and ``other_rows`` other labelled ids, chosen by a hash of the id, with one
+    text each, however often an id stands in ``docs``. An id with several labels is toxic if one of them says so.
 
     The label says whether a text is toxic. The further categories grade toxic texts by their cues: ``insistent`` has three
     occurrences or more of words with a cue, ``dense`` one in a hundred words or more. Rows without a label or id are left
     out. Without rows of both kinds every probability is 0.
     """
     known = labels.select(F.col(doc_id).cast("bigint").alias("label_id"), F.col(label).cast("int").alias("toxic")).where("label_id IS NOT NULL AND toxic IN (0, 1)")
+    known = known.groupBy("label_id").agg(F.max("toxic").alias("toxic"))
     chosen = sampled(known.where("toxic = 1"), positive_rows).unionAll(sampled(known.where("toxic = 0"), other_rows))
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("label_id"), F.col(text).alias("text")).join(F.broadcast(chosen), "label_id").select(
+    rows = sample_texts(docs, chosen, doc_id, text).select(
         "toxic", F.pmod(F.xxhash64("label_id"), F.lit(FOLDS)).cast("int").alias("fold"), "text")
 
     def tally(batches):

@@ -70,3 +70,54 @@ def test_odd_rows(spark, documents):
         assert toxicity.scored(docs.where("doc_id < 0"), chain).collect() == []
     assert got.where("selected").count() == len(rows)  # no labels: all stay
     assert marks.where("toxic").count() == 0
+
+
+def test_a_sample_has_one_text_for_each_id(spark, documents):
+    rows = [(7, f"idiot text {i}") for i in range(500)] + [(i, f"plain words {i}") for i in range(20, 40)] + [(None, "a"), (None, "a")]
+    docs = documents(rows)
+    chosen = spark.createDataFrame([(7, 1), (20, 0), (99, 0)], "label_id bigint, grade int")
+    got = ordinal.sample_texts(docs, chosen, "doc_id", "text").collect()
+    assert sorted(r.label_id for r in got) == [7, 20] and {r.text for r in got} <= {t for _, t in rows}
+    assert ordinal.sample_texts(documents(rows[::-1], 1), chosen, "doc_id", "text").orderBy("label_id").first().text == min(got, key=lambda r: r.label_id).text
+
+
+def test_repeated_labels_count_once(spark, documents):
+    rows = [(i, ("bad idiot " if i % 2 else "fine sunny ") * 5 + f"w{i}") for i in range(60)]
+    docs = documents(rows + [(1, "some other text")] * 300)
+    once = [(i, 1 - i % 2, i % 2) for i in range(60)]
+    labels = lambda x: spark.createDataFrame(x, "doc_id bigint, quality int, toxic int")
+    one, many = (ordinal.train(docs, ordinal.quality_grades(labels(x)), 3) for x in (once, once + [(3, 0, 1)] * 50))
+    assert np.allclose(one.weights, many.weights) and np.allclose(one.thresholds, many.thresholds)
+    one, many = (toxicity.train(docs, labels(x)) for x in (once, once + [(3, 0, 1)] * 50 + [(2, 1, 0)] * 9))
+    assert np.array_equal(one.cues, many.cues) and np.allclose(one.weights, many.weights)
+
+
+def test_chain_equals_a_plain_out_of_fold_loop():
+    """Each link is fitted on all rows with the earlier links' out-of-fold probabilities, fold by fold, one row at a time."""
+    r = np.random.default_rng(3)
+    n, cues = 200, 4
+    doc, cue = np.nonzero(r.random((n, cues)) < 0.4)
+    labels = np.zeros((n, 3))
+    has = np.zeros((n, cues))
+    has[doc, cue] = 1
+    labels[:, 0] = has[:, 0] + r.random(n) > 1.2
+    labels[:, 1] = labels[:, 0] * (has[:, 1] > 0)
+    labels[:, 2] = labels[:, 0] * (r.random(n) < 0.5)
+    folds = r.integers(0, toxicity.FOLDS, n)
+    chain = toxicity.fit_chain(np.arange(cues, dtype=np.uint64), doc, cue, labels, folds)
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def fitted(rows, c, dense):
+        at = {d: i for i, d in enumerate(rows)}
+        keep = [(at[d], f) for d, f in zip(doc, cue) if d in at]
+        return toxicity.fit_linear(np.array([k[0] for k in keep]), np.array([k[1] for k in keep]), dense[rows], labels[rows, c], cues)
+    seen = np.zeros((n, 3))
+    for c in range(3):
+        dense = seen[:, :c]
+        w, v, b = fitted(np.arange(n), c, dense)
+        assert np.allclose(chain.weights[c], w) and np.allclose(chain.earlier[c, :c], v) and np.isclose(chain.constant[c], b)
+        for f in range(toxicity.FOLDS):
+            inside = np.flatnonzero(folds != f)
+            w, v, b = fitted(inside, c, dense)
+            for i in np.flatnonzero(folds == f):
+                seen[i, c] = sigmoid(b + sum(w[k] for d, k in zip(doc, cue) if d == i) + dense[i] @ v)
