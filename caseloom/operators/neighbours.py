@@ -1,14 +1,13 @@
 """Exact nearest neighbours of points among themselves, without comparing all pairs.
 
-Points are assigned to the nearest of a bounded number of pivots. Each point first finds its nearest neighbours in its
-own cell; their distance bounds how far a better one can be, and only the cells that can hold one (by the triangle
-inequality and by the bisector between pivots) are asked again. Nothing is left out: the result equals brute force.
+Points are dealt to the nearest of a few pivots of their cell, and cells that are still too large are dealt again, until every
+cell is bounded: the cells form a tree that lies in tables, level by level. Each point first finds its nearest neighbours in its
+own cell; their distance bounds how far a better one can be, and only the branches that can hold one (by the triangle inequality
+and by the bisector between pivots) are followed down to other cells. Nothing is left out: the result equals brute force.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -16,13 +15,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import seeded_hash
+from caseloom.operators.reshape import union_all
 from caseloom.session import cut_lineage
 
 POINTS_PER_CELL = 2048
-MAX_CELLS = 8192
-QUERIES_PER_GROUP = 20_000
-MAX_POINTS_PER_CELL = 16 * POINTS_PER_CELL
-MAX_ROUNDS = 4
+PIVOTS_PER_CELL = 64
+ROWS_PER_GROUP = 20_000
 _BLOCK = 512
 _BLOCK_CELLS = 8_000_000
 _SLACK = 1e-9
@@ -70,81 +68,94 @@ _FOUND = "id bigint, nid bigint, d double, m bigint, x array<double>"
 def nearest_points(points: DataFrame, width: int, k: int, seed: int = 42, cells: int | None = None) -> DataFrame:
     """Adds ``near``: the k nearest other points as structs (d, nid, m, x), nearest first.
 
-    ``points`` has a unique ``id``, distinct vectors ``x`` and weights ``m``.
+    ``points`` has a unique ``id``, distinct vectors ``x`` and weights ``m``. A cell has ``POINTS_PER_CELL`` points at most, or as
+    many as ``cells`` equal cells would have; there is no bound on the number of cells or levels.
     """
-    if cells is None:
-        cells = min(MAX_CELLS, -(-points.count() // POINTS_PER_CELL))
-    if cells > 1:
-        points = cut_lineage(points)  # what follows reads the points several times
-    slim = points.select("id", "x", "m")
-    if cells <= 1:
-        found = slim.withColumn("cell", F.lit(0)).groupBy("cell").applyInPandas(lambda p: _top(p, p, width, k), _FOUND)
-    else:
-        found = _by_cells(slim, width, k, seed, cells)
+    points = cut_lineage(points)  # what follows reads the points several times
+    most = POINTS_PER_CELL if cells is None else max(1, -(-points.count() // cells))
+    slim, levels = _cells(points.select("id", "x", "m"), width, most, seed)
+    inside = cut_lineage(slim.groupBy("cell").applyInPandas(lambda p: _top(p, p, width, k), _FOUND))
+    found = inside.unionByName(_elsewhere(slim, inside, levels, width, k)) if levels else inside
     best = (found.withColumn("_r", F.row_number().over(W.partitionBy("id").orderBy("d", "nid"))).where(F.col("_r") <= k)
             .groupBy("id").agg(F.array_sort(F.collect_list(F.struct("d", "nid", "m", "x"))).alias("near")))
     empty = F.array().cast("array<struct<d: double, nid: bigint, m: bigint, x: array<double>>>")
     return points.join(best, "id", "left").withColumn("near", F.coalesce("near", empty))
 
 
-def _by_cells(slim: DataFrame, width: int, k: int, seed: int, cells: int) -> DataFrame:
-    hashed = seeded_hash("id", seed)
-
-    def assign_to(pivots: np.ndarray) -> DataFrame:
-        def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for p in batches:
-                d = _distances(_matrix(p["x"], width), pivots)
-                yield p.assign(cell=d.argmin(axis=1).astype("int32"), own=d.min(axis=1))
-        return slim.mapInPandas(assign, "id bigint, x array<double>, m bigint, cell int, own double")
-
-    # at most MAX_CELLS vectors come to the driver, and go out again with the task closures
-    pivots = np.array([r["x"] for r in slim.orderBy(hashed, "id").limit(cells).select("x").collect()], dtype=float)
-    for _ in range(MAX_ROUNDS):
-        assigned = assign_to(pivots)
-        sizes = {r["cell"]: (r["n"], r["r"]) for r in assigned.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("r")).collect()}
-        crowded = [c for c, (n, _) in sizes.items() if n > MAX_POINTS_PER_CELL]
-        room = (MAX_CELLS - len(pivots)) // max(1, len(crowded))
-        if not crowded or room < 1:
+def _salted(rows: DataFrame, beside: DataFrame, key: str, rows_in_group: int = ROWS_PER_GROUP) -> tuple[DataFrame, DataFrame]:
+    """Both tables with ``salt``: ``rows`` of one key are dealt to groups of bounded size, and each group has a copy of what stands
+    ``beside`` them. The counts stay in a table."""
+    beside = beside.select(*[F.col(c).alias(c) for c in beside.columns])  # columns of its own, where both come from one table
+    groups = cut_lineage(rows.groupBy(key).agg(F.ceil(F.count(F.lit(1)) / rows_in_group).alias("_groups")))
+    dealt = rows.join(groups, key).withColumn("salt", F.pmod(F.xxhash64("id"), F.col("_groups"))).drop("_groups")
+    copied = beside.join(groups, key).withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_groups") - 1))).drop("_groups")
+    return dealt, copied
+
+
+def _cells(slim: DataFrame, width: int, most: int, seed: int) -> tuple[DataFrame, list[DataFrame]]:
+    """(id, x, m, cell) with at most ``most`` points a cell, and per level the table (cell, child, pivot, radius, leaf)."""
+    def deal(p: pd.DataFrame, pivots: pd.DataFrame) -> pd.DataFrame:
+        pivots = pivots.sort_values("number")
+        x, centres = _matrix(p["x"], width), _matrix(pivots["pivot"], width)
+        parts = [_distances(x[i:i + _BLOCK], centres) for i in range(0, len(x), _BLOCK)]
+        at = np.concatenate([d.argmin(axis=1) for d in parts]) if parts else np.zeros(0, int)
+        own = np.concatenate([d.min(axis=1) for d in parts]) if parts else np.zeros(0)
+        child = pivots["child"].to_numpy()[at]
+        return pd.DataFrame({"id": p["id"], "x": p["x"], "m": p["m"], "cell": child, "own": own, "parent": p["cell"], "pivot": _rows(centres[at])})
+
+    done, levels = [], []
+    rows = slim.withColumn("cell", F.lit("")).withColumn("n", F.lit(slim.count()).cast("bigint"))
+    while True:
+        large = rows.where(F.col("n") > most).drop("n")
+        done.append(rows.where(F.col("n") <= most).drop("n"))
+        if large.isEmpty():
             break
-        # dense regions get pivots of their own
-        wanted = min(room, max(n for n, _ in sizes.values()) // POINTS_PER_CELL)
-        more = (assigned.where(F.col("cell").isin(crowded)).withColumn("_r", F.row_number().over(W.partitionBy("cell").orderBy(hashed, "id")))
-                .where(F.col("_r") <= wanted).select("x").collect())
-        pivots = np.unique(np.vstack([pivots, np.array([r["x"] for r in more], dtype=float)]), axis=0)
-    radius = np.full(len(pivots), -np.inf)
-    for c, (_, r) in sizes.items():
-        radius[c] = r
-
-    points = cut_lineage(assigned.drop("own"))
-    inside = cut_lineage(points.groupBy("cell").applyInPandas(lambda p: _top(p, p, width, k), _FOUND))
+        rank = F.row_number().over(W.partitionBy("cell").orderBy(seeded_hash("id", seed), "id"))
+        pivots = large.withColumn("number", rank).where(F.col("number") <= PIVOTS_PER_CELL).select(
+            "cell", "number", F.concat("cell", F.lit("/"), F.col("number").cast("string")).alias("child"), F.col("x").alias("pivot"))
+        dealt, beside = _salted(large, cut_lineage(pivots), "cell")
+        assigned = cut_lineage(dealt.groupBy("cell", "salt").cogroup(beside.groupBy("cell", "salt")).applyInPandas(
+            deal, "id bigint, x array<double>, m bigint, cell string, own double, parent string, pivot array<double>"))
+        children = assigned.groupBy("parent", F.col("cell").alias("child")).agg(F.first("pivot").alias("pivot"), F.max("own").alias("radius"), F.count(F.lit(1)).alias("n"))
+        children = cut_lineage(children)
+        levels.append(children.select(F.col("parent").alias("cell"), "child", "pivot", "radius", (F.col("n") <= most).alias("leaf")))
+        rows = assigned.select("id", "x", "m", "cell").join(children.select(F.col("child").alias("cell"), "n"), "cell").select("id", "x", "m", "cell", "n")
+    return cut_lineage(union_all(done)), levels
+
+
+def _elsewhere(slim: DataFrame, inside: DataFrame, levels: list[DataFrame], width: int, k: int) -> DataFrame:
+    """Neighbours in other cells than the own one, as far as they can be nearer than those found inside."""
+    def follow(q: pd.DataFrame, children: pd.DataFrame) -> pd.DataFrame:
+        x, pivots, radius = _matrix(q["x"], width), _matrix(children["pivot"], width), children["radius"].to_numpy()
+        names, leaf, own = children["child"].to_numpy(), children["leaf"].to_numpy(), q["own"].to_numpy()
+        between, parts = _distances(pivots, pivots), []
+        for i in range(0, len(x), _BLOCK):
+            block = slice(i, i + _BLOCK)
+            d = _distances(x[block], pivots)
+            near = d.argmin(axis=1)
+            gap = between[near]
+            with np.errstate(divide="ignore", invalid="ignore"):
+                bisector = np.where(gap > 0, (d ** 2 - d[np.arange(len(d)), near][:, None] ** 2) / (2 * gap), 0.0)
+            ask = np.maximum(d - radius[None, :], bisector) <= q["ub"].to_numpy()[block, None] * (1 + _SLACK) + _SLACK
+            row, child = np.nonzero(ask & ~(leaf[None, :] & (names[None, :] == own[block, None])))
+            parts.append((row + i, child))
+        row, child = (np.concatenate([p[j] for p in parts]) if parts else np.zeros(0, int) for j in range(2))
+        return pd.DataFrame({"id": q["id"].to_numpy()[row], "x": pd.Series(q["x"].to_numpy()[row], dtype=object), "ub": q["ub"].to_numpy()[row],
+                             "own": own[row], "cell": names[child], "leaf": leaf[child]})
+
     # no bound yet for a point with fewer than k others in its cell
     reach = inside.groupBy("id").agg(F.count(F.lit(1)).alias("c"), F.max("d").alias("d"))
-    open_ = points.join(reach, "id", "left").select("id", "x", "cell", F.when(F.col("c") >= k, F.col("d")).otherwise(float("inf")).alias("ub"))
-    between = _distances(pivots, pivots)
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for p in batches:
-            x, own = _matrix(p["x"], width), p["cell"].to_numpy()
-            d = _distances(x, pivots)
-            mine = d[np.arange(len(own)), own][:, None]
-            gap = between[own]
-            with np.errstate(divide="ignore", invalid="ignore"):
-                bisector = np.where(gap > 0, (d ** 2 - mine ** 2) / (2 * gap), 0.0)
-            lower = np.maximum(d - radius[None, :], bisector)
-            ask = (lower <= p["ub"].to_numpy()[:, None] * (1 + _SLACK) + _SLACK) & np.isfinite(radius)[None, :]
-            ask[np.arange(len(own)), own] = False
-            row, cell = np.nonzero(ask)
-            yield pd.DataFrame({"id": p["id"].to_numpy()[row], "x": pd.Series(p["x"].to_numpy()[row], dtype=object), "cell": cell.astype("int32")})
-    queries = cut_lineage(open_.mapInPandas(visit, "id bigint, x array<double>, cell int"))
-    # a cell that many points ask is copied, so that one task answers a bounded number of questions
-    asked = {r["cell"]: -(-r["count"] // QUERIES_PER_GROUP) for r in queries.groupBy("cell").count().collect()}
-    if not asked:
-        return inside
-    copies = F.element_at(F.create_map(*[F.lit(v) for pair in asked.items() for v in pair]), F.col("cell"))
-    salted = queries.withColumn("salt", F.pmod(F.xxhash64("id"), copies).cast("int"))
-    spread = points.where(F.col("cell").isin(list(asked))).withColumn("salt", F.explode(F.sequence(F.lit(0), copies.cast("int") - 1)))
+    ub = F.when(F.col("c") >= k, F.col("d")).otherwise(float("inf"))
+    asking = slim.join(reach, "id", "left").select("id", "x", ub.alias("ub"), F.col("cell").alias("own"), F.lit("").alias("cell"))
+    queries = []
+    for children in levels:
+        dealt, beside = _salted(asking, children, "cell")
+        followed = cut_lineage(dealt.groupBy("cell", "salt").cogroup(beside.groupBy("cell", "salt")).applyInPandas(
+            follow, "id bigint, x array<double>, ub double, own string, cell string, leaf boolean"))
+        queries.append(followed.where("leaf").select("id", "x", "cell"))
+        asking = followed.where("NOT leaf").drop("leaf")
 
     def answer(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         return _top(q, p, width, k)
-    outside = salted.groupBy("cell", "salt").cogroup(spread.groupBy("cell", "salt")).applyInPandas(answer, _FOUND)
-    return inside.unionByName(outside)
+    dealt, copied = _salted(union_all(queries), slim, "cell")
+    return dealt.groupBy("cell", "salt").cogroup(copied.groupBy("cell", "salt")).applyInPandas(answer, _FOUND)

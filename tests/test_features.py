@@ -34,13 +34,16 @@ def test_neighbours_equal_brute_force(spark, cells):
 
 def test_dense_regions_get_pivots_of_their_own(spark, monkeypatch):
     from caseloom.operators import neighbours
-    monkeypatch.setattr(neighbours, "MAX_POINTS_PER_CELL", 30)
     monkeypatch.setattr(neighbours, "POINTS_PER_CELL", 10)
+    monkeypatch.setattr(neighbours, "PIVOTS_PER_CELL", 4)  # several levels, most of them in the dense region
+    monkeypatch.setattr(neighbours, "ROWS_PER_GROUP", 25)
     points = {i: [i / 1000 if i % 10 else float(i)] for i in range(1, 300)}
     df = spark.createDataFrame([(i, x, 1) for i, x in points.items()], "id bigint, x array<double>, m bigint")
-    got = {r["id"]: [n["nid"] for n in r["near"]] for r in nearest_points(df, 1, 3, cells=2).collect()}
+    got = {r["id"]: [n["nid"] for n in r["near"]] for r in nearest_points(df, 1, 3).collect()}
     want = brute(points, 3)
     assert all(got[i] == [j for _, j in want[i]] for i in points)
+    leaves, levels = neighbours._cells(df, 1, 10, 42)
+    assert len(levels) >= 3 and leaves.groupBy("cell").count().agg(F.max("count")).first()[0] <= 10 and leaves.count() == len(points)
 
 
 def imbalanced(spark, twins: int = 0):
