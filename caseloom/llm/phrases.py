@@ -2,13 +2,15 @@
 
 An occurrence relation holds (position, group) in text order: a group is one phrase of k words, and positions skip one
 number between pieces, so that two occurrences can only meet inside a piece. Every block of documents has its own part of
-the relation, in one row of a Parquet table. Length by length, neighbours at adjacent positions are merge-joined, groups are
-counted over all blocks, and a semi-join with the frequent groups leaves what the next length starts from. Blocks meet by
-64-bit keys of their groups: keys only choose what stays; the counts themselves are taken over the phrases.
+the relation, in one row of a Parquet table that is bucketed by block, so occurrences are never shuffled. Length by length,
+neighbours at adjacent positions are merge-joined, groups are counted over all blocks, and a semi-join with the frequent groups
+leaves what the next length starts from. Blocks meet by 48-bit keys of their groups: keys only choose what stays; the counts
+themselves are taken over the phrases.
 """
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 
@@ -21,15 +23,26 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.llm.arrays import RangeHash, Words, byte_class, flat_text, mix, one_array, pack, pieces, unpack
+from caseloom.llm.blocks import text_bytes
 from caseloom.session import shared_dir
 
-BLOCK_BYTES = 6 << 20
+BLOCK_BYTES = 5 << 20
 _BREAKS = byte_class([(0x0A, 0x0D), *[(ord(c), ord(c)) for c in ".,;:!?"]])
 _IS_WORD = ~(_BREAKS | byte_class([(0x09, 0x09), (0x20, 0x20)]))
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _STATE = "block bigint, occurrences bigint, state binary"
-_KINDS = (np.uint32, np.int32, np.int32, np.int32, np.int32, np.uint8, np.uint8)
+_KINDS = (np.uint8, np.uint8, np.int32, np.int32, np.int32, np.uint8, np.uint8)
+BLOCKS_IN_BUCKET = 5
+
+
+def _planes(values: np.ndarray) -> np.ndarray:
+    """Bytes of 32-bit values, the lowest of all first: planes of small numbers compress well."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).ravel()
+
+
+def _joined(planes: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel()
 
 
 class Relation:
@@ -75,14 +88,14 @@ class Relation:
         return np.bincount(self.group, minlength=len(self.words))
 
     def keys(self) -> np.ndarray:
-        """64-bit keys of the groups, the same in every block."""
+        """48-bit keys of the groups, the same in every block; the high bytes are zero, so that a shuffled row is shorter."""
         data, offsets = flat_text(self.vocabulary)
         word = RangeHash(data).of(offsets[:-1], offsets[1:])
         salt = np.array([int.from_bytes(hashlib.sha256(x.encode()).digest()[:8], "little") for x in self.langs] or [0], np.uint64)
         key = salt[self.lang]
         for j in range(self.words.shape[1]):
             key = mix((key ^ word[self.words[:, j]]) * np.uint64(0x9FB21C651E98DF25))
-        return key.view(np.int64)
+        return (key >> np.uint64(16)).view(np.int64)
 
     def semi_join(self, keys: np.ndarray) -> Relation:
         """Occurrences of the groups whose key is among ``keys``; words that no group needs leave the vocabulary."""
@@ -99,10 +112,14 @@ class Relation:
         return parts[0] if len(parts) == 1 else pc.binary_join_element_wise(*parts, pa.scalar(" ", pa.large_string()))
 
     def packed(self) -> bytes:
+        """One string; groups are numbered by falling count."""
         data, offsets = flat_text(self.vocabulary)
         shape = np.array([self.words.shape[1]], np.int32)
         langs = np.frombuffer(json.dumps(self.langs).encode(), np.uint8)
-        return pack(np.diff(self.at, prepend=0).astype(np.uint32), self.group, np.concatenate([shape, self.words.ravel()]), self.lang,
+        order = np.argsort(-self.counts(), kind="stable")
+        number = np.empty(len(order), np.int32)
+        number[order] = np.arange(len(order), dtype=np.int32)
+        return pack(_planes(np.diff(self.at, prepend=0)), _planes(number[self.group]), np.concatenate([shape, self.words[order].ravel()]), self.lang[order],
                     np.diff(offsets).astype(np.int32), data, langs)
 
     @classmethod
@@ -110,7 +127,7 @@ class Relation:
         step, group, words, lang, sizes, data, langs = unpack(blob, *_KINDS)
         ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
         vocabulary = pa.LargeStringArray.from_buffers(len(sizes), pa.py_buffer(ends), pa.py_buffer(data))
-        return cls(np.cumsum(step, dtype=np.int64), group, words[1:].reshape(-1, int(words[0])), lang, vocabulary, json.loads(langs.tobytes()))
+        return cls(np.cumsum(_joined(step), dtype=np.int64), _joined(group).astype(np.int32), words[1:].reshape(-1, int(words[0])), lang, vocabulary, json.loads(langs.tobytes()))
 
 
 def _written(rows: DataFrame, name: str) -> DataFrame:
@@ -119,6 +136,26 @@ def _written(rows: DataFrame, name: str) -> DataFrame:
     return rows.sparkSession.read.parquet(path)
 
 
+def _bucketed(rows: DataFrame, name: str, buckets: int) -> str:
+    """Writes ``rows`` as a table in the shared folder, bucketed by block: a task writes a file for each bucket that it has rows of."""
+    path = shared_dir(rows.sparkSession, name)
+    rows.write.bucketBy(buckets, "block").sortBy("block").option("path", path).saveAsTable(_name(path), format="parquet")
+    return path
+
+
+def _name(path: str) -> str:
+    return path.rsplit("/", 1)[-1].replace("-", "_")
+
+
+def _dropped(spark, path: str) -> None:
+    """Frees a relation that the next, already written one replaces, and lets Spark clear the shuffle files of finished plans."""
+    spark.sql(f"DROP TABLE IF EXISTS {_name(path)}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    gc.collect()
+    spark._jvm.java.lang.System.gc()
+
+
 def _blocks(block_bytes: int):
     def run(batches):
         base, number = TaskContext.get().partitionId() << 32, 0
@@ -130,6 +167,8 @@ def _blocks(block_bytes: int):
                      "n": [list(totals.values())]}, schema=pa.schema([("block", pa.int64()), ("occurrences", pa.int64()), ("state", pa.binary()),
                                                                       ("langs", pa.list_(pa.string())), ("n", pa.list_(pa.int64()))]))
                 number += 1
+                del relation
+                pa.default_memory_pool().release_unused()
     return run
 
 
@@ -153,6 +192,7 @@ def _kept(longer: bool):
             relation = Relation.unpacked(state["state"][0].as_py())
             relation = (relation.longer() if longer else relation).semi_join(frequent["key"].to_numpy())
             rows = {"block": [key[0].as_py()], "occurrences": [len(relation.at)], "state": [relation.packed()]}
+        pa.default_memory_pool().release_unused()
         return pa.table(rows, schema=pa.schema([("block", pa.int64()), ("occurrences", pa.int64()), ("state", pa.binary())]))
     return run
 
@@ -172,18 +212,27 @@ def frequent_phrases(docs: DataFrame, longest: int = 4, least: int = 30, text: s
 
     Words, pieces and edge cases are those of ``collocations``. Both results are written tables.
     """
+    spark = docs.sparkSession
+    spread = max(1, -(-text_bytes(docs, text) // (BLOCKS_IN_BUCKET * block_bytes)))
     rows = docs.select(F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    blocks = _written(rows.mapInArrow(_blocks(block_bytes), f"{_STATE}, langs array<string>, n array<bigint>"), "phrase-words")
-    totals = blocks.select(F.explode(F.arrays_zip("langs", "n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n").alias("n"))
-    state, counted = blocks.select("block", "occurrences", "state"), None
+    path = _bucketed(rows.mapInArrow(_blocks(block_bytes), f"{_STATE}, langs array<string>, n array<bigint>"), "phrase-words", spread)
+    words = spark.table(_name(path)).select(F.explode(F.arrays_zip("langs", "n")).alias("x")).groupBy(F.col("x.langs").alias("lang")).agg(F.sum("x.n").alias("n"))
+    totals, counted = _written(words.where("n > 0"), "phrase-totals"), None
     for k in range(1, longest + 1):
-        counts = state.select("block", "state").mapInArrow(_group_counts(k > 1), "block bigint, key bigint, f bigint")
+        state = spark.table(_name(path)).select("block", "state")
+        counts = state.mapInArrow(_group_counts(k > 1), "block bigint, key bigint, f bigint")
         frequent = counts.withColumn("f", F.sum("f").over(W.partitionBy("key"))).where(F.col("f") >= least).select("block", "key")
-        state = _written(state.groupBy("block").cogroup(frequent.groupBy("block")).applyInArrow(_kept(k > 1), _STATE), f"phrase-{k}")
-        exact = state.select("state").mapInArrow(_phrase_counts, "lang string, phrase string, f bigint")
+        kept = state.groupBy("block").cogroup(frequent.groupBy("block")).applyInArrow(_kept(k > 1), _STATE)
+        shorter, path = path, _bucketed(kept, f"phrase-{k}", spread)
+        del state, counts, frequent, kept
+        _dropped(spark, shorter)
+        exact = spark.table(_name(path)).select("state").mapInArrow(_phrase_counts, "lang string, phrase string, f bigint")
         exact = exact.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least).select("lang", F.lit(k).alias("k"), "phrase", "f")
+        exact = _written(exact, f"phrase-counts-{k}")
         counted = exact if counted is None else counted.unionAll(exact)
-    return _written(counted, "phrase-counts"), _written(totals.where("n > 0"), "phrase-totals")
+        del exact
+    _dropped(spark, path)
+    return counted, totals
 
 
 def collocations(docs: DataFrame, longest: int = 4, least: int = 30, inside: int = 80, top: int = 2000, text: str = "text", lang: str = "lang",

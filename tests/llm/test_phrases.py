@@ -74,7 +74,7 @@ def test_given_documents(spark, sf):
 
 
 def test_keys_that_meet_do_not_change_counts(table, monkeypatch):
-    monkeypatch.setattr(phrases, "mix", lambda h: h & phrases.np.uint64(3))
+    monkeypatch.setattr(phrases, "mix", lambda h: h & phrases.np.uint64(3 << 16))
     rows = [("a b c d. b c", "en"), ("a b c. q r", "en")] * 3
     assert sorted(map(tuple, phrases.collocations(table(rows), least=4).collect())) == plain(rows, least=4)
 
