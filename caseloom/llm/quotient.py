@@ -3,7 +3,8 @@
 Each partition builds a counting quotient filter of its text fingerprints: a fingerprint is split into a quotient (its
 run) and a remainder, runs hold sorted remainders with counts. Nothing is hashed away, so filters merge losslessly by
 merging sorted remainders; a quotient range per task. Only fingerprints with a merged count above one can belong to
-duplicates, and only their rows go on to the comparison of bytes.
+duplicates, and only their rows are routed, by a bit map of these fingerprints, to the comparison of bytes; no other text is
+shuffled.
 """
 
 from __future__ import annotations
@@ -18,9 +19,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.llm.arrays import pack, unpack
+from caseloom.session import cut_lineage, shared_dir
 
 FINGERPRINTS_PER_RANGE = 500_000
 FINGERPRINTS_PER_FILTER = 2_000_000
+#: the map of repeated fingerprints has 2 ** MOST_BITS bits at most: a million words of 64
+MOST_BITS = 26
 _LOW = np.uint64(0xFFFFFFFF)
 _KINDS = (np.uint32, np.uint32, np.uint32, np.uint64)
 
@@ -102,11 +106,33 @@ def repeated_fingerprints(fingerprints: DataFrame) -> DataFrame:
     return filters.groupBy("part").applyInArrow(_merge, "fingerprint bigint")
 
 
-def duplicate_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per text that stands in several rows: text_sha256, keep_id (largest id, null if none has one), group_size."""
+def marked(rows: DataFrame, repeated: DataFrame) -> DataFrame:
+    """Adds ``marked`` to rows with a ``fingerprint``: true for every repeated fingerprint, and for few others.
+
+    The repeated fingerprints set bits of a map of about 16 bits each, ``MOST_BITS`` at most; its words, a bounded number, are
+    broadcast. Beyond that bound the map lets more rows through, which the comparison of texts sorts out.
+    """
+    bits = 1 << min(MOST_BITS, max(10, (16 * repeated.count()).bit_length()))
+    place = F.pmod("fingerprint", F.lit(bits))
+    words = repeated.select(F.shiftright(place, 6).alias("word"), F.expr("shiftleft(1L, cast(pmod(fingerprint, 64) as int))").alias("bit"))
+    words = words.groupBy("word").agg(F.bit_or("bit").alias("set"))
+    found = rows.join(F.broadcast(words), F.shiftright(place, 6) == F.col("word"), "left")
+    hit = F.expr("shiftright(set, cast(pmod(fingerprint, 64) as int)) & 1") == 1
+    return found.withColumn("marked", F.coalesce(hit, F.lit(False))).drop("word", "set")
+
+
+def _repeated(docs: DataFrame, text: str) -> DataFrame:
+    """The repeated fingerprints of the texts, written: they are read several times."""
+    return cut_lineage(repeated_fingerprints(docs.select(F.xxhash64(normalised(F.col(text))).alias("fingerprint"))))
+
+
+def duplicate_groups(docs: DataFrame, repeated: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per text that stands in several rows: text_sha256, keep_id (largest id, null if none has one), group_size.
+
+    Only rows that the filters mark are shuffled; copies are added up before, so a task sends each text once.
+    """
     rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), normalised(F.col(text)).alias("text"))
-    rows = rows.withColumn("fingerprint", F.xxhash64("text"))
-    routed = rows.join(repeated_fingerprints(rows.select("fingerprint")), "fingerprint")
+    routed = marked(rows.withColumn("fingerprint", F.xxhash64("text")), repeated).where("marked")
     groups = routed.groupBy("text").agg(F.max("doc_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
     return groups.where("group_size > 1").select(F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256"), "keep_id", "group_size")
 
@@ -119,8 +145,12 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
     columns are ignored. No rows, no result rows.
     """
     turn = F.row_number().over(W.partitionBy("doc_id", "text_sha256").orderBy(F.lit(0)))
-    slim = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), F.sha2(normalised(F.col(text)).cast("binary"), 256).alias("text_sha256"))
-    joined = slim.withColumn("turn", turn).join(duplicate_groups(docs, doc_id, text), "text_sha256", "left")
+    low = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), normalised(F.col(text)).alias("text"))
+    path = shared_dir(docs.sparkSession, "text-digests")
+    low.select("doc_id", F.xxhash64("text").alias("fingerprint"), F.sha2(F.col("text").cast("binary"), 256).alias("text_sha256")).write.parquet(path)
+    slim = docs.sparkSession.read.parquet(path)
+    repeated = cut_lineage(repeated_fingerprints(slim.select("fingerprint")))
+    joined = slim.drop("fingerprint").withColumn("turn", turn).join(duplicate_groups(docs, repeated, doc_id, text), "text_sha256", "left")
     keep = F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id"))
     return joined.select(
         "doc_id", keep.alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("bigint").alias("group_size"),
@@ -128,12 +158,14 @@ def exact_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text"
 
 
 def without_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns (one of several rows that repeat an id)."""
-    own = F.col(doc_id).cast("bigint")
-    key = ["text_sha256", "id_or_0", "no_id"]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.coalesce(own, F.lit(0)).alias("id_or_0"),
-                       own.isNull().alias("no_id"), F.sha2(normalised(F.col(text)).cast("binary"), 256).alias("text_sha256"))
-    kept = exact_duplicates(docs, doc_id, text).where("kept").select("text_sha256", F.coalesce("doc_id", F.lit(0)).alias("id_or_0"),
-                                                                     F.col("doc_id").isNull().alias("no_id"))
-    turn = F.row_number().over(W.partitionBy(*key).orderBy(F.xxhash64("row")))  # an id that stands in several rows
-    return rows.join(kept, key, "left_semi").withColumn("turn", turn).where("turn = 1").select("row.*")
+    """The rows of ``docs`` that ``exact_duplicates`` keeps, with all their columns (one of several rows that repeat an id).
+
+    Null and empty texts are one group, and a null id is smaller than all others. Rows that the filters do not mark stay where
+    they are; of the others a task sends each text once, with its largest id. An empty table stays empty.
+    """
+    names = docs.columns
+    inner = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(f"`{doc_id}`").cast("bigint").alias("id"), normalised(F.col(text)).alias("low"))
+    rows = marked(inner.withColumn("fingerprint", F.xxhash64("low")), _repeated(docs, text))
+    first = F.row_number().over(W.partitionBy("low").orderBy(F.desc_nulls_last("id"), F.xxhash64("row")))
+    routed = rows.where("marked").withColumn("turn", first).where("turn = 1")
+    return rows.where("NOT marked").select("row.*").unionAll(routed.select("row.*"))

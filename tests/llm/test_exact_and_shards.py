@@ -101,3 +101,18 @@ def test_nothing_from_nothing(documents):
 def test_ring_stays_native(documents):
     plan = ring.ring_shards(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_every_repeated_fingerprint_is_marked(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from caseloom.llm import quotient
+
+    for most in (26, 10):  # in a map of 1,024 bits most rows are marked, and groups stay right
+        monkeypatch.setattr(quotient, "MOST_BITS", most)
+        rows = spark.range(4000).select("id", F.xxhash64(F.col("id") % 3000).alias("fingerprint"))
+        repeated = quotient.repeated_fingerprints(rows.select("fingerprint"))
+        got = quotient.marked(rows, repeated).groupBy("marked").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("id") % 3000 < 1000).alias("r")).collect()
+        by = {r.marked: r for r in got}
+        assert by[True].r == 2000 and sum(r.n for r in got) == 4000
+        assert by[True].n < 2300 if most == 26 else by[True].n > 2300
