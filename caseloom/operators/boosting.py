@@ -28,7 +28,7 @@ _BLOCK = "keys binary, labels binary, members binary, bins binary, margins binar
 
 @dataclass(frozen=True)
 class Growth:
-    """How a recipe grows its trees: level by level to ``depth``, or best leaf first to ``leaves`` (half of what is left a scan)."""
+    """How a recipe grows its trees: level by level to ``depth``, or best leaf first to ``leaves`` (three quarters of what is left a scan)."""
 
     name: str
     rounds: int = 100
@@ -152,7 +152,7 @@ class Member:
         more = True
         if g.leaves is not None:
             room = g.leaves - 1 - len(self.tree.feature) // 2
-            chosen = chosen[:max(1, -(-room // 2))] if room else []
+            chosen = chosen[:-(-3 * room // 4)] if room else []
             more = room > len(chosen)
         self.level += 1
         self.open = [child for n in chosen for child in self.tree.split(n, *self.known.pop(n)[1:])]

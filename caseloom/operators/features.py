@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import ratio, seeded_uniform
@@ -97,6 +100,11 @@ def add_class_weight(df: DataFrame, train: DataFrame, label: str = "label", out:
     return df.withColumn(out, F.when(F.col(label) == 1, F.lit(w[1])).otherwise(F.lit(w[0])))
 
 
+def _number_of(df: DataFrame, key: str) -> Column:
+    whole = df.schema[key].dataType.typeName() in ("byte", "short", "integer", "long")
+    return F.col(key).cast("bigint") if whole else F.xxhash64(F.col(key))
+
+
 def smote(df: DataFrame, key: str, features: Sequence[str], label: str = "label", k: int = 5, seed: int = 42,
           cells: int | None = None) -> DataFrame:
     """Raises the minority class to the size of the majority by interpolating towards near minority rows.
@@ -104,22 +112,26 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str = "label"
     Returns the input rows (``copy`` 0) and the synthetic rows (``copy`` >= 1) with ``base`` naming the row they start
     from. Every minority row starts equally many synthetic rows, up to one. The neighbour and the step are drawn by
     hashing, so the result does not depend on the partitioning. Rows with equal features are handled once, as one
-    point with a weight, however many there are.
+    point with a weight, however many there are. A row with a missing feature stays as it is and starts no synthetic row;
+    without any complete minority row there are none. A key that is no whole number is named by its hash.
     """
     features = list(features)
-    sizes = {r[0]: r[1] for r in df.groupBy(label).count().limit(3).collect()}
+    own = _number_of(df, key)
+    complete = F.coalesce(reduce(and_, [~F.isnan(F.col(f).cast("double")) & F.col(f).isNotNull() for f in features], F.lit(True)), F.lit(False))
+    counted = df.groupBy(label).agg(F.count(F.lit(1)), F.count_if(complete)).limit(3).collect()
+    sizes = {r[0]: r[1] for r in counted}
     if len(sizes) != 2:
         raise ValueError(f"{label} must have two classes, found {sorted(sizes, key=str)}")
     minority = min(sizes, key=lambda c: (sizes[c], -c))
-    n_min = sizes[minority]
-    need = max(sizes.values()) - n_min
-    original = df.select(F.col(key).cast("bigint").alias("base"), F.lit(0).cast("bigint").alias("copy"), label,
+    n_min = next(r[2] for r in counted if r[0] == minority)
+    need = max(sizes.values()) - sizes[minority] if n_min else 0
+    original = df.select(own.alias("base"), F.lit(0).cast("bigint").alias("copy"), label,
                          *[F.col(f).cast("double").alias(f) for f in features])
     if need == 0:
         return original
     each, extra = divmod(need, n_min)
-    rows = df.where(F.col(label) == minority).select(
-        F.col(key).cast("bigint").alias("_key"), F.lit(1).alias("_all"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
+    rows = df.where((F.col(label) == minority) & complete).select(
+        own.alias("_key"), F.lit(1).alias("_all"), F.array(*[F.col(f).cast("double") for f in features]).alias("x"))
     if extra:
         rows = hash_parts(rows, "_key", "_all", [F.lit(extra)], seed).transform(rows, "_part").withColumn(
             "_copies", F.lit(each) + F.when(F.col("_part") == 0, 1).otherwise(0))
@@ -148,13 +160,13 @@ def smote(df: DataFrame, key: str, features: Sequence[str], label: str = "label"
 def smote_folds(df: DataFrame, key: str, features: Sequence[str], label: str = "label", fold: str = "fold", folds: Sequence[int] = range(5),
                 k: int = 5, seed: int = 42) -> DataFrame:
     """Per fold: the other folds oversampled (``part`` train) and the fold as it is (``part`` valid)."""
-    out = []
-    for f in folds:
+    def one(f: int) -> list[DataFrame]:
         train = smote(df.where(F.col(fold) != f), key, features, label, k, seed)
-        valid = df.where(F.col(fold) == f).select(F.col(key).cast("bigint").alias("base"), F.lit(0).cast("bigint").alias("copy"), label,
+        valid = df.where(F.col(fold) == f).select(_number_of(df, key).alias("base"), F.lit(0).cast("bigint").alias("copy"), label,
                                                   *[F.col(c).cast("double").alias(c) for c in features])
-        out += [train.select(F.lit(f).alias("cv_fold"), F.lit("train").alias("part"), "*"), valid.select(F.lit(f).alias("cv_fold"), F.lit("valid").alias("part"), "*")]
-    return union_all(out)
+        return [train.select(F.lit(f).alias("cv_fold"), F.lit("train").alias("part"), "*"), valid.select(F.lit(f).alias("cv_fold"), F.lit("valid").alias("part"), "*")]
+    with ThreadPoolExecutor(max_workers=5) as pool:  # the jobs of the folds share the executors
+        return union_all([part for parts in pool.map(one, folds) for part in parts])
 
 
 def feature_contract(df: DataFrame, order: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -350,9 +350,10 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str
     prepared = prepare(train, features, label, keep=[fold]).persist()
     whole, training = prepared, None
     if oversample is not None:
-        whole = prepare(cut_lineage(smote(train, oversample, features, label)), features, label, keep=["base", "copy"]).persist()
-        raised = smote_folds(train, oversample, features, label, fold, range(folds)).where("part = 'train'")
-        training = prepare(cut_lineage(raised.withColumnRenamed("cv_fold", fold)), features, label, keep=[fold, "base", "copy"]).persist()
+        both = parallel([lambda: cut_lineage(smote(train, oversample, features, label)),
+                         lambda: cut_lineage(smote_folds(train, oversample, features, label, fold, range(folds)).where("part = 'train'").withColumnRenamed("cv_fold", fold))])
+        whole = prepare(both[0], features, label, keep=["base", "copy"]).persist()
+        training = prepare(both[1], features, label, keep=[fold, "base", "copy"]).persist()
     try:
         held = prepare(test, features, label, train)
         n = whole.count()

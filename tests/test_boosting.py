@@ -61,7 +61,7 @@ def plain(rows, edges, g, keep):
             room = len(chosen)
             if g.leaves:
                 room = g.leaves - 1 - len(split)
-                chosen = chosen[:max(1, -(-room // 2))] if room else []
+                chosen = chosen[:-(-3 * room // 4)] if room else []
             open_, level = [], level + 1
             for n in chosen:
                 _, f, c, a, b = known.pop(n)

@@ -133,3 +133,13 @@ def test_genetic_search_finds_the_signal(spark, informative):
     best = [h["best_fitness"] for h in search.history]
     assert best == sorted(best) and len(best) == 6  # the elite survives
     assert search.history_table(informative).count() == 6
+
+
+def test_smote_with_missing_features_and_text_keys(spark):
+    rows = [(f"k{i}", int(i % 4 == 0), float(i), None if i == 8 else float(i % 3)) for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, label int, a double, b double")
+    out = features.smote(df, "id", ["a", "b"]).collect()
+    assert sum(r.label == 1 for r in out) == sum(r.label == 0 for r in out) == 30
+    assert all(r.b is not None for r in out if r["copy"] > 0) and len({r.base for r in out}) == 40
+    none = spark.createDataFrame([("a", 1, None), ("b", 0, 1.0), ("c", 0, 2.0)], "id string, label int, a double")
+    assert len(features.smote(none, "id", ["a"]).collect()) == 3
