@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from caseloom.operators.reshape import to_long, union_all
 
 ALPHA = 0.05
 P_FLOOR = 1e-300
+#: fixed values: up to these sizes the usual statistics libraries take exact probabilities
+EXACT_ROWS, EXACT_WALK = 8, 10_000
 
 
 def chi2_independence(df: DataFrame, features: Sequence[str], label: str = "label", alpha: float = ALPHA,
@@ -48,11 +52,52 @@ def class_value_counts(df: DataFrame, features: Sequence[str], label: str) -> Da
         F.count_if(F.col(label) == 0).alias("n0"), F.count_if(F.col(label) == 1).alias("n1"))
 
 
+def rank_sum_tail(u: float, m: int, n: int) -> float:
+    """Two-sided probability of a Mann-Whitney U at least as far from its middle, by the number of arrangements without ties.
+
+    The numbers by U are the coefficients of the product over i of (1 - q^(n + i)) / (1 - q^i), one factor for each row of the
+    smaller sample; each step divides by the number of arrangements so far, so they stay probabilities.
+    """
+    m, n = min(m, n), max(m, n)
+    share = np.zeros(m * n + 1)
+    share[0] = 1.0
+    for i in range(1, m + 1):
+        share[n + i:] -= share[:-(n + i)].copy() if n + i < len(share) else 0.0
+        for start in range(i):
+            share[start::i] = np.cumsum(share[start::i])
+        share *= i / (n + i)
+    least = math.floor(min(u, m * n - u) + 1e-9)
+    return float(min(1.0, 2.0 * share[:least + 1].sum()))
+
+
+def two_sample_tail(ks: float, m: int, n: int) -> float:
+    """Probability that two samples of one continuous distribution lie at least ``ks`` apart.
+
+    All orders of the rows are equally likely, so a walk over the lattice takes the next row from a sample in proportion to what
+    is left of it; what reaches the distance is taken out and added up. A step for each row, over the rows of one sample.
+    """
+    far = round(ks * m * n)
+    if far <= 0:
+        return 1.0
+    i = np.arange(m + 1)
+    inside, outside = np.zeros(m + 1), 0.0
+    inside[0] = 1.0
+    for t in range(m + n):  # rows taken so far: i of the first sample, t - i of the second
+        left = np.clip(m - i, 0, None) / (m + n - t)
+        ahead = np.where(t - i < n, inside * (1 - left), 0.0)
+        ahead[1:] += (inside * left)[:-1]
+        hit = np.abs(i * n - (t + 1 - i) * m) >= far
+        outside += float(ahead[hit].sum())
+        inside = np.where(hit, 0.0, ahead)
+    return min(1.0, outside)
+
+
 def mann_whitney(df: DataFrame, features: Sequence[str], label: str = "label", alpha: float = ALPHA,
-                 cells: int | None = None) -> DataFrame:
+                 cells: int | None = None, exact: bool = False) -> DataFrame:
     """Two-sided Mann-Whitney U of class 0 against class 1, with means and rank-biserial effect size.
 
-    Normal approximation with tie and continuity correction.
+    Normal approximation with tie and continuity correction. With ``exact``, features without ties in which one class has 8 rows
+    or fewer get the exact probability (``rank_sum_tail``).
     """
     counts = class_value_counts(df, features, label)
     placed = prefix_sums(counts, "value", ["n0", "n1"], ["feature"], cells)
@@ -65,23 +110,34 @@ def mann_whitney(df: DataFrame, features: Sequence[str], label: str = "label", a
     n = F.col("m") + F.col("k")
     variance = F.col("m") * F.col("k") / 12.0 * (n + 1 - F.try_divide(F.col("ties"), n * (n - 1)))
     z = F.try_divide(F.greatest(F.abs(F.col("u") - F.col("m") * F.col("k") / 2.0) - 0.5, F.lit(0.0)), F.sqrt(variance))
+    p = normal_two_sided(z)
+    if exact:  # one row a feature
+        tail = F.udf(lambda u, m, k: None if u is None else rank_sum_tail(u, int(m), int(k)), "double")
+        few = (F.col("ties") == 0) & (F.least("m", "k") <= EXACT_ROWS) & (F.least("m", "k") > 0)
+        p = F.when(few, tail(F.when(few, F.col("u")), "m", "k")).otherwise(p)
     return out.select(
         "feature", ratio(F.col("s0"), F.col("m")).alias("mean_0"), ratio(F.col("s1"), F.col("k")).alias("mean_1"), "u",
-        z.alias("z"), normal_two_sided(z).alias("p_value"),
+        z.alias("z"), p.alias("p_value"),
         (F.lit(1.0) - ratio(2.0 * F.col("u"), F.col("m") * F.col("k"))).alias("effect_r"),
     ).withColumn("significant", F.col("p_value") < alpha)
 
 
 def kolmogorov_smirnov(df: DataFrame, features: Sequence[str], group: str, first, second, alpha: float = ALPHA,
-                       cells: int | None = None) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov test between two groups (for example train and test), asymptotic p."""
+                       cells: int | None = None, exact: bool = False) -> DataFrame:
+    """Two-sample Kolmogorov-Smirnov test between two groups (for example train and test), asymptotic p. With ``exact``, features
+    with at most 10,000 rows a group get the exact probability (``two_sample_tail``)."""
     side = F.when(F.col(group) == first, 0).when(F.col(group) == second, 1)
     pair = df.select(*features, side.alias("_side")).where(F.col("_side").isNotNull())
     placed = prefix_sums(class_value_counts(pair, features, "_side"), "value", ["n0", "n1"], ["feature"], cells)
     gap = F.abs((F.col("below_n0") + F.col("n0")) / F.col("total_n0") - (F.col("below_n1") + F.col("n1")) / F.col("total_n1"))
     out = placed.groupBy("feature").agg(F.max(gap).alias("ks"), F.max("total_n0").alias("m"), F.max("total_n1").alias("k"))
     effective = F.sqrt(F.col("m") * F.col("k") / (F.col("m") + F.col("k")))
-    return out.select("feature", "ks", kolmogorov_upper(effective * F.col("ks")).alias("p_value")).withColumn(
+    p = kolmogorov_upper(effective * F.col("ks"))
+    if exact:  # one row a feature
+        tail = F.udf(lambda ks, m, k: None if ks is None or m is None else two_sample_tail(ks, int(m), int(k)), "double")
+        few = F.greatest("m", "k") <= EXACT_WALK
+        p = F.when(few, tail("ks", F.when(few, F.col("m")), "k")).otherwise(p)
+    return out.select("feature", "ks", p.alias("p_value")).withColumn(
         "status", F.when(F.col("p_value") > alpha, "OK").otherwise("WARNING"))
 
 
