@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -69,10 +71,47 @@ def write_table(df: DataFrame, path: str, form: str = "parquet") -> None:
     writer.option("header", True).csv(path) if form == "csv" else writer.format(form).save(path)
 
 
-def load_star(star: Star, path: str) -> None:
-    """Writes the dimension first, then the facts; running it again gives the same tables."""
-    for name, df in {"dim_patient": star.dim, **star.facts}.items():
-        write_table(df, f"{path}/{name}")
+def load_star(star: Star, path: str, keep: int = 2) -> None:
+    """Loads all tables or none: they are written to a folder of their own, then one small manifest names it.
+
+    A reader follows the manifest of the highest number, so a load that fails in between leaves the earlier star as it was, and two
+    loads at a time cannot both take a number. Running it again gives the same tables. The last ``keep`` stars stay on disk, for
+    readers that are still on their way.
+    """
+    spark = star.dim.sparkSession
+    number = max([m["number"] for m in _manifests(spark, path)], default=0) + 1
+    folder = f"versions/{number:010d}-{uuid.uuid4().hex}"
+    tables = {"dim_patient": star.dim, **star.facts}
+    for name, df in tables.items():
+        write_table(df, f"{path}/{folder}/{name}")
+    file = _path(spark, f"{path}/manifests/{number:010d}.json")
+    out = _filesystem(spark, path).create(file, False)  # fails if another load was first
+    out.write(bytearray(json.dumps({"number": number, "folder": folder, "tables": list(tables)}).encode()))
+    out.close()
+    for old in sorted(_manifests(spark, path), key=lambda m: m["number"])[:-keep]:
+        _filesystem(spark, path).delete(_path(spark, f"{path}/manifests/{old['number']:010d}.json"), False)
+        _filesystem(spark, path).delete(_path(spark, f"{path}/{old['folder']}"), True)
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _filesystem(spark: SparkSession, path: str):
+    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _manifests(spark: SparkSession, path: str) -> list[dict]:
+    """The manifests of finished loads, a few small files; one that is not written to its end does not count."""
+    if not _filesystem(spark, path).exists(_path(spark, f"{path}/manifests")):
+        return []
+    out = []
+    for row in spark.read.text(f"{path}/manifests", wholetext=True).collect():
+        try:
+            out.append(json.loads(row[0]))
+        except ValueError:
+            continue
+    return out
 
 
 def load_star_bucketed(star: Star, database: str, buckets: int) -> None:
@@ -82,7 +121,12 @@ def load_star_bucketed(star: Star, database: str, buckets: int) -> None:
 
 
 def read_star(spark: SparkSession, path: str, facts: Sequence[str], key: str = "patient_id") -> Star:
-    return Star(read_table(spark, f"{path}/dim_patient"), {f: read_table(spark, f"{path}/{f}") for f in facts}, key)
+    """The star of the last finished load."""
+    manifests = _manifests(spark, path)
+    if not manifests:
+        raise FileNotFoundError(f"no star was loaded to {path}")
+    base = f"{path}/{max(manifests, key=lambda m: m['number'])['folder']}"
+    return Star(read_table(spark, f"{base}/dim_patient"), {f: read_table(spark, f"{base}/{f}") for f in facts}, key)
 
 
 def write_metrics_csv(results: DataFrame, path: str) -> None:

@@ -54,6 +54,26 @@ def test_star_is_keyed_by_cohort_and_reloads(spark, tmp_path):
     assert spark.sql("SELECT gender, COUNT(*) AS n FROM vw_stroke_full GROUP BY gender ORDER BY gender").collect()[0]["n"] == 2
 
 
+def test_a_load_that_fails_leaves_the_earlier_star(spark, tmp_path):
+    path = str(tmp_path / "star")
+    with pytest.raises(FileNotFoundError):
+        files.read_star(spark, path, ["fact_stroke"])
+    old = build_star([cohort(spark, "autism", 5), cohort(spark, "stroke", 3)], cells=2)
+    files.load_star(old, path)
+    broken = build_star([cohort(spark, "autism", 9), cohort(spark, "stroke", 4)], cells=2)
+    bad = broken.facts["fact_stroke"].withColumn("label", F.raise_error(F.lit("lost on the way")).cast("int"))
+    with pytest.raises(Exception, match="lost on the way"):
+        files.load_star(Star(broken.dim, {**broken.facts, "fact_stroke": bad}, broken.key), path)
+    back = files.read_star(spark, path, list(old.facts))
+    assert back.dim.count() == 8 and back.facts["fact_autism"].count() == 5 and back.facts["fact_stroke"].count() == 3
+    (tmp_path / "star" / "manifests" / "0000000007.json").write_text('{"number": 7, "fol')  # a manifest that is not written to its end
+    assert files.read_star(spark, path, list(old.facts)).dim.count() == 8
+    for n in (6, 7, 8):
+        files.load_star(build_star([cohort(spark, "autism", n)], cells=2), path)
+    assert files.read_star(spark, path, ["fact_autism"]).dim.count() == 8
+    assert len([m for m in files._manifests(spark, path)]) == 2
+
+
 def test_repeated_order_values_are_an_error(spark):
     twice = cohort(spark, "autism", 5)
     twice.frame = twice.frame.union(twice.frame.where("id = 3"))
