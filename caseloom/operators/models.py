@@ -337,6 +337,12 @@ class Report:
     models: dict[str, Fitted | Boosted] = field(default_factory=dict)
 
 
+def _compact(df: DataFrame) -> DataFrame:
+    """Writes the rows once, in no more partitions than they or the cores need: many small jobs will read them."""
+    df = cut_lineage(df)
+    return df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-df.count() // boosting.ROWS_IN_PART)))
+
+
 def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str], chosen: dict[str, Recipe], label: str = "label",
                        fold: str = "fold", folds: int = 5, cv_metric: str = "f1", oversample: str | None = None) -> Report:
     """Cross-validates each recipe, fits it on all training rows and evaluates it on the test rows.
@@ -350,8 +356,8 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str
     prepared = prepare(train, features, label, keep=[fold]).persist()
     whole, training = prepared, None
     if oversample is not None:
-        both = parallel([lambda: cut_lineage(smote(train, oversample, features, label)),
-                         lambda: cut_lineage(smote_folds(train, oversample, features, label, fold, range(folds)).where("part = 'train'").withColumnRenamed("cv_fold", fold))])
+        both = parallel([lambda: _compact(smote(train, oversample, features, label)),
+                         lambda: _compact(smote_folds(train, oversample, features, label, fold, range(folds)).where("part = 'train'").withColumnRenamed("cv_fold", fold))])
         whole = prepare(both[0], features, label, keep=["base", "copy"]).persist()
         training = prepare(both[1], features, label, keep=[fold, "base", "copy"]).persist()
     try:
