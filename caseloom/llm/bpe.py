@@ -59,9 +59,9 @@ def splitter() -> re.Pattern[str]:
 
 
 #: words that a worker keeps at most in each of two generations: those used since the last turn, and those of the turn before
-WORDS_KEPT = 300_000
+WORDS_KEPT = 150_000
 #: text of a partition that is indexed at a time
-PIECE_BYTES = 8 << 20
+PIECE_BYTES = 2 << 20
 _OUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -235,6 +235,7 @@ def _mapped(docs: DataFrame, doc_id: str, text: str, path: str, make, schema: st
             for piece in pieces(batch, "text", PIECE_BYTES):
                 texts = [t or "" for t in piece["text"].to_pylist()]
                 yield from make(coder, piece["doc_id"], texts).to_batches()
+        coder.before = ({}, {})  # a worker waits for its next task with one generation of words
     return docs.selectExpr(f"cast(`{doc_id}` as bigint) AS doc_id", f"`{text}` AS text").mapInArrow(run, schema)
 
 
