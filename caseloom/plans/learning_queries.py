@@ -18,7 +18,7 @@ from caseloom.plans import intake, rendered
 from caseloom.plans.analysis_queries import LINE_KEY, METRICS, _CM, sql_hash
 from caseloom.plans.catalog import Catalog
 from caseloom.plans.fixtures import AQ_ITEMS, OBS_FLAGS, OBS_MEASURES, SYMPTOMS, with_ctes
-from caseloom.session import cut_lineage, shared_dir
+from caseloom.session import compact, cut_lineage, shared_dir
 from caseloom.sources import files
 
 catalog = Catalog()
@@ -208,7 +208,8 @@ def fs4(spark, sf):
 
 
 def _folded(spark, sf, source: str, k: int):
-    return features.stratified_folds(fx.fact(spark, sf, source), "patient_id", k=k)
+    """The rows with folds, written once: what reads them has a short plan."""
+    return compact(features.stratified_folds(fx.fact(spark, sf, source), "patient_id", k=k))
 
 
 @query("fs5_genetic")
@@ -236,9 +237,8 @@ def fs6(spark, sf):
     chosen, _ = GeneticSearch(SYMPTOMS).run(data)
     subsets = {"Baseline (All)": SYMPTOMS, "Heuristic": [r["feature"] for r in ranked.collect()], "Genetic": list(chosen)}
     out = models.compare_subsets(data, subsets)
-    rows = out.collect()
     data.unpersist()
-    return spark.createDataFrame(rows, out.schema)
+    return out
 
 
 # --- models ---

@@ -44,6 +44,22 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"{name}-{uuid.uuid4().hex}")
 
 
+#: rows of a partition of a table that many small jobs read: at least, if there are fewer than the cores could share, and at most
+LEAST_ROWS, MOST_ROWS = 1 << 13, 1 << 17
+
+
+def partitions_for(spark: SparkSession, rows: int, most: int = MOST_ROWS) -> int:
+    """Few partitions for few rows, one a core for more, then as many as keep them bounded."""
+    cores = spark.sparkContext.defaultParallelism
+    return max(1, min(cores, -(-rows // LEAST_ROWS)), -(-rows // most))
+
+
+def compact(df):
+    """Writes the rows once, in no more partitions than they or the cores need: many small jobs will read them."""
+    df = cut_lineage(df)
+    return df.coalesce(partitions_for(df.sparkSession, df.count()))
+
+
 def cut_lineage(df):
     """Checkpoint ``df`` to the shared folder, so that lost executors do not replay a long history."""
     context = df.sparkSession.sparkContext

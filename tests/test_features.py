@@ -143,3 +143,21 @@ def test_smote_with_missing_features_and_text_keys(spark):
     assert all(r.b is not None for r in out if r["copy"] > 0) and len({r.base for r in out}) == 40
     none = spark.createDataFrame([("a", 1, None), ("b", 0, 1.0), ("c", 0, 2.0)], "id string, label int, a double")
     assert len(features.smote(none, "id", ["a"]).collect()) == 3
+
+
+def test_genetic_scans_read_distinct_rows(spark):
+    """Equal rows are one counted row in few partitions, whatever the partitions of the input, and the fitness is that of all rows."""
+    rows = [(i % 2, (i // 2) % 2, 1 if i % 7 == 0 else i % 2, i % 3) for i in range(600)]
+    df = spark.createDataFrame(rows, "x0 int, x1 int, label int, fold int").repartition(40)
+    search = GeneticSearch(["x0", "x1"], generations=1, population=4)
+    collapsed = search._collapsed(df)
+    assert collapsed.count() == len(set(rows)) and collapsed.agg(F.sum("_n")).first()[0] == len(rows)
+    assert collapsed.rdd.getNumPartitions() == 1
+    grams = search._grams(df)
+    search._evaluate(collapsed, grams, [(1, 1)])
+    scores = []
+    for f in range(3):
+        w, held = search._scorer(grams, f, (1, 1)), [r for r in rows if r[3] == f]
+        hits = [(bool(w[0] + w[1] * a + w[2] * b > 0), y == 1) for a, b, y, _ in held]
+        scores.append(select._weighted_f1(*(sum(h == (g, t) for h in hits) for g, t in ((False, False), (True, False), (False, True), (True, True)))))
+    assert search.cache[(1, 1)] == pytest.approx(sum(scores) / 3 * 0.99)
