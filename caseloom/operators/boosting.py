@@ -3,13 +3,15 @@
 Rows are binned and packed into blocks. A member is one training set (a fold left out, or all rows) of one recipe. Each scan
 adds up, for every member, the gradients and curvatures of its open nodes by feature and bin; the sums of all blocks meet per
 member, and only these sums (nodes x features x bins, no rows) come to the driver, which picks the splits. Members go on at
-their own pace: one may be in its second tree while another ends its first. Margins are part of the blocks; they are written
-again after every few trees, so a lost executor replays little.
+their own pace: one may be in its second tree while another ends its first. Margins are part of the blocks: about once a tree
+the blocks are kept anew with them, and they are written after every few trees, so a lost executor replays little. Rows of one
+training set lie together, and a member looks at its own rows only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from copy import copy
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -18,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.session import cut_lineage
+from caseloom.session import cut_lineage, partitions_for
 
 BINS = 64
-ROWS_IN_PART = 1 << 17
+ROWS_IN_PART = 1 << 19
 TREES_BETWEEN = 16
 _BLOCK = "keys binary, labels binary, members binary, bins binary, margins binary"
 
@@ -116,7 +118,7 @@ class Member:
         self._plant()
 
     def _plant(self) -> None:
-        self.tree, self.open, self.level, self.known = Tree(), [0], 0, {}
+        self.tree, self.open, self.level, self.known, self.round = Tree(), [0], 0, {}, len(self.trees)
         n = max(1, round(self.growth.columns * self.features))
         self.columns = np.sort(np.random.default_rng([self.growth.seed, len(self.trees)]).choice(self.features, n, replace=False))
 
@@ -124,6 +126,12 @@ class Member:
     def done(self) -> bool:
         return len(self.trees) >= self.growth.rounds
 
+    def view(self) -> Member:
+        """What a scan needs: without the finished trees and the sums of split nodes."""
+        out = copy(self)
+        out.trees, out.known, out.pending = [], {}, list(self.pending)
+        return out
+
     def best(self, sums: np.ndarray) -> tuple | None:
         """(gain, feature, cut, values of both sides) of the best split of a node with sums (features, bins, 3)."""
         g = self.growth
@@ -190,38 +198,48 @@ def _packed(edges: list[np.ndarray], start: list[float]):
     return run
 
 
-def _arrays(row: dict, features: int, members: int):
-    keys = np.frombuffer(row["keys"], np.int64)
-    return (keys, np.frombuffer(row["labels"], np.uint8), np.frombuffer(row["members"], np.int64),
-            np.frombuffer(row["bins"], np.uint8).reshape(len(keys), features), np.frombuffer(row["margins"], np.float64).reshape(len(keys), members))
+def _arrays(batch: pa.RecordBatch, i: int, features: int, members: int):
+    """The arrays of one block, without a copy."""
+    keys, labels, training, bins, margins = (np.frombuffer(batch[c][i].as_buffer(), t) for c, t in (
+        ("keys", np.int64), ("labels", np.uint8), ("members", np.int64), ("bins", np.uint8), ("margins", np.float64)))
+    return keys, labels, training, bins.reshape(len(keys), features), margins.reshape(len(keys), members)
 
 
-def _sums(block, m: Member, bins: int) -> np.ndarray:
-    """(open nodes, features, bins, 3): gradients, curvatures and rows of a member in one block."""
+def _sums(block, m: Member, bins: int) -> np.ndarray | None:
+    """(open nodes, features, bins, 3): gradients, curvatures and rows of a member in one block; features it may not use are 0."""
     keys, labels, training, binned_, margins = block
-    nodes = m.tree.leaf_of(binned_)
+    used = np.flatnonzero((training >> m.training) & 1)
+    if m.growth.rows < 1:
+        used = used[drawn(keys[used], m.growth.rows, m.growth.seed, m.round)]
+    rows = binned_[used]
     slot = np.full(len(m.tree.feature), -1)
     slot[m.open] = np.arange(len(m.open))
-    used = np.flatnonzero(((training >> m.training) & 1 == 1) & (slot[nodes] >= 0) & drawn(keys, m.growth.rows, m.growth.seed, len(m.trees)))
-    margin = margins[used, m.number] + sum((t.score(binned_[used]) for t in m.pending), np.zeros(len(used)))
+    at = slot[m.tree.leaf_of(rows)]
+    if not (here := at >= 0).all():
+        used, rows, at = used[here], rows[here], at[here]
+    if not len(used):
+        return None
+    margin = margins[used, m.number] + sum((t.score(rows) for t in m.pending), np.zeros(len(used)))
     p, y = sigmoid(margin), labels[used]
     w = np.array(m.weights)[y]
-    n = m.features
-    at = ((slot[nodes[used], None] * n + np.arange(n)) * bins + binned_[used]).ravel()
-    size = len(m.open) * n * bins
-    parts = [np.bincount(at, np.repeat(x, n), size) for x in (w * (p - y), w * p * (1 - p), np.ones(len(used)))]
-    return np.stack(parts, 1).reshape(len(m.open), n, bins, 3)
+    gradient, curvature = w * (p - y), w * p * (1 - p)
+    out = np.zeros((len(m.open), m.features, bins, 3))
+    for f in {0, *m.columns.tolist()}:  # the first feature gives the sums of the nodes
+        cell = at * bins + rows[:, f]
+        for j, x in enumerate((gradient, curvature, None)):
+            out[:, f, :, j] = np.bincount(cell, x, len(m.open) * bins).reshape(len(m.open), bins)
+    return out
 
 
 def _scan(members: list[Member], bins: int, features: int, width: int):
     def run(batches):
         total: dict[int, np.ndarray] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                block = _arrays(row, features, width)
+            for i in range(batch.num_rows):
+                block = _arrays(batch, i, features, width)
                 for m in members:
-                    s = _sums(block, m, bins)
-                    total[m.number] = total[m.number] + s if m.number in total else s
+                    if (s := _sums(block, m, bins)) is not None:
+                        total[m.number] = total[m.number] + s if m.number in total else s
         if total:
             yield pa.RecordBatch.from_pydict({"member": pa.array(list(total), pa.int32()), "sums": pa.array([x.tobytes() for x in total.values()], pa.binary())})
     return run
@@ -232,16 +250,16 @@ def _added(key, table):
     return pa.table({"member": pa.array([key[0].as_py()], pa.int32()), "sums": pa.array([np.sum(parts, 0).tobytes()], pa.binary())})
 
 
-def _moved(members: list[Member], features: int, width: int):
+def _moved(pending: dict[int, list[Tree]], features: int, width: int):
     def run(batches):
         for batch in batches:
-            for row in batch.to_pylist():
-                *_, bins, margins = _arrays(row, features, width)
+            for i in range(batch.num_rows):
+                *_, bins, margins = _arrays(batch, i, features, width)
                 margins = margins.copy()
-                for m in members:
-                    for t in m.pending:
-                        margins[:, m.number] += t.score(bins)
-                yield pa.RecordBatch.from_pydict({k: pa.array([v], pa.binary()) for k, v in {**row, "margins": margins.tobytes()}.items()})
+                for number, trees in pending.items():
+                    for t in trees:
+                        margins[:, number] += t.score(bins)
+                yield batch.slice(i, 1).set_column(batch.schema.get_field_index("margins"), "margins", pa.array([margins.tobytes()], pa.binary()))
     return run
 
 
@@ -306,19 +324,26 @@ def boost(df: DataFrame, features: Sequence[str], growths: Sequence[Growth], key
             if not all(n):
                 members[-1].growth = Growth(growth.name, 0)
     width = len(members)
-    parts = max(1, -(-sum(x[-1] for x in found.values()) // ROWS_IN_PART))
-    blocks = cut_lineage(rows.repartition(parts).mapInArrow(_packed(edges, [m.start for m in members]), _BLOCK)).persist()
+    parts = partitions_for(df.sparkSession, sum(x[-1] for x in found.values()), ROWS_IN_PART)
+    rows = rows.repartition(parts).sortWithinPartitions("members")
+    blocks, spent, moves = cut_lineage(rows.mapInArrow(_packed(edges, [m.start for m in members]), _BLOCK)).persist(), [], 0
     while growing := [m for m in members if not m.done]:
-        sums = blocks.mapInArrow(_scan(growing, bins, len(features), width), "member int, sums binary")
+        sums = blocks.mapInArrow(_scan([m.view() for m in growing], bins, len(features), width), "member int, sums binary")
         if parts > 1:  # with one part there is nothing to add up
             sums = sums.groupBy("member").applyInArrow(_added, "member int, sums binary")
-        for row in sums.collect():  # one row a member: its open nodes, no rows of the data
-            m = members[row["member"]]
-            m.take(np.frombuffer(row["sums"], np.float64).reshape(len(m.open), len(features), bins, 3))
-        if any(len(m.pending) >= TREES_BETWEEN for m in members) and any(not m.done for m in members):
-            old, blocks = blocks, cut_lineage(blocks.mapInArrow(_moved(members, len(features), width), _BLOCK)).persist()
-            old.unpersist()
+        got = {row["member"]: row["sums"] for row in sums.collect()}  # one row a member: its open nodes, no rows of the data
+        for m in growing:
+            shape = (len(m.open), len(features), bins, 3)
+            m.take(np.frombuffer(got[m.number], np.float64).reshape(shape) if m.number in got else np.zeros(shape))
+        while spent:  # the scan has kept the blocks that replace these
+            spent.pop().unpersist()
+        if sum(len(m.pending) for m in members) >= len(growing) and any(not m.done for m in members):
+            spent.append(blocks)
+            blocks = blocks.mapInArrow(_moved({m.number: m.pending for m in members if m.pending}, len(features), width), _BLOCK)
+            moves += 1
+            blocks = (cut_lineage(blocks) if moves % TREES_BETWEEN == 0 else blocks).persist()
             for m in members:
                 m.pending = []
-    blocks.unpersist()
+    for kept in (*spent, blocks):
+        kept.unpersist()
     return {(m.growth.name, m.training): Booster(m.growth.name, m.start, m.trees, edges) for m in members}

@@ -134,3 +134,16 @@ def test_one_class_and_no_rows(table):
     assert one.trees == [] and one.margin(np.ones((2, 4))).min() > 10
     none = boosting.boost(table([], 1), ["a"], GROWTHS[:1], "id", edges=[np.array([0.5])])["level", 0]
     assert none.margin(np.ones((2, 1))).tolist() == [0.0, 0.0]
+
+
+def test_a_scan_looks_at_own_rows_only(monkeypatch):
+    """A member walks its tree for the rows of its training set, not for those of the other sets, and ships no finished trees."""
+    n, seen = 60, []
+    member = boosting.Member(boosting.leaf_wise(), 0, 1, (1.0, 1.0), 0.0, 2)
+    member.trees = [boosting.Tree()] * 5
+    walk = boosting.Tree.leaf_of
+    monkeypatch.setattr(boosting.Tree, "leaf_of", lambda self, bins: seen.append(len(bins)) or walk(self, bins))
+    block = (np.arange(n), np.arange(n, dtype=np.uint8) % 2, 1 << (np.arange(n) % 3), np.zeros((n, 2), np.uint8), np.zeros((n, 1)))
+    sums = boosting._sums(block, member, 4)
+    assert seen == [n // 3] and sums[0, 0, :, 2].sum() == n // 3
+    assert member.view().trees == [] and len(member.trees) == 5
