@@ -21,6 +21,8 @@ from caseloom.session import cut_lineage, shared_dir
 ROWS_PER_SOLVE = 512
 #: steps of a walk out of the numbers beyond the last row; with a million rows a walk of 32 has a chance below 1e-90
 _WALK = 32
+#: rows whose values a task holds while others borrow them
+_DONORS_IN_PART = 1 << 18
 _CELLS = 1 << 20
 TOP_SHARE = 0.75
 
@@ -69,10 +71,14 @@ def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Se
     # a number beyond the last row is moved on; a walk visits each of the a * b - n such numbers once at most, and few of them
     steps = min(a * b - n, _WALK) + 1
     step = [permuted_position(x, f"{a}L", f"{b}L", "_r", seed) for x in ("_i", "v")]
-    walk = f"aggregate(sequence(1, {steps}), {step[0]}, (v, _s) -> if(v < {n}, v, {step[1]}))"
-    asked = numbered.select("_i", "_y", "_x", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(repeats).cast("bigint"))).alias("_r")).withColumn("_d", F.expr(walk))
+    # the first step is compiled; only the few numbers that land beyond the last row are walked on
+    walk = f"if(_to < {n}, _to, aggregate(sequence(1, {steps}), _to, (v, _s) -> if(v < {n}, v, {step[1]})))"
+    asked = numbered.select("_i", "_y", "_x", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(repeats).cast("bigint"))).alias("_r")).select(
+        "*", F.expr(step[0]).alias("_to")).select("_y", "_x", (F.col("_r") - 1).alias("_r"), F.expr(walk).alias("_d"))
     donors = numbered.select(F.col("_i").alias("_d"), F.col("_x").alias("_donor"))
-    with_donors = asked.join(donors, "_d").select("_y", "_x", (F.col("_r") - 1).alias("_r"), "_donor")
+    # numbers are dense, so their hash partitions are even: bounded donors are looked up in memory, and nothing is sorted
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // _DONORS_IN_PART))
+    with_donors = asked.repartition(parts, "_d").join(donors.repartition(parts, "_d").hint("shuffle_hash"), "_d").select("_y", "_x", "_r", "_donor")
     # a copy of a row carries the one value it borrows, not those of all variants
     spread = with_donors.select("_y", "_x", "_r", F.posexplode("_donor").alias("_f", "_borrowed")).withColumn("_v", F.col("_r") * width + F.col("_f"))
     plain = numbered.select("_y", "_x", F.lit(-1).cast("bigint").alias("_v"), F.lit(None).cast("double").alias("_borrowed"))

@@ -78,3 +78,12 @@ def test_few_rows_and_one_key(spark):
         df = spark.createDataFrame(rows, "id int, label int, x double")
         got = explain.permutation_importance(df, "id", ["x"], predict, repeats=3).collect()
         assert len(got) == 1 and 0.0 <= got[0].importance_mean <= 1.0
+
+
+def test_borrowed_rows_are_looked_up_without_a_sort(spark):
+    """Donors are hashed, not sorted, and only a number beyond the last row is walked on."""
+    df = spark.range(50).selectExpr("id", "CAST(id % 2 AS INT) AS label", "CAST(id % 3 AS DOUBLE) AS x")
+    out = explain.permutation_importance(df, "id", ["x"], lambda d: d.withColumn("prediction", (d["x"] > 1).cast("int")), repeats=2)
+    plan = out._jdf.queryExecution().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan.split("== Physical Plan ==")[1].split("Subquery")[0]
+    assert "if ((_to" in plan
