@@ -7,7 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier)
@@ -20,9 +20,13 @@ from caseloom.operators import boosting, evaluate
 from caseloom.operators.boosting import Booster, Growth
 from caseloom.operators.features import Scaler, class_weights, smote, smote_folds
 from caseloom.operators.reshape import literal_rows, union_all
-from caseloom.session import compact, cut_lineage
+from caseloom.session import compact, cut_lineage, partitions_for
 
 KERNEL_FEATURES = 256
+#: rows whose random features a Python worker holds at once when it scores
+ROWS_AT_ONCE = 1024
+#: fits over random features that run side by side: each keeps rows x KERNEL_FEATURES numbers in memory
+FITS_AT_ONCE = 3
 FEATURES = "features"
 WEIGHT = "weight"
 
@@ -117,14 +121,35 @@ class GaussianFeatures:
         return cls(draw.normal(0.0, np.sqrt(2 * gamma), (width, size)), draw.uniform(0, 2 * np.pi, size))
 
     def map(self, x: np.ndarray) -> np.ndarray:
-        return np.sqrt(2.0 / len(self.offsets)) * np.cos(x @ self.weights + self.offsets)
+        out = x @ self.weights
+        out += self.offsets
+        np.cos(out, out=out)
+        out *= np.sqrt(2.0 / len(self.offsets))
+        return out
 
     def transform(self, df: DataFrame, out: str) -> DataFrame:
-        @F.pandas_udf("array<double>")
-        def mapped(values: pd.Series) -> pd.Series:
-            return pd.Series(list(self.map(np.stack(values.to_numpy())))) if len(values) else pd.Series([], dtype=object)
+        @F.arrow_udf("array<double>")
+        def mapped(values: pa.Array) -> pa.Array:
+            found = self.map(_matrix(values))
+            ends = np.arange(len(found) + 1, dtype=np.int32) * len(self.offsets)
+            return pa.ListArray.from_arrays(pa.array(ends), pa.array(found.ravel()))
         return df.withColumn(out, array_to_vector(mapped(vector_to_array(FEATURES))))
 
+    def margin(self, coefficients: np.ndarray, intercept: float) -> Column:
+        """The linear margin over the random features of a row; they are made for few rows at a time and do not leave the worker."""
+        @F.arrow_udf("double")
+        def margin(values: pa.Array) -> pa.Array:
+            x = _matrix(values)
+            out = np.empty(len(x))
+            for i in range(0, len(x), ROWS_AT_ONCE):
+                out[i:i + ROWS_AT_ONCE] = self.map(x[i:i + ROWS_AT_ONCE]) @ coefficients
+            return pa.array(out + intercept)
+        return margin(vector_to_array(FEATURES))
+
+
+def _matrix(values: pa.Array) -> np.ndarray:
+    return values.flatten().to_numpy(zero_copy_only=False).reshape(len(values), -1) if len(values) else np.zeros((0, 0))
+
 
 @dataclass
 class KernelMargin:
@@ -132,11 +157,15 @@ class KernelMargin:
 
     name: str
     kernel: GaussianFeatures
-    inner: Fitted
+    model: Model
+    calibration: Model
 
     def transform(self, df: DataFrame, probability: str = "probability", prediction: str = "prediction") -> DataFrame:
-        scored = self.inner.transform(self.kernel.transform(df.withColumn("_own", F.col(FEATURES)), FEATURES), probability, prediction)
-        return scored.drop(FEATURES).withColumnRenamed("_own", FEATURES).select(*df.columns, probability, prediction)
+        margin = self.kernel.margin(self.model.coefficients.toArray(), float(self.model.intercept))
+        coefficient, intercept = float(self.calibration.coefficients[0]), float(self.calibration.intercept)
+        p = 1.0 / (1.0 + F.exp(-(F.lit(coefficient) * F.col("_margin") + F.lit(intercept))))
+        positive = (F.col("_margin") > 0) & ~F.isnan("_margin")
+        return df.withColumn("_margin", margin).select(*df.columns, p.alias(probability), F.when(positive, 1).otherwise(0).alias(prediction))
 
 
 def _platt(margins: DataFrame, label: str) -> Model:
@@ -155,24 +184,25 @@ def fit_kernel(recipe: Recipe, prepared: DataFrame, label: str = "label", n: int
     hash of their features, so equal rows share one."""
     size = n if n is not None else prepared.count()
     kernel = GaussianFeatures.of(prepared, recipe.kernel, gamma=gamma)
-    own = prepared.withColumn("_fold", F.pmod(F.xxhash64(vector_to_array(FEATURES)), F.lit(folds)).cast("int"))
-    mapped = cut_lineage(kernel.transform(own, "_mapped").drop(FEATURES).withColumnRenamed("_mapped", FEATURES)).persist()
+    own = prepared.coalesce(partitions_for(prepared.sparkSession, size, beside=FITS_AT_ONCE))  # a fit has many small jobs
+    own = own.withColumn("_fold", F.pmod(F.xxhash64(vector_to_array(FEATURES)), F.lit(folds)).cast("int"))
+    mapped = kernel.transform(own, "_mapped").drop(FEATURES).withColumnRenamed("_mapped", FEATURES).persist()
+    classes = {(r["_fold"], r[label]) for r in mapped.select("_fold", label).distinct().collect()}  # two rows a fold
 
     def margin(rows: DataFrame) -> Model:
         return recipe.build(size).setParams(featuresCol=FEATURES, labelCol=label, weightCol=WEIGHT).fit(rows)
 
     def held_out(f: int) -> DataFrame:
         rows = mapped.where(F.col("_fold") == f)
-        classes = [r[0] for r in mapped.where(F.col("_fold") != f).select(label).distinct().limit(2).collect()]
-        if len(classes) < 2:  # nothing to learn from the other folds
+        if len({y for fold, y in classes if fold != f}) < 2:  # nothing to learn from the other folds
             return rows.select(label, WEIGHT, F.lit(0.0).alias("_m"))
         model = margin(mapped.where(F.col("_fold") != f))
         out = model.transform(rows, {model.getParam("rawPredictionCol"): "_raw", model.getParam("predictionCol"): "_pred"})
         return out.select(label, WEIGHT, vector_to_array("_raw")[1].alias("_m"))
-    *parts, model = parallel([*[lambda f=f: held_out(f) for f in range(folds)], lambda: margin(mapped)])
+    *parts, model = parallel([*[lambda f=f: held_out(f) for f in range(folds)], lambda: margin(mapped)], FITS_AT_ONCE)
     calibration = _platt(union_all(parts), label)
     mapped.unpersist()
-    return KernelMargin(recipe.name, kernel, Fitted(recipe.name, model, calibration))
+    return KernelMargin(recipe.name, kernel, model, calibration)
 
 
 def prepare(df: DataFrame, features: Sequence[str], label: str = "label", train: DataFrame | None = None, keep: Sequence[str] = ()) -> DataFrame:
@@ -286,9 +316,9 @@ def fit_members(prepared: DataFrame, members: dict[str, Recipe], label: str = "l
 def fit_stacking(prepared: DataFrame, members: dict[str, Recipe], label: str = "label", fold: str = "fold", folds: int = 5) -> Stacking:
     """Members are refitted per fold to give every row an out-of-fold probability; the meta model learns from those."""
     def held_out(f: int) -> DataFrame:
-        fitted = [fit(r, prepared.where(F.col(fold) != f), label) for r in members.values()]
+        fitted = fit_members(prepared.where(F.col(fold) != f), members, label)
         return Stacking.inputs(prepared.where(F.col(fold) == f), fitted)
-    stacked = union_all(parallel([lambda f=f: held_out(f) for f in range(folds)]))
+    stacked = union_all([held_out(f) for f in range(folds)])  # members run side by side; folds beside each other would need the memory of all
     meta_rows = VectorAssembler(inputCols=[f"_p_{r.name}" for r in members.values()], outputCol=FEATURES).transform(stacked.drop(FEATURES))
     meta = fit(Recipe("meta", logistic(1.0)), meta_rows, label)
     return Stacking(fit_members(prepared, members, label), meta)

@@ -301,7 +301,7 @@ def _members(spark, sf):
     train, test, names = _classified(spark, sf, "stroke")
     scaler = Scaler([n for n in names if n in ("age", "avg_glucose_level", "bmi")]).fit(train)
     train, test = scaler.transform(train), scaler.transform(test)
-    prepared = cut_lineage(models.prepare(train, names, keep=["fold"]))
+    prepared = compact(models.prepare(train, names, keep=["fold"]))
     return prepared, models.prepare(test, names, train=train)
 
 

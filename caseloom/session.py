@@ -48,9 +48,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 LEAST_ROWS, MOST_ROWS = 1 << 13, 1 << 17
 
 
-def partitions_for(spark: SparkSession, rows: int, most: int = MOST_ROWS) -> int:
-    """Few partitions for few rows, one a core for more, then as many as keep them bounded."""
-    cores = spark.sparkContext.defaultParallelism
+def partitions_for(spark: SparkSession, rows: int, most: int = MOST_ROWS, beside: int = 1) -> int:
+    """Few partitions for few rows, one a core for more, then as many as keep them bounded. ``beside`` jobs at once share the cores."""
+    cores = max(1, spark.sparkContext.defaultParallelism // beside)
     return max(1, min(cores, -(-rows // LEAST_ROWS)), -(-rows // most))
 
 

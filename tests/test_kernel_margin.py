@@ -92,3 +92,38 @@ def test_all_columns_stay(prepared):
     rows = prepared(rings(40, 7)).withColumn("extra", F.lit("x"))
     out = models.fit(models.base_recipes()["svm"], rows).transform(rows)
     assert out.columns == [*rows.columns, "probability", "prediction"] and out.select(models.FEATURES).first()[0].size == 2
+
+
+def short():
+    recipe = models.base_recipes()["svm"]
+    return models.Recipe("svm", lambda n: recipe.build(n).setMaxIter(5), kernel=16)
+
+
+def test_scores_need_no_row_of_random_features(prepared):
+    held = prepared(rings(50, 10))
+    fitted = models.fit(short(), prepared(rings(100, 11)))
+    wide = fitted.kernel.transform(held, "_f").collect()
+    z = np.array([r["_f"].toArray() for r in wide]) @ fitted.model.coefficients.toArray() + fitted.model.intercept
+    found = held.withColumn("m", fitted.kernel.margin(fitted.model.coefficients.toArray(), fitted.model.intercept))
+    assert dict(found.schema["m"].jsonValue())["type"] == "double"
+    assert [r["m"] for r in found.collect()] == pytest.approx(z.tolist(), abs=1e-12)
+
+
+def test_stacking_fits_one_kernel_margin_at_a_time(prepared, monkeypatch):
+    from threading import Lock
+
+    running, most, lock, fit_kernel = [0], [0], Lock(), models.fit_kernel
+
+    def counted(*args, **named):
+        with lock:
+            running[0] += 1
+            most[0] = max(most[0], running[0])
+        try:
+            return fit_kernel(*args, **named)
+        finally:
+            with lock:
+                running[0] -= 1
+    monkeypatch.setattr(models, "fit_kernel", counted)
+    rows = prepared(rings(60, 12)).withColumn("fold", F.expr("int(id div 2 % 2)"))
+    models.fit_stacking(rows, {"svm": short()}, folds=2)
+    assert most[0] == 1
