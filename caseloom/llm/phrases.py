@@ -4,8 +4,8 @@ An occurrence relation holds (position, group) in text order: a group is one phr
 number between pieces, so that two occurrences can only meet inside a piece. Every block of documents has its own part of
 the relation, in one row of a Parquet table that is bucketed by block, so occurrences are never shuffled. Length by length,
 neighbours at adjacent positions are merge-joined, groups are counted over all blocks, and a semi-join with the frequent groups
-leaves what the next length starts from. Blocks meet by 48-bit keys of their groups: keys only choose what stays; the counts
-themselves are taken over the phrases.
+leaves what the next length starts from. Blocks meet by 40-bit keys of their groups, in the order of the keys, so that shuffled rows
+compress: keys only choose what stays (groups of one key stay together); the counts themselves are taken over the phrases.
 """
 
 from __future__ import annotations
@@ -88,14 +88,14 @@ class Relation:
         return np.bincount(self.group, minlength=len(self.words))
 
     def keys(self) -> np.ndarray:
-        """48-bit keys of the groups, the same in every block; the high bytes are zero, so that a shuffled row is shorter."""
+        """40-bit keys of the groups, the same in every block; the high bytes are zero, so that a shuffled row is shorter."""
         data, offsets = flat_text(self.vocabulary)
         word = RangeHash(data).of(offsets[:-1], offsets[1:])
         salt = np.array([int.from_bytes(hashlib.sha256(x.encode()).digest()[:8], "little") for x in self.langs] or [0], np.uint64)
         key = salt[self.lang]
         for j in range(self.words.shape[1]):
             key = mix((key ^ word[self.words[:, j]]) * np.uint64(0x9FB21C651E98DF25))
-        return (key >> np.uint64(16)).view(np.int64)
+        return (key >> np.uint64(24)).view(np.int64)
 
     def semi_join(self, keys: np.ndarray) -> Relation:
         """Occurrences of the groups whose key is among ``keys``; words that no group needs leave the vocabulary."""
@@ -173,14 +173,16 @@ def _blocks(block_bytes: int):
 
 
 def _group_counts(longer: bool):
-    """(block, key, f) of the groups of each block: the next length, or the words themselves."""
+    """(block, key, f) of the groups of each block, in the order of the keys: the next length, or the words themselves."""
     def run(batches):
         for batch in batches:
             for block, blob in zip(batch["block"].to_pylist(), batch["state"]):
                 relation = Relation.unpacked(blob.as_py())
                 relation = relation.longer() if longer else relation
-                table = pa.table({"block": pa.array(np.full(len(relation.words), block, np.int64)), "key": pa.array(relation.keys()),
-                                  "f": pa.array(relation.counts().astype(np.int64))})
+                keys = relation.keys()
+                order = np.argsort(keys)
+                table = pa.table({"block": pa.array(np.full(len(keys), block, np.int64)), "key": pa.array(keys[order]),
+                                  "f": pa.array(relation.counts()[order].astype(np.int64))})
                 yield from table.to_batches(max_chunksize=1 << 17)
     return run
 

@@ -88,3 +88,15 @@ def test_a_long_text(table):
     r = random.Random(5)
     rows = [(made(r, 200_000), "en"), ("a", None)]
     assert sorted(map(tuple, phrases.collocations(table(rows), top=50).collect())) == plain(rows, top=50)
+
+
+def test_counts_leave_a_block_in_the_order_of_short_keys():
+    import pyarrow as pa
+
+    from caseloom.llm import phrases
+
+    relation, _ = phrases.Relation.of(pa.table({"text": [" ".join(f"w{i * 7 % 50}" for i in range(300))], "lang": ["en"]}))
+    batch = pa.RecordBatch.from_pydict({"block": pa.array([3], pa.int64()), "state": pa.array([relation.packed()], pa.binary())})
+    rows = pa.Table.from_batches(list(phrases._group_counts(True)([batch])))
+    keys = rows["key"].to_pylist()
+    assert keys == sorted(set(keys)) and 0 <= keys[0] and keys[-1] < 1 << 40 and sum(rows["f"].to_pylist()) == 299
