@@ -7,10 +7,11 @@ emptiest bin to a fuller one, so the sum of squared fills rises and the search e
 
 from __future__ import annotations
 
+import itertools
 import json
 import os
 import zlib
-from array import array
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -19,58 +20,111 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.llm.arrays import pieces
-from caseloom.llm.bpe import codec
+from caseloom.llm.bpe import END, codec
 from caseloom.session import shared_dir
 
 SEQUENCE = 4096
 END_ID = 1
 GROUP_PIECES = 16_384
-WORDS_KEPT, BYTES_KEPT, WORDS_AT_ONCE = 150_000, 32 << 20, 8192
+WORDS_KEPT, BYTES_KEPT, WORDS_AT_ONCE = 300_000, 32 << 20, 8192
 #: so many emptiest bins in a row without a possible step end the search
 PATIENCE = 32
 _PIECES = "number bigint, doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
+def _runs(pool: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of a pool that begin at ``start``, one behind the other."""
+    ends = np.cumsum(size)
+    return pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + size, size)]
+
+
 class WordIds:
-    """Ids of words as bytes (little-endian, 32 bits each). Words used since the last turn of the cache stay in it."""
+    """Ids of words, which are known by running numbers. Words used since the last turn of the cache, or the turn before, stay in it."""
 
     def __init__(self, content: bytes):
-        assert array("I").itemsize == 4
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
         file = json.loads(content)
-        # words are normalised and split already: the library gets them as they are
+        # words are normalised and split already: the library gets many at once, with a blank between them
         steps = file["pre_tokenizer"]["pretokenizers"]
-        file["normalizer"], file["pre_tokenizer"] = None, {"type": "Sequence", "pretokenizers": [s for s in steps if s["type"] != "Split"]}
+        file["normalizer"] = None
+        file["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [{"type": "WhitespaceSplit"}, *[s for s in steps if s["type"] != "Split"]]}
         self.library = Tokenizer.from_str(json.dumps(file))
-        self.split = codec(content).split
-        self.now: dict[str, bytes] = {}
-        self.before: dict[str, bytes] = {}
+        coder = codec(content)
+        self.split = coder.split
+        #: by id: whether it ends a word
+        self.last = np.array([s.endswith(END) or s in coder.special for s in coder.symbols])
+        self.before = {}, _Ids()
+        self._turn()
+
+    def _turn(self) -> None:
+        self.now: dict[str, int] = defaultdict(itertools.count().__next__)  # a word that is not there gets the next number
+        self.ids = _Ids()
         self.bytes = 0
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text (little-endian, 32 bits each)."""
         split = [self.split(t) for t in texts]
-        words = set().union(*split).difference(self.now) if split else set()
-        size = sum(map(len, words))
-        if len(self.now) + len(words) > WORDS_KEPT or self.bytes + size > BYTES_KEPT:
-            self.before, self.now, self.bytes = self.now, {}, 0
-            words = set().union(*split)
-            size = sum(map(len, words))
-        self.bytes += size
-        fresh = []
-        for w in words:
-            known = self.before.get(w)
-            if known is None:
-                fresh.append(w)
-            else:
-                self.now[w] = known
-        for i in range(0, len(fresh), WORDS_AT_ONCE):
-            some = fresh[i:i + WORDS_AT_ONCE]
-            for w, e in zip(some, self.library.encode_batch_fast(some, add_special_tokens=False)):
-                self.now[w] = array("I", e.ids).tobytes()
-        get = self.now.__getitem__
-        return [b"".join(map(get, s)) for s in split]
+        counts = np.fromiter(map(len, split), np.int64, len(split))
+        numbers = self._numbers(split, int(counts.sum()))
+        start, size = self.ids.start[numbers], self.ids.size[numbers]
+        cuts = np.cumsum(np.concatenate([[0], size]))
+        out = np.empty(cuts[-1], "<u4")
+        for i in range(0, len(numbers), WORDS_AT_ONCE):
+            to = min(i + WORDS_AT_ONCE, len(numbers))
+            out[cuts[i]:cuts[to]] = _runs(self.ids.ids, start[i:to], size[i:to])
+        cuts = cuts[np.cumsum(np.concatenate([[0], counts]))].tolist()
+        return [out[i:j].tobytes() for i, j in zip(cuts, cuts[1:])]
+
+    def _numbers(self, split: list[list[str]], size: int) -> np.ndarray:
+        """Numbers of all words, one behind the other; the ids of each are there afterwards."""
+        known = len(self.now)
+        numbers = np.fromiter(map(self.now.__getitem__, itertools.chain.from_iterable(split)), np.int64, size)
+        fresh = list(itertools.islice(self.now, known, None))
+        self.bytes += sum(map(len, fresh))
+        if known and (len(self.now) > WORDS_KEPT or self.bytes > BYTES_KEPT):
+            used, numbers = np.unique(numbers, return_inverse=True)
+            words = list(self.now)
+            for w in fresh:
+                del self.now[w]
+            self.before = self.now, self.ids
+            self._turn()
+            fresh = [words[i] for i in used.tolist()]
+            for w in fresh:
+                self.now[w]
+            self.bytes = sum(map(len, fresh))
+        self._learn(fresh)
+        return numbers
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of words that have the next numbers."""
+        old, kept = self.before
+        place = np.fromiter((old.get(w, -1) for w in words), np.int64, len(words))
+        unknown = list(itertools.compress(words, place < 0))
+        made = [np.zeros(0, np.uint32)]
+        for i in range(0, len(unknown), WORDS_AT_ONCE):
+            some = " ".join(unknown[i:i + WORDS_AT_ONCE])
+            made.append(np.array(self.library.encode_batch_fast([some], add_special_tokens=False)[0].ids, np.uint32))
+        ids = np.concatenate(made)
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(unknown):
+            raise ValueError("the words of a tokenizer file must end in one id that ends a word")
+        place[place < 0] = np.arange(len(unknown)) + len(kept.size)
+        size = np.concatenate([kept.size, np.diff(ends, prepend=0)])[place]
+        start = np.concatenate([kept.start, ends - np.diff(ends, prepend=0) + len(kept.ids)])[place]
+        self.ids.append(_runs(np.concatenate([kept.ids, ids]), start, size), size)
+
+
+class _Ids:
+    """Ids of numbered words, one behind the other."""
+
+    def __init__(self):
+        self.ids, self.start, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def append(self, ids: np.ndarray, size: np.ndarray) -> None:
+        self.start = np.concatenate([self.start, np.cumsum(size) - size + len(self.ids)])
+        self.ids, self.size = np.concatenate([self.ids, ids]), np.concatenate([self.size, size])
 
 
 _words: dict[int, WordIds] = {}

@@ -76,6 +76,25 @@ def test_words_turn_over(monkeypatch):
         assert len(coder.now) <= 60
 
 
+def test_new_words_reach_the_library_together(monkeypatch):
+    monkeypatch.setattr(packing, "WORDS_KEPT", 900)
+    coder = packing.WordIds(open(PATH, "rb").read())
+    given_, library = [], coder.library
+
+    class Counted:
+        @staticmethod
+        def encode_batch_fast(texts, **options):
+            given_.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+    coder.library = Counted
+    r = random.Random(2)
+    words = ["".join(r.choices("abcdeéß", k=r.randrange(1, 9))) for _ in range(1500)] + ["!!", "'s", "7", "\x1c\x1d", "<|endoftext|>"]
+    for n, at in enumerate([0, 500, 250, 1005, 0]):
+        texts = [" ".join(words[at:at + 500]), "", *SPECIAL, "of<|endoftext|><|startoftext|>words " + words[at]]
+        assert [np.frombuffer(x, "<u4").tolist() for x in coder.encode(texts)] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(given_) <= n + 1
+
+
 def best(sizes, capacity):
     """Fewest bins, by trying all ways."""
     for n in range(1, len(sizes) + 1):
