@@ -7,15 +7,16 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import ratio
-from caseloom.operators.ranks import CELL, prefix_sums, settle
+from caseloom.operators.ranks import CELL, prefix_sums, settle, small_side
 from caseloom.operators.reshape import literal_rows
 from caseloom.operators.stats import class_value_counts
-from caseloom.session import compact
+from caseloom.session import compact, cut_lineage
 
 
 def mutual_information(df: DataFrame, features: Sequence[str], label: str = "label", discrete: Sequence[str] = (), bins: int = 20) -> DataFrame:
@@ -44,37 +45,95 @@ def digamma(x: str) -> str:
             f" - ({steps}))")
 
 
+_FOUND = ("feature string, class int, value double, c bigint, ny bigint, k bigint, m bigint, tie boolean, lo double, hi double, "
+          "kind string")
+#: rows of a cell whose neighbours a task holds side by side
+ROWS_AT_ONCE = 1 << 16
+
+
+def _inside(value: np.ndarray, counts: np.ndarray, sizes: Sequence[int], k: int) -> Iterator[pd.DataFrame]:
+    """Neighbours of one cell of a feature; values ascend, ``counts`` has a row a class. Values with k others of their class on either side
+    in the cell are ``done``, and summed by k and m; or ``asked``, where rounding put a bound outside of the cell. Others are ``edge``s;
+    values beside them are ``near`` an edge, as far as its neighbours can be."""
+    below = np.concatenate([[0], np.cumsum(counts.sum(0))])
+    for y, ny in enumerate(sizes):
+        here = np.flatnonzero(counts[y])
+        x, c = value[here], counts[y][here]
+        at = np.minimum(np.arange(len(x)), np.arange(len(x))[::-1])  # values between this one and the end of the cell
+        out = at < 2 * k
+        yield pd.DataFrame({"class": y, "value": x[out], "c": c[out], "ny": ny, "kind": np.where(at[out] < k, "edge", "near")})
+        wanted = min(k, ny - 1)
+        steps = [*range(-1, -k - 1, -1), *range(1, k + 1)]
+        for i in range(k, len(x) - k, ROWS_AT_ONCE):
+            j = min(i + ROWS_AT_ONCE, len(x) - k)
+            own, times = x[i:j], c[i:j]
+            far = np.array([np.abs(x[i + s:j + s] - own) for s in steps])
+            many = np.array([c[i + s:j + s] for s in steps])
+            reach = np.full(j - i, np.inf)
+            for d in far:
+                reach = np.where(times - 1 + np.where(far <= d, many, 0).sum(0) >= wanted, np.minimum(reach, d), reach)
+            d = np.where(times > wanted, 0.0, reach)
+            tie = d == 0
+            lo, hi = own - d, own + d
+            for n in reversed(range(k)):  # the value that sets the radius bounds it exactly, whatever the rounding of the sum
+                lo = np.where(far[n] == d, x[i + steps[n]:j + steps[n]], lo)
+                hi = np.where(far[k + n] == d, x[i + steps[k + n]:j + steps[k + n]], hi)
+            lo, hi = np.where(tie, own, lo), np.where(tie, own, hi)
+            here_m = below[np.searchsorted(value, hi, "left")] - below[np.searchsorted(value, lo, "right")]
+            twins = below[np.searchsorted(value, own, "right")] - below[np.searchsorted(value, own, "left")] - 1
+            rows = pd.DataFrame({"class": y, "value": own, "c": times, "ny": ny, "k": np.where(tie, times - 1, wanted),
+                                 "m": np.where(tie, twins, here_m), "tie": tie, "lo": lo, "hi": hi})
+            beyond = (lo < value[0]) | (hi > value[-1])
+            yield rows[["ny", "k", "m", "c"]][~beyond].groupby(["ny", "k", "m"], as_index=False)["c"].sum().assign(kind="done")
+            yield rows[beyond].drop(columns="m").assign(kind="asked")
+
+
+def _inside_cells(k: int):
+    names = [f.split()[0] for f in _FOUND.split(", ")]
+
+    def run(batches):
+        whole = pd.concat([b.to_pandas() for b in batches] or [pd.DataFrame(columns=["feature", CELL])])  # a partition is a cell
+        for (feature, _), rows in whole.groupby(["feature", CELL]):
+            rows = rows.sort_values("value")
+            counts = np.array([rows["n0"].to_numpy(np.int64), rows["n1"].to_numpy(np.int64)])
+            for found in _inside(rows["value"].to_numpy(np.float64), counts, rows[["t0", "t1"]].iloc[0].tolist(), k):
+                if len(found):
+                    found = found.assign(feature=feature).reindex(columns=names)
+                    found = found.astype({n: "Int64" for n in ("class", "c", "ny", "k", "m")} | {"tie": "boolean"})
+                    yield pa.RecordBatch.from_pandas(found, schema=_found_schema(), preserve_index=False)
+    return run
+
+
+def _found_schema() -> pa.Schema:
+    kinds = {"string": pa.string(), "int": pa.int32(), "double": pa.float64(), "bigint": pa.int64(), "boolean": pa.bool_()}
+    return pa.schema([(n, kinds[t]) for n, t in (f.split() for f in _FOUND.split(", "))])
+
+
 def neighbour_information(df: DataFrame, features: Sequence[str], label: str = "label", k: int = 3, cells: int | None = None) -> DataFrame:
     """Mutual information with a 0/1 label in nats by the nearest-neighbour estimate for a class and a number (Ross 2014).
 
     A row's radius is the distance to its k-th nearest row of the same class (the last one, in a smaller class); m rows of any class
     are nearer than that, the row itself included, and the score is psi(N) + mean(psi(k) - psi(class size) - psi(m)), 0 at least. Where
     the radius is 0, k and m are the numbers of other rows with the same value, so ties need no noise. Values that are not there
-    and classes of one row take no part. Rows are collapsed to (feature, class, value); neighbours are the next values in range
-    partitions, whose edges see the few edge values of the others; m is a difference of two running totals.
+    and classes of one row take no part. Rows are collapsed to (feature, value), which are cut into range partitions once. A value
+    with k others of its class on either side in its cell is done there; the 2k a class at the edges of a cell find their neighbours
+    among the edge values of all cells, and their m by the totals of the cells and one scan of the cells that hold their bounds.
     """
-    def group_of(c: str):
-        return F.struct(F.lit(int(c[1])).alias("class"), F.col(c).alias("c"))
-    counts = class_value_counts(df, features, label).select("feature", "value", F.explode(F.array(group_of("n0"), group_of("n1"))).alias("g"))
-    counts = counts.select("feature", "g.class", F.col("value").cast("double").alias("value"), "g.c").where("c > 0")
-    sizes = counts.groupBy("feature", "class").agg(F.sum("c").alias("ny")).where("ny > 1")  # two rows a feature
-    celled = settle(counts.join(sizes, ["feature", "class"]), "value", ["feature", "class"], cells)
-    here = W.partitionBy("feature", "class", CELL)
-    placed = celled.withColumns({"from_first": F.row_number().over(here.orderBy("value")), "from_last": F.row_number().over(here.orderBy(F.desc("value")))})
+    counts = class_value_counts(df, features, label).select("feature", F.col("value").cast("double").alias("value"), "n0", "n1")
+    celled = settle(counts, "value", ["feature"], cells)
+    sizes = celled.groupBy("feature").agg(F.sum("n0").alias("t0"), F.sum("n1").alias("t1"))  # one row a feature
+    kept = [F.when(F.col(f"t{y}") > 1, F.col(f"n{y}")).otherwise(0).alias(f"n{y}") for y in (0, 1)]
+    celled = celled.join(F.broadcast(sizes), "feature").select("feature", "value", CELL, *kept, "t0", "t1").where("n0 + n1 > 0")
+    points = celled.select("feature", "value", CELL, (F.col("n0") + F.col("n1")).alias("n"))
+    found = cut_lineage(celled.select("feature", "value", CELL, "n0", "n1", "t0", "t1").mapInArrow(_inside_cells(k), _FOUND))
 
     def beside(window, prefix: str) -> dict:
         entry = F.struct("value", "c")
         return {f"{prefix}{side}{j}": step(entry, j).over(window) for j in range(1, k + 1) for side, step in (("b", F.lag), ("a", F.lead))}
-    inner = placed.withColumns(beside(here.orderBy("value"), "in_"))
-    # the first and last k values of every cell: in their order, k neighbours of an edge value stand next to it
-    edges = placed.where((F.col("from_first") <= k) | (F.col("from_last") <= k))
-    edges = edges.withColumns(beside(W.partitionBy("feature", "class").orderBy("value"), "out_"))
-    outer = [f"out_{s}{j}" for j in range(1, k + 1) for s in "ab"]
-    rows = inner.join(edges.select("feature", "class", "value", *outer), ["feature", "class", "value"], "left")
-    near = [F.when(F.col("from_first") > j, F.col(f"in_b{j}")).otherwise(F.col(f"out_b{j}")) for j in range(1, k + 1)]
-    near += [F.when(F.col("from_last") > j, F.col(f"in_a{j}")).otherwise(F.col(f"out_a{j}")) for j in range(1, k + 1)]
-    found = F.filter(F.array(*near), lambda e: e.isNotNull())
-    rows = rows.select("feature", "class", "value", "c", "ny", F.transform(found, lambda e: F.struct(F.abs(e["value"] - F.col("value")).alias("d"), e["c"].alias("c"), e["value"].alias("at"))).alias("near"))
+    # in their order, k neighbours of an edge value stand next to it
+    rows = found.where("kind IN ('edge', 'near')").withColumns(beside(W.partitionBy("feature", "class").orderBy("value"), "out_")).where("kind = 'edge'")
+    near = F.filter(F.array(*[F.col(f"out_{s}{j}") for s in "ba" for j in range(1, k + 1)]), lambda e: e.isNotNull())
+    rows = rows.select("feature", "class", "value", "c", "ny", F.transform(near, lambda e: F.struct(F.abs(e["value"] - F.col("value")).alias("d"), e["c"].alias("c"), e["value"].alias("at"))).alias("near"))
     wanted = F.least(F.lit(k), F.col("ny") - 1)
     within = lambda e: F.col("c") - 1 + F.aggregate(F.filter("near", lambda o: o["d"] <= e["d"]), F.lit(0).cast("bigint"), lambda t, o: t + o["c"])
     reach = F.array_min(F.transform(F.filter("near", lambda e: within(e) >= wanted), lambda e: e["d"]))
@@ -84,18 +143,31 @@ def neighbour_information(df: DataFrame, features: Sequence[str], label: str = "
         # the value that sets the radius bounds it exactly, whatever the rounding of the sum
         at = F.filter("near", lambda e: (e["d"] == F.col("d")) & ((e["at"] - F.col("value")) * sign > 0))
         return F.when(F.col("d") == 0, F.col("value")).otherwise(F.coalesce(F.get(at, F.lit(0))["at"], F.col("value") + sign * F.col("d")))
-    tie = F.col("d") == 0
-    asked = rows.select("feature", "class", "value", "c", "ny", "k", tie.alias("tie"), F.explode(F.array(
-        F.struct(F.struct(bound(1).alias("v"), F.when(tie, 2).otherwise(0).alias("o")).alias("at"), F.lit(1).alias("sign")),
-        F.struct(F.struct(bound(-1).alias("v"), F.when(tie, 0).otherwise(2).alias("o")).alias("at"), F.lit(-1).alias("sign")))).alias("q"))
-    asked = asked.select("feature", "q.at", F.lit(0).cast("bigint").alias("n"), F.struct("class", "value", "c", "ny", "k", "tie", "q.sign").alias("row"))
-    points = celled.groupBy("feature", "value").agg(F.sum("c").alias("n")).select(
-        "feature", F.struct(F.col("value").alias("v"), F.lit(1).alias("o")).alias("at"), "n", F.lit(None).cast(asked.schema["row"].dataType).alias("row"))
-    totals = prefix_sums(points.unionAll(asked), "at", ["n"], ["feature"], cells).where("row IS NOT NULL")
-    m = totals.groupBy("feature", "row.class", "row.value", "row.c", "row.ny", "row.k", "row.tie", F.col("total_n").alias("total")).agg(F.sum(F.col("below_n") * F.col("row.sign")).alias("m"))
-    m = m.withColumn("m", F.col("m") - F.when(F.col("tie"), 1).otherwise(0))
+    row = ["class", "value", "c", "ny", "k", "tie"]
+    rows = rows.select("feature", *row[:-1], (F.col("d") == 0).alias("tie"), bound(-1).alias("lo"), bound(1).alias("hi"))
+    rows = rows.unionByName(found.where("kind = 'asked'").select(rows.columns))
+    tie = F.col("tie")
+    asked = rows.select("feature", F.struct(*row).alias("row"), F.inline(F.array(
+        F.struct(F.struct(F.col("hi").alias("v"), F.when(tie, 2).otherwise(0).alias("o")).alias("at"), F.lit(1).alias("sign")),
+        F.struct(F.struct(F.col("lo").alias("v"), F.when(tie, 0).otherwise(2).alias("o")).alias("at"), F.lit(-1).alias("sign")))))
+    asked = asked.select("feature", "at", F.lit(None).cast("int").alias(CELL), F.lit(0).cast("bigint").alias("n"), "row", "sign")
+    # whole cells before a bound, and the cell that it may cut: the first whose last value is not before it
+    ends = points.groupBy("feature", CELL).agg(F.sum("n").alias("n"), F.max("value").alias("last")).select(
+        "feature", F.struct(F.col("last").alias("v"), F.lit(1).alias("o")).alias("at"), CELL, "n",
+        F.lit(None).cast(asked.schema["row"].dataType).alias("row"), F.lit(None).cast("int").alias("sign"))
+    before = lambda order: W.partitionBy("feature").orderBy(order).rowsBetween(W.unboundedPreceding, -1)
+    placed = ends.unionAll(asked).select("feature", "at", "row", "sign", F.coalesce(F.sum("n").over(before("at")), F.lit(0)).alias("n"),
+                                         F.last(CELL, ignorenulls=True).over(before(F.desc("at"))).alias("_cut"))
+    placed = cut_lineage(placed.where("row IS NOT NULL"))
+    cut = small_side(placed.select(F.col("feature").alias("_feature"), "_cut", "at", "row", "sign"))
+    same = (F.col("feature") == F.col("_feature")) & (F.col(CELL) == F.col("_cut"))
+    inside = points.join(cut, same & ((F.col("value") < F.col("at.v")) | (F.col("value") == F.col("at.v")) & (F.col("at.o") == 2)))
+    signed = [df.select("feature", "row", (F.col("n") * F.col("sign")).alias("n")) for df in (placed, inside)]
+    m = signed[0].unionAll(signed[1]).groupBy("feature", "row").agg(F.sum("n").alias("m"))
+    m = m.select("feature", "row.ny", "row.k", (F.col("m") - F.when(F.col("row.tie"), 1).otherwise(0)).alias("m"), "row.c")
+    m = m.unionByName(found.where("kind = 'done'").select(m.columns)).groupBy("feature", "ny", "k", "m").agg(F.sum("c").alias("c"))
     each = F.expr(f"c * ({digamma('k')} - {digamma('ny')} - {digamma('m')})")
-    score = m.groupBy("feature", "total").agg(F.sum(each).alias("s"))
+    score = m.groupBy("feature").agg(F.sum(each).alias("s"), F.sum("c").alias("total"))
     return score.select("feature", F.greatest(F.lit(0.0), F.expr(f"{digamma('total')} + s / total")).alias("score"))
 
 

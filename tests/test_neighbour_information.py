@@ -6,6 +6,7 @@ import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from caseloom.operators import select
@@ -57,3 +58,24 @@ def test_missing_values_and_a_class_of_one_row(spark):
     rows = [(0, 1.0), (0, 2.0), (0, 2.5), (0, None), (1, 9.0)]
     df = spark.createDataFrame(rows, "label int, a double")
     assert select.neighbour_information(df, ["a"]).collect()[0].score == pytest.approx(plain([1.0, 2.0, 2.5], [0, 0, 0]))
+
+
+def test_few_rows_leave_their_cell():
+    r = np.random.default_rng(5)
+    value = np.unique(r.normal(size=20_000).round(4))
+    counts = r.integers(0, 3, (2, len(value)))
+    found = pd.concat(select._inside(value, counts, counts.sum(1).tolist(), 3))
+    away = found[found["kind"] != "done"].groupby(["class", "kind"]).size()
+    assert away.to_dict() == {(0.0, "edge"): 6, (1.0, "edge"): 6, (0.0, "near"): 6, (1.0, "near"): 6}
+    done = found[found["kind"] == "done"]
+    assert done["c"].sum() == counts.sum() - found.loc[found["kind"] == "edge", "c"].sum() and len(done) < 200
+
+
+def test_values_apart_by_less_than_the_sums_are_rounded_by(spark):
+    r = random.Random(9)
+    rows = [(r.randrange(2), 2.0**52 + r.randrange(400) + r.choice([0.0, 1e-3]), r.uniform(0.1, 0.1 + 3e-15)) for _ in range(300)]
+    df = spark.createDataFrame(rows, "label int, a double, b double")
+    for cells in (1, 30):
+        got = {g.feature: g.score for g in select.neighbour_information(df, ["a", "b"], cells=cells).collect()}
+        for i, f in enumerate("ab"):
+            assert got[f] == pytest.approx(plain([x[i + 1] for x in rows], [x[0] for x in rows]), abs=1e-9), f
