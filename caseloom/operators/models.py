@@ -13,14 +13,14 @@ from pyspark.ml.classification import (
     DecisionTreeClassifier, LinearSVC, LogisticRegression, NaiveBayes, RandomForestClassifier)
 from pyspark.ml.feature import SQLTransformer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.operators import boosting, evaluate
 from caseloom.operators.boosting import Booster, Growth
 from caseloom.operators.features import Scaler, class_weights, smote, smote_folds
 from caseloom.operators.reshape import literal_rows, union_all
-from caseloom.session import compact, cut_lineage, partitions_for
+from caseloom.session import MOST_ROWS, compact, cut_lineage, partitions_for
 
 KERNEL_FEATURES = 256
 #: rows whose random features a Python worker holds at once when it scores
@@ -64,7 +64,9 @@ def recipes(seed: int = 42, rounds: int = 100, trees: int = 100) -> dict[str, Re
     entries = [
         Recipe("Logistic Regression", logistic(0.1)),
         Recipe("Decision Tree", lambda n: DecisionTreeClassifier(maxDepth=7, minInstancesPerNode=5, seed=seed)),
-        Recipe("Random Forest", lambda n: RandomForestClassifier(numTrees=trees, maxDepth=8, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed)),
+        # each row keeps its node in each tree, so that a level does not walk down all trees again
+        Recipe("Random Forest", lambda n: RandomForestClassifier(numTrees=trees, maxDepth=8, minInstancesPerNode=2, featureSubsetStrategy="sqrt", seed=seed,
+                                                                 cacheNodeIds=True)),
         *[Recipe(g.name, growth=g) for g in (boosting.level_wise(rounds=rounds, seed=seed), boosting.leaf_wise(rounds=rounds, seed=seed))],
     ]
     return {r.name: r for r in entries}
@@ -308,6 +310,12 @@ def parallel(jobs: Sequence[Callable], width: int = 3) -> list:
         return list(pool.map(lambda job: job(), jobs))
 
 
+def fits_at_once(spark: SparkSession, rows: int, most: int = 6) -> int:
+    """How many fits over ``rows`` rows each run side by side: as many as have three tasks a core, as these are uneven; so what they
+    keep in memory follows the cores. Two at least, one beside the other's steps on the driver."""
+    return max(2, min(most, 3 * spark.sparkContext.defaultParallelism // max(1, -(-rows // MOST_ROWS))))
+
+
 def fit_members(prepared: DataFrame, members: dict[str, Recipe], label: str = "label") -> list[Fitted]:
     n = prepared.count()
     return parallel([lambda r=r: fit(r, prepared, label, n) for r in members.values()])
@@ -333,11 +341,15 @@ def cross_predictions(prepared: DataFrame, recipe: Recipe, label: str = "label",
                       training: DataFrame | None = None) -> DataFrame:
     """Every row scored by a model that did not see its fold. ``training`` replaces the training rows of each fold
     (for example by oversampled ones) and carries the fold they must not be used for in ``fold``."""
+    return union_all(parallel(_cross_jobs(prepared, recipe, label, fold, folds, training)))
+
+
+def _cross_jobs(prepared: DataFrame, recipe: Recipe, label: str, fold: str, folds: int, training: DataFrame | None) -> list[Callable[[], DataFrame]]:
     def one(f: int) -> DataFrame:
         rows = prepared.where(F.col(fold) != f) if training is None else training.where(F.col(fold) == f)
         fitted = fit(recipe, rows, label)
         return predictions_of(fitted, prepared.where(F.col(fold) == f), label, [fold])
-    return union_all(parallel([lambda f=f: one(f) for f in range(folds)]))
+    return [lambda f=f: one(f) for f in range(folds)]
 
 
 def _grown(chosen: Sequence[Recipe], prepared: DataFrame, whole: DataFrame, training: DataFrame | None, label: str, fold: str,
@@ -389,15 +401,14 @@ def train_and_evaluate(train: DataFrame, test: DataFrame, features: Sequence[str
         n = whole.count()
         single = [r for r in chosen.values() if r.growth is None]
         grown = [r for r in chosen.values() if r.growth is not None]
-        jobs = [lambda r=r: {r.name: fit(r, whole, label, n)} for r in single]
-        jobs += [lambda r=r: cross_predictions(prepared, r, label, fold, folds, training) for r in single]
-        if grown:
-            jobs.append(lambda: _grown(grown, prepared, whole, training, label, fold, folds))
-        done = parallel(jobs, 4)
-        fitted = {name: m for part in done[:len(single)] for name, m in part.items()}
-        parts = done[len(single):2 * len(single)]
+        jobs = [lambda: _grown(grown, prepared, whole, training, label, fold, folds)] if grown else []
+        jobs += [lambda r=r: fit(r, whole, label, n) for r in single]
+        jobs += [job for r in single for job in _cross_jobs(prepared, r, label, fold, folds, training)]
+        done = parallel(jobs, fits_at_once(train.sparkSession, n))
+        first = len(jobs) - len(single) * folds
+        fitted, parts = {r.name: m for r, m in zip(single, done[first - len(single):first])}, done[first:]
         if grown:
-            boosted, cross = done[-1]
+            boosted, cross = done[0]
             fitted.update(boosted)
             parts += cross
         fitted = {name: fitted[name] for name in chosen}

@@ -248,7 +248,8 @@ _CLASSIFIED = {"autism": ["age", "gender", *AQ_ITEMS, "jaundice", "family_asd"],
 
 def _classified(spark, sf, source: str):
     """(training rows with folds, test rows, names of all prepared features): one-hot columns and medians from training rows."""
-    rows = features.stratified_split(fx.fact(spark, sf, source).join(fx.dim_patient(spark, sf), "patient_id"), "patient_id")
+    joined = cut_lineage(fx.fact(spark, sf, source).join(fx.dim_patient(spark, sf), "patient_id"))  # read by each step below
+    rows = features.stratified_split(joined, "patient_id")
     names = _CLASSIFIED[source]
     if source == "stroke":
         train = rows.where("split = 'train'")
