@@ -6,10 +6,13 @@ member, and only these sums (nodes x features x bins, no rows) come to the drive
 their own pace: one may be in its second tree while another ends its first. Margins are part of the blocks: about once a tree
 the blocks are kept anew with them, and they are written after every few trees, so a lost executor replays little. Rows of one
 training set lie together, and a member looks at its own rows only.
+
+Training sets that a task can hold need no scan a level: the rows of each member go to a task of its own, which grows all its trees.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Sequence
 from copy import copy
 from dataclasses import dataclass, field
@@ -263,6 +266,68 @@ def _moved(pending: dict[int, list[Tree]], features: int, width: int):
     return run
 
 
+def _dealt(edges: list[np.ndarray], members: list[Member]):
+    """The rows of each member as blocks of their own."""
+    def run(batches):
+        for batch in batches:
+            values = np.stack([batch[f"c{i}"].to_numpy(zero_copy_only=False) for i in range(len(edges))], 1)
+            keys, labels, training = batch["key"].to_numpy(), batch["label"].to_numpy().astype(np.uint8), batch["members"].to_numpy()
+            bins, found = binned(values, edges), []
+            for m in members:
+                used = np.flatnonzero((training >> m.training) & 1)
+                if len(used):
+                    found.append((m.number, *(x[used].tobytes() for x in (keys, labels, bins))))
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), (pa.int32(), *[pa.binary()] * 3))], ["member", "keys", "labels", "bins"])
+    return run
+
+
+def _grow(m: Member, keys: np.ndarray, labels: np.ndarray, binned_: np.ndarray, bins: int) -> None:
+    """All trees of a member whose rows are here. A row keeps its node, and what it adds to the sums, as long as a tree grows."""
+    order = np.argsort(keys, kind="stable")  # however the rows arrived
+    keys, labels, binned_ = keys[order], labels[order], binned_[order]
+    columns, margin, w = np.ascontiguousarray(binned_.T), np.full(len(keys), m.start), np.array(m.weights)[labels]
+    while not m.done:
+        p, tree = sigmoid(margin), m.tree
+        gradient, curvature = w * (p - labels), w * p * (1 - p)
+        used = np.flatnonzero(drawn(keys, m.growth.rows, m.growth.seed, m.round)) if m.growth.rows < 1 else np.arange(len(keys))
+        node = np.zeros(len(used), np.int64)
+        while m.tree is tree:
+            slot = np.full(len(tree.feature), -1)
+            slot[m.open] = np.arange(len(m.open))
+            at = slot[node]
+            here = at >= 0  # the others are in nodes that have been looked at
+            at, own = at[here] * bins, used[here]
+            g, h = gradient[own], curvature[own]
+            out = np.zeros((len(m.open), m.features, bins, 3))
+            for f in {0, *m.columns.tolist()}:
+                cell = at + columns[f, own]
+                for j, x in enumerate((g, h, None)):
+                    out[:, f, :, j] = np.bincount(cell, x, len(m.open) * bins).reshape(len(m.open), bins)
+            m.take(out)
+            if m.tree is tree:
+                feature, cut, left = np.array(tree.feature), np.array(tree.cut), np.array(tree.left)
+                split = feature[node] >= 0
+                at = node[split]
+                node[split] = left[at] + (binned_[used[split], feature[at]] > cut[at])
+        margin += tree.score(binned_)
+
+
+def _grown_in_tasks(members: list[Member], features: int, bins: int):
+    """Takes the blocks of one member, gives its trees."""
+    def run(batches):
+        blocks: dict[int, list] = {}
+        for batch in batches:
+            for number, *block in zip(*(batch[c].to_pylist() for c in ("member", "keys", "labels", "bins"))):
+                blocks.setdefault(number, []).append([np.frombuffer(x, t) for x, t in zip(block, (np.int64, np.uint8, np.uint8))])
+        for number, parts in blocks.items():
+            keys, labels, binned_ = (np.concatenate(c) for c in zip(*parts))
+            m = members[number]
+            _grow(m, keys, labels, binned_.reshape(len(keys), features), bins)
+            yield pa.RecordBatch.from_pydict({"member": pa.array([number], pa.int32()), "trees": pa.array([pickle.dumps(m.trees)], pa.binary())})
+    return run
+
+
 @dataclass
 class Booster:
     """A fitted member: scores arrays of feature values."""
@@ -324,6 +389,13 @@ def boost(df: DataFrame, features: Sequence[str], growths: Sequence[Growth], key
             if not all(n):
                 members[-1].growth = Growth(growth.name, 0)
     width = len(members)
+    growing = [m for m in members if not m.done]
+    if growing and max(sum(found[c][m.training] for c in (0, 1)) for m in growing) <= ROWS_IN_PART:
+        dealt = rows.mapInArrow(_dealt(edges, growing), "member int, keys binary, labels binary, bins binary")
+        grown = dealt.repartitionById(width, "member").mapInArrow(_grown_in_tasks(members, len(features), bins), "member int, trees binary")
+        for row in grown.collect():  # one row a member: its trees, no rows of the data
+            members[row["member"]].trees = pickle.loads(row["trees"])
+        return {(m.growth.name, m.training): Booster(m.growth.name, m.start, m.trees, edges) for m in members}
     parts = partitions_for(df.sparkSession, sum(x[-1] for x in found.values()), ROWS_IN_PART)
     rows = rows.repartition(parts).sortWithinPartitions("members")
     blocks, spent, moves = cut_lineage(rows.mapInArrow(_packed(edges, [m.start for m in members]), _BLOCK)).persist(), [], 0

@@ -147,3 +147,25 @@ def test_a_scan_looks_at_own_rows_only(monkeypatch):
     sums = boosting._sums(block, member, 4)
     assert seen == [n // 3] and sums[0, 0, :, 2].sum() == n // 3
     assert member.view().trees == [] and len(member.trees) == 5
+
+
+def test_small_training_sets_grow_in_tasks(spark, table, monkeypatch):
+    """Sets that a task can hold need one job for all their trees, and these are the trees of the scans."""
+    from pyspark.sql import functions as F
+
+    rows = [(i, float(a), b, float(c), d, y, f) for i, a, b, c, d, y, f in made(500, 4)]
+    df, names = table(rows, 3), ["a", "b", "c", "d"]
+    edges = boosting.feature_edges(df, names, 16)
+    growths = [*GROWTHS, boosting.leaf_wise("wide", rounds=6), boosting.level_wise("deep", rounds=6)]
+    args = dict(training=F.lit(7) - F.pow(F.lit(2), F.col("fold")).cast("bigint") + 8, trainings=4, bins=16, edges=edges)
+    scans = []
+    monkeypatch.setattr(boosting, "_scan", lambda *a, f=boosting._scan: scans.append(a) or f(*a))
+    got = boosting.boost(df, names, growths, "id", **args)
+    assert not scans
+    monkeypatch.setattr(boosting, "ROWS_IN_PART", 80)
+    want = boosting.boost(df, names, growths, "id", **args)
+    assert scans and set(got) == set(want)
+    for member, booster in want.items():
+        assert len(got[member].trees) == len(booster.trees) == next(g.rounds for g in growths if g.name == member[0])
+        for a, b in zip(got[member].trees, booster.trees):
+            assert a.feature == b.feature and a.cut == b.cut and a.left == b.left and np.allclose(a.value, b.value)
