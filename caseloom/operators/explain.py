@@ -5,10 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 import math
+import pickle
 from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,13 +18,17 @@ from pyspark.sql import functions as F
 from caseloom.functions.scalar import seeded_hash
 from caseloom.operators.ranks import number_rows
 from caseloom.operators.reshape import literal_rows
-from caseloom.session import cut_lineage, shared_dir
+from caseloom.session import shared_dir
 
 ROWS_PER_SOLVE = 512
 #: steps of a walk out of the numbers beyond the last row; with a million rows a walk of 32 has a chance below 1e-90
 _WALK = 32
-#: rows whose values a task holds while others borrow them
-_DONORS_IN_PART = 1 << 18
+#: rows that borrow values in one part of the join, and rows that are packed at once
+_ASKING_IN_PART, _ROWS_IN_PACK = 1 << 20, 1 << 20
+_ROWS_IN_BATCH = 1 << 14
+#: values that are whole numbers after one of these factors are packed as such
+_FACTORS = (1, 100, 10, 1000, 10_000)
+_BUNDLE = "_at bigint, _n int, _first bigint, _layout binary, _blob binary"
 _CELLS = 1 << 20
 TOP_SHARE = 0.75
 
@@ -54,18 +60,131 @@ def _sides(n: int) -> tuple[int, int]:
     return a, max(1, -(-n // a))
 
 
+def _whole(values: np.ndarray) -> tuple[np.ndarray, int, int]:
+    """(numbers, lowest, factor): (numbers + lowest) / factor is the value, to the last bit; with factor 0 the numbers are its bits."""
+    with np.errstate(invalid="ignore", over="ignore"):
+        for factor in _FACTORS:
+            for part in (values[:64], values):
+                scaled = np.rint(part * factor)
+                whole = np.where(np.abs(scaled) < 2.0 ** 52, scaled, 0).astype(np.int64)
+                if not np.array_equal((whole / factor).view(np.int64), part.view(np.int64)):
+                    break
+            else:
+                lowest = int(whole.min(initial=0))
+                return (whole - lowest).view(np.uint64), lowest, factor
+    return values.view(np.uint64), 0, 0
+
+
+def _bundled(keys: np.ndarray, columns: Sequence[tuple[np.ndarray, np.ndarray | None]], size: int) -> pa.RecordBatch:
+    """Rows (key, values, nulls) in the order of their keys, one bundle for each ``size`` keys. A row takes as many bits as the widest
+    number of each column needs: the step from the key before, the values as whole numbers where they are, a bit for nulls if there are any."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = keys // size
+    starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+    steps = np.diff(keys, prepend=keys[:1])
+    steps[starts] = 0
+    fields = [(steps.view(np.uint64), 0, 1)]
+    for values, nulls in columns:
+        fields += [_whole(values[order]), (np.zeros(1, np.uint64) if nulls is None else nulls[order].astype(np.uint64), 0, 1)]
+    words, used, layout = [], [], []
+    for numbers, lowest, factor in fields:
+        bits = int(numbers.max()).bit_length()
+        if not words or used[-1] + bits > 64:
+            words.append(np.zeros(len(keys), np.uint64))
+            used.append(0)
+        layout.append((len(words) - 1, used[-1], bits, lowest, factor))
+        if bits:
+            words[-1] |= numbers << np.uint64(used[-1])
+        used[-1] += bits
+    raw = [np.frombuffer(w.astype(">u8").tobytes(), np.uint8).reshape(-1, 8) for w in words]
+    blobs = []
+    for a, b in zip(starts, [*starts[1:], len(keys)]):
+        blobs.append(np.packbits(np.concatenate([np.unpackbits(w[a:b], axis=1)[:, 64 - u:] for w, u in zip(raw, used)], axis=1)).tobytes())
+    shape = pickle.dumps((used, layout))
+    return pa.RecordBatch.from_arrays([
+        pa.array(at[starts], pa.int64()), pa.array(np.diff(np.r_[starts, len(keys)]), pa.int32()), pa.array(keys[starts], pa.int64()),
+        pa.array([shape] * len(starts), pa.binary()), pa.array(blobs, pa.binary())], ["_at", "_n", "_first", "_layout", "_blob"])
+
+
+def _unbundled(n: int, first: int, layout: bytes, blob: bytes) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """The keys and columns of one bundle."""
+    used, fields = pickle.loads(layout)
+    bits = np.unpackbits(np.frombuffer(blob, np.uint8), count=n * sum(used)).reshape(n, -1)
+    words, at = [], 0
+    for u in used:
+        whole = np.zeros((n, 64), np.uint8)
+        whole[:, 64 - u:] = bits[:, at:at + u]
+        words.append(np.packbits(whole, axis=1).view(">u8").ravel().astype(np.uint64))
+        at += u
+    found = []
+    for word, shift, width, lowest, factor in fields:
+        numbers = (words[word] >> np.uint64(shift)) & np.uint64((1 << width) - 1) if width else np.zeros(n, np.uint64)
+        found.append((numbers.view(np.int64) + lowest) / factor if factor else numbers.view(np.float64))
+    keys = first + np.cumsum(found[0].astype(np.int64))
+    return keys, [(values, nulls > 0) for values, nulls in zip(found[1::2], found[2::2])]
+
+
+def _bundles(size: int):
+    """Rows of a key and numbers, packed for the part of the join that holds their key."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                n += batch.num_rows
+            if n >= _ROWS_IN_PACK:
+                yield packed(held)
+                held, n = [], 0
+        if held:
+            yield packed(held)
+
+    def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(held)
+        columns = [c.combine_chunks() for c in table.columns[1:]]
+        return _bundled(table.column(0).to_numpy(), [(c.fill_null(0.0).to_numpy(), c.is_null().to_numpy(zero_copy_only=False) if c.null_count else None) for c in columns], size)
+    return run
+
+
+def _met(size: int, names: Sequence[str]):
+    """Each asking row with the values of the row that its key names."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at, asked, donors in zip(*(batch[c] for c in ("_at", "_asked", "_donors"))):
+                start = at.as_py() * size
+                keys, columns = joined([_unbundled(*d.values()) for d in donors.as_py()])
+                place = np.zeros(size, np.int64)
+                place[keys - start] = np.arange(len(keys))
+                held, n = [], 0
+                for i in range(len(asked)):
+                    held.append(_unbundled(*asked[i].as_py().values()))
+                    n += len(held[-1][0])
+                    if n >= _ROWS_IN_BATCH or i == len(asked) - 1:
+                        wanted, own = joined(held)
+                        lent = [(v[row], m[row]) for row in [place[wanted - start]] for v, m in columns]
+                        yield pa.RecordBatch.from_arrays([pa.array(v, mask=m) for v, m in [*own, *lent]], list(names))
+                        held, n = [], 0
+
+    def joined(parts: list) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        columns = [tuple(np.concatenate(c) for c in zip(*same)) for same in zip(*(columns for _, columns in parts))]
+        return np.concatenate([k for k, _ in parts]), columns
+    return run
+
+
 def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Sequence[str], predict: Callable[[DataFrame], DataFrame],
                            label: str = "label", repeats: int = 10, seed: int = 42) -> DataFrame:
     """Drop in accuracy when one feature is permuted: mean and standard deviation over the repeats.
 
     Rows are numbered in the hash order of their key, by range partitioning. In each repeat a keyed permutation of all numbers
     (``permuted_position``, repeated while it lands beyond the last row) says from which row a row borrows its feature; one join by
-    number brings the borrowed values of all repeats and features. ``predict`` adds a 0/1 ``prediction`` and scores all variants in
+    number brings the borrowed values of all repeats and features. Both sides travel packed (``_bundled``), a row in a few bytes,
+    and a part of the join holds a bounded number of asking rows. ``predict`` adds a 0/1 ``prediction`` and scores all variants in
     one job. Rows with one key are numbered in any order among each other.
     """
     keys, names = [key] if isinstance(key, str) else list(key), list(features)
-    hashed = df.select(F.col(label).cast("int").alias("_y"), seeded_hash(keys, seed).alias("_h"), F.array(*[F.col(f"`{f}`").cast("double") for f in names]).alias("_x"))
-    numbered = cut_lineage(number_rows(hashed, "_h", "_i").select((F.col("_i") - 1).alias("_i"), "_y", "_x"))
+    own, lent = [f"_x{i}" for i in range(len(names))], [f"_d{i}" for i in range(len(names))]
+    hashed = df.select(F.col(label).cast("int").alias("_y"), seeded_hash(keys, seed).alias("_h"), *[F.col(f"`{f}`").cast("double").alias(x) for f, x in zip(names, own)])
+    numbered = number_rows(hashed, "_h", "_i").select((F.col("_i") - 1).alias("_i"), "_y", *own)
     n, width = numbered.count(), len(names)
     a, b = _sides(n)
     # a number beyond the last row is moved on; a walk visits each of the a * b - n such numbers once at most, and few of them
@@ -73,18 +192,22 @@ def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Se
     step = [permuted_position(x, f"{a}L", f"{b}L", "_r", seed) for x in ("_i", "v")]
     # the first step is compiled; only the few numbers that land beyond the last row are walked on
     walk = f"if(_to < {n}, _to, aggregate(sequence(1, {steps}), _to, (v, _s) -> if(v < {n}, v, {step[1]})))"
-    asked = numbered.select("_i", "_y", "_x", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(repeats).cast("bigint"))).alias("_r")).select(
-        "*", F.expr(step[0]).alias("_to")).select("_y", "_x", (F.col("_r") - 1).alias("_r"), F.expr(walk).alias("_d"))
-    donors = numbered.select(F.col("_i").alias("_d"), F.col("_x").alias("_donor"))
-    # numbers are dense, so their hash partitions are even: bounded donors are looked up in memory, and nothing is sorted
-    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n // _DONORS_IN_PART))
-    with_donors = asked.repartition(parts, "_d").join(donors.repartition(parts, "_d").hint("shuffle_hash"), "_d").select("_y", "_x", "_r", "_donor")
+    asked = numbered.select("_i", "_y", *own, F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(repeats).cast("bigint"))).alias("_r")).select(
+        "*", F.expr(step[0]).alias("_to")).select(F.expr(walk).alias("_d"), F.col("_y").cast("double"), (F.col("_r") - 1).cast("double").alias("_r"), *own)
+    donors = numbered.select(F.col("_i").alias("_d"), *own)
+    # numbers are dense, so equal runs of them are even parts: bounded donors are looked up in memory, and nothing is sorted
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n * repeats // _ASKING_IN_PART))
+    size = max(1, -(-n // parts))
+    packed = [rows.mapInArrow(_bundles(size), _BUNDLE).repartition(parts, "_at").groupBy("_at").agg(
+        F.collect_list(F.struct("_n", "_first", "_layout", "_blob")).alias(out)) for rows, out in ((asked, "_asked"), (donors, "_donors"))]
+    columns = ["_y", "_r", *own, *lent]
+    with_donors = packed[0].join(packed[1].hint("shuffle_hash"), "_at").mapInArrow(_met(size, columns), ", ".join(f"{c} double" for c in columns))
     # a copy of a row carries the one value it borrows, not those of all variants
-    spread = with_donors.select("_y", "_x", "_r", F.posexplode("_donor").alias("_f", "_borrowed")).withColumn("_v", F.col("_r") * width + F.col("_f"))
-    plain = numbered.select("_y", "_x", F.lit(-1).cast("bigint").alias("_v"), F.lit(None).cast("double").alias("_borrowed"))
-    spread = spread.select("_y", "_x", "_v", "_borrowed").unionAll(plain)
+    spread = with_donors.select(F.col("_y").cast("int"), F.col("_r").cast("bigint"), *own, F.posexplode(F.array(*lent)).alias("_f", "_borrowed")).withColumn("_v", F.col("_r") * width + F.col("_f"))
+    plain = numbered.select("_y", F.lit(-1).cast("bigint").alias("_v"), F.lit(None).cast("double").alias("_borrowed"), *own)
+    spread = spread.select("_y", "_v", "_borrowed", *own).unionAll(plain)
     at = F.pmod("_v", F.lit(width))
-    columns = [F.when((F.col("_v") >= 0) & (at == i), F.col("_borrowed")).otherwise(F.get("_x", F.lit(i))).alias(f) for i, f in enumerate(names)]
+    columns = [F.when((F.col("_v") >= 0) & (at == i), F.col("_borrowed")).otherwise(F.col(own[i])).alias(f) for i, f in enumerate(names)]
     scored = predict(spread.select("_y", "_v", *columns))
     accuracy = scored.groupBy("_v").agg(F.avg((F.col("prediction") == F.col("_y")).cast("double")).alias("a"))
     # one row per (feature, repeat), compared with the untouched variant

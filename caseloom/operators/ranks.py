@@ -16,10 +16,12 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from caseloom.functions.scalar import HASH_BITS, seeded_hash
-from caseloom.session import cut_lineage
+from caseloom.session import cut_lineage, written
 
 CELL = "_cell"
 HASH_CELL_BITS = 20
+#: bits that ``monotonically_increasing_id`` has for the place in a partition
+_PLACE_BITS = 33
 BROADCAST_ROWS = 10_000
 
 
@@ -113,8 +115,18 @@ def number_rows(df: DataFrame, key: str, out: str = "row_number", block: str | N
                 blocks: Sequence | None = None, cells: int | None = None) -> DataFrame:
     """Consecutive numbers from 1 in the order of a unique numeric ``key``.
 
-    With ``block`` the numbers run through the listed blocks one after the other, each ordered by the key.
+    With ``block`` the numbers run through the listed blocks one after the other, each ordered by the key. Without, the rows are
+    shuffled and written once: a row's place in its cell is known when it is written.
     """
+    if block is None:
+        ranged = df.repartitionByRange(cells, F.col(key)) if cells else df.repartitionByRange(F.col(key))
+        placed = written(ranged.sortWithinPartitions(key).withColumn("_place", F.monotonically_increasing_id()), "numbered")
+        cell = F.shiftright("_place", _PLACE_BITS)
+        sizes = placed.groupBy(cell.alias(CELL)).agg(F.count(F.lit(1)).alias("_n"))
+        before = F.sum("_n").over(W.orderBy(CELL).rowsBetween(W.unboundedPreceding, -1))
+        starts = cut_lineage(sizes.select(CELL, F.coalesce(before, F.lit(0)).alias("_before")))  # one row a cell
+        inside = F.col("_place").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1).cast("bigint"))
+        return placed.join(small_side(starts), cell == F.col(CELL)).select(*[F.col(f"`{c}`") for c in df.columns], (inside + F.col("_before") + 1).cast("bigint").alias(out))
     group = [block] if block else []
     celled = settle(df.withColumn("_one", F.lit(1).cast("bigint")), key, group, cells)
     placed = prefix_sums(celled, key, ["_one"], group, settled=True)

@@ -66,3 +66,10 @@ def cut_lineage(df):
     if not context.getCheckpointDir():
         context.setCheckpointDir(shared_dir(df.sparkSession, "checkpoint"))
     return df.checkpoint()
+
+
+def written(df, name: str):
+    """Writes ``df`` to the shared folder by columns, which takes a fraction of a checkpoint's room, and reads it again."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -87,3 +87,32 @@ def test_borrowed_rows_are_looked_up_without_a_sort(spark):
     plan = out._jdf.queryExecution().toString()
     assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan.split("== Physical Plan ==")[1].split("Subquery")[0]
     assert "if ((_to" in plan
+
+
+def test_packed_rows_come_back_to_the_last_bit():
+    """Whole numbers, cents, any doubles, negative zeros, NaN and nulls, for keys in any order and more bits than one word has."""
+    draw = np.random.default_rng(5)
+    keys = draw.permutation(np.r_[np.arange(700), draw.choice(np.arange(700, 3000), 500, replace=False)])
+    n = len(keys)
+    odd = draw.normal(size=n)
+    odd[:4] = [-0.0, np.nan, np.inf, 1e300]
+    columns = [draw.integers(0, 2, n).astype(float), draw.integers(-500, 10_000_000, n) / 100, odd, np.full(n, -3.0), draw.normal(size=n)]
+    columns = [(c, draw.random(n) < 0.1 if i % 2 else None) for i, c in enumerate(columns)]
+    order = np.argsort(keys, kind="stable")
+    batch = explain._bundled(keys, columns, 256).to_pylist()
+    assert [r["_at"] for r in batch] == sorted({int(k) // 256 for k in keys})
+    back = [explain._unbundled(r["_n"], r["_first"], r["_layout"], r["_blob"]) for r in batch]
+    assert np.array_equal(np.concatenate([k for k, _ in back]), keys[order])
+    for i, (values, nulls) in enumerate(columns):
+        assert np.array_equal(np.concatenate([c[i][0] for _, c in back]).view(np.int64), values[order].view(np.int64))
+        assert np.array_equal(np.concatenate([c[i][1] for _, c in back]), np.zeros(n, bool) if nulls is None else nulls[order])
+
+
+def test_asking_rows_travel_in_few_bytes():
+    """Flags, a quantity and a price in cents: six bytes and a half, not a row of seven words."""
+    draw = np.random.default_rng(6)
+    n = 1 << 16
+    keys = draw.integers(0, 200 * n, n)
+    values = [draw.integers(0, 10, n), *[draw.integers(0, 2, n) for _ in range(5)], draw.integers(1, 51, n), draw.integers(90_000, 10_000_000, n) / 100]
+    batch = explain._bundled(keys, [(v.astype(float), np.zeros(n, bool)) for v in values], 1 << 20)
+    assert sum(len(b) for b in batch["_blob"].to_pylist()) < 7 * n
