@@ -179,7 +179,7 @@ def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Se
     (``permuted_position``, repeated while it lands beyond the last row) says from which row a row borrows its feature; one join by
     number brings the borrowed values of all repeats and features. Both sides travel packed (``_bundled``), a row in a few bytes,
     and a part of the join holds a bounded number of asking rows. ``predict`` adds a 0/1 ``prediction`` and scores all variants in
-    one job. Rows with one key are numbered in any order among each other.
+    one job, and the untouched rows beside it. Rows with one key are numbered in any order among each other.
     """
     keys, names = [key] if isinstance(key, str) else list(key), list(features)
     own, lent = [f"_x{i}" for i in range(len(names))], [f"_d{i}" for i in range(len(names))]
@@ -205,14 +205,15 @@ def permutation_importance(df: DataFrame, key: str | Sequence[str], features: Se
     # a copy of a row carries the one value it borrows, not those of all variants
     spread = with_donors.select(F.col("_y").cast("int"), F.col("_r").cast("bigint"), *own, F.posexplode(F.array(*lent)).alias("_f", "_borrowed")).withColumn("_v", F.col("_r") * width + F.col("_f"))
     plain = numbered.select("_y", F.lit(-1).cast("bigint").alias("_v"), F.lit(None).cast("double").alias("_borrowed"), *own)
-    spread = spread.select("_y", "_v", "_borrowed", *own).unionAll(plain)
     at = F.pmod("_v", F.lit(width))
     columns = [F.when((F.col("_v") >= 0) & (at == i), F.col("_borrowed")).otherwise(F.col(own[i])).alias(f) for i, f in enumerate(names)]
-    scored = predict(spread.select("_y", "_v", *columns))
-    accuracy = scored.groupBy("_v").agg(F.avg((F.col("prediction") == F.col("_y")).cast("double")).alias("a"))
-    # one row per (feature, repeat), compared with the untouched variant
-    base = accuracy.where("_v = -1").select("a").scalar()
-    drop = accuracy.where("_v >= 0").select(F.pmod("_v", F.lit(width)).alias("_f"), (base - F.col("a")).alias("d"))
+
+    def accuracy(rows: DataFrame) -> DataFrame:
+        scored = predict(rows.select("_y", "_v", *columns))
+        return scored.groupBy("_v").agg(F.avg((F.col("prediction") == F.col("_y")).cast("double")).alias("a"))
+    # one row per (feature, repeat), compared with the untouched variant, for which nothing is borrowed
+    base = accuracy(plain).select("a").scalar()
+    drop = accuracy(spread).select(F.pmod("_v", F.lit(width)).alias("_f"), (base - F.col("a")).alias("d"))
     name = F.element_at(F.array(*[F.lit(f) for f in names]), (F.col("_f") + 1).cast("int"))
     return drop.groupBy("_f").agg(F.avg("d").alias("importance_mean"), F.stddev_pop("d").alias("importance_std")).select(
         name.alias("feature"), "importance_mean", "importance_std")

@@ -116,3 +116,10 @@ def test_asking_rows_travel_in_few_bytes():
     values = [draw.integers(0, 10, n), *[draw.integers(0, 2, n) for _ in range(5)], draw.integers(1, 51, n), draw.integers(90_000, 10_000_000, n) / 100]
     batch = explain._bundled(keys, [(v.astype(float), np.zeros(n, bool)) for v in values], 1 << 20)
     assert sum(len(b) for b in batch["_blob"].to_pylist()) < 7 * n
+
+
+def test_untouched_rows_borrow_nothing(spark):
+    """The rows that the variants are compared with are scored without the join."""
+    df = spark.range(50).selectExpr("id", "CAST(id % 2 AS INT) AS label", "CAST(id % 3 AS DOUBLE) AS x")
+    out = explain.permutation_importance(df, "id", ["x"], lambda d: d.withColumn("prediction", (d["x"] > 1).cast("int")), repeats=2)
+    assert out._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("ShuffledHashJoin") == 1
